@@ -6,12 +6,14 @@ from .bpe import op10_bpe_encode_decode
 from .fingerprint import op4_one_permutation_minhash
 from .packing import op6_best_fit_packing
 from .substrings import op9_super_kmer_dedup
+from .suffixes import op7_suffix_array_dedup
 from .toxicity import op5_toxicity_compression
 
 QUERIES = {
     "op4_one_permutation_minhash": op4_one_permutation_minhash,
     "op5_toxicity_compression": op5_toxicity_compression,
     "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_suffix_array_dedup": op7_suffix_array_dedup,
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }
