@@ -14,6 +14,7 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -72,6 +73,28 @@ def doc_id_of(col: str = "_ord"):
     return F.when(F.col(col) == MAX_LONG, F.lit(None).cast("long")).otherwise(F.col(col))
 
 
+def rewritten(docs: DataFrame, runs: DataFrame, cut) -> DataFrame:
+    """docs with text cut by cut(bytes, runs) where runs (_ord, _th, ...) has rows for it, and n_chars renewed.
+
+    A text of which nothing but white space is left goes; every other row stays as it was.
+    """
+    other = [f.name for f in docs.schema.fields if f.name not in ("text", "n_chars")]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_LONG)).alias("_ord"), F.xxhash64(text).alias("_th"), F.col("text").alias("_text"), F.struct(*other).alias("_row"))
+    fields = [c for c in runs.columns if c not in ("_ord", "_th")]
+    per_doc = runs.groupBy("_ord", "_th").agg(F.collect_list(F.struct(*fields)).alias("_runs"))
+
+    @F.pandas_udf("string")
+    def cut_all(texts: pd.Series, runs: pd.Series) -> pd.Series:
+        return pd.Series([t if r is None or t is None else cut(t.encode("utf-8"), r).decode("utf-8") for t, r in zip(texts, runs, strict=True)], dtype=object)
+
+    joined = rows.join(per_doc, ["_ord", "_th"], "left")
+    new = joined.withColumn("_new", F.when(F.col("_runs").isNull(), F.col("_text")).otherwise(cut_all("_text", "_runs")))
+    kept = new.where(F.col("_runs").isNull() | F.col("_new").rlike(r"\S"))
+    made = {"text": F.col("_new"), "n_chars": F.length("_new").cast("long")}
+    return kept.select(*[made[c].alias(c) if c in made else F.col("_row")[c].alias(c) for c in docs.columns])
+
+
 def text_bytes(df: DataFrame, text_col: str = "text") -> int:
     """Total bytes of text, one small aggregate; sizes the number of buckets."""
     got = df.agg(F.sum(F.octet_length(F.col(text_col))).alias("n")).first()["n"]

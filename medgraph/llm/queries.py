@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op10_bpe_encode_decode
 from .fingerprint import op4_one_permutation_minhash
+from .lines import op8_line_chunk_dedup
 from .packing import op6_best_fit_packing
 from .substrings import op9_super_kmer_dedup
 from .suffixes import op7_suffix_array_dedup
@@ -14,6 +15,7 @@ QUERIES = {
     "op5_toxicity_compression": op5_toxicity_compression,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_suffix_array_dedup": op7_suffix_array_dedup,
+    "op8_line_chunk_dedup": op8_line_chunk_dedup,
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
 }

@@ -24,12 +24,11 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SEPARATORS, Words, buckets_for, doc_id_of, keyed, pack_parts, pack_text_column, prefix_hash, sliding_min, slices, span_hash, table, text_bytes, unpack, unpack_parts
+from .common import SEPARATORS, Words, buckets_for, doc_id_of, keyed, pack_parts, pack_text_column, prefix_hash, rewritten, sliding_min, slices, span_hash, table, text_bytes, unpack, unpack_parts
 
 WINDOW = 13
 MINIMISER = 3
@@ -200,33 +199,18 @@ def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, id_
 
 
 def strip_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER) -> DataFrame:
-    """docs with the struck words cut out of text (what stands between kept words stays) and n_chars renewed; rows left without a word go if they had any."""
-    other = [f for f in docs.schema.fields if f.name not in ("text", "n_chars")]
-    rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_ord"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("_th"), "text", F.struct(*[f.name for f in other]).alias("_row"))
-    runs = repeated_windows(docs, window, minimiser).groupBy("_ord", "_th").agg(F.collect_list(F.struct("_at", "_n")).alias("_runs"))
-
-    @F.pandas_udf("string")
-    def cut(text, runs):
-        out = []
-        for t, r in zip(text, runs, strict=True):
-            if t is None or r is None:
-                out.append(t)
-                continue
-            raw = t.encode("utf-8")
-            w = Words([raw])
-            gone = covered(len(w.start), [x["_at"] for x in r], [x["_n"] for x in r], window)
-            keep = np.ones(len(raw), bool)
-            edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-            for a, z in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True):
-                stop = int(w.start[z]) if z < len(w.start) else len(raw)
-                keep[int(w.start[a]) : stop] = False
-            out.append(np.frombuffer(raw, np.uint8)[keep].tobytes().decode("utf-8"))
-        return pd.Series(out)
-
-    joined = rows.join(runs, ["_ord", "_th"], "left").withColumn("_new", F.when(F.col("_runs").isNull(), F.col("text")).otherwise(cut("text", "_runs")))
-    kept = joined.where(F.col("_runs").isNull() | (F.length(F.trim("_new")) > 0))
-    cols = {f.name: F.col(f"_row.{f.name}") for f in other} | {"text": F.col("_new"), "n_chars": F.length("_new").cast("long")}
-    return kept.select(*[cols[c].alias(c) for c in docs.columns])
+    """docs with the struck words, and the space after them, cut out of text; rows of which no word is left go."""
+
+    def cut(raw: bytes, runs: list) -> bytes:
+        w = Words([raw])
+        gone = covered(len(w.start), [r["_at"] for r in runs], [r["_n"] for r in runs], window)
+        keep = np.ones(len(raw), bool)
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
+        for a, z in zip(edge[0::2].tolist(), edge[1::2].tolist(), strict=True):
+            keep[int(w.start[a]) : int(w.start[z]) if z < len(w.start) else len(raw)] = False
+        return np.frombuffer(raw, np.uint8)[keep].tobytes()
+
+    return rewritten(docs, repeated_windows(docs, window, minimiser), cut)
 
 
 def op9_super_kmer_dedup(spark, sf_dir: str) -> DataFrame:
