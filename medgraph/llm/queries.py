@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .ann import op1_adaptive_dimension_scan
 from .bpe import op10_bpe_encode_decode
 from .fingerprint import op4_one_permutation_minhash
 from .lines import op8_line_chunk_dedup
@@ -11,6 +12,7 @@ from .suffixes import op7_suffix_array_dedup
 from .toxicity import op5_toxicity_compression
 
 QUERIES = {
+    "op1_adaptive_dimension_scan": op1_adaptive_dimension_scan,
     "op4_one_permutation_minhash": op4_one_permutation_minhash,
     "op5_toxicity_compression": op5_toxicity_compression,
     "op6_best_fit_packing": op6_best_fit_packing,
