@@ -6,6 +6,7 @@ from .ann import op1_adaptive_dimension_scan
 from .bpe import op10_bpe_encode_decode
 from .fingerprint import op4_one_permutation_minhash
 from .jaccard import op2_ngram_jaccard_join
+from .licenses import op3_license_scan
 from .lines import op8_line_chunk_dedup
 from .packing import op6_best_fit_packing
 from .substrings import op9_super_kmer_dedup
@@ -15,6 +16,7 @@ from .toxicity import op5_toxicity_compression
 QUERIES = {
     "op1_adaptive_dimension_scan": op1_adaptive_dimension_scan,
     "op2_ngram_jaccard_join": op2_ngram_jaccard_join,
+    "op3_license_scan": op3_license_scan,
     "op4_one_permutation_minhash": op4_one_permutation_minhash,
     "op5_toxicity_compression": op5_toxicity_compression,
     "op6_best_fit_packing": op6_best_fit_packing,
