@@ -142,7 +142,7 @@ def fit_rows(toxic: list[str], ordinary: list[str], share: float) -> Model | Non
     x = np.array([features([r for w in d if (r := known[w]) is not None], len(d)) for d in [*tox, *ordy]])
     y = np.array([1.0] * len(tox) + [0.0] * len(ordy))
     weight = np.where(y == 1, share / len(tox), (1 - share) / len(ordy)) * len(y)
-    mean, dev = x.mean(0), x.std(0) + 1e-9
+    mean, dev = x.mean(0), np.maximum(x.std(0), 0.05)
     z = np.c_[(x - mean) / dev, np.ones(len(x))]
     w = np.zeros(z.shape[1])
     for _ in range(30):
@@ -165,11 +165,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     if not counts.get(True) or not counts.get(False):
         return None
     texts = keyed(docs, id_col, text_col).where(F.octet_length("_text") <= MAX_SAMPLE_BYTES)
-    rate = {k: min(1.0, 3.0 * most / counts[k]) for k, most in ((True, max_toxic), (False, max_ordinary))}
-    # three times the bound is drawn by hash of the id before the join, so the join stays small
-    drawn = known.where(F.pmod(F.xxhash64("_ord"), F.lit(1 << 20)) < F.when(F.col("_toxic"), int(rate[True] * (1 << 20))).otherwise(int(rate[False] * (1 << 20))))
-    joined = texts.join(drawn, "_ord").select("_toxic", "_text", F.xxhash64("_ord", "_th").alias("_h"))
-    got = {k: [r["_text"] for r in joined.where(F.col("_toxic") == k).orderBy("_h").limit(most).select("_text").collect()] for k, most in ((True, max_toxic), (False, max_ordinary))}
+    # twice the bound of ids is drawn by hash, so that this side stays small at any size and is broadcast
+    drawn = {k: F.broadcast(known.where(F.col("_toxic") == k).orderBy(F.xxhash64("_ord"), "_ord").limit(2 * most).select("_ord")) for k, most in ((True, max_toxic), (False, max_ordinary))}
+    joined = {k: texts.join(ids, "_ord").select("_text", F.xxhash64("_ord", "_th").alias("_h")) for k, ids in drawn.items()}
+    got = {k: [r["_text"] for r in joined[k].orderBy("_h").limit(most).select("_text").collect()] for k, most in ((True, max_toxic), (False, max_ordinary))}
     return fit_rows(got[True], got[False], counts[True] / (counts[True] + counts[False]))
 
 
