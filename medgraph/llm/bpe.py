@@ -37,7 +37,7 @@ REMEMBERED = 400_000
 SLICE_CHARS = 4 << 20
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The printable stand-in of each byte in a byte-level vocabulary."""
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters, extra = {}, 256
@@ -66,7 +66,7 @@ class PairIndexBPE:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens.update({i: t for t, i in self.special.items()})
         self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
-        letters = _byte_letters()
+        letters = byte_letters()
         self.inner = [self.vocab.get(c) for c in letters]
         self.last = [self.vocab.get(c + self.suffix) for c in letters]
 
@@ -166,14 +166,14 @@ class PairIndexBPE:
 class Remembered:
     """Bounded memory of a worker: word -> entry(ids), filled by encode(words)."""
 
-    def __init__(self, encode, entry):
-        self.encode, self.entry, self.seen = encode, entry, {}
+    def __init__(self, encode, entry, most: int = REMEMBERED):
+        self.encode, self.entry, self.most, self.seen = encode, entry, most, {}
 
     def learn(self, split: list[list[str]]) -> dict:
         """Makes sure that every word of these texts is remembered."""
-        if len(self.seen) > REMEMBERED:
+        if len(self.seen) > self.most:
             self.seen.clear()
-        new = list({w for s in split for w in s} - self.seen.keys())
+        new = list(set().union(*split) - self.seen.keys())
         self.seen.update(zip(new, map(self.entry, self.encode(new)), strict=True))
         return self.seen
 

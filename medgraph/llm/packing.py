@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import VOCABULARY, PairIndexBPE, Remembered, text_slices
+from .bpe import VOCABULARY, PairIndexBPE, Remembered, byte_letters, text_slices
 from .common import doc_id_of, keyed, materialize, table
 
 SEQUENCE_TOKENS = 2048
@@ -43,8 +43,18 @@ def _library(path: str) -> tuple[PairIndexBPE, Remembered]:
         tok = Tokenizer.from_file(path)
         tok.no_truncation()
         tok.no_padding()
-        encode = lambda words: [e.ids for e in tok.encode_batch(words, add_special_tokens=False)]
-        _loaded[path] = PairIndexBPE(path), Remembered(encode, lambda ids: np.array(ids, "<u4").tobytes())
+        model, tokenize = PairIndexBPE(path), tok.model.tokenize
+        letters = dict(enumerate(byte_letters()))
+        special = {t: np.array([i], "<u4").tobytes() for t, i in model.special.items()}
+
+        def encode(words: list[str]) -> list[bytes]:
+            """The library's model on the distinct pieces of new words: its normaliser and splitter are slow on single words."""
+            split = [model.pieces(w) for w in words]
+            distinct = list(set().union(*split) - special.keys())
+            ids = special | {p: np.array([t.id for t in tokenize(p.encode("utf-8").decode("latin-1").translate(letters))], "<u4").tobytes() for p in distinct}
+            return [b"".join(map(ids.__getitem__, s)) for s in split]
+
+        _loaded[path] = model, Remembered(encode, lambda raw: raw, 1_000_000)
     return _loaded[path]
 
 
