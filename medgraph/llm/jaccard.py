@@ -6,19 +6,23 @@ sets are one class from the start.  Two classes of sizes a and b link when their
 likeness is at least THRESHOLD.
 
 Filters.  Every global order of the shingles gives each set a prefix of n - ceil(t n) + 1
-shingles, and linked sets share a prefix shingle under every order.  Both orders here put the
+shingles, and linked sets share a prefix shingle under every order.  All orders here put the
 shingles that many documents hold last (their counts are found in a first pass that reports a
 shingle only where a slice of documents repeats it, and only shingles above a share of all
 documents are kept, whose number that share bounds); within equal counts each order follows a
-hash of its own.  Prefixes under the first order are dealt to buckets by shingle; classes that
-share none leave.  For the rest the second order's prefixes are dealt the same way.
-
-Pairs.  In each list of a prefix shingle, all members are first paired with one hub, the member
-with the largest share of frequent shingles, so a family of near copies costs as many pairs as
-it has members.  Links found join components.  Then every list is looked at again: members of
-different components (those outside the list's largest one against all) are paired, and pairs
-that meet under both orders, fit in size and are not yet compared are verified on whole sets.
-Nothing else is left out, so no link between different components is lost.
+hash of its own.  Prefixes under the first order are dealt to buckets by shingle; sets that
+share none leave.  Every later order is intersected with it on the pairs, before whole sets are
+compared.  A pair must also pass a bound: each set has a histogram of its shingles over CELLS
+cells, and what two sets can share at most is the sum of the smaller counts.
+
+Pairs.  Each list of a prefix shingle has a hub, the member with the largest share of frequent
+shingles; the sets of all lists with one hub are its group.  Any two sets that share a prefix
+shingle are in one group.  First every member is compared with its hub, so a family of near
+copies costs as many pairs as it has members, and the links found join components.  Then, in each
+group, members outside the group's largest component are compared with all members of other
+components, in blocks of at most BLOCK by BLOCK sets and by their histograms only; a task holds
+two blocks, and only pairs that pass the bound leave it.  Nothing else is left out, so no link
+between different components is lost.
 
 Shingles are compared by 64-bit hashes, sets are identified by 64-bit sums of them and their size.
 Null text is empty; a null id is the largest; repeated rows are in one component.  Tables
@@ -34,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, buckets_for, doc_id_of, keyed, materialize, mix, pack_parts, pack_text_column, slices, table, text_bytes, unpack, unpack_parts
+from .common import Words, buckets_for, doc_id_of, keyed, materialize, mix, pack, pack_parts, pack_text_column, slices, table, text_bytes, unpack, unpack_parts
 from .components import components
 from .fingerprint import shingle_hashes
 
@@ -45,6 +49,10 @@ PERCENT = 80
 FREQUENT = 2000
 ANCHOR_BYTES = 16 << 20
 SALTS = 16
+CELLS = 512
+BLOCK = 512
+#: Orders intersected on a pair: the first picks the lists, all are checked.
+ORDERS = (0, 1, 2)
 
 
 def sets(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -106,14 +114,12 @@ def _emit(bucket: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(bucket[order][edges[:-1]]), pa.array(rows, pa.binary())], ["_bucket", "_z"])
 
 
-def _postings(frequent, order: int, buckets: int, percent: int, col: int, packed: bool):
+def _postings(frequent, order: int, buckets: int, percent: int):
     """Prefix shingles by bucket: (shingle, set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            if packed:
-                b = pa.RecordBatch.from_arrays([pa.array([unpack(z.as_py()) for z in b.column(col)], pa.binary())], ["_text"])
-            for _, texts in slices(b, 0 if packed else col):
+            for _, texts in slices(b, 2):
                 doc, h = sets(texts)
                 if not len(doc):
                     continue
@@ -155,8 +161,67 @@ def digests(rows: DataFrame, frequent) -> DataFrame:
     return rows.select("_ord", "_th", "_text").mapInArrow(run, "_ord long, _th long, _f long, _n long, _w double")
 
 
+def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Adds the packed histogram of every set to (_f, _n, _w, _z)."""
+    for b in batches:
+        out: list[bytes] = []
+        raw = pa.RecordBatch.from_arrays([pa.array([unpack(z.as_py()) for z in b.column(3)], pa.binary())], ["_text"])
+        for _, texts in slices(raw, 0):
+            doc, h = sets(texts)
+            cells = np.bincount(doc * CELLS + (mix(h + np.uint64(77)) % np.uint64(CELLS)).astype(np.int64), minlength=len(texts) * CELLS)
+            out += [pack(c.tobytes()) for c in np.minimum(cells, 65535).astype("<u2").reshape(-1, CELLS)]
+        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], ["_f", "_n", "_w", "_z", "_s"])
+
+
+def _cells(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(unpack(z.as_py()) for z in column), "<u2").reshape(-1, CELLS)
+
+
+def _can_link(shared, a, b, percent: int) -> np.ndarray:
+    """Whether sets of sizes a and b that share at most so many can link; a cell may have been cut at 65,535, so larger sets always can."""
+    big = np.minimum(a, b) >= 65535
+    return big | ((100 * shared >= percent * (a + b - shared)) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b)))
+
+
+def _near_hub(percent: int):
+    """(x, y) of the (hub, member) rows whose histograms allow a link."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if not b.num_rows:
+                continue
+            x, y, nx, ny = (b.column(i).to_numpy().astype(np.int64) for i in range(4))
+            ok = np.zeros(len(x), bool)
+            for at in range(0, len(x), 1024):
+                shared = np.minimum(_cells(b.column(4).slice(at, 1024)), _cells(b.column(5).slice(at, 1024))).sum(1, dtype=np.int64)
+                ok[at : at + 1024] = _can_link(shared, nx[at : at + 1024], ny[at : at + 1024], percent)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[ok]), pa.array(np.maximum(x, y)[ok])], ["x", "y"])
+
+    return run
+
+
+def _between(percent: int):
+    """(x, y) of a block of sets outside a group's largest component against a block of all its sets."""
+
+    def run(group: pa.Table) -> pa.Table:
+        f, n, c = (group.column(k).to_numpy() for k in ("_f", "_n", "c"))
+        left = group.column("_left").to_numpy(zero_copy_only=False)
+        cells = _cells(group.column("_s").combine_chunks())
+        l, r = np.flatnonzero(left), np.flatnonzero(~left)
+        xs, ys = [], []
+        for i in l.tolist():
+            shared = np.minimum(cells[r], cells[i]).sum(1, dtype=np.int64)
+            hit = r[_can_link(shared, n[r], np.full(len(r), n[i]), percent) & (c[r] != c[i])]
+            xs.append(np.minimum(f[hit], f[i]))
+            ys.append(np.maximum(f[hit], f[i]))
+        e = np.zeros(0, np.int64)
+        return pa.table({"x": pa.array(np.concatenate(xs) if xs else e, pa.int64()), "y": pa.array(np.concatenate(ys) if ys else e, pa.int64())})
+
+    return run
+
+
 def _verified(frequent, percent: int):
-    """Links among pairs: the second order's prefixes must meet, then whole sets are compared."""
+    """Links among pairs: prefixes must meet under every order, then whole sets are compared."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -167,19 +232,19 @@ def _verified(frequent, percent: int):
                 k = len(za)
                 doc, h = sets(za + zb)
                 size = np.bincount(doc, minlength=2 * k)
-                pre = prefixes(doc, h, size, counts_of(h, frequent.value), 1, percent)
-                in_prefix = np.zeros(len(h), bool)
-                in_prefix[pre] = True
+                count = counts_of(h, frequent.value)
                 pair = doc % k
                 order = np.lexsort((doc, h, pair))
                 same = (pair[order][1:] == pair[order][:-1]) & (h[order][1:] == h[order][:-1]) & (doc[order][1:] != doc[order][:-1])
-                hit = order[:-1][same]
-                mate = order[1:][same]
+                hit, mate = order[:-1][same], order[1:][same]
+                meets = np.ones(k, bool)
+                for o in ORDERS:
+                    in_prefix = np.zeros(len(h), bool)
+                    in_prefix[prefixes(doc, h, size, count, o, percent)] = True
+                    meets &= np.bincount(pair[hit], weights=in_prefix[hit] & in_prefix[mate], minlength=k) > 0
                 shared = np.bincount(pair[hit], minlength=k)
-                filtered = np.bincount(pair[hit], weights=in_prefix[hit] & in_prefix[mate], minlength=k) > 0
                 united = size[:k] + size[k:] - shared
-                link = filtered & (100 * shared >= percent * united) & (shared > 0)
-                i = np.flatnonzero(link).tolist()
+                i = np.flatnonzero(meets & (100 * shared >= percent * united) & (shared > 0)).tolist()
                 yield pa.RecordBatch.from_arrays([pa.array([xs[at + j] for j in i], pa.int64()), pa.array([ys[at + j] for j in i], pa.int64())], ["x", "y"])
 
     return run
@@ -192,46 +257,40 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id"
     total = text_bytes(rows, "_text")
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows, rows.count()))
     digest = materialize(digests(rows, frequent))
-    buckets = buckets_for(total, ANCHOR_BYTES)
-    posted = rows.mapInArrow(_postings(frequent, 0, buckets, percent, 2, False), "_bucket long, _z binary")
-    lists_a = materialize(posted.groupBy("_bucket").applyInArrow(_lists, "_h long, _f long"))
-    # one text for each set that is still in
+    posted = rows.mapInArrow(_postings(frequent, 0, buckets_for(total, ANCHOR_BYTES), percent), "_bucket long, _z binary")
+    lists = materialize(posted.groupBy("_bucket").applyInArrow(_lists, "_h long, _f long"))
+    # one text and histogram for each set that is still in
     first = digest.where("_n > 0").groupBy("_f").agg(F.min(F.struct("_ord", "_th")).alias("_p"), F.first("_n").alias("_n"), F.max("_w").alias("_w"))
-    alive = first.join(lists_a.select("_f").distinct(), "_f").select("_f", "_n", "_w", F.col("_p._ord").alias("_ord"), F.col("_p._th").alias("_th"))
-    members = materialize(pack_text_column(rows).join(alive, ["_ord", "_th"]).dropDuplicates(["_f"]).select("_f", "_n", "_w", "_z"))
-    sizes = members.select("_f", "_n", "_w")
-
-    def fits(a: str, b: str):
-        return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
+    alive = first.join(lists.select("_f").distinct(), "_f").select("_f", "_n", "_w", F.col("_p._ord").alias("_ord"), F.col("_p._th").alias("_th"))
+    texts = pack_text_column(rows).join(alive, ["_ord", "_th"]).dropDuplicates(["_f"]).select("_f", "_n", "_w", "_z")
+    members = materialize(texts.mapInArrow(_histograms, "_f long, _n long, _w double, _z binary, _s binary"))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        text = members.select("_f", "_z")
-        both = pairs.join(text.select(F.col("_f").alias("x"), F.col("_z").alias("_zx")), "x").join(text.select(F.col("_f").alias("y"), F.col("_z").alias("_zy")), "y")
+        z = members.select("_f", "_z")
+        both = pairs.join(z.select(F.col("_f").alias("x"), F.col("_z").alias("_zx")), "x").join(z.select(F.col("_f").alias("y"), F.col("_z").alias("_zy")), "y")
         return materialize(both.select("x", "y", "_zx", "_zy").mapInArrow(_verified(frequent, percent), "x long, y long"))
 
-    # stars around hubs
-    sized = materialize(lists_a.join(sizes, "_f"))
-    hubs = sized.groupBy("_h").agg(F.max(F.struct("_w", "_n", "_f")).alias("_hub")).select("_h", F.col("_hub._f").alias("_hf"), F.col("_hub._n").alias("_hn"))
-    stars = materialize(
-        sized.join(hubs, "_h").where((F.col("_f") != F.col("_hf")) & fits("_n", "_hn")).select(F.least("_f", "_hf").alias("x"), F.greatest("_f", "_hf").alias("y")).distinct()
-    )
-    links = verify(stars)
+    # groups around hubs
+    sized = lists.join(members.select("_f", "_n", "_w"), "_f")
+    hubs = sized.groupBy("_h").agg(F.max(F.struct("_w", "_n", "_f")).alias("_hub")).select("_h", F.col("_hub._f").alias("_b"))
+    groups = materialize(lists.join(hubs, "_h").select("_b", "_f").distinct())
+    of = members.select("_f", "_n", "_s")
+    stars = groups.where("_b <> _f").join(of.select("_f", F.col("_n").alias("_ny"), F.col("_s").alias("_sy")), "_f").join(of.select(F.col("_f").alias("_b"), F.col("_n").alias("_nx"), F.col("_s").alias("_sx")), "_b")
+    near = stars.select("_b", "_f", "_nx", "_ny", "_sx", "_sy").mapInArrow(_near_hub(percent), "x long, y long").distinct()
+    links = verify(near)
     found = components(links)
 
-    # what is left between components, under both orders
-    posted_b = members.select("_z").mapInArrow(_postings(frequent, 1, buckets, percent, 0, True), "_bucket long, _z binary")
-    lists_b = posted_b.groupBy("_bucket").applyInArrow(_lists, "_h long, _f long").join(sizes, "_f")
-
-    def crossing(lists: DataFrame) -> DataFrame:
-        named = lists.join(found.withColumnRenamed("v", "_f"), "_f", "left").select("_h", "_f", "_n", F.coalesce("c", "_f").alias("c"))
-        per = named.groupBy("_h", "c").agg(F.count("*").alias("k"))
-        main = per.groupBy("_h").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("kinds")).where("kinds > 1").select("_h", F.col("m.c").alias("main"))
-        within = materialize(named.join(main, "_h"))
-        others = within.where("c <> main").select("_h", F.col("_f").alias("f1"), F.col("_n").alias("n1"), F.col("c").alias("c1"))
-        pairs = others.join(within.select("_h", F.col("_f").alias("f2"), F.col("_n").alias("n2"), F.col("c").alias("c2")), "_h").where((F.col("c1") != F.col("c2")) & fits("n1", "n2"))
-        return pairs.select(F.least("f1", "f2").alias("x"), F.greatest("f1", "f2").alias("y")).distinct()
-
-    rest = crossing(sized).join(crossing(lists_b), ["x", "y"]).join(stars, ["x", "y"], "left_anti")
+    # what is left between components
+    named = materialize(groups.join(found.withColumnRenamed("v", "_f"), "_f", "left").select("_b", "_f", F.coalesce("c", "_f").alias("c")))
+    per = named.groupBy("_b", "c").agg(F.count("*").alias("k"))
+    main = per.groupBy("_b").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("kinds"), F.sum("k").alias("size")).where("kinds > 1").select("_b", F.col("m.c").alias("main"), F.col("size"), (F.col("size") - F.col("m.k")).alias("others"))
+    within = named.join(main, "_b").join(of, "_f")
+    n_left, n_right = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil(F.col("size") / BLOCK).cast("int")
+    block = lambda n: F.pmod(F.xxhash64("_f"), n).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    left = within.where("c <> main").select("_b", block(n_left).alias("_i"), spread(n_right).alias("_j"), "_f", "_n", "c", "_s", F.lit(True).alias("_left"))
+    right = within.select("_b", spread(n_left).alias("_i"), block(n_right).alias("_j"), "_f", "_n", "c", "_s", F.lit(False).alias("_left"))
+    rest = left.unionByName(right).groupBy("_b", "_i", "_j").applyInArrow(_between(percent), "x long, y long").distinct()
     more = verify(rest)
     return digest, components(links.unionByName(more))
 
