@@ -35,6 +35,24 @@ def include_exclude(c: Column, include: list[str], exclude: list[str]) -> Column
     return F.coalesce(~c.rlike("|".join(exclude)) if exclude else F.lit(True), F.lit(True)) & F.coalesce(c.rlike("|".join(include)), F.lit(False))
 
 
+def leaf_only(header: Column, leaf: Column) -> Column:
+    """Leaf rows that are no headers; null flags are false."""
+    return ~F.coalesce(header, F.lit(False)) & F.coalesce(leaf, F.lit(False))
+
+
+def unlisted(df: DataFrame, col: str, stop: DataFrame, word: str, least: int = 4) -> DataFrame:
+    """Rows whose value is long enough and not listed."""
+    return df.where(F.length(col) >= least).join(stop.select(F.col(word).alias(col)).distinct(), col, "left_anti")
+
+
+def all_keywords(c: Column, words: list[str]) -> Column:
+    """Every word occurs."""
+    out = F.lit(True)
+    for w in words:
+        out = out & F.coalesce(c.contains(w), F.lit(False))
+    return out
+
+
 def forbidden(c: Column, hard: list[str], conditional: list[str], context: Column, hints: list[str]) -> Column:
     """P5: hard terms always, conditional ones unless a hint stands in the context."""
     saved = F.exists(F.array(*map(F.lit, hints)), lambda h: F.contains(F.coalesce(context, F.lit("")), h)) if hints else F.lit(False)

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__
-from medgraph.plans import catalog
+from medgraph.plans import catalog, more  # noqa: F401  (more adds to the catalogue)
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
