@@ -31,6 +31,9 @@ SEQUENCE_TOKENS = 2048
 #: Tokens of one packing group: some two thousand sequences, of which at most about one stays part empty.
 GROUP_TOKENS = 4 << 20
 
+#: Words remembered in a worker, small enough to fit beside what earlier stages of a pipeline left there.
+WORDS = 250_000
+
 _loaded: dict[str, tuple[PairIndexBPE, Remembered]] = {}
 
 
@@ -54,7 +57,7 @@ def _library(path: str) -> tuple[PairIndexBPE, Remembered]:
             ids = special | {p: np.array([t.id for t in tokenize(p.encode("utf-8").decode("latin-1").translate(letters))], "<u4").tobytes() for p in distinct}
             return [b"".join(map(ids.__getitem__, s)) for s in split]
 
-        _loaded[path] = model, Remembered(encode, lambda raw: raw, 1_000_000)
+        _loaded[path] = model, Remembered(encode, lambda raw: raw, WORDS)
     return _loaded[path]
 
 
