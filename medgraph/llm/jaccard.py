@@ -296,19 +296,22 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id"
 
 
 def classes(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_ord, _th, n_shingles, component (smallest _ord of the component) of every document."""
+    """_ord, _th, n_shingles, component (smallest _ord of the component), _c (the component's own key) of every document.
+
+    Null and repeated ids give unrelated components one `component`; only _c tells them apart.  Rows without words share a _c and are in no component.
+    """
     digest, found = similar_sets(docs, percent, id_col, text_col)
     named = digest.join(found.withColumnRenamed("v", "_f"), "_f", "left").select("_ord", "_th", F.col("_n").alias("n_shingles"), F.coalesce("c", "_f").alias("_c"))
     named = materialize(named.withColumn("_salt", F.pmod(F.xxhash64("_ord", "_th"), F.lit(SALTS)).cast("int")))
     some = named.where("n_shingles > 0")
     least = some.groupBy("_c").agg(F.min("_ord").alias("component")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return some.join(least, ["_c", "_salt"]).select("_ord", "_th", "n_shingles", "component").unionByName(named.where("n_shingles = 0").select("_ord", "_th", "n_shingles", F.col("_ord").alias("component")))
+    return some.join(least, ["_c", "_salt"]).select("_ord", "_th", "n_shingles", "component", "_c").unionByName(named.where("n_shingles = 0").select("_ord", "_th", "n_shingles", F.col("_ord").alias("component"), "_c"))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """docs with one row of each component: the smallest id, then text hash; of repeated rows one stays.  Rows without words all stay."""
     found = classes(docs, percent)
-    best = found.where("n_shingles > 0").groupBy("component").agg(F.min(F.struct("_ord", "_th")).alias("_p")).select(F.col("_p._ord").alias("_ord"), F.col("_p._th").alias("_th"), F.lit(True).alias("_best"))
+    best = found.where("n_shingles > 0").groupBy("_c").agg(F.min(F.struct("_ord", "_th")).alias("_p")).select(F.col("_p._ord").alias("_ord"), F.col("_p._th").alias("_th"), F.lit(True).alias("_best"))
     key = {"_ord": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), "_th": F.xxhash64(F.coalesce("text", F.lit("")))}
     empty = ~F.coalesce("text", F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     rows = docs.select(*[v.alias(k) for k, v in key.items()], empty.alias("_empty"), F.struct(*docs.columns).alias("_row"))

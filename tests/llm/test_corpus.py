@@ -151,6 +151,16 @@ def test_jaccard(docs, rows, empty):
     assert kept.count() == len(nonempty) + sum(not s for s in sets)
 
 
+def test_keep_one_of_null_and_repeated_ids(spark):
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcdefg"]
+    near = texts[0] + " more"
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[5]), (8, texts[6]), (None, texts[6]), (None, near), (None, texts[1]), (None, None), (7, "")]
+    kept = Counter((r.doc_id, r.text) for r in jaccard.keep_one(frame(spark, rows)).collect())
+    near_one = [t for t in (texts[0], near) if kept.pop((None, t), 0)]
+    assert len(near_one) == 1
+    assert kept == Counter([(None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[5]), (8, texts[6]), (None, None), (7, "")])
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(50)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(40)] + [(None, 3)]
