@@ -1,19 +1,25 @@
-"""License scan: sparse TF-IDF cosine of notices to templates, then inheritance from the nearest directory.
-
-Blocks are the lines of a text and the whole text.  Words are runs of letters, digits and . + -
-in lower case, without dots and dashes at their ends.  The weight of a word in a block is its count times
-ln((1 + N) / (1 + df)) + 1 over all N non-blank lines of the table; words that no template holds
-weigh as if they were in one line.  A block carries a template's license if their cosine is at
-least `threshold`; the best block decides, ties go to the first block (whole text before lines)
-and the template that comes first by name.
-
-A file is a licence file if its name says so or its first block or line carries a license: its
-directory then has that license (the best cosine, then the smallest path).  A file without a
-license of its own takes the one of its nearest ancestor directory that has one.
-
-Only blocks that can reach the threshold are scored: the weights outside the templates' words
-alone bound the cosine.  Null and empty texts carry no license but can inherit; a null path is
-in no directory and inherits nothing.  Repeated rows get equal results.
+"""License scan: sparse TF-IDF cosine of blocks to license texts, headers and notices, then inheritance from the nearest directory.
+
+Blocks are the whole text and every run of consecutive lines that is one line or has at most
+twice the words of the template it is compared with, so a notice may be wrapped and stand anywhere.
+Words are runs of letters, digits and . + - in lower case, without dots and dashes at their ends;
+so comment signs at the start of a line are no words, and dnl and rem there are taken off.  The
+weight of a word in a block is its count times ln((1 + N) / (1 + df)) + 1 over all N rows, where
+df is the number of rows that hold it.  A block carries a template's license if their cosine is
+at least `threshold`; the best block decides, ties go to the first block (whole text before
+lines) and the license that comes first by name.  "All rights reserved" stands above the grant in
+many license files, so it counts only where a text carries no other license.
+
+A file is a licence file if its name says so or its whole text or a block from its first line
+with words on carries a license: its directory then has that license (the best cosine, then the
+smallest path).  A file without a license of its own takes the one of its nearest ancestor
+directory that has one.
+
+Only texts that can reach the threshold are scored: a block's cosine is at most the norm of the
+template's words that the text holds, over the template's norm.  The frequencies of all words are
+a table; those of template words and of words in at least one row of COMMON are on the driver,
+the scored texts are joined with the rest.  Null and empty texts carry no license but can
+inherit; a null path is in no directory and inherits nothing.  Repeated rows get equal results.
 """
 
 from __future__ import annotations
@@ -22,6 +28,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -44,6 +51,45 @@ TEMPLATES = {
     "MIT": "Released under the MIT License.",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
+_LATER = "as published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+_GNU = "This {0} is free software; you can redistribute it and/or modify it under the terms of the GNU {1} General Public License {2} This {0} is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {1} General Public License for more details."
+_ALONG = " You should have received a copy of the GNU {} General Public License along with this {}. If not, see <https://www.gnu.org/licenses/>."
+
+
+def _gnu(what: str, kind: str, version: str) -> tuple[str, str]:
+    """The standard header of a GNU license, with and without its last paragraph."""
+    short = _GNU.format(what, kind, _LATER.format(version))
+    return short, short + _ALONG.format(kind, what)
+
+
+#: The standard file headers of common licenses.
+HEADERS = {
+    "AGPL-3.0": _gnu("program", "Affero", "3"),
+    "Apache-2.0": (
+        'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.',
+    ),
+    "GPL-2.0": _gnu("program", "", "2"),
+    "GPL-3.0": _gnu("program", "", "3"),
+    "LGPL-2.1": _gnu("library", "Lesser", "2.1"),
+    "LGPL-3.0": _gnu("library", "Lesser", "3"),
+    "MPL-2.0": ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",),
+}
+
+
+def all_templates() -> dict[str, tuple[str, ...]]:
+    """Notices, headers and the full texts in license_texts, by license."""
+    out: dict[str, tuple[str, ...]] = {k: (v,) for k, v in TEMPLATES.items()}
+    for k, v in HEADERS.items():
+        out[k] = (*out.get(k, ()), *v)
+    for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+        out[f.stem] = (*out.get(f.stem, ()), f.read_text(encoding="utf-8"))
+    return out
+
+
+#: A reservation of rights is no license where one is granted.
+RESERVED = "All-Rights-Reserved"
+#: A word is common if at least one row of so many holds it.
+COMMON = 200
 #: Names of licence files.
 LICENSE_FILES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.-].*)?$"
 THRESHOLD = 0.8
@@ -57,80 +103,150 @@ def words(text: str) -> list[str]:
     return [w.rstrip(".-") for w in _WORD.findall(text.lower())]
 
 
+_PREFIX = re.compile(r"^\s*(?:dnl|rem)\b", re.I)
+
+
+def line_words(text: str) -> list[list[str]]:
+    """Words of every line, without comment prefixes."""
+    return [words(_PREFIX.sub("", x)) for x in text.split("\n")]
+
+
+def idf(rows: int, holding: int) -> float:
+    return math.log((1 + rows) / (1 + holding)) + 1
+
+
 class Scorer:
     """Templates with the word weights of a table."""
 
-    def __init__(self, templates: dict[str, str], lines: int, line_counts: dict[str, int], threshold: float):
-        self.threshold = threshold
-        self.counts = {t: Counter(words(x)) for t, x in sorted(templates.items())}
-        vocabulary = {w for c in self.counts.values() for w in c}
-        self.idf = {w: math.log((1 + lines) / (1 + line_counts.get(w, 0))) + 1 for w in vocabulary}
-        self.rare = math.log((1 + lines) / 2) + 1 if lines else 1.0
-        self.norms = {t: math.sqrt(sum((k * self.idf[w]) ** 2 for w, k in c.items())) for t, c in self.counts.items()}
-
-    def best(self, block: list[str]) -> tuple[float, str] | None:
-        """(cosine, license) of a block's words, or None below the threshold."""
-        idf = self.idf
-        inside = [w for w in block if w in idf]
-        reach = sum(map(idf.__getitem__, inside))
-        # a block's weight outside the templates' words bounds its cosine with any of them
-        if not inside or (len(block) - len(inside)) * (self.threshold * self.rare) ** 2 > (1 - self.threshold**2) * reach * reach + 1e-9:
-            return None
-        own = Counter(block)
-        norm = math.sqrt(sum((k * idf.get(w, self.rare)) ** 2 for w, k in own.items()))
-        top = max(((round(sum(k * own[w] * idf[w] ** 2 for w, k in c.items()) / (norm * self.norms[t]), 12), t) for t, c in self.counts.items()), key=lambda x: x[0])
-        return top if top[0] >= self.threshold else None
-
-    def text(self, text: str) -> tuple | None:
-        """(block, license, cosine, first license, first cosine) of a text, or None."""
-        lines = text.split("\n")
-        split = [words(x) for x in lines]
-        blocks = [[w for s in split for w in s], *split] if len(lines) > 1 else [split[0]]
+    def __init__(self, templates: dict[str, str | tuple[str, ...]], rows: int, holding: dict[str, int], threshold: float):
+        self.threshold, self.rows = threshold, rows
+        self.forms = [(name, Counter(words(x))) for name, v in sorted(templates.items()) for x in ((v,) if isinstance(v, str) else v)]
+        vocabulary = {w for _, c in self.forms for w in c}
+        self.known = {w: idf(rows, n) for w, n in holding.items()} | {w: idf(rows, holding.get(w, 0)) for w in vocabulary}
+        self.norms = [math.sqrt(sum((k * self.known[w]) ** 2 for w, k in c.items())) for _, c in self.forms]
+        self.mass: dict[str, list[tuple[int, float]]] = {}
+        for i, (_, c) in enumerate(self.forms):
+            for w, k in c.items():
+                self.mass.setdefault(w, []).append((i, (k * self.known[w]) ** 2))
+
+    def reachable(self, held: set[str]) -> list[int]:
+        """Templates that a text of these words can reach."""
+        got: dict[int, float] = {}
+        for w in held & self.mass.keys():
+            for i, m in self.mass[w]:
+                got[i] = got.get(i, 0.0) + m
+        return [i for i in sorted(got) if got[i] >= (self.threshold * self.norms[i]) ** 2 - 1e-9]
+
+    def _starts(self, split: list[list[str]], form: int) -> Iterator[tuple[int, int]]:
+        """(first line, end of the longest run) where the run holds enough of the template's words."""
+        count, limit = self.forms[form][1], 2 * sum(self.forms[form][1].values())
+        inside: Counter = Counter()
+        mass, size, end = 0.0, 0, 0
+        least = (self.threshold * self.norms[form]) ** 2 - 1e-6
+        for at, line in enumerate(split):
+            while end < len(split) and (end <= at or size + len(split[end]) <= limit):
+                for w in split[end]:
+                    if w in count:
+                        mass += (count[w] * self.known[w]) ** 2 if not inside[w] else 0.0
+                        inside[w] += 1
+                size += len(split[end])
+                end += 1
+            if mass >= least and any(w in count for w in line):
+                yield at, end
+            for w in line:
+                if w in count:
+                    inside[w] -= 1
+                    mass -= (count[w] * self.known[w]) ** 2 if not inside[w] else 0.0
+            size -= len(line)
+
+    def text(self, text: str, rare: dict[str, int]) -> tuple | None:
+        """(block, license, cosine, first license, first cosine) of a text, or None; rare: rows that hold its words outside `known`."""
+        split = line_words(text)
+        weight = {w: self.known[w] if w in self.known else idf(self.rows, rare.get(w, 0)) for s in split for w in s}
+        whole = Counter(w for s in split for w in s)
+        total = math.sqrt(sum((k * weight[w]) ** 2 for w, k in whole.items()))
+        top = next((i for i, s in enumerate(split) if s), 0)
         best = first = None
-        for i, block in enumerate(blocks):
-            got = self.best(block)
-            if got:
-                best = max(best, (got[0], -i, got[1]), key=lambda x: x[:2]) if best else (got[0], -i, got[1])
-                if i <= 1:
-                    first = max(first, (got[0], -i, got[1]), key=lambda x: x[:2]) if first else (got[0], -i, got[1])
-        return best and (-best[1], best[2], best[0], first and first[2], first and first[0])
+        for form in self.reachable(set(whole)):
+            name, count = self.forms[form]
+
+            def offer(cosine: float, block: int, name: str = name) -> None:
+                nonlocal best, first
+                if cosine < self.threshold:
+                    return
+                got = (name != RESERVED, cosine, -block, name)
+                best = got if best is None or got[:3] > best[:3] else best
+                if block in (0, top + 1):
+                    first = got if first is None or got[:3] > first[:3] else first
+
+            offer(round(sum(k * whole[w] * weight[w] ** 2 for w, k in count.items() if w in whole) / (total * self.norms[form]), 12), 0)
+            for at, end in self._starts(split, form):
+                own: dict[str, int] = {}
+                dot = square = 0.0
+                for line in split[at:end]:
+                    for w in line:
+                        k, v = own.get(w, 0), weight[w] ** 2
+                        square += (2 * k + 1) * v
+                        dot += count.get(w, 0) * v
+                        own[w] = k + 1
+                    if line:
+                        offer(round(dot / (math.sqrt(square) * self.norms[form]), 12), at + 1)
+        return best and (-best[2], best[3], best[1], first and first[3], first and first[1])
 
 
-def line_counts(rows: DataFrame, vocabulary: set[str]) -> dict[str, int]:
-    """Lines that hold each template word, over the whole table; '' counts the non-blank lines."""
+def row_counts(rows: DataFrame) -> DataFrame:
+    """w, n: the rows that hold each word, over the whole table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got: Counter = Counter()
         for b in batches:
-            for text in b.column(0).to_pylist():
-                for line in text.split("\n"):
-                    if line and not line.isspace():
-                        got[""] += 1
-                        got.update(vocabulary.intersection(words(line)))
-        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], ["w", "n"])
+            for at in range(0, b.num_rows, 2000):
+                got: Counter = Counter()
+                for text in b.column(0).slice(at, 2000).to_pylist():
+                    got.update({w for s in line_words(text) for w in s})
+                yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], ["w", "n"])
 
-    return {r["w"]: r["n"] for r in rows.select("_text").mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()}
+    return rows.select("_text").mapInArrow(run, "w string, n long").groupBy("w").agg(F.sum("n").alias("n"))
 
 
-def notices(df: DataFrame, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_ord, _th, block (0: whole text, then lines from 1), license, cosine of every text that carries a license, and what its first block or line carries (first_license, first_cosine)."""
+def notices(df: DataFrame, templates: dict[str, str | tuple[str, ...]] | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """_ord, _th, block (0: whole text, then the first line of a run from 1), license, cosine of every text that carries a license, and what its whole text or a run from its first line with words carries (first_license, first_cosine)."""
+    templates = templates or all_templates()
     rows = keyed(df, id_col, text_col)
-    counts = line_counts(rows, {w for x in templates.values() for w in words(x)})
-    scorer = Scorer(templates, counts.pop("", 0), counts, threshold)
+    counts = materialize(row_counts(rows))
+    vocabulary = {w for v in templates.values() for x in ((v,) if isinstance(v, str) else v) for w in words(x)}
+    total = rows.count()
+    held = counts.where(F.col("w").isin(sorted(vocabulary)) | (F.col("n") >= max(16, total // COMMON)))
+    scorer = Scorer(templates, total, {r["w"]: r["n"] for r in held.collect()}, threshold)
+    shared = df.sparkSession.sparkContext.broadcast(scorer)
+
+    def reaching(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            keep = [bool(shared.value.reachable({w for s in line_words(t) for w in s})) for t in b.column(2).to_pylist()]
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    scored = materialize(rows.mapInArrow(reaching, "_ord long, _th long, _text string").dropDuplicates(["_ord", "_th"]))
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = [(o, t, w) for o, t, text in zip(*(c.to_pylist() for c in b.columns), strict=True) for w in {w for s in line_words(text) for w in s} - shared.value.known.keys()]
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), [pa.int64(), pa.int64(), pa.string()], strict=True)], ["_ord", "_th", "w"])
+
+    rare = scored.mapInArrow(others, "_ord long, _th long, w string").join(counts, "w").groupBy("_ord", "_th").agg(F.collect_list(F.struct("w", "n")).alias("_rare"))
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.string(), pa.float64()]
     names = ["_ord", "_th", "block", "license", "cosine", "first_license", "first_cosine"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [(o, t, *got) for o, t, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True) if (got := scorer.text(text.as_py()))]
+            out = [(o, t, *got) for o, t, text, r in zip(*(c.to_pylist() for c in b.columns), strict=True) if (got := shared.value.text(text, {x["w"]: x["n"] for x in r or ()}))]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    found = rows.mapInArrow(run, "_ord long, _th long, block int, license string, cosine double, first_license string, first_cosine double")
-    return found.dropDuplicates(["_ord", "_th"])
+    both = scored.join(rare, ["_ord", "_th"], "left").select("_ord", "_th", "_text", "_rare")
+    return both.mapInArrow(run, "_ord long, _th long, block int, license string, cosine double, first_license string, first_cosine double")
 
 
-def scan(df: DataFrame, path: Column, templates: dict[str, str] = TEMPLATES, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(df: DataFrame, path: Column, templates: dict[str, str | tuple[str, ...]] | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """_ord, path, license, cosine, origin ("own", "inherited" or null), license_path, distance (directories up)."""
     found = materialize(notices(df, templates, threshold, id_col, text_col))
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -302,6 +302,35 @@ def test_licenses(spark, empty):
     assert licenses.scan(empty, empty.source).count() == 0
 
 
+def test_license_texts_and_headers(spark):
+    full = {k: v[-1] for k, v in licenses.all_templates().items()}
+    mit = full["MIT"].replace("Copyright (c)", "Copyright (c) 2020 Some Person")
+    bsd = full["BSD-3-Clause"].replace("Copyright (c)", "Copyright (c) 2019, Another Person")
+    gpl = """#!/bin/sh
+# tool - does things
+# Copyright (C) 2011 Some Person
+#
+# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version.
+#
+# This program is distributed in the hope that it will be useful,
+# but WITHOUT ANY WARRANTY; without even the implied warranty of
+# MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+# GNU General Public License for more details.
+#
+# You should have received a copy of the GNU General Public License
+# along with this program.  If not, see <http://www.gnu.org/licenses/>.
+""" + "".join(f"run{i} step{i} value{i}\n" for i in range(60))
+    code = "".join(f"int name{i} = other{i};\n" for i in range(50))
+    wrapped = code + "// Use of this source code is governed by a BSD-style\n// license that can be found in the LICENSE file.\n" + code
+    files = [(1, "m/LICENSE", mit), (2, "m/src/a.c", code), (3, "g/COPYING", full["GPL-3.0"]), (4, "g/b.c", code + "x"), (5, "h/tool.sh", gpl), (6, "w/c.go", wrapped), (7, "b/LICENSE", bsd), (8, "b/d.py", "unlike words"), (9, "a/LICENSE", full["Apache-2.0"])]
+    df = spark.createDataFrame(files, "doc_id long, path string, text string")
+    got = {r._ord: (r.license, r.origin) for r in licenses.scan(df, df.path).collect()}
+    assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: ("GPL-3.0", "own"), 4: ("GPL-3.0", "inherited"), 5: ("GPL-3.0", "own"), 6: ("BSD-3-Clause", "own"), 7: ("BSD-3-Clause", "own"), 8: ("BSD-3-Clause", "inherited"), 9: ("Apache-2.0", "own")}
+
+
 def test_ann(spark):
     rng = np.random.default_rng(8)
     x = rng.standard_normal((900, 16))
