@@ -24,6 +24,12 @@ components, in blocks of at most BLOCK by BLOCK sets and by their histograms onl
 two blocks, and only pairs that pass the bound leave it.  Nothing else is left out, so no link
 between different components is lost.
 
+That gives components (classes, keep_one).  The join itself, similar_links, verifies every pair of
+a group: a group of more than BLOCK sets, or BLOCK_SHINGLES shingles, is split by size class (linked
+sets are of one class or of neighbouring ones) and each class into blocks, and a task compares two
+blocks.  First by sizes and histograms; the sets that can link with another one of the task then
+come with their texts, and shared shingles are counted exactly.  All links are kept as a table.
+
 Shingles are compared by 64-bit hashes, sets are identified by 64-bit sums of them and their size.
 Null text is empty; a null id is the largest; repeated rows are in one component.  Tables
 without rows or links give each document its own component.
@@ -51,6 +57,9 @@ ANCHOR_BYTES = 16 << 20
 SALTS = 16
 CELLS = 512
 BLOCK = 512
+BLOCK_SHINGLES = 1 << 21
+#: Rows that one task of the join reads, on average, in its first and second pass.
+TASK_ROWS = (2000, 500)
 #: Orders intersected on a pair: the first picks the lists, all are checked.
 ORDERS = (0, 1, 2)
 
@@ -250,8 +259,144 @@ def _verified(frequent, percent: int):
     return run
 
 
-def similar_sets(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(digests of every document, (v, c) component of every set that has a link)."""
+def _pieces(group: pa.Table) -> Iterator[pa.Table]:
+    """The comparisons (_t) of a bucket."""
+    t = group.column("_t").to_numpy()
+    order = np.argsort(t, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], np.diff(t[order]) != 0, [True]]))
+    group = group.take(pa.array(order)).combine_chunks()
+    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield group.slice(a, b - a)
+
+
+def _near(percent: int):
+    """(_t, _f, _left, _right) of the sets that sizes and histograms let link with one of the other side."""
+
+    def run(group: pa.Table) -> pa.Table:
+        out = []
+        for g in _pieces(group):
+            f, n, left, right = (g.column(k).to_numpy(zero_copy_only=False) if isinstance(g.column(k), pa.Array) else g.column(k).to_numpy() for k in ("_f", "_n", "_left", "_right"))
+            cells = _cells(g.column("_s").combine_chunks())
+            r = np.flatnonzero(right)
+            r = r[np.argsort(n[r], kind="stable")]
+            near_left, near_right = np.zeros(len(f), bool), np.zeros(len(f), bool)
+            for i in np.flatnonzero(left).tolist():
+                a, b = np.searchsorted(n[r], [-(-n[i] * percent // 100), n[i] * 100 // percent + 1])
+                some = r[a:b]
+                shared = np.minimum(cells[some], cells[i]).sum(1, dtype=np.int64)
+                hit = some[_can_link(shared, n[some], np.full(len(some), n[i]), percent) & (f[some] != f[i])]
+                near_left[i] = len(hit) > 0
+                near_right[hit] = True
+            keep = near_left | near_right
+            out.append(pa.table({"_t": g.column("_t").filter(pa.array(keep)), "_f": pa.array(f[keep]), "_left": pa.array(near_left[keep]), "_right": pa.array(near_right[keep])}))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def shared_shingles(doc: np.ndarray, h: np.ndarray, left: np.ndarray, right: np.ndarray, texts: int) -> np.ndarray:
+    """Shingles that every set of left shares with every set of right."""
+    _, column, n = np.unique(h, return_inverse=True, return_counts=True)
+    keep = n[column] > 1
+    doc, column = doc[keep], np.unique(column[keep], return_inverse=True)[1]
+    order = np.argsort(column, kind="stable")
+    doc, column = doc[order], column[order]
+    shared = np.zeros((len(left), len(right)), np.int64)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, 2048):
+        a, b = np.searchsorted(column, [at, at + 2048])
+        held = np.zeros((texts, 2048), np.float32)
+        held[doc[a:b], column[a:b] - at] = 1
+        shared += (held[left] @ held[right].T).astype(np.int64)
+    return shared
+
+
+def _exact(percent: int):
+    """Links (x, y, shared, united) between the sides of every comparison, from whole sets."""
+
+    def run(group: pa.Table) -> pa.Table:
+        out = []
+        for g in _pieces(group):
+            f = g.column("_f").to_numpy()
+            l, r = (np.flatnonzero(g.column(k).to_numpy()) for k in ("_left", "_right"))
+            doc, h = sets([unpack(z) for z in g.column("_z").to_pylist()])
+            size = np.bincount(doc, minlength=len(f))
+            shared = shared_shingles(doc, h, l, r, len(f))
+            united = size[l][:, None] + size[r][None, :] - shared
+            i, j = np.nonzero((100 * shared >= percent * united) & (shared > 0) & (f[l][:, None] != f[r][None, :]))
+            x, y = f[l[i]], f[r[j]]
+            out.append(pa.table({"x": np.minimum(x, y), "y": np.maximum(x, y), "shared": shared[i, j], "united": united[i, j]}))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def _comparisons(groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """(_t, _f, _left, _right): which sets are on which side of which comparison, so that any two sets of a group that can link meet in one."""
+    sized = groups.join(sizes, "_f")
+    # a little wider than the ratio of linked sizes, so that rounding parts no neighbours
+    ratio = 100 / percent * 1.001
+    sized = sized.withColumn("_k", F.floor(F.log(F.col("_n").cast("double")) / float(np.log(ratio))))
+    whole = sized.groupBy("_b").agg(F.count("*").alias("m"), F.sum("_n").alias("s"), F.max("_n").alias("most")).where("m > 1").withColumn("_small", (F.col("m") <= BLOCK) & (F.col("s") <= BLOCK_SHINGLES)).select("_b", "_small")
+    sized = materialize(sized.join(whole, "_b"))
+    both = (F.lit(True).alias("_left"), F.lit(True).alias("_right"))
+    small = sized.where("_small").select(F.xxhash64("_b").alias("_t"), "_f", *both)
+
+    large = sized.where(~F.col("_small"))
+    per = large.groupBy("_b", "_k").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("p"))
+    up = per.select("_b", (F.col("_k") - 1).alias("_k"), F.col("p").alias("p_up"))
+    down = per.select("_b", (F.col("_k") + 1).alias("_k"), F.col("p").alias("p_down"))
+    at = large.join(per, ["_b", "_k"]).join(up, ["_b", "_k"], "left").join(down, ["_b", "_k"], "left").withColumn("_i", F.pmod(F.xxhash64("_f"), F.col("p")).cast("int"))
+    task = lambda k, i, step, j: F.xxhash64("_b", k, i, F.lit(step), j).alias("_t")
+    side = lambda left: (F.lit(left).alias("_left"), F.lit(not left).alias("_right"))
+    upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1)).alias("_j")
+    k, i, j = F.col("_k"), F.col("_i"), F.col("_j")
+    within = at.select("_b", "_k", "_i", "_f", upto(F.col("p")))
+    above = at.where("p_up is not null").select("_b", "_k", "_i", "_f", upto(F.col("p_up")))
+    below = at.where("p_down is not null").select("_b", "_k", "_i", "_f", upto(F.col("p_down")))
+    rows = [
+        small,
+        within.where("_i = _j").select(task(k, i, 0, j), "_f", *both),
+        within.where("_i < _j").select(task(k, i, 0, j), "_f", *side(True)),
+        within.where("_i > _j").select(task(k, j, 0, i), "_f", *side(False)),
+        above.select(task(k, i, 1, j), "_f", *side(True)),
+        below.select(task(k - 1, j, 1, i), "_f", *side(False)),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+def similar_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(digests of every document, links between different sets: x < y, shared, united)."""
+    digest, members, groups, _ = _grouped(docs, percent, id_col, text_col)
+
+    def dealt(rows: DataFrame, count: int, per: int) -> DataFrame:
+        return rows.withColumn("_g", F.pmod("_t", F.lit(max(16, -(-count // per)))))
+
+    sides = materialize(_comparisons(groups, members.select("_f", "_n"), percent))
+    first = dealt(sides.join(members.select("_f", "_n", "_s"), "_f"), sides.count(), TASK_ROWS[0])
+    near = materialize(first.groupBy("_g").applyInArrow(_near(percent), "_t long, _f long, _left boolean, _right boolean"))
+    second = dealt(near.join(members.select("_f", "_z"), "_f"), near.count(), TASK_ROWS[1])
+    links = second.groupBy("_g").applyInArrow(_exact(percent), "x long, y long, shared long, united long")
+    return digest, materialize(links.distinct())
+
+
+def linked(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(_ord, _th, n_shingles, component, _c and n_links of every document, the links).
+
+    n_links counts the other rows whose set is equal or linked: every link weighs the copies of the set at its other end.
+    """
+    digest, links = similar_links(docs, percent, id_col, text_col)
+    copies = digest.where("_n > 0").groupBy("_f").agg(F.count("*").alias("k"))
+    ends = links.select(F.col("x").alias("_f"), F.col("y").alias("o")).unionByName(links.select(F.col("y").alias("_f"), F.col("x").alias("o")))
+    others = ends.join(copies.withColumnRenamed("_f", "o"), "o").groupBy("_f").agg(F.sum("k").alias("n"))
+    weight = copies.join(others, "_f", "left").select("_f", (F.col("k") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    return _named(digest, components(links), weight), links
+
+
+def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, object]:
+    """(digests of every document, sets that share a prefix shingle, (_b, _f) groups around hubs, frequent shingles)."""
     spark = docs.sparkSession
     rows = keyed(docs, id_col, text_col)
     total = text_bytes(rows, "_text")
@@ -265,15 +410,22 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id"
     texts = pack_text_column(rows).join(alive, ["_ord", "_th"]).dropDuplicates(["_f"]).select("_f", "_n", "_w", "_z")
     members = materialize(texts.mapInArrow(_histograms, "_f long, _n long, _w double, _z binary, _s binary"))
 
+    # groups around hubs
+    sized = lists.join(members.select("_f", "_n", "_w"), "_f")
+    hubs = sized.groupBy("_h").agg(F.max(F.struct("_w", "_n", "_f")).alias("_hub")).select("_h", F.col("_hub._f").alias("_b"))
+    groups = materialize(lists.join(hubs, "_h").select("_b", "_f").distinct())
+    return digest, members, groups, frequent
+
+
+def similar_sets(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(digests of every document, (v, c) component of every set that has a link)."""
+    digest, members, groups, frequent = _grouped(docs, percent, id_col, text_col)
+
     def verify(pairs: DataFrame) -> DataFrame:
         z = members.select("_f", "_z")
         both = pairs.join(z.select(F.col("_f").alias("x"), F.col("_z").alias("_zx")), "x").join(z.select(F.col("_f").alias("y"), F.col("_z").alias("_zy")), "y")
         return materialize(both.select("x", "y", "_zx", "_zy").mapInArrow(_verified(frequent, percent), "x long, y long"))
 
-    # groups around hubs
-    sized = lists.join(members.select("_f", "_n", "_w"), "_f")
-    hubs = sized.groupBy("_h").agg(F.max(F.struct("_w", "_n", "_f")).alias("_hub")).select("_h", F.col("_hub._f").alias("_b"))
-    groups = materialize(lists.join(hubs, "_h").select("_b", "_f").distinct())
     of = members.select("_f", "_n", "_s")
     stars = groups.where("_b <> _f").join(of.select("_f", F.col("_n").alias("_ny"), F.col("_s").alias("_sy")), "_f").join(of.select(F.col("_f").alias("_b"), F.col("_n").alias("_nx"), F.col("_s").alias("_sx")), "_b")
     near = stars.select("_b", "_f", "_nx", "_ny", "_sx", "_sy").mapInArrow(_near_hub(percent), "x long, y long").distinct()
@@ -295,17 +447,24 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id"
     return digest, components(links.unionByName(more))
 
 
+def _named(digest: DataFrame, found: DataFrame, weight: DataFrame | None = None) -> DataFrame:
+    """_ord, _th, n_shingles, component, _c (and n_links from weight) of every document; a frequent _c is dealt to salts."""
+    named = digest.join(found.withColumnRenamed("v", "_f"), "_f", "left")
+    more = [] if weight is None else ["n_links"]
+    named = named if weight is None else named.join(weight, "_f", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
+    named = named.select("_ord", "_th", F.col("_n").alias("n_shingles"), F.coalesce("c", "_f").alias("_c"), *more)
+    named = materialize(named.withColumn("_salt", F.pmod(F.xxhash64("_ord", "_th"), F.lit(SALTS)).cast("int")))
+    some = named.where("n_shingles > 0")
+    least = some.groupBy("_c").agg(F.min("_ord").alias("component")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return some.join(least, ["_c", "_salt"]).select("_ord", "_th", "n_shingles", "component", "_c", *more).unionByName(named.where("n_shingles = 0").select("_ord", "_th", "n_shingles", F.col("_ord").alias("component"), "_c", *more))
+
+
 def classes(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """_ord, _th, n_shingles, component (smallest _ord of the component), _c (the component's own key) of every document.
 
     Null and repeated ids give unrelated components one `component`; only _c tells them apart.  Rows without words share a _c and are in no component.
     """
-    digest, found = similar_sets(docs, percent, id_col, text_col)
-    named = digest.join(found.withColumnRenamed("v", "_f"), "_f", "left").select("_ord", "_th", F.col("_n").alias("n_shingles"), F.coalesce("c", "_f").alias("_c"))
-    named = materialize(named.withColumn("_salt", F.pmod(F.xxhash64("_ord", "_th"), F.lit(SALTS)).cast("int")))
-    some = named.where("n_shingles > 0")
-    least = some.groupBy("_c").agg(F.min("_ord").alias("component")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return some.join(least, ["_c", "_salt"]).select("_ord", "_th", "n_shingles", "component", "_c").unionByName(named.where("n_shingles = 0").select("_ord", "_th", "n_shingles", F.col("_ord").alias("component"), "_c"))
+    return _named(*similar_sets(docs, percent, id_col, text_col))
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -322,4 +481,5 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    return classes(table(spark, sf_dir, "documents")).select(doc_id_of().alias("doc_id"), "n_shingles", doc_id_of("component").alias("component_id"))
+    found, _ = linked(table(spark, sf_dir, "documents"))
+    return found.select(doc_id_of().alias("doc_id"), "n_shingles", doc_id_of("component").alias("component_id"), "n_links")

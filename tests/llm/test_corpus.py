@@ -161,6 +161,33 @@ def test_keep_one_of_null_and_repeated_ids(spark):
     assert kept == Counter([(None, texts[1]), (None, texts[2]), (7, texts[3]), (7, texts[4]), (7, texts[5]), (8, texts[6]), (None, None), (7, "")])
 
 
+@pytest.mark.parametrize("block", [jaccard.BLOCK, 4])
+def test_jaccard_links(spark, docs, rows, empty, monkeypatch, block):
+    monkeypatch.setattr(jaccard, "BLOCK", block)
+    rng = random.Random(11)
+    base = [f"w{i}" for i in range(150)]
+    family = []
+    for i in range(25):
+        w = base[: 150 - rng.randint(0, 25)]
+        w[rng.randrange(len(w))] = f"other{i}"
+        family.append((5000 + i, " ".join(w)))
+    more = [*rows, *family, family[3], (5100, family[4][1])]
+    sets = []
+    for _, t in more:
+        ws = words("".join(c.lower() if "A" <= c <= "Z" else c for c in t or ""))
+        sets.append(frozenset(tuple(ws[j : j + 5]) for j in range(len(ws) - 4)) if len(ws) >= 5 else frozenset([tuple(ws)] if ws else []))
+    like = lambda a, b: bool(a) and 100 * len(a & b) >= 80 * len(a | b)
+    distinct = sorted(set(sets), key=repr)
+    pairs = Counter((len(a & b), len(a | b)) for k, a in enumerate(distinct) for b in distinct[:k] if like(a, b))
+    want = Counter((order(i), len(s), sum(like(s, o) for o in sets) - bool(s)) for (i, _), s in zip(more, sets))
+    found, links = jaccard.linked(docs.unionByName(frame(spark, more[len(rows) :])))
+    assert Counter((r.shared, r.united) for r in links.collect()) == pairs
+    assert links.where("x >= y").count() == 0 and sum(pairs.values()) > 100
+    assert Counter((min(r._ord, BIG), r.n_shingles, r.n_links) for r in found.collect()) == want
+    if block == 4:
+        assert jaccard.linked(empty)[0].count() == 0
+
+
 def test_components(spark):
     rng = random.Random(2)
     pairs = [(i, i + 1) for i in range(50)] + [(rng.randint(100, 160), rng.randint(100, 160)) for _ in range(40)] + [(None, 3)]
