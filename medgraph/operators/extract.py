@@ -271,7 +271,7 @@ def outline(df: DataFrame, doc: str = "doc_id", text_col: str = "text") -> DataF
     ok2 = p2.isNotNull() & (F.coalesce(p1["line"], F.lit(-1)) < p2["line"])
     ok3 = p3.isNotNull() & (F.coalesce(F.greatest(p1["line"], p2["line"]), F.lit(-1)) < p3["line"])
     path = F.array_compact(F.array(p1["t"], F.when(ok2, p2["t"]), F.when(ok3, p3["t"])))
-    return ls.where(F.col("content").startswith("* ")).select(doc, "line", F.trim(F.substring("content", 3, 10000)).alias("item"), path.alias("path"))
+    return ls.where(F.col("content").startswith("* ")).select(doc, "line", F.trim(F.regexp_replace("content", r"^\* ", "")).alias("item"), path.alias("path"))
 
 
 def contents(df: DataFrame, doc: str = "doc_id", text_col: str = "text", last_page: Column | None = None) -> DataFrame:
@@ -291,7 +291,7 @@ def record_rows(df: DataFrame, rows: str = "rows") -> DataFrame:
 
 def paired_arrays(df: DataFrame, lead: str, other: str) -> DataFrame:
     """One row per element of lead with the element of other at its place, or null."""
-    z = F.arrays_zip(F.col(lead).alias("a"), F.slice(F.col(other), 1, 1 << 20).alias("b"))
+    z = F.arrays_zip(F.col(lead).alias("a"), F.col(other).alias("b"))
     return df.select(*[c for c in df.columns if c not in (lead, other)], F.posexplode(z).alias("pos", "_z"), F.size(lead).alias("_n")).where("pos < _n").select(*[c for c in df.columns if c not in (lead, other)], "pos", F.col("_z.a").alias(lead), F.col("_z.b").alias(other))
 
 

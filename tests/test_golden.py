@@ -267,3 +267,13 @@ def test_streaming(spark, tmp_path):
     ingest.ingest(spark, src, schema, dst, ck, "id").awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(dst).collect()) == [1, 2, 3]
     assert ingest.new_rows(spark.read.parquet(src), spark.read.parquet(dst), "id").count() == 0
+
+
+def test_long_items_and_arrays(spark):
+    long = "x" * 10_050 + " end"
+    o = spark.createDataFrame([(1, f"## A\n* {long}\n* * j")], "doc_id long, text string")
+    assert [r.item for r in X.outline(o).orderBy("line").collect()] == [long, "* j"]
+    n = (1 << 20) + 5
+    p = spark.range(1).select(F.sequence(F.lit(1), F.lit(n)).alias("codes"), F.sequence(F.lit(1), F.lit(n)).alias("names"))
+    got = X.paired_arrays(p, "codes", "names").agg(F.count("*").alias("n"), F.count_if(F.col("codes") == F.col("names")).alias("same")).first()
+    assert (got.n, got.same) == (n, n)
