@@ -104,6 +104,12 @@ def _(t):
     return d.select("doc_id", T.drop_phrases(F.col("text"), ["Licensed"]).alias("cut"))
 
 
+# the twin above is a plain replace(); this one meets blank lines and outer white space, and the tests hold it against plain Python
+@query("n28_drop_phrases_all")
+def _(t):
+    return t.documents.select("doc_id", T.drop_phrases(F.col("text"), ["Licensed"]).alias("cut"))
+
+
 @query("n31_marker_of_title", "SELECT p_partkey, p_brand AS marker FROM part")
 def _(t):
     return t.part.select("p_partkey", T.marker_of_title(F.concat("p_name", F.lit(" ["), F.col("p_brand"), F.lit("]")), ["x"]).alias("marker"))

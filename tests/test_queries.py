@@ -1,6 +1,7 @@
 """Every registered query with a SQL twin gives the twin's rows; the others run and keep their schema."""
 
 import os
+import re
 
 import duckdb
 import pytest
@@ -49,6 +50,17 @@ def test_query(spark, con, name):
     assert got == want
 
 
+def test_drop_phrases_of_all_documents(spark, tmp_path):
+    more = [(-1, "Licensed a\n \n\t\nb\r\n\nc  "), (-2, " Licensed "), (-3, None), (-4, "\n\n\nLicensed\n\nx")]
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = docs.collect()
+    cut = lambda t: None if t is None else re.sub(r"\n\s*\n+", "\n", t.replace("Licensed", ""), flags=re.ASCII).strip(" ")
+    want = sorted(((r.doc_id, cut(r.text)) for r in rows), key=repr)
+    got = sorted(((r.doc_id, r.cut) for r in catalog.QUERIES["n28_drop_phrases_all"](spark, str(tmp_path)).collect()), key=repr)
+    assert got == want and len(got) == len(rows)
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
