@@ -259,6 +259,20 @@ def test_packing_capacities(score):
         assert s.sum() <= 128 and len(s) <= 3 and (s**2).sum() <= 9000 or len(s) == 1
 
 
+@pytest.mark.parametrize(("documents", "cost"), [(3, 2048**2), (2048, 9000), (3, 9000)])
+def test_pack_with_binding_capacities(spark, documents, cost):
+    rng = random.Random(9)
+    parts = spark.createDataFrame([(i, 0, 0, 0, rng.randint(1, 90), 0) for i in range(300)], "_ord long, _row long, piece long, start long, length long, ids_crc32 long")
+    out = packing.pack(parts, 512, documents, cost).collect()
+    assert sorted((r._ord, r.length) for r in out) == sorted((r._ord, r.length) for r in parts.collect())
+    bins = defaultdict(list)
+    for r in out:
+        bins[r.sequence_id].append(r.length)
+    assert all(sum(b) <= 512 and len(b) <= documents and sum(n * n for n in b) <= cost for b in bins.values())
+    free = len({r.sequence_id for r in packing.pack(parts, 512).collect()})
+    assert len(bins) > free
+
+
 def test_fingerprint(docs, rows, empty):
     ordered = sorted(rows, key=lambda r: (order(r[0])), reverse=True)
     out = fingerprint.compare_with_next(docs).collect()
