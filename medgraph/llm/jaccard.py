@@ -1,4 +1,4 @@
-"""N-gram Jaccard join with several global orders.
+"""N-gram Jaccard join over prefixes under a global order.
 
 A document's set is its distinct five-word shingles (words lower-cased A-Z); with fewer words,
 the whole sequence; without words it is empty and linked with nothing.  Documents with equal
@@ -11,8 +11,8 @@ shingles that many documents hold last (their counts are found in a first pass t
 shingle only where a slice of documents repeats it, and only shingles above a share of all
 documents are kept, whose number that share bounds); within equal counts each order follows a
 hash of its own.  Prefixes under the first order are dealt to buckets by shingle; sets that
-share none leave.  Every later order is intersected with it on the pairs, before whole sets are
-compared.  A pair must also pass a bound: each set has a histogram of its shingles over CELLS
+share none leave.  Later orders filter nothing before whole sets are compared: _verified checks
+them together with the exact comparison.  The filter of pairs is a bound: each set has a histogram of its shingles over CELLS
 cells, and what two sets can share at most is the sum of the smaller counts.
 
 Pairs.  Each list of a prefix shingle has a hub, the member with the largest share of frequent
@@ -60,7 +60,7 @@ BLOCK = 512
 BLOCK_SHINGLES = 1 << 21
 #: Rows that one task of the join reads, on average, in its first and second pass.
 TASK_ROWS = (2000, 500)
-#: Orders intersected on a pair: the first picks the lists, all are checked.
+#: Orders checked by _verified with the exact comparison; the first picks the lists.
 ORDERS = (0, 1, 2)
 
 
