@@ -8,8 +8,9 @@ about one holds for the other.
 
 from __future__ import annotations
 
-import os
-import tempfile
+import ctypes
+import functools
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -21,19 +22,27 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_LONG = (1 << 63) - 1
-#: Bytes of text that one numpy pass takes at most, unless a single document is longer.
-SLICE_BYTES = 3 << 20
+#: Bytes and rows of text that are packed together at most, unless a single document is longer.
+SLICE_BYTES, SLICE_ROWS = 3 << 20, 4096
+#: Bytes of text that one numpy pass takes at most; longer texts are read in parts.
+PASS_BYTES = 1 << 18
 
 #: The bytes that separate words in the contract pattern [^\x20\x09-\x0D]+.
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 
+_SEPARATOR = re.compile(b"[" + re.escape(bytes(SEPARATORS)) + b"]")
 IS_SEP = np.zeros(256, bool)
 IS_SEP[list(SEPARATORS)] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 _rng = np.random.default_rng(20240229)
 BYTE_CODE = _rng.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
-_POWER_BASE = 0x9E3779B97F4A7C15 | 1
+#: Codes inside words: separators count nothing.
+WORD_CODE = np.where(IS_SEP, np.uint64(0), BYTE_CODE)
+LOWER_CODE = WORD_CODE[LOWER]
+_BASE = 0x9E3779B97F4A7C15 | 1
+#: Weights of the bytes of a word by place, beginning anew every 4096 bytes.
+PLACE = np.array([pow(_BASE, k, 1 << 64) for k in range(4096)], np.uint64)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,12 +50,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A folder that every executor sees: the session's checkpoint folder, or a local one where none is set (tests)."""
+    """The session's checkpoint folder, which every executor sees."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        at = os.path.join(tempfile.gettempdir(), f"medgraph-checkpoints-{os.getuid()}")
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return at
 
 
@@ -145,6 +152,7 @@ def unpack_parts(data: bytes) -> list[bytes]:
 def pack_text_column(df: DataFrame) -> DataFrame:
     """(_ord, _th, _z): keyed texts, compressed before they are shuffled or spilled."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             z = [pack(t.encode("utf-8")) for t in b.column(2).to_pylist()]
@@ -153,13 +161,13 @@ def pack_text_column(df: DataFrame) -> DataFrame:
     return df.select("_ord", "_th", "_text").mapInArrow(run, "_ord long, _th long, _z binary")
 
 
-def slices(batch: pa.RecordBatch, col: int, most: int = SLICE_BYTES) -> Iterator[tuple[int, list[bytes]]]:
-    """Consecutive rows whose texts hold at most `most` bytes (or one longer text): first row and the UTF-8 texts."""
+def slices(batch: pa.RecordBatch, col: int, most: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[tuple[int, list[bytes]]]:
+    """Consecutive rows, at most `rows`, whose texts hold at most `most` bytes (or one longer text): first row and the UTF-8 texts."""
     first, size, texts = 0, 0, []
     for i, t in enumerate(batch.column(col)):
         raw = t.as_py()
         raw = b"" if raw is None else raw.encode("utf-8") if isinstance(raw, str) else raw
-        if texts and size + len(raw) > most:
+        if texts and (size + len(raw) > most or len(texts) >= rows):
             yield first, texts
             first, size, texts = i, 0, []
         texts.append(raw)
@@ -168,6 +176,39 @@ def slices(batch: pa.RecordBatch, col: int, most: int = SLICE_BYTES) -> Iterator
         yield first, texts
 
 
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError):  # not glibc
+    _trim = None
+
+
+def release() -> None:
+    """Gives freed memory back to the system: a reused worker would keep it for the stages after."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def released(run):
+    """A function over batches, or over one group, that releases what it used when it ends."""
+
+    @functools.wraps(run)
+    def over_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    @functools.wraps(run)
+    def over_group(group: pa.Table) -> pa.Table:
+        try:
+            return run(group)
+        finally:
+            release()
+
+    return over_group if "group" in run.__code__.co_varnames[: run.__code__.co_argcount] else over_batches
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser over a uint64 array."""
     x = x ^ (x >> np.uint64(30))
@@ -177,35 +218,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Powers:
-    """Powers of an odd base modulo 2**64 and of its inverse, grown as needed."""
-
-    up = np.ones(1, np.uint64)
-    down = np.ones(1, np.uint64)
-
-    @classmethod
-    def get(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) < n:
-            with np.errstate(over="ignore"):
-                base = np.full(n, _POWER_BASE, np.uint64)
-                base[0] = 1
-                inv = np.full(n, pow(_POWER_BASE, -1, 1 << 64), np.uint64)
-                inv[0] = 1
-                cls.up, cls.down = np.multiply.accumulate(base), np.multiply.accumulate(inv)
-        return cls.up[:n], cls.down[:n]
-
-
-def prefix_hash(codes: np.ndarray) -> np.ndarray:
-    """P with P[i] the weighted sum of codes[:i]; span_hash() reads the hash of any span from it."""
-    up, _ = Powers.get(len(codes) + 1)
-    out = np.zeros(len(codes) + 1, np.uint64)
-    np.cumsum(codes * up[: len(codes)], out=out[1:])
-    return out
-
-
-def span_hash(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, down = Powers.get(len(prefix))
-    return mix((prefix[end] - prefix[start]) * down[start])
+def rolling(codes: np.ndarray, n: int) -> np.ndarray:
+    """Hash of each n consecutive codes, put together from runs of 1, 2, 4 ... codes."""
+    if len(codes) < n:
+        return np.zeros(0, np.uint64)
+    have, cur, done, out = 1, codes, 0, None
+    while True:
+        up = np.uint64(pow(_BASE, have, 1 << 64))
+        if n & have:
+            m = len(codes) - done - have + 1
+            out = cur if out is None else out[:m] * up + cur[done : done + m]
+            done += have
+        if done == n:
+            return mix(out + np.uint64(n))
+        m = len(codes) - 2 * have + 1
+        cur = cur[:m] * up + cur[have : have + m]
+        have *= 2
 
 
 def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -219,44 +247,85 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return cur if have == w else np.minimum(cur[:n], cur[w - have : w - have + n])
 
 
+def word_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool) -> np.ndarray:
+    """64-bit hash of the (lower-cased) bytes of every word, in passes of about PASS_BYTES."""
+    out = np.empty(len(start), np.uint64)
+    code = LOWER_CODE if lower else WORD_CODE
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(start, start[i] + PASS_BYTES)))
+        first = start[i:j] - start[i]
+        size = np.diff(np.append(first, end[j - 1] - start[i]))
+        place = np.arange(int(size.sum())) - np.repeat(first, size)
+        out[i:j] = np.add.reduceat(code[buf[start[i] : end[j - 1]]] * PLACE[place & 4095], first)
+        i = j
+    return mix(out + (end - start).astype(np.uint64))
+
+
 class Words:
     """The words of some texts, with 64-bit hashes.
 
     Words are maximal runs of bytes other than SEPARATORS; texts never share a word.
     doc: index of the word's text; start/end: byte span in buf; hash: of the (lower-cased) bytes.
+    Takes some 8 bytes for a byte of text: hand long texts over in parts (text_parts).
     """
 
     def __init__(self, texts: list[bytes], lower: bool = False):
         self.buf = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts)) + 1
-        self.text_start = np.concatenate([[0], np.cumsum(sizes)])[:-1]
+        text_start = np.cumsum(sizes) - sizes
         sep = IS_SEP[self.buf]
-        edge = np.flatnonzero(np.diff(np.concatenate([[True], sep, [True]]).astype(np.int8)))
+        edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1  # the last byte is a separator
+        if len(sep) and not sep[0]:
+            edge = np.concatenate([[0], edge])
         self.start, self.end = edge[0::2], edge[1::2]
-        keep = ~sep
-        chars = self.buf[keep]
-        if lower:
-            chars = LOWER[chars]
-        sizes = self.end - self.start
-        if len(sizes):
-            first = np.cumsum(sizes) - sizes
-            at = np.arange(len(chars)) - np.repeat(first, sizes)
-            up, _ = Powers.get(4096)
-            self.hash = mix(np.add.reduceat(BYTE_CODE[chars] * up[at & 4095], first) + sizes.astype(np.uint64))
-        else:
-            self.hash = np.zeros(0, np.uint64)
-        self.doc = np.searchsorted(self.text_start, self.start, side="right") - 1
-        self.count = np.bincount(self.doc, minlength=len(texts)) if len(self.doc) else np.zeros(len(texts), np.int64)
-        self.first = np.cumsum(self.count) - self.count
+        self.hash = word_hashes(self.buf, self.start, self.end, lower)
+        self.first = np.searchsorted(self.start, text_start)
+        self.count = np.diff(np.append(self.first, len(self.start)))
+        self.doc = np.repeat(np.arange(len(texts)), self.count)
 
     def grams(self, n: int) -> np.ndarray:
         """Hash of the n words from each word on (spans over two texts included; mask with same_doc)."""
-        if len(self.hash) < n:
-            return np.zeros(0, np.uint64)
-        p = prefix_hash(self.hash)
-        at = np.arange(len(self.hash) - n + 1)
-        return span_hash(p, at, at + n)
+        return rolling(self.hash, n)
 
     def same_doc(self, n: int) -> np.ndarray:
         """Whether the n words from each word on are of one text."""
         return self.doc[: len(self.doc) - n + 1] == self.doc[n - 1 :] if len(self.doc) >= n else np.zeros(0, bool)
+
+
+def text_parts(texts: list[bytes], window: int, most: int = PASS_BYTES) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Batches of (text index, word index of the first word, bytes) of about `most` bytes.
+
+    A longer text comes in parts that overlap by window - 1 words, so that each run of `window`
+    words is in exactly one part.
+    """
+    which, first, parts, size = [], [], [], 0
+    for i, raw in enumerate(texts):
+        at = word = 0
+        while True:
+            part, n, step, end = None, 0, 0, at + most
+            while end < len(raw):
+                found = _SEPARATOR.search(raw, end)
+                if not found:
+                    break
+                end = found.start()
+                sep = IS_SEP[np.frombuffer(raw, np.uint8, end - at, at)]
+                starts = np.flatnonzero(~sep & np.concatenate([[True], sep[:-1]]))
+                if len(starts) >= window:
+                    part, n = raw[at:end], len(starts) - window + 1
+                    step = int(starts[n]) if n < len(starts) else end - at
+                    break
+                end += most
+            part = raw[at:] if part is None else part
+            if parts and size + len(part) > most:
+                yield which, first, parts
+                which, first, parts, size = [], [], [], 0
+            which.append(i)
+            first.append(word)
+            parts.append(part)
+            size += len(part)
+            if not n:
+                break
+            at, word = at + step, word + n
+    if parts:
+        yield which, first, parts

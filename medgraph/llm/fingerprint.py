@@ -25,27 +25,34 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, doc_id_of, keyed, mix, pack, slices, table, text_bytes, unpack
+from .common import Words, doc_id_of, keyed, mix, pack, released, rolling, slices, table, text_bytes, text_parts, unpack
 
 BINS = 512
 BITS = 4
 SHINGLE = 5
-#: Text bytes that one range of neighbours is sized for.
-RANGE_BYTES = 8 << 20
+#: Text bytes that one range of neighbours is sized for; beyond RANGES ranges they grow instead, so that what the driver knows of them is bounded.
+RANGE_BYTES, RANGES = 8 << 20, 10_000
+#: Characters and rows that are signed together at most.
+FLUSH_CHARS, FLUSH_ROWS = 2 << 20, 2048
 _EMPTY = np.uint64((1 << 64) - 1)
 
 
-def shingle_hashes(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(text index, hash) of every shingle; texts of fewer than n words give their whole sequence."""
-    ok = words.same_doc(n)
-    doc, h = words.doc[: len(ok)][ok], words.grams(n)[ok]
-    short = np.flatnonzero((words.count > 0) & (words.count < n))
-    if len(short):
-        own = np.zeros(len(short), np.uint64)
-        for k, i in enumerate(short):
-            own[k] = mix(np.array([sum(int(x) * (2 * j + 3) for j, x in enumerate(words.hash[words.first[i] : words.first[i] + words.count[i]])) & ((1 << 64) - 1)], np.uint64))[0]
-        doc, h = np.concatenate([doc, short]), np.concatenate([h, own])
-    return doc, h
+def shingle_hashes(texts: list[bytes], n: int, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text index, hash) of every shingle, and which texts have words; texts of fewer than n words give their whole sequence."""
+    docs, hashes, some = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], np.zeros(len(texts), bool)
+    for which, first, parts in text_parts(texts, n):
+        words = Words(parts, lower)
+        at = np.asarray(which)
+        some[at[words.count > 0]] = True
+        ok = words.same_doc(n)
+        docs.append(at[words.doc[: len(ok)][ok]])
+        hashes.append(words.grams(n)[ok])
+        # only a whole text can have so few words: parts of longer ones hold n at least
+        for i in np.flatnonzero((words.count > 0) & (words.count < n) & (np.asarray(first) == 0)).tolist():
+            own = words.hash[words.first[i] : words.first[i] + words.count[i]]
+            docs.append(at[i : i + 1])
+            hashes.append(mix(rolling(own, len(own)) + np.uint64(len(own))))
+    return np.concatenate(docs), np.concatenate(hashes), some
 
 
 def densify(mins: np.ndarray, bins: int) -> np.ndarray:
@@ -67,8 +74,7 @@ def densify(mins: np.ndarray, bins: int) -> np.ndarray:
 
 def signatures(texts: list[bytes], bins: int = BINS, bits: int = BITS, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Low bits of every bin (texts x bins, uint8), and which texts have words."""
-    words = Words(texts)
-    doc, h = shingle_hashes(words, shingle)
+    doc, h, some = shingle_hashes(texts, shingle)
     mins = np.full(len(texts) * bins, _EMPTY, np.uint64)
     slot = doc * bins + (h % np.uint64(bins)).astype(np.int64)
     value = mix(h) >> np.uint64(1)
@@ -77,7 +83,7 @@ def signatures(texts: list[bytes], bins: int = BINS, bits: int = BITS, shingle:
     first = np.concatenate([[True], slot[1:] != slot[:-1]]) if len(slot) else np.zeros(0, bool)
     mins[slot[first]] = value[first]
     full = densify(mins.reshape(len(texts), bins), bins)
-    return (mix(full) & np.uint64((1 << bits) - 1)).astype(np.uint8) * (words.count > 0)[:, None].astype(np.uint8), words.count > 0
+    return (mix(full) & np.uint64((1 << bits) - 1)).astype(np.uint8) * some[:, None].astype(np.uint8), some
 
 
 def to_hex(low: np.ndarray, bits: int) -> list[str]:
@@ -98,7 +104,7 @@ def fingerprints(df: DataFrame, bins: int = BINS, bits: int = BITS, shingle: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, texts in slices(b, 1):
+            for first, texts in slices(b, 1, rows=FLUSH_ROWS):
                 low, _ = signatures(texts, bins, bits, shingle)
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), pa.array(to_hex(low, bits))], ["_ord", "fingerprint"])
 
@@ -112,7 +118,7 @@ def with_next(df: DataFrame, run, schema: str, id_col: str = "doc_id", text_col:
     sent to the range before, with _own false.  After the last range comes the first row of all.
     """
     rows = keyed(df, id_col, text_col)
-    n = max(1, -(-text_bytes(rows, "_text") // RANGE_BYTES))
+    n = min(RANGES, max(1, -(-text_bytes(rows, "_text") // RANGE_BYTES)))
     cuts = np.array(sorted(set(rows.approxQuantile("_ord", [k / n for k in range(1, n)], 0.2 / n) if n > 1 else [])), np.float64)
 
     def ranges(ords: np.ndarray) -> np.ndarray:
@@ -178,6 +184,7 @@ def compare_with_next(df: DataFrame, bins: int = BINS, bits: int = BITS, shingle
             names,
         )
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ords: list[int] = []
         texts: list[str] = []
@@ -185,7 +192,7 @@ def compare_with_next(df: DataFrame, bins: int = BINS, bits: int = BITS, shingle
         for b in batches:
             for o, z, own, r in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
                 t = unpack(z.as_py()).decode("utf-8")
-                if texts and (r != held or not own or size >= 2 << 20):
+                if texts and (r != held or not own or size >= FLUSH_CHARS or len(texts) >= FLUSH_ROWS):
                     # the head of the range after comes last in a range, and closes it
                     yield flush(ords, texts, t)
                     ords, texts, size = [], [], 0
@@ -202,4 +209,5 @@ def compare_with_next(df: DataFrame, bins: int = BINS, bits: int = BITS, shingle
 
 
 def op4_one_permutation_minhash(spark, sf_dir: str) -> DataFrame:
+    """Every document, its edited text and the next one.  Null text is empty; a null id is the first in descending order."""
     return compare_with_next(table(spark, sf_dir, "documents"))

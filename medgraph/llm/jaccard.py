@@ -66,7 +66,7 @@ ORDERS = (0, 1, 2)
 
 def sets(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(text index, shingle hash), distinct, sorted by text."""
-    doc, h = shingle_hashes(Words(texts, lower=True), n)
+    doc, h, _ = shingle_hashes(texts, n, lower=True)
     order = np.lexsort((h, doc))
     doc, h = doc[order], h[order]
     first = np.concatenate([[True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])]) if len(doc) else np.zeros(0, bool)

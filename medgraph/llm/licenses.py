@@ -10,9 +10,9 @@ at least `threshold`; the best block decides, ties go to the first block (whole
 lines) and the license that comes first by name.  "All rights reserved" stands above the grant in
 many license files, so it counts only where a text carries no other license.
 
-A file is a licence file if its name says so or its whole text or a block from its first line
-with words on carries a license: its directory then has that license (the best cosine, then the
-smallest path).  A file without a license of its own takes the one of its nearest ancestor
+A file is a licence file if its name says so or its whole text carries a license; a header or
+notice in a file licenses that file alone.  A licence file's directory has its license (the best
+cosine, then the smallest path).  A file without a license of its own takes the one of its nearest ancestor
 directory that has one.
 
 Only texts that can reach the threshold are scored: a block's cosine is at most the norm of the
@@ -160,24 +160,23 @@ class Scorer:
             size -= len(line)
 
     def text(self, text: str, rare: dict[str, int]) -> tuple | None:
-        """(block, license, cosine, first license, first cosine) of a text, or None; rare: rows that hold its words outside `known`."""
+        """(block, license, cosine, license and cosine of the whole text) of a text, or None; rare: rows that hold its words outside `known`."""
         split = line_words(text)
         weight = {w: self.known[w] if w in self.known else idf(self.rows, rare.get(w, 0)) for s in split for w in s}
         whole = Counter(w for s in split for w in s)
         total = math.sqrt(sum((k * weight[w]) ** 2 for w, k in whole.items()))
-        top = next((i for i, s in enumerate(split) if s), 0)
-        best = first = None
+        best = whole_text = None
         for form in self.reachable(set(whole)):
             name, count = self.forms[form]
 
             def offer(cosine: float, block: int, name: str = name) -> None:
-                nonlocal best, first
+                nonlocal best, whole_text
                 if cosine < self.threshold:
                     return
                 got = (name != RESERVED, cosine, -block, name)
                 best = got if best is None or got[:3] > best[:3] else best
-                if block in (0, top + 1):
-                    first = got if first is None or got[:3] > first[:3] else first
+                if block == 0:
+                    whole_text = got if whole_text is None or got[:3] > whole_text[:3] else whole_text
 
             offer(round(sum(k * whole[w] * weight[w] ** 2 for w, k in count.items() if w in whole) / (total * self.norms[form]), 12), 0)
             for at, end in self._starts(split, form):
@@ -191,7 +190,7 @@ class Scorer:
                         own[w] = k + 1
                     if line:
                         offer(round(dot / (math.sqrt(square) * self.norms[form]), 12), at + 1)
-        return best and (-best[2], best[3], best[1], first and first[3], first and first[1])
+        return best and (-best[2], best[3], best[1], whole_text and whole_text[3], whole_text and whole_text[1])
 
 
 def row_counts(rows: DataFrame) -> DataFrame:
@@ -209,7 +208,7 @@ def row_counts(rows: DataFrame) -> DataFrame:
 
 
 def notices(df: DataFrame, templates: dict[str, str | tuple[str, ...]] | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_ord, _th, block (0: whole text, then the first line of a run from 1), license, cosine of every text that carries a license, and what its whole text or a run from its first line with words carries (first_license, first_cosine)."""
+    """_ord, _th, block (0: whole text, then the first line of a run from 1), license, cosine of every text that carries a license, and what its whole text carries (whole_license, whole_cosine)."""
     templates = templates or all_templates()
     rows = keyed(df, id_col, text_col)
     counts = materialize(row_counts(rows))
@@ -234,7 +233,7 @@ def notices(df: DataFrame, templates: dict[str, str | tuple[str, ...]] | None =
 
     rare = scored.mapInArrow(others, "_ord long, _th long, w string").join(counts, "w").groupBy("_ord", "_th").agg(F.collect_list(F.struct("w", "n")).alias("_rare"))
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.float64(), pa.string(), pa.float64()]
-    names = ["_ord", "_th", "block", "license", "cosine", "first_license", "first_cosine"]
+    names = ["_ord", "_th", "block", "license", "cosine", "whole_license", "whole_cosine"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -243,7 +242,7 @@ def notices(df: DataFrame, templates: dict[str, str | tuple[str, ...]] | None =
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
     both = scored.join(rare, ["_ord", "_th"], "left").select("_ord", "_th", "_text", "_rare")
-    return both.mapInArrow(run, "_ord long, _th long, block int, license string, cosine double, first_license string, first_cosine double")
+    return both.mapInArrow(run, "_ord long, _th long, block int, license string, cosine double, whole_license string, whole_cosine double")
 
 
 def scan(df: DataFrame, path: Column, templates: dict[str, str | tuple[str, ...]] | None = None, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -255,7 +254,7 @@ def scan(df: DataFrame, path: Column, templates: dict[str, str | tuple[str, ...]
     files = files.withColumn("_dir", F.when(F.col("path").isNotNull(), F.array_join(F.slice(parts, 1, F.size(parts) - 1), "/"))).withColumn("_name", F.element_at(parts, -1))
     files = materialize(files)
     named = F.col("_name").rlike(LICENSE_FILES)
-    giving = files.where(F.col("_dir").isNotNull()).withColumn("_l", F.when(named, F.col("license")).otherwise(F.col("first_license"))).withColumn("_c", F.when(named, F.col("cosine")).otherwise(F.col("first_cosine"))).where("_l is not null")
+    giving = files.where(F.col("_dir").isNotNull()).withColumn("_l", F.when(named, F.col("license")).otherwise(F.col("whole_license"))).withColumn("_c", F.when(named, F.col("cosine")).otherwise(F.col("whole_cosine"))).where("_l is not null")
     by_dir = giving.groupBy("_dir").agg(F.min(F.struct((-F.col("_c")).alias("c"), "path", F.col("_l").alias("l"))).alias("_g"))
 
     # every directory meets its ancestors once; files join the directories' answers

@@ -22,9 +22,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import doc_id_of, keyed, materialize, pack, pack_text_column, rewritten, table, unpack
+from .common import doc_id_of, keyed, materialize, pack, pack_text_column, released, rewritten, table, unpack
 
 SPAN, DIVISOR, LEAST, MOST = 2, 2, 2, 16
+#: A chunk is hot if at least one document in so many holds it; its rows are dealt to so many keys.
+HOT_SHARE, SALTS = 200, 64
 _MASK = (1 << 64) - 1
 
 
@@ -60,6 +62,7 @@ def chunk_rows(docs: DataFrame, with_bytes: bool, id_col: str = "doc_id", text_c
     names = ["_ord", "_th", "_at", "_n", "_k", "_z"]
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
@@ -76,13 +79,28 @@ def chunk_rows(docs: DataFrame, with_bytes: bool, id_col: str = "doc_id", text_c
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_ord, _th, _at, _n of every chunk to remove."""
+    """_ord, _th, _at, _n of every chunk to remove.
+
+    A chunk that one document in HOT_SHARE holds is hot.  There are at most HOT_SHARE times as many
+    hot chunks as a document has chunks on average, at any size, so their first places are
+    broadcast, and the rows of one hot chunk are dealt to SALTS keys where bytes are compared.
+    """
     place = F.struct("_ord", "_th", "_at")
-    firsts = chunk_rows(docs, False, id_col, text_col).groupBy("_k").agg(F.min(place).alias("_first"), F.count("*").alias("_times")).where("_times > 1").drop("_times")
-    found = materialize(chunk_rows(docs, True, id_col, text_col).join(firsts, "_k").withColumn("_is_first", place == F.col("_first")).drop("_first"))
-    kept = found.where("_is_first").select("_k", F.col("_z").alias("_b")).dropDuplicates(["_k"])
-    again = found.where("not _is_first").join(kept, "_k").where(F.col("_z") == F.col("_b"))  # equal bytes pack to equal bytes
-    return again.select("_ord", "_th", "_at", "_n")
+    firsts = materialize(chunk_rows(docs, False, id_col, text_col).groupBy("_k").agg(F.min(place).alias("_first"), F.count("*").alias("_times")).where("_times > 1"))
+    least = max(100, docs.count() // HOT_SHARE)
+    hot = firsts.where(F.col("_times") >= least).select("_k", F.col("_first").alias("_hot"))
+    # hot rows get a key of their own in the shuffled join, so that they do not meet in one task
+    own = F.when(F.col("_hot").isNull(), F.col("_k")).otherwise(F.encode(F.concat_ws("/", "_ord", "_th", "_at"), "utf-8"))
+    rows = chunk_rows(docs, True, id_col, text_col).join(F.broadcast(hot), "_k", "left").withColumn("_j", own)
+    cold = firsts.where(F.col("_times") < least).select(F.col("_k").alias("_j"), F.col("_first").alias("_cold"))
+    both = rows.join(cold, "_j", "left").withColumn("_first", F.coalesce("_hot", "_cold")).where("_first is not null")
+    salts = F.when(F.col("_hot").isNull(), F.lit(1)).otherwise(F.lit(SALTS))
+    found = materialize(both.select("_ord", "_th", "_at", "_n", "_k", "_z", (place == F.col("_first")).alias("_is_first"), salts.alias("_salts")))
+    salt = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt")
+    kept = found.where("_is_first").dropDuplicates(["_k"]).select("_k", F.col("_z").alias("_b"), salt)
+    again = found.where("not _is_first").withColumn("_salt", F.pmod(F.xxhash64("_ord", "_th", "_at"), F.col("_salts")).cast("int"))
+    same = again.join(kept, ["_k", "_salt"]).where(F.col("_z") == F.col("_b"))  # equal bytes pack to equal bytes
+    return same.select("_ord", "_th", "_at", "_n")
 
 
 def gone_lines(n: int, runs: list) -> np.ndarray:
@@ -95,6 +113,7 @@ def gone_lines(n: int, runs: list) -> np.ndarray:
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """_ord, n_lines, n_removed, n_chunks_removed, kept_sha256 (of the lines left, joined by newlines)."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
@@ -122,4 +141,5 @@ def strip_repeats(docs: DataFrame) -> DataFrame:
 
 
 def op8_line_chunk_dedup(spark, sf_dir: str) -> DataFrame:
+    """Every document: lines, lines and chunks removed, and the hash of what is left.  Null text has no lines."""
     return dedup(table(spark, sf_dir, "documents")).select(doc_id_of().alias("doc_id"), "n_lines", "n_removed", "n_chunks_removed", "kept_sha256")

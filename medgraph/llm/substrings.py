@@ -7,15 +7,17 @@ so each bucket sees every occurrence of its windows.  Inside a bucket the window
 hash, and neighbours with equal hashes are compared word by word, so counts are exact.  A window
 is struck where it also starts in a document with a smaller id.
 
-Before the shuffle, each slice of documents drops super-k-mers whose string it has already seen
-in a document with a smaller id; only their place is sent on, not the string.  So a passage that
-a third of the corpus shares reaches its bucket once a slice.  The number of buckets follows the
-size of the corpus.
+Before the shuffle, a task strikes super-k-mers whose string it has already met in a document
+with a smaller id (in the same slice of documents, or among the strings that repeated in earlier
+slices); what is known of them needs no bucket and is dealt evenly.  So a passage that a third of
+the corpus shares reaches its bucket about once a task.  The number of buckets follows the size
+of the corpus; a bucket is sorted in parts of about PART_BYTES, so memory does not.
 
 Null text has no words; a null id counts as later than any other.  Rows that repeat id and text
 get equal results; a window repeated inside one document is not struck by itself.  Long texts are
 taken whole: only a document's own strings are held at once.  Extra columns are kept or ignored
-as the caller asks.
+as the caller asks.  A long text is read in parts of common.PASS_BYTES that overlap by a window less
+one word; about ten bytes for each of its bytes are held.
 """
 
 from __future__ import annotations
@@ -28,12 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SEPARATORS, Words, buckets_for, doc_id_of, keyed, pack_parts, pack_text_column, prefix_hash, rewritten, sliding_min, slices, span_hash, table, text_bytes, unpack, unpack_parts
+from .common import SEPARATORS, Words, buckets_for, doc_id_of, keyed, mix, pack_parts, pack_text_column, released, rewritten, sliding_min, slices, table, text_bytes, text_parts, unpack, unpack_parts
 
 WINDOW = 13
 MINIMISER = 3
 #: Corpus bytes whose super-k-mers (about three times as long) share a bucket.
 BUCKET_BYTES = 3 << 20
+#: Bytes of super-k-mers that are sorted at once.
+PART_BYTES = 1 << 20
+#: Repeated strings that a task remembers, in each of two generations.
+REMEMBERED = 30_000
 _SPACES = bytes.maketrans(bytes(SEPARATORS), b" " * len(SEPARATORS))
 
 
@@ -52,44 +58,75 @@ def super_kmers(words: Words, window: int, minimiser: int) -> tuple[np.ndarray,
     return low[first], ok[first], np.diff(np.append(first, len(ok)))
 
 
+class Repeats:
+    """Strings that repeated in this task, with the smallest id they were met under; bounded, the older half goes first."""
+
+    def __init__(self, most: int = REMEMBERED):
+        self.most, self.new, self.old = most, {}, {}
+
+    def get(self, s: bytes) -> int | None:
+        got = self.new.get(s)
+        return self.old.get(s) if got is None else got
+
+    def put(self, s: bytes, o: int) -> None:
+        if len(self.new) >= self.most:
+            self.old, self.new = self.new, {}
+        self.new[s] = o
+
+
+def known_before(strings: list[bytes], ords: np.ndarray, repeats: Repeats) -> np.ndarray:
+    """Which strings were met under a smaller id, here or among the repeats."""
+    known = np.zeros(len(strings), bool)
+    best: dict[bytes, int] = {}
+    ids = ords.tolist()
+    for i in np.argsort(ords, kind="stable").tolist():
+        s, o = strings[i], ids[i]
+        low = best.get(s)
+        if low is None:
+            low = repeats.get(s)
+            best[s] = low = o if low is None or low > o else low
+        if low < o:
+            known[i] = True
+            repeats.put(s, low)
+    return known
+
+
 def _send(window: int, minimiser: int, buckets: int):
-    """Packs super-k-mers by bucket: one row per slice and bucket."""
+    """Packs super-k-mers by bucket: one row per slice and bucket, and one of those already struck."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        repeats = Repeats()
         for b in batches:
             all_ord, all_th = b.column(0).to_numpy(), b.column(1).to_numpy()
             for at, texts in slices(b, 2):
-                words = Words(texts)
-                low, first, n = super_kmers(words, window, minimiser)
-                if not len(low):
+                found, strings = [], []
+                for which, word, parts in text_parts(texts, window):
+                    words = Words(parts)
+                    low, first, n = super_kmers(words, window, minimiser)
+                    if not len(low):
+                        continue
+                    own = words.doc[first]
+                    found.append((low, np.asarray(which)[own], np.asarray(word)[own] + first - words.first[own], n))
+                    norm = b" ".join(w for t in parts for w in words_of(t)) + b" "
+                    begin = np.concatenate([[0], np.cumsum(words.end - words.start + 1)])
+                    strings += [norm[x:y] for x, y in zip(begin[first].tolist(), (begin[first + n + window - 1] - 1).tolist(), strict=True)]
+                if not found:
                     continue
-                doc = words.doc[first]
-                ords, ths = all_ord[at + doc], all_th[at + doc]
-                place = first - words.first[doc]
-                # strings seen in this slice in a document with a smaller id
-                p = prefix_hash(words.hash)
-                same = span_hash(p, first, first + n + window - 1)
-                order = np.lexsort((ords, same))
-                s, o = same[order], ords[order]
-                head = np.concatenate([[True], s[1:] != s[:-1]])
-                lead = np.maximum.accumulate(np.where(head, np.arange(len(s)), 0))
-                norm = b" ".join(w for t in texts for w in words_of(t)) + b" "
-                sizes = words.end - words.start + 1
-                begin = np.concatenate([[0], np.cumsum(sizes)])
-                lo, hi = begin[first].tolist(), (begin[first + n + window - 1] - 1).tolist()
-                known = np.zeros(len(low), bool)
-                for i in np.flatnonzero(o > o[lead]).tolist():
-                    k, j = int(order[i]), int(order[lead[i]])
-                    known[k] = norm[lo[k] : hi[k]] == norm[lo[j] : hi[j]]
+                low, doc, place, n = (np.concatenate(c) for c in zip(*found, strict=True))
+                ords, ths, place, n = all_ord[at + doc], all_th[at + doc], place.astype("<i4"), n.astype("<i4")
+                known = known_before(strings, ords, repeats)
+                sub = (low // np.uint64(buckets)).astype(np.uint8)
                 bucket = (low % np.uint64(buckets)).astype(np.int64)
-                order = np.lexsort((ths, ords, bucket))
-                edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0, [True]]))
-                rows = []
-                for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-                    own = order[x:y]
-                    text = b"\n".join(norm[lo[i] : hi[i]] for i in own[~known[own]].tolist())
-                    rows.append(pack_parts(ords[own].tobytes(), ths[own].tobytes(), place[own].astype("<i4").tobytes(), n[own].astype("<i4").tobytes(), known[own].tobytes(), text))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket[order][edges[:-1]]), pa.array(rows, pa.binary())], ["_bucket", "_z"])
+                new = np.flatnonzero(~known)
+                order = new[np.lexsort((ths[new], ords[new], bucket[new]))]
+                edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0, [True]])) if len(order) else np.zeros(1, np.int64)
+                rows = [pack_parts(ords[i].tobytes(), ths[i].tobytes(), place[i].tobytes(), n[i].tobytes(), sub[i].tobytes(), b"\n".join([strings[k] for k in i.tolist()])) for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True) for i in (order[x:y],)]
+                to = bucket[order[edges[:-1]]].tolist()
+                if known.any():
+                    rows.append(pack_parts(ords[known].tobytes(), ths[known].tobytes(), place[known].tobytes(), n[known].tobytes()))
+                    to.append(int(mix(all_th[at : at + 1].view(np.uint64))[0] % np.uint64(buckets)))
+                yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array(rows, pa.binary())], ["_bucket", "_z"])
 
     return run
 
@@ -112,44 +149,53 @@ def same_windows(words: Words, start: np.ndarray, a: np.ndarray, b: np.ndarray,
     return ok
 
 
+def struck_windows(texts: list[bytes], ords: np.ndarray, n: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(super-k-mer, first window, windows) of the runs of windows that also start under a smaller id."""
+    words = Words(texts)
+    sk = np.repeat(np.arange(len(texts)), n)
+    inside = np.arange(len(sk)) - np.repeat(np.cumsum(n) - n, n)
+    start = words.first[sk] + inside
+    h = words.grams(window)[start]
+    o = ords[sk]
+    order = np.lexsort((o, h))
+    hs, os = h[order], o[order]
+    head = np.concatenate([[True], hs[1:] != hs[:-1]])
+    lead = np.maximum.accumulate(np.where(head, np.arange(len(hs)), 0))
+    later = np.flatnonzero(os > os[lead])
+    struck = np.zeros(len(sk), bool)
+    ok = same_windows(words, start, order[later], order[lead[later]], window)
+    struck[order[later[ok]]] = True
+    for i in later[~ok].tolist():  # two windows under one hash: look through all of it
+        x = i
+        while not head[x]:
+            x -= 1
+            if os[x] < os[i] and same_windows(words, start, order[i : i + 1], order[x : x + 1], window)[0]:
+                struck[order[i]] = True
+                break
+    at = np.flatnonzero(struck)
+    brk = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(sk[at]) != 0)])) if len(at) else at
+    return sk[at[brk]], inside[at[brk]], np.diff(np.append(brk, len(at)))
+
+
 def _count(window: int):
-    """Sorts the windows of a bucket and yields the runs of windows that are struck."""
+    """Sorts the windows of a bucket, part by part, and yields the runs of windows that are struck."""
 
+    @released
     def run(group: pa.Table) -> pa.Table:
-        parts = [unpack_parts(z) for z in group.column("_z").to_pylist()]
-        join = lambda k, kind: np.concatenate([np.frombuffer(p[k], kind) for p in parts])
-        ords, ths, place, n, known = join(0, "<i8"), join(1, "<i8"), join(2, "<i4"), join(3, "<i4"), join(4, bool)
-        texts = [t for p in parts if p[5] for t in p[5].split(b"\n")]
-        out = [(ords[known], ths[known], place[known], n[known])]
-        ords, ths, place, n = ords[~known], ths[~known], place[~known], n[~known]
-        if len(texts):
-            words = Words(texts)
-            sk = np.repeat(np.arange(len(texts)), n)
-            inside = np.arange(len(sk)) - np.repeat(np.cumsum(n) - n, n)
-            start = words.first[sk] + inside
-            p = prefix_hash(words.hash)
-            h = span_hash(p, start, start + window)
-            o = ords[sk]
-            order = np.lexsort((o, h))
-            hs, os = h[order], o[order]
-            head = np.concatenate([[True], hs[1:] != hs[:-1]])
-            lead = np.maximum.accumulate(np.where(head, np.arange(len(hs)), 0))
-            later = np.flatnonzero(os > os[lead])
-            struck = np.zeros(len(sk), bool)
-            ok = same_windows(words, start, order[later], order[lead[later]], window)
-            struck[order[later[ok]]] = True
-            for i in later[~ok].tolist():  # two windows under one hash: look through all of it
-                x = i
-                while not head[x]:
-                    x -= 1
-                    if os[x] < os[i] and same_windows(words, start, order[i : i + 1], order[x : x + 1], window)[0]:
-                        struck[order[i]] = True
-                        break
-            at = np.flatnonzero(struck)
-            if len(at):
-                brk = np.flatnonzero(np.concatenate([[True], (np.diff(at) != 1) | (np.diff(sk[at]) != 0)]))
-                first, size = at[brk], np.diff(np.append(brk, len(at)))
-                out.append((ords[sk[first]], ths[sk[first]], place[sk[first]] + inside[first], size))
+        parts = [unpack_parts(z.as_py()) for z in group.column("_z")]
+        kinds = ("<i8", "<i8", "<i4", "<i4", "u1")
+        out = [tuple(np.frombuffer(p[k], kinds[k]) for k in range(4)) for p in parts if len(p) == 4]
+        parts = [p for p in parts if len(p) > 4]
+        if parts:
+            ords, ths, place, n, sub = (np.concatenate([np.frombuffer(p[k], kind) for p in parts]) for k, kind in enumerate(kinds))
+            texts = [t for p in parts for t in p[5].split(b"\n")]
+            cuts = min(256, -(-sum(len(p[5]) for p in parts) // PART_BYTES))
+            part = sub.astype(np.int64) * cuts >> 8
+            for k in range(cuts):
+                i = np.flatnonzero(part == k)
+                if len(i):
+                    sk, inside, size = struck_windows([texts[j] for j in i.tolist()], ords[i], n[i], window)
+                    out.append((ords[i[sk]], ths[i[sk]], place[i[sk]] + inside, size))
         return _runs(*(np.concatenate(c) for c in zip(*out, strict=True)))
 
     return run
@@ -180,19 +226,21 @@ def with_runs(docs: DataFrame, runs: DataFrame, id_col: str = "doc_id", text_col
 def dedup(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMISER, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """_ord, n_words, n_removed, kept_sha256 and, with_text, kept: the words left, joined by one space."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            n_words, n_removed, kept = [], [], []
-            for z, runs in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                words = words_of(unpack(z))
+            n_words, n_removed, kept, sha = [], [], [], []
+            for z, runs in zip(b.column(1), b.column(2).to_pylist(), strict=True):
+                words = words_of(unpack(z.as_py()))
                 n_words.append(len(words))
                 if runs:
                     gone = covered(len(words), [r["_at"] for r in runs], [r["_n"] for r in runs], window)
                     words = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
                 n_removed.append(n_words[-1] - len(words))
-                kept.append(b" ".join(words))
-            sha = [hashlib.sha256(k).hexdigest() for k in kept]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array([k.decode("utf-8") if with_text else None for k in kept], pa.string()), pa.array(sha)], ["_ord", "n_words", "n_removed", "kept", "kept_sha256"])
+                left = b" ".join(words)
+                sha.append(hashlib.sha256(left).hexdigest())
+                kept.append(left.decode("utf-8") if with_text else None)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.string()), pa.array(sha, pa.string())], ["_ord", "n_words", "n_removed", "kept", "kept_sha256"])
 
     found = with_runs(docs, repeated_windows(docs, window, minimiser, id_col=id_col, text_col=text_col), id_col, text_col)
     return found.select("_ord", "_z", "_runs").mapInArrow(run, "_ord long, n_words long, n_removed long, kept string, kept_sha256 string")
@@ -214,4 +262,5 @@ def strip_repeats(docs: DataFrame, window: int = WINDOW, minimiser: int = MINIMI
 
 
 def op9_super_kmer_dedup(spark, sf_dir: str) -> DataFrame:
+    """Every document: words, words removed and the hash of what is left.  Null text has no words; a null id is later than any other."""
     return dedup(table(spark, sf_dir, "documents"), with_text=False).select(doc_id_of().alias("doc_id"), "n_words", "n_removed", "kept_sha256")

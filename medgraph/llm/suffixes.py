@@ -32,12 +32,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_CODE, buckets_for, doc_id_of, keyed, materialize, mix, pack_parts, pack_text_column, prefix_hash, sliding_min, slices, span_hash, table, text_bytes, unpack, unpack_parts
+from .common import BYTE_CODE, buckets_for, doc_id_of, keyed, materialize, mix, pack_parts, pack_text_column, released, rolling, sliding_min, slices, table, text_bytes, unpack, unpack_parts
 
 WINDOW = 400
 GRAM = 160
 #: Corpus bytes whose anchors share a bucket, and corpus bytes whose segments share a shard.
 ANCHOR_BYTES, SHARD_BYTES = 32 << 20, 2 << 20
+#: Bytes of text whose anchors are found in one numpy pass.
+PASS_BYTES = 1 << 19
 
 
 def _doubling(s: np.ndarray) -> np.ndarray:
@@ -213,9 +215,7 @@ def anchors(texts: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.
     if len(buf) < window:
         e = np.zeros(0, np.int64)
         return e.astype(np.uint64), e, e, e, e.astype(bool)
-    p = prefix_hash(BYTE_CODE[buf])
-    at = np.arange(len(buf) - gram + 1)
-    grams = span_hash(p, at, at + gram)
+    grams = rolling(BYTE_CODE[buf], gram)
     low = sliding_min(grams, window - gram + 1)
     change = np.concatenate([[True], low[1:] != low[:-1]])
     some = sizes >= window
@@ -242,12 +242,34 @@ def anchors(texts: list[bytes], window: int, gram: int) -> tuple[np.ndarray, np.
     return value, doc, start - begin[doc], n, n > spot - start + 1
 
 
+def byte_parts(texts: list[bytes], window: int, most: int = PASS_BYTES) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """Batches of (text index, first byte, bytes) of about `most` bytes; the parts of a longer text overlap by window - 1 bytes, so each window is in exactly one."""
+    which, first, parts, size = [], [], [], 0
+    for i, raw in enumerate(texts):
+        for at in range(0, max(1, len(raw) - window + 1), most):
+            part = raw[at : at + most + window - 1]
+            if parts and size + len(part) > most:
+                yield np.array(which), np.array(first), parts
+                which, first, parts, size = [], [], [], 0
+            which.append(i)
+            first.append(at)
+            parts.append(part)
+            size += len(part)
+    if parts:
+        yield np.array(which), np.array(first), parts
+
+
 def _anchor_rows(window: int, gram: int, buckets: int):
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             all_ord, all_th = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for at, texts in slices(b, 2, 1 << 20):
-                value, doc, first, n, own = anchors(texts, window, gram)
+            for at, texts in slices(b, 2):
+                found = []
+                for which, begin, parts in byte_parts(texts, window):
+                    value, doc, first, n, own = anchors(parts, window, gram)
+                    found.append((value, which[doc], first + begin[doc], n, own))
+                value, doc, first, n, own = (np.concatenate(c) for c in zip(*found, strict=True))
                 if not len(value):
                     continue
                 bucket = (mix(value) % np.uint64(buckets)).astype(np.int64)
@@ -262,6 +284,7 @@ def _anchor_rows(window: int, gram: int, buckets: int):
     return run
 
 
+@released
 def _repeated_anchors(group: pa.Table) -> pa.Table:
     """Runs of windows whose anchor occurs more than once, packed by document."""
     parts = [unpack_parts(z) for z in group.column("_z").to_pylist()]
@@ -281,6 +304,7 @@ def _repeated_anchors(group: pa.Table) -> pa.Table:
 def _segments(window: int, shards: int):
     """Cuts the segments around repeated anchors out of the texts; equal ones in a batch are merged."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found: dict[int, tuple[list, ...]] = {}
@@ -311,6 +335,7 @@ def _segments(window: int, shards: int):
 def _sort_shard(window: int):
     """Sorts a shard and yields, by document, the runs of window starts that are repeated."""
 
+    @released
     def run(group: pa.Table) -> pa.Table:
         index: dict[bytes, int] = {}
         ords, ths, first, which, values = [], [], [], [], []
@@ -370,11 +395,12 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
     """_ord, n_bytes, n_removed, n_spans, kept_sha256 and, with_text, kept: the bytes left."""
     names = ["_ord", "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"]
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[list] = [[] for _ in names[1:]]
-            for z, runs in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
-                raw = unpack(z)
+            for z, runs in zip(b.column(1), b.column(2).to_pylist(), strict=True):
+                raw = unpack(z.as_py())
                 kept, removed, spans = raw, 0, 0
                 if runs:
                     edge = np.zeros(len(raw) + 1, np.int64)
@@ -398,4 +424,5 @@ def dedup(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str =
 
 
 def op7_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
+    """Every document: bytes, bytes removed, their spans and the hash of what is left.  Null text is empty; repeated rows are two documents."""
     return dedup(table(spark, sf_dir, "documents"), with_text=False).select(doc_id_of().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept_sha256")

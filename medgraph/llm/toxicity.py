@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import text_slices
-from .common import doc_id_of, keyed, table
+from .common import doc_id_of, keyed, released, table
 
 MAX_TOXIC = 1500
 MAX_ORDINARY = 4500
@@ -178,6 +178,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     if model is None:
         return rows.select("_ord", "_th", F.lit(0.0).alias("score"))
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first, some in text_slices(b.column(2).to_pylist()):
@@ -201,6 +202,7 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return docs
     names, at = docs.columns, docs.columns.index("text")
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [t or "" for t in b.column(at).to_pylist()]
