@@ -24,16 +24,17 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from .common import keyed, doc_id_of, table
+from .common import doc_id_of, keyed, released, table
 
 #: Fixed value: the split pattern of the vocabulary file; white space never belongs to a piece.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+"
+PIECES = regex.compile(PATTERN)
 VOCABULARY = "word_bpe_49k.json"
 SPACES = regex.compile(r"\p{White_Space}+")
 #: str.split() also splits at these four; the vocabulary's white space does not hold them.
 ODD_SPACE = regex.compile("[\x1c-\x1f]").search
-#: Words remembered in a worker; beyond it the memory starts anew.
-REMEMBERED = 400_000
+#: Words in each of the two generations that a worker remembers.
+REMEMBERED = 200_000
 SLICE_CHARS = 4 << 20
 
 
@@ -148,6 +149,8 @@ class PairIndexBPE:
 
     @staticmethod
     def normal(text: str) -> str:
+        if text.isascii():
+            return text.lower()
         text = unicodedata.normalize("NFC", text)
         return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
 
@@ -164,16 +167,23 @@ class PairIndexBPE:
 
 
 class Remembered:
-    """Bounded memory of a worker: word -> entry(ids), filled by encode(words)."""
+    """Bounded memory of a worker: word -> entry(ids), filled by encode(words).
+
+    Two generations: once the newer one holds `most` words it becomes the older one, and what of
+    that is met again moves on, so frequent words stay.
+    """
 
     def __init__(self, encode, entry, most: int = REMEMBERED):
-        self.encode, self.entry, self.most, self.seen = encode, entry, most, {}
+        self.encode, self.entry, self.most, self.seen, self.old = encode, entry, most, {}, {}
 
     def learn(self, split: list[list[str]]) -> dict:
         """Makes sure that every word of these texts is remembered."""
         if len(self.seen) > self.most:
-            self.seen.clear()
-        new = list(set().union(*split) - self.seen.keys())
+            self.old, self.seen = self.seen, {}
+        missing = set().union(*split) - self.seen.keys()
+        again = missing & self.old.keys()
+        self.seen.update(zip(again, map(self.old.__getitem__, again), strict=True))
+        new = list(missing - again)
         self.seen.update(zip(new, map(self.entry, self.encode(new)), strict=True))
         return self.seen
 
@@ -205,6 +215,7 @@ def encode(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
     """doc_id, ids array<int>, decoded string: the general form."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memory = loaded(path, "ids", lambda model, ids: ids)
         for b in batches:
@@ -225,6 +236,7 @@ def digests(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id"
     """doc_id, n_tokens, ids_sha256, decoded_sha256 without carrying the ids: per word, the decimal ids and the decoded text are remembered and joined."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memory = loaded(path, "digests", lambda model, ids: (len(ids), " ".join(map(str, ids)), model.decode(ids)))
         for b in batches:

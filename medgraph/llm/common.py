@@ -11,6 +11,7 @@ from __future__ import annotations
 import ctypes
 import functools
 import re
+import tempfile
 import uuid
 from collections.abc import Iterator
 
@@ -49,11 +50,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_own: list[str] = []
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder, which every executor sees."""
+    """The session's checkpoint folder, which every executor sees; a folder of its own only for a local session without one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        _own.append(at := _own[0] if _own else tempfile.mkdtemp(prefix="spark-"))
     return at
 
 

@@ -1,38 +1,38 @@
-"""N-gram Jaccard join over prefixes under a global order.
+"""N-gram Jaccard join: candidates share prefix shingles under several global orders.
 
 A document's set is its distinct five-word shingles (words lower-cased A-Z); with fewer words,
 the whole sequence; without words it is empty and linked with nothing.  Documents with equal
 sets are one class from the start.  Two classes of sizes a and b link when their sets' Jaccard
 likeness is at least THRESHOLD.
 
-Filters.  Every global order of the shingles gives each set a prefix of n - ceil(t n) + 1
-shingles, and linked sets share a prefix shingle under every order.  All orders here put the
-shingles that many documents hold last (their counts are found in a first pass that reports a
-shingle only where a slice of documents repeats it, and only shingles above a share of all
-documents are kept, whose number that share bounds); within equal counts each order follows a
-hash of its own.  Prefixes under the first order are dealt to buckets by shingle; sets that
-share none leave.  Later orders filter nothing before whole sets are compared: _verified checks
-them together with the exact comparison.  The filter of pairs is a bound: each set has a histogram of its shingles over CELLS
-cells, and what two sets can share at most is the sum of the smaller counts.
-
-Pairs.  Each list of a prefix shingle has a hub, the member with the largest share of frequent
-shingles; the sets of all lists with one hub are its group.  Any two sets that share a prefix
-shingle are in one group.  First every member is compared with its hub, so a family of near
-copies costs as many pairs as it has members, and the links found join components.  Then, in each
-group, members outside the group's largest component are compared with all members of other
-components, in blocks of at most BLOCK by BLOCK sets and by their histograms only; a task holds
-two blocks, and only pairs that pass the bound leave it.  Nothing else is left out, so no link
-between different components is lost.
-
-That gives components (classes, keep_one).  The join itself, similar_links, verifies every pair of
-a group: a group of more than BLOCK sets, or BLOCK_SHINGLES shingles, is split by size class (linked
-sets are of one class or of neighbouring ones) and each class into blocks, and a task compares two
-blocks.  First by sizes and histograms; the sets that can link with another one of the task then
-come with their texts, and shared shingles are counted exactly.  All links are kept as a table.
-
-Shingles are compared by 64-bit hashes, sets are identified by 64-bit sums of them and their size.
-Null text is empty; a null id is the largest; repeated rows are in one component.  Tables
-without rows or links give each document its own component.
+Orders.  Every global order of the shingles gives each set a prefix of n - ceil(t n) + 1
+shingles, and linked sets share a prefix shingle under every order.  All orders put the shingles
+that many documents hold last (their counts are found in a first pass that reports a shingle only
+where a slice of documents repeats it, and only shingles above a share of all documents are kept,
+whose number that share bounds); within equal counts each order follows a hash of its own.
+
+Candidates.  The prefixes under each order are dealt to buckets by shingle; a set that shares none
+under one of the orders leaves.  Each list of a prefix shingle has a hub, its member with the
+smallest identity; the sets of all lists of one order with one hub are a group,
+so any two sets that share a prefix shingle under an order are in one of its groups.  The groups
+of the three orders are intersected by a join on the set alone, and intersections with one hub are
+a group again: sets stay together only if they are in one group under every order.  What is larger than BLOCK sets or BLOCK_SHINGLES shingles
+even then (a family of near copies) is split by size class (linked sets are of one class or of
+neighbouring ones) and each class into blocks; a task compares two blocks.  There pairs must pass
+the sizes and a bound from histograms of their shingles over CELLS cells.  No text is fetched
+before all that.
+
+Verification.  The sets left in a comparison come with their texts, and shared shingles are
+counted exactly.  Two sets may meet in several groups; their pair belongs to the smallest group
+they share and is counted there only.  A comparison gives the number of links of each of its sets
+(weighed by the copies of the other end) and links that join its sets into components, never all
+pairs; similar_links gives all links as a table to whoever asks for them.
+
+Shingles are compared by 64-bit hashes, sets are identified by 64-bit sums of them and their size:
+at some 10**9 documents one pair of unlike sets is expected to share its identity.  Null text is
+empty; a null id is the largest; repeated rows are in one component.  Tables without rows or links
+give each document its own component.  A long text is read in parts; its shingles are held whole,
+some 20 bytes for a word.
 """
 
 from __future__ import annotations
@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Words, buckets_for, doc_id_of, keyed, materialize, mix, pack, pack_parts, pack_text_column, slices, table, text_bytes, unpack, unpack_parts
+from .common import buckets_for, doc_id_of, keyed, materialize, mix, pack, pack_parts, pack_text_column, released, slices, table, text_bytes, unpack, unpack_parts
 from .components import components
 from .fingerprint import shingle_hashes
 
@@ -53,21 +53,24 @@ SHINGLE = 5
 PERCENT = 80
 #: A shingle is frequent if at least one document in so many holds it.
 FREQUENT = 2000
-ANCHOR_BYTES = 16 << 20
+ANCHOR_BYTES = 64 << 20
 SALTS = 16
 CELLS = 512
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 21
 #: Rows that one task of the join reads, on average, in its first and second pass.
 TASK_ROWS = (2000, 500)
-#: Orders checked by _verified with the exact comparison; the first picks the lists.
+#: The global orders whose prefixes are intersected.
 ORDERS = (0, 1, 2)
+#: Sets that a task remembers to have posted, in each of two generations.
+POSTED = 100_000
 
 
 def sets(texts: list[bytes], n: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """(text index, shingle hash), distinct, sorted by text."""
     doc, h, _ = shingle_hashes(texts, n, lower=True)
-    order = np.lexsort((h, doc))
+    order = np.argsort(h)
+    order = order[np.argsort(doc[order].astype(np.uint16 if len(texts) <= 65536 else np.int64), kind="stable")]
     doc, h = doc[order], h[order]
     first = np.concatenate([[True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])]) if len(doc) else np.zeros(0, bool)
     return doc[first], h[first]
@@ -88,6 +91,7 @@ def prefix_size(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
 def frequent_shingles(rows: DataFrame, documents: int) -> np.ndarray:
     """Sorted hashes and counts (two rows of one array) of the shingles that slices report often enough."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for _, texts in slices(b, 2):
@@ -108,78 +112,101 @@ def counts_of(h: np.ndarray, frequent: np.ndarray) -> np.ndarray:
     return np.where(frequent[0][at] == h, frequent[1][at], np.uint64(0))
 
 
-def prefixes(doc: np.ndarray, h: np.ndarray, size: np.ndarray, count: np.ndarray, order: int, percent: int) -> np.ndarray:
-    """Indexes of the prefix shingles of every set under one global order."""
-    by = np.lexsort((mix(h + np.uint64((order + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)), count, doc))
+def prefixes(doc: np.ndarray, h: np.ndarray, size: np.ndarray, count: np.ndarray, order: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(index, 40-bit token) of the prefix shingles of every set under one global order: by powers of two of their counts, then by token."""
+    token = mix(h + np.uint64((order + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1)) & np.uint64((1 << 40) - 1)
+    rare = np.frexp(count.astype(np.float64))[1].astype(np.uint64) << np.uint64(40)
+    by = np.argsort(doc.astype(np.uint64) << np.uint64(48) | rare | token, kind="stable")
     first = np.cumsum(size) - size
-    rank = np.arange(len(by)) - first[doc[by]]
-    return by[rank < prefix_size(size, percent)[doc[by]]]
+    at = by[np.arange(len(by)) - first[doc[by]] < prefix_size(size, percent)[doc[by]]]
+    return at, token[at]
 
 
-def _emit(bucket: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-    order = np.argsort(bucket, kind="stable")
-    edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0, [True]]))
-    rows = [pack_parts(*(c[order[a:b]].tobytes() for c in columns)) for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
-    return pa.RecordBatch.from_arrays([pa.array(bucket[order][edges[:-1]]), pa.array(rows, pa.binary())], ["_bucket", "_z"])
-
-
-def _postings(frequent, order: int, buckets: int, percent: int):
-    """Prefix shingles by bucket: (shingle, set)."""
+def _postings(frequent, buckets: int, percent: int):
+    """Prefix tokens by order and bucket: (token, set, frequent).  A task posts a set once as long as it remembers it; frequent shingles, known to be shared, are dealt evenly."""
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        new: set[int] = set()
+        old: set[int] = set()
         for b in batches:
             for _, texts in slices(b, 2):
                 doc, h = sets(texts)
                 if not len(doc):
                     continue
                 ident, size = set_sums(doc, h, len(texts))
-                at = prefixes(doc, h, size, counts_of(h, frequent.value), order, percent)
-                # copies in one slice post once
-                _, one = np.unique(ident, return_index=True)
-                at = at[np.isin(doc[at], one)]
-                yield _emit((mix(h[at]) % np.uint64(buckets)).astype(np.int64), h[at], ident[doc[at]])
+                distinct, one = np.unique(ident[size > 0], return_index=True)
+                one = np.flatnonzero(size > 0)[one][[f not in new and f not in old for f in distinct.tolist()]]
+                if len(new) > POSTED:
+                    new, old = set(), new
+                new.update(ident[one].tolist())
+                count = counts_of(h, frequent.value)
+                mine = np.zeros(len(texts), bool)
+                mine[one] = True
+                for order in ORDERS:
+                    at, token = prefixes(doc, h, size, count, order, percent)
+                    keep = mine[doc[at]]
+                    at, token = at[keep], token[keep]
+                    many = count[at] > 0
+                    key = mix(np.where(many, token ^ mix(ident[doc[at]].view(np.uint64)), token))
+                    bucket = (key % np.uint64(buckets)).astype(np.int64)
+                    by = np.argsort(bucket, kind="stable")
+                    edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[by]) != 0, [True]])) if len(by) else np.zeros(1, np.int64)
+                    rows = []
+                    for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                        i = by[x:y]
+                        docs, which = np.unique(doc[at[i]], return_inverse=True)
+                        rows.append(pack_parts(token[i].astype("<u4").tobytes(), (token[i] >> np.uint64(32)).astype("u1").tobytes(), which.astype("<u2").tobytes(), ident[docs].tobytes(), many[i].tobytes()))
+                    yield pa.RecordBatch.from_arrays([pa.array(bucket[by[edges[:-1]]] * len(ORDERS) + order), pa.array(rows, pa.binary())], ["_bucket", "_z"])
 
     return run
 
 
+@released
 def _lists(group: pa.Table) -> pa.Table:
-    """(shingle, set) of the shingles that at least two sets post."""
-    parts = [unpack_parts(z) for z in group.column("_z").to_pylist()]
-    h = np.concatenate([np.frombuffer(p[0], "<u8") for p in parts])
-    f = np.concatenate([np.frombuffer(p[1], "<i8") for p in parts])
-    order = np.lexsort((f, h))
-    h, f = h[order], f[order]
-    first = np.concatenate([[True], (h[1:] != h[:-1]) | (f[1:] != f[:-1])])
-    h, f = h[first], f[first]
-    _, back, n = np.unique(h, return_inverse=True, return_counts=True)
-    keep = n[back] > 1
-    return pa.table({"_h": pa.array(h[keep].view(np.int64)), "_f": pa.array(f[keep])})
-
-
-def digests(rows: DataFrame, frequent) -> DataFrame:
-    """_ord, _th, _f (set), _n (size), _w (share of frequent shingles) of every document."""
-
+    """(_o order, _b, _f, _many): sets around the hubs of the lists of a bucket, or the lists of frequent tokens, whose other members are in other buckets."""
+    parts = [unpack_parts(z.as_py()) for z in group.column("_z")]
+    token = np.concatenate([np.frombuffer(p[0], "<u4").astype(np.int64) | np.frombuffer(p[1], "u1").astype(np.int64) << 32 for p in parts])
+    f = np.concatenate([np.frombuffer(p[3], "<i8")[np.frombuffer(p[2], "<u2")] for p in parts])
+    many = np.concatenate([np.frombuffer(p[4], bool) for p in parts])
+    order = int(group.column("_bucket")[0].as_py()) % len(ORDERS)
+    own, own_f = token[~many], f[~many]
+    by = np.lexsort((own_f, own))
+    own, own_f = own[by], own_f[by]
+    head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+    n = np.diff(np.append(head, len(own)))
+    hub = np.repeat(own_f[head], n)  # the smallest set
+    keep = np.repeat(own_f[head] != own_f[head + n - 1], n)
+    pairs = np.unique(np.stack([hub[keep], own_f[keep]], 1), axis=0) if keep.any() else np.zeros((0, 2), np.int64)
+    rest = np.unique(np.stack([-1 - token[many], f[many]], 1), axis=0) if many.any() else np.zeros((0, 2), np.int64)
+    both = np.concatenate([pairs, rest])
+    return pa.table({"_o": pa.array(np.full(len(both), order, np.int32)), "_b": pa.array(both[:, 0]), "_f": pa.array(both[:, 1]), "_many": pa.array(np.arange(len(both)) >= len(pairs))})
+
+
+def digests(rows: DataFrame) -> DataFrame:
+    """_ord, _th, _f (set), _n (size) of every document."""
+
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for first, texts in slices(b, 2):
                 doc, h = sets(texts)
                 ident, size = set_sums(doc, h, len(texts))
-                share = np.bincount(doc, weights=counts_of(h, frequent.value) > 0, minlength=len(texts)) / np.maximum(size, 1)
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), b.column(1).slice(first, len(texts)), pa.array(ident), pa.array(size, pa.int64()), pa.array(share)], ["_ord", "_th", "_f", "_n", "_w"])
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(texts)), b.column(1).slice(first, len(texts)), pa.array(ident), pa.array(size, pa.int64())], ["_ord", "_th", "_f", "_n"])
 
-    return rows.select("_ord", "_th", "_text").mapInArrow(run, "_ord long, _th long, _f long, _n long, _w double")
+    return rows.select("_ord", "_th", "_text").mapInArrow(run, "_ord long, _th long, _f long, _n long")
 
 
+@released
 def _histograms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Adds the packed histogram of every set to (_f, _n, _w, _z)."""
+    """Adds the packed histogram of every set to (_f, _n, _m, _z)."""
     for b in batches:
-        out: list[bytes] = []
         raw = pa.RecordBatch.from_arrays([pa.array([unpack(z.as_py()) for z in b.column(3)], pa.binary())], ["_text"])
-        for _, texts in slices(raw, 0):
+        for first, texts in slices(raw, 0, rows=1024):
             doc, h = sets(texts)
             cells = np.bincount(doc * CELLS + (mix(h + np.uint64(77)) % np.uint64(CELLS)).astype(np.int64), minlength=len(texts) * CELLS)
-            out += [pack(c.tobytes()) for c in np.minimum(cells, 65535).astype("<u2").reshape(-1, CELLS)]
-        yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.binary())], ["_f", "_n", "_w", "_z", "_s"])
+            packed = [pack(c.tobytes()) for c in np.minimum(cells, 65535).astype("<u2").reshape(-1, CELLS)]
+            yield pa.RecordBatch.from_arrays([*b.slice(first, len(texts)).columns, pa.array(packed, pa.binary())], ["_f", "_n", "_m", "_z", "_s"])
 
 
 def _cells(column: pa.Array) -> np.ndarray:
@@ -192,73 +219,6 @@ def _can_link(shared, a, b, percent: int) -> np.ndarray:
     return big | ((100 * shared >= percent * (a + b - shared)) & (100 * np.minimum(a, b) >= percent * np.maximum(a, b)))
 
 
-def _near_hub(percent: int):
-    """(x, y) of the (hub, member) rows whose histograms allow a link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            x, y, nx, ny = (b.column(i).to_numpy().astype(np.int64) for i in range(4))
-            ok = np.zeros(len(x), bool)
-            for at in range(0, len(x), 1024):
-                shared = np.minimum(_cells(b.column(4).slice(at, 1024)), _cells(b.column(5).slice(at, 1024))).sum(1, dtype=np.int64)
-                ok[at : at + 1024] = _can_link(shared, nx[at : at + 1024], ny[at : at + 1024], percent)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)[ok]), pa.array(np.maximum(x, y)[ok])], ["x", "y"])
-
-    return run
-
-
-def _between(percent: int):
-    """(x, y) of a block of sets outside a group's largest component against a block of all its sets."""
-
-    def run(group: pa.Table) -> pa.Table:
-        f, n, c = (group.column(k).to_numpy() for k in ("_f", "_n", "c"))
-        left = group.column("_left").to_numpy(zero_copy_only=False)
-        cells = _cells(group.column("_s").combine_chunks())
-        l, r = np.flatnonzero(left), np.flatnonzero(~left)
-        xs, ys = [], []
-        for i in l.tolist():
-            shared = np.minimum(cells[r], cells[i]).sum(1, dtype=np.int64)
-            hit = r[_can_link(shared, n[r], np.full(len(r), n[i]), percent) & (c[r] != c[i])]
-            xs.append(np.minimum(f[hit], f[i]))
-            ys.append(np.maximum(f[hit], f[i]))
-        e = np.zeros(0, np.int64)
-        return pa.table({"x": pa.array(np.concatenate(xs) if xs else e, pa.int64()), "y": pa.array(np.concatenate(ys) if ys else e, pa.int64())})
-
-    return run
-
-
-def _verified(frequent, percent: int):
-    """Links among pairs: prefixes must meet under every order, then whole sets are compared."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            xs, ys = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for at in range(0, len(xs), 256):
-                za = [unpack(z.as_py()) for z in b.column(2).slice(at, 256)]
-                zb = [unpack(z.as_py()) for z in b.column(3).slice(at, 256)]
-                k = len(za)
-                doc, h = sets(za + zb)
-                size = np.bincount(doc, minlength=2 * k)
-                count = counts_of(h, frequent.value)
-                pair = doc % k
-                order = np.lexsort((doc, h, pair))
-                same = (pair[order][1:] == pair[order][:-1]) & (h[order][1:] == h[order][:-1]) & (doc[order][1:] != doc[order][:-1])
-                hit, mate = order[:-1][same], order[1:][same]
-                meets = np.ones(k, bool)
-                for o in ORDERS:
-                    in_prefix = np.zeros(len(h), bool)
-                    in_prefix[prefixes(doc, h, size, count, o, percent)] = True
-                    meets &= np.bincount(pair[hit], weights=in_prefix[hit] & in_prefix[mate], minlength=k) > 0
-                shared = np.bincount(pair[hit], minlength=k)
-                united = size[:k] + size[k:] - shared
-                i = np.flatnonzero(meets & (100 * shared >= percent * united) & (shared > 0)).tolist()
-                yield pa.RecordBatch.from_arrays([pa.array([xs[at + j] for j in i], pa.int64()), pa.array([ys[at + j] for j in i], pa.int64())], ["x", "y"])
-
-    return run
-
-
 def _pieces(group: pa.Table) -> Iterator[pa.Table]:
     """The comparisons (_t) of a bucket."""
     t = group.column("_t").to_numpy()
@@ -269,31 +229,6 @@ def _pieces(group: pa.Table) -> Iterator[pa.Table]:
         yield group.slice(a, b - a)
 
 
-def _near(percent: int):
-    """(_t, _f, _left, _right) of the sets that sizes and histograms let link with one of the other side."""
-
-    def run(group: pa.Table) -> pa.Table:
-        out = []
-        for g in _pieces(group):
-            f, n, left, right = (g.column(k).to_numpy(zero_copy_only=False) if isinstance(g.column(k), pa.Array) else g.column(k).to_numpy() for k in ("_f", "_n", "_left", "_right"))
-            cells = _cells(g.column("_s").combine_chunks())
-            r = np.flatnonzero(right)
-            r = r[np.argsort(n[r], kind="stable")]
-            near_left, near_right = np.zeros(len(f), bool), np.zeros(len(f), bool)
-            for i in np.flatnonzero(left).tolist():
-                a, b = np.searchsorted(n[r], [-(-n[i] * percent // 100), n[i] * 100 // percent + 1])
-                some = r[a:b]
-                shared = np.minimum(cells[some], cells[i]).sum(1, dtype=np.int64)
-                hit = some[_can_link(shared, n[some], np.full(len(some), n[i]), percent) & (f[some] != f[i])]
-                near_left[i] = len(hit) > 0
-                near_right[hit] = True
-            keep = near_left | near_right
-            out.append(pa.table({"_t": g.column("_t").filter(pa.array(keep)), "_f": pa.array(f[keep]), "_left": pa.array(near_left[keep]), "_right": pa.array(near_right[keep])}))
-        return pa.concat_tables(out)
-
-    return run
-
-
 def shared_shingles(doc: np.ndarray, h: np.ndarray, left: np.ndarray, right: np.ndarray, texts: int) -> np.ndarray:
     """Shingles that every set of left shares with every set of right."""
     _, column, n = np.unique(h, return_inverse=True, return_counts=True)
@@ -310,42 +245,137 @@ def shared_shingles(doc: np.ndarray, h: np.ndarray, left: np.ndarray, right: np.
     return shared
 
 
-def _exact(percent: int):
-    """Links (x, y, shared, united) between the sides of every comparison, from whole sets."""
+def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(row, token) of an array column."""
+    size = column.value_lengths().to_numpy()
+    return np.repeat(np.arange(len(size)), size), column.flatten().to_numpy()
+
+
+def _not_owned(g: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Whether a set of left and one of right share a group that comes before the one of this comparison."""
+    row, of = _tokens(g.column("_gs").combine_chunks() if isinstance(g.column("_gs"), pa.ChunkedArray) else g.column("_gs"))
+    own = int(g.column("_b")[0].as_py())
+    before = of < own
+    return shared_shingles(row[before], of[before], left, right, g.num_rows) > 0
+
+
+def _side(g: pa.Table, name: str) -> np.ndarray:
+    return np.flatnonzero(g.column(name).to_numpy(zero_copy_only=False) if isinstance(g.column(name), pa.Array) else g.column(name).to_numpy())
+
+
+def _flat(column) -> pa.Array:
+    return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+
 
+def _near(percent: int):
+    """(_t, _b, _gs, _f, _left, _right) of the sets that sizes and histograms let link with one of the other side."""
+
+    @released
+    def run(group: pa.Table) -> pa.Table:
+        out = []
+        for g in _pieces(group):
+            f, n = (_flat(g.column(k)).to_numpy() for k in ("_f", "_n"))
+            l, r = _side(g, "_left"), _side(g, "_right")
+            near_left, near_right = np.zeros(len(f), bool), np.zeros(len(f), bool)
+            ok = f[l][:, None] != f[r][None, :]
+            ok &= 100 * np.minimum(n[l][:, None], n[r][None, :]) >= percent * np.maximum(n[l][:, None], n[r][None, :])
+            if ok.any():
+                ok &= ~_not_owned(g, l, r)
+                cells = _cells(_flat(g.column("_s")))
+                for i in np.flatnonzero(ok.any(1)).tolist():
+                    some = np.flatnonzero(ok[i])
+                    shared = np.minimum(cells[r[some]], cells[l[i]]).sum(1, dtype=np.int64)
+                    hit = r[some[_can_link(shared, n[r[some]], np.full(len(some), n[l[i]]), percent)]]
+                    near_left[l[i]] = len(hit) > 0
+                    near_right[hit] = True
+            keep = pa.array(near_left | near_right)
+            kept = [_flat(g.column(c)).filter(keep) for c in ("_t", "_b", "_gs", "_f")]
+            out.append(pa.table([*kept, pa.array(near_left).filter(keep), pa.array(near_right).filter(keep)], ["_t", "_b", "_gs", "_f", "_left", "_right"]))
+        return pa.concat_tables(out)
+
+    return run
+
+
+def joining(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(i, j) of some of the links of a symmetric table that join what all of them join."""
+    label = np.arange(len(linked))
+    a, b = [], []
+    for i in range(len(linked)):
+        js = np.flatnonzero(linked[i])
+        for c, at in zip(*np.unique(label[js], return_index=True), strict=True):
+            if c != label[i]:
+                a.append(i)
+                b.append(int(js[at]))
+                label[label == c] = label[i]
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def _exact(percent: int, every: bool):
+    """From whole sets: every link (x, y, shared, united), or the links that join (x, y) and the weight of each set's links (x, null, weight)."""
+
+    @released
     def run(group: pa.Table) -> pa.Table:
         out = []
         for g in _pieces(group):
-            f = g.column("_f").to_numpy()
-            l, r = (np.flatnonzero(g.column(k).to_numpy()) for k in ("_left", "_right"))
-            doc, h = sets([unpack(z) for z in g.column("_z").to_pylist()])
+            f, m = (_flat(g.column(k)).to_numpy() for k in ("_f", "_m"))
+            l, r = _side(g, "_left"), _side(g, "_right")
+            doc, h = sets([unpack(z.as_py()) for z in g.column("_z")])
             size = np.bincount(doc, minlength=len(f))
             shared = shared_shingles(doc, h, l, r, len(f))
             united = size[l][:, None] + size[r][None, :] - shared
-            i, j = np.nonzero((100 * shared >= percent * united) & (shared > 0) & (f[l][:, None] != f[r][None, :]))
-            x, y = f[l[i]], f[r[j]]
-            out.append(pa.table({"x": np.minimum(x, y), "y": np.maximum(x, y), "shared": shared[i, j], "united": united[i, j]}))
+            link = (100 * shared >= percent * united) & (shared > 0) & (f[l][:, None] != f[r][None, :]) & ~_not_owned(g, l, r)
+            both = len(np.intersect1d(l, r)) > 0  # a block against itself: every pair stands there both ways
+            if every:
+                i, j = np.nonzero(link & (f[l][:, None] < f[r][None, :]) if both else link)
+                x, y = f[l[i]], f[r[j]]
+                out.append(pa.table({"x": np.minimum(x, y), "y": np.maximum(x, y), "shared": shared[i, j], "united": united[i, j]}))
+                continue
+            weight = np.zeros(len(f), np.int64)
+            np.add.at(weight, l, link @ m[r])
+            if not both:
+                np.add.at(weight, r, m[l] @ link)
+            table_ = np.zeros((len(f), len(f)), bool)
+            table_[np.ix_(l, r)] = link
+            a, b = joining(table_ | table_.T)
+            some = np.flatnonzero(weight)
+            x, y = np.concatenate([f[a], f[some]]), np.concatenate([f[b], np.zeros(len(some), np.int64)])
+            is_link = np.arange(len(x)) < len(a)
+            out.append(pa.table({"x": x, "y": pa.array(y, mask=~is_link), "weight": np.concatenate([np.zeros(len(a), np.int64), weight[some]])}))
         return pa.concat_tables(out)
 
     return run
 
 
-def _comparisons(groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(_t, _f, _left, _right): which sets are on which side of which comparison, so that any two sets of a group that can link meet in one."""
+def _salted(rows: DataFrame, few: DataFrame, keys: list[str], salt, how: str = "inner") -> DataFrame:
+    """rows joined with a table of one row a key, whose rows are repeated for SALTS salts so that no key's rows meet in one task."""
+    many = few.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(salt, F.lit(SALTS)).cast("int")).join(many, [*keys, "_salt"], how).drop("_salt")
+
+
+def _sized(groups: DataFrame, sizes: DataFrame) -> DataFrame:
+    """_b, _f, _n, _small of the groups that have two sets or more."""
     sized = groups.join(sizes, "_f")
+    whole = sized.groupBy("_b").agg(F.count("*").alias("m"), F.sum("_n").alias("s")).where("m > 1").select("_b", ((F.col("m") <= BLOCK) & (F.col("s") <= BLOCK_SHINGLES)).alias("_small"))
+    return materialize(_salted(sized, whole, ["_b"], F.xxhash64("_f")).select("_b", "_f", "_n", "_small"))
+
+
+def _around_hubs(lists: DataFrame) -> DataFrame:
+    """(_b, _f): the sets of lists (_h, _f) of two sets or more around the hub of each, its smallest set."""
+    hubs = lists.groupBy("_h").agg(F.min("_f").alias("_b"), F.max("_f").alias("_last")).where("_b < _last").select("_h", "_b")
+    return _salted(lists, hubs, ["_h"], F.xxhash64("_f")).select("_b", "_f").distinct()
+
+
+def _comparisons(large: DataFrame, small: DataFrame, percent: int) -> DataFrame:
+    """(_t, _b, _f, _left, _right): which sets are on which side of which comparison, so that any two sets of a group that can link meet in one."""
     # a little wider than the ratio of linked sizes, so that rounding parts no neighbours
     ratio = 100 / percent * 1.001
-    sized = sized.withColumn("_k", F.floor(F.log(F.col("_n").cast("double")) / float(np.log(ratio))))
-    whole = sized.groupBy("_b").agg(F.count("*").alias("m"), F.sum("_n").alias("s"), F.max("_n").alias("most")).where("m > 1").withColumn("_small", (F.col("m") <= BLOCK) & (F.col("s") <= BLOCK_SHINGLES)).select("_b", "_small")
-    sized = materialize(sized.join(whole, "_b"))
+    large = large.withColumn("_k", F.floor(F.log(F.col("_n").cast("double")) / float(np.log(ratio))))
     both = (F.lit(True).alias("_left"), F.lit(True).alias("_right"))
-    small = sized.where("_small").select(F.xxhash64("_b").alias("_t"), "_f", *both)
-
-    large = sized.where(~F.col("_small"))
-    per = large.groupBy("_b", "_k").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("p"))
+    per = materialize(large.groupBy("_b", "_k").agg(F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("_n") / BLOCK_SHINGLES)).cast("int").alias("p")))
     up = per.select("_b", (F.col("_k") - 1).alias("_k"), F.col("p").alias("p_up"))
     down = per.select("_b", (F.col("_k") + 1).alias("_k"), F.col("p").alias("p_down"))
-    at = large.join(per, ["_b", "_k"]).join(up, ["_b", "_k"], "left").join(down, ["_b", "_k"], "left").withColumn("_i", F.pmod(F.xxhash64("_f"), F.col("p")).cast("int"))
+    near = per.join(up, ["_b", "_k"], "left").join(down, ["_b", "_k"], "left")
+    at = _salted(large, near, ["_b", "_k"], F.xxhash64("_f")).withColumn("_i", F.pmod(F.xxhash64("_f"), F.col("p")).cast("int"))
     task = lambda k, i, step, j: F.xxhash64("_b", k, i, F.lit(step), j).alias("_t")
     side = lambda left: (F.lit(left).alias("_left"), F.lit(not left).alias("_right"))
     upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1)).alias("_j")
@@ -354,12 +384,12 @@ def _comparisons(groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame
     above = at.where("p_up is not null").select("_b", "_k", "_i", "_f", upto(F.col("p_up")))
     below = at.where("p_down is not null").select("_b", "_k", "_i", "_f", upto(F.col("p_down")))
     rows = [
-        small,
-        within.where("_i = _j").select(task(k, i, 0, j), "_f", *both),
-        within.where("_i < _j").select(task(k, i, 0, j), "_f", *side(True)),
-        within.where("_i > _j").select(task(k, j, 0, i), "_f", *side(False)),
-        above.select(task(k, i, 1, j), "_f", *side(True)),
-        below.select(task(k - 1, j, 1, i), "_f", *side(False)),
+        small.select(F.xxhash64("_b").alias("_t"), "_b", "_f", *both),
+        within.where("_i = _j").select(task(k, i, 0, j), "_b", "_f", *both),
+        within.where("_i < _j").select(task(k, i, 0, j), "_b", "_f", *side(True)),
+        within.where("_i > _j").select(task(k, j, 0, i), "_b", "_f", *side(False)),
+        above.select(task(k, i, 1, j), "_b", "_f", *side(True)),
+        below.select(task(k - 1, j, 1, i), "_b", "_f", *side(False)),
     ]
     out = rows[0]
     for r in rows[1:]:
@@ -367,104 +397,72 @@ def _comparisons(groups: DataFrame, sizes: DataFrame, percent: int) -> DataFrame
     return out
 
 
-def similar_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(digests of every document, links between different sets: x < y, shared, united)."""
-    digest, members, groups, _ = _grouped(docs, percent, id_col, text_col)
+def _verified(docs: DataFrame, percent: int, id_col: str, text_col: str, every: bool) -> tuple[DataFrame, DataFrame]:
+    """(digests of every document, what _exact gives of all comparisons)."""
+    spark = docs.sparkSession
+    rows = keyed(docs, id_col, text_col)
+    total = text_bytes(rows, "_text")
+    frequent = spark.sparkContext.broadcast(frequent_shingles(rows, rows.count()))
+    digest = materialize(digests(rows))
+    posted = rows.mapInArrow(_postings(frequent, buckets_for(total, ANCHOR_BYTES, 8), percent), "_bucket long, _z binary")
+    lists = materialize(posted.groupBy("_bucket").applyInArrow(_lists, "_o int, _b long, _f long, _many boolean"))
+
+    # sets that share a prefix shingle under every order, and the intersection of their groups
+    first = digest.where("_n > 0").groupBy("_f").agg(F.min(F.struct("_ord", "_th")).alias("_p"), F.first("_n").alias("_n"), F.count("*").alias("_m"))
+    shared = lists.groupBy("_f").agg(F.countDistinct("_o").alias("_k")).where(F.col("_k") == len(ORDERS))
+    alive = materialize(first.join(shared.select("_f"), "_f"))
+    under = lambda o: lists.where(F.col("_o") == o).join(alive.select("_f"), "_f", "left_semi")
+    by_order = [under(o).where("not _many").select("_b", "_f").unionByName(_around_hubs(under(o).where("_many").select(F.col("_b").alias("_h"), "_f"))).distinct() for o in ORDERS]
+    groups = by_order[0]
+    for more in by_order[1:]:
+        both = groups.join(more.withColumnRenamed("_b", "_c"), "_f").select(F.xxhash64("_b", "_c").alias("_h"), "_f")
+        groups = materialize(_around_hubs(both))
+    sized = _sized(groups, alive.select("_f", "_n"))
+    small, large = sized.where("_small").select("_b", "_f"), sized.where("not _small").select("_b", "_f", "_n")
+    of = sized.groupBy("_f").agg(F.sort_array(F.collect_set("_b")).alias("_gs"))
+
+    # one text and histogram for each set that is still in
+    still = alive.join(sized.select("_f").distinct(), "_f").select("_f", "_n", "_m", F.col("_p._ord").alias("_ord"), F.col("_p._th").alias("_th"))
+    texts = pack_text_column(rows).join(still, ["_ord", "_th"]).dropDuplicates(["_f"]).select("_f", "_n", "_m", "_z")
+    members = materialize(texts.mapInArrow(_histograms, "_f long, _n long, _m long, _z binary, _s binary"))
 
     def dealt(rows: DataFrame, count: int, per: int) -> DataFrame:
         return rows.withColumn("_g", F.pmod("_t", F.lit(max(16, -(-count // per)))))
 
-    sides = materialize(_comparisons(groups, members.select("_f", "_n"), percent))
-    first = dealt(sides.join(members.select("_f", "_n", "_s"), "_f"), sides.count(), TASK_ROWS[0])
-    near = materialize(first.groupBy("_g").applyInArrow(_near(percent), "_t long, _f long, _left boolean, _right boolean"))
-    second = dealt(near.join(members.select("_f", "_z"), "_f"), near.count(), TASK_ROWS[1])
-    links = second.groupBy("_g").applyInArrow(_exact(percent), "x long, y long, shared long, united long")
-    return digest, materialize(links.distinct())
-
-
-def linked(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(_ord, _th, n_shingles, component, _c and n_links of every document, the links).
-
-    n_links counts the other rows whose set is equal or linked: every link weighs the copies of the set at its other end.
-    """
-    digest, links = similar_links(docs, percent, id_col, text_col)
-    copies = digest.where("_n > 0").groupBy("_f").agg(F.count("*").alias("k"))
-    ends = links.select(F.col("x").alias("_f"), F.col("y").alias("o")).unionByName(links.select(F.col("y").alias("_f"), F.col("x").alias("o")))
-    others = ends.join(copies.withColumnRenamed("_f", "o"), "o").groupBy("_f").agg(F.sum("k").alias("n"))
-    weight = copies.join(others, "_f", "left").select("_f", (F.col("k") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
-    return _named(digest, components(links), weight), links
+    sides = materialize(_comparisons(large, small, percent).join(of, "_f"))
+    first_pass = dealt(sides.join(members.select("_f", "_n", "_s"), "_f"), sides.count(), TASK_ROWS[0])
+    near = materialize(first_pass.groupBy("_g").applyInArrow(_near(percent), "_t long, _b long, _gs array<long>, _f long, _left boolean, _right boolean"))
+    second = dealt(near.join(members.select("_f", "_z", "_m"), "_f"), near.count(), TASK_ROWS[1])
+    schema = "x long, y long, shared long, united long" if every else "x long, y long, weight long"
+    return digest, materialize(second.groupBy("_g").applyInArrow(_exact(percent, every), schema))
 
 
-def _grouped(docs: DataFrame, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, object]:
-    """(digests of every document, sets that share a prefix shingle, (_b, _f) groups around hubs, frequent shingles)."""
-    spark = docs.sparkSession
-    rows = keyed(docs, id_col, text_col)
-    total = text_bytes(rows, "_text")
-    frequent = spark.sparkContext.broadcast(frequent_shingles(rows, rows.count()))
-    digest = materialize(digests(rows, frequent))
-    posted = rows.mapInArrow(_postings(frequent, 0, buckets_for(total, ANCHOR_BYTES), percent), "_bucket long, _z binary")
-    lists = materialize(posted.groupBy("_bucket").applyInArrow(_lists, "_h long, _f long"))
-    # one text and histogram for each set that is still in
-    first = digest.where("_n > 0").groupBy("_f").agg(F.min(F.struct("_ord", "_th")).alias("_p"), F.first("_n").alias("_n"), F.max("_w").alias("_w"))
-    alive = first.join(lists.select("_f").distinct(), "_f").select("_f", "_n", "_w", F.col("_p._ord").alias("_ord"), F.col("_p._th").alias("_th"))
-    texts = pack_text_column(rows).join(alive, ["_ord", "_th"]).dropDuplicates(["_f"]).select("_f", "_n", "_w", "_z")
-    members = materialize(texts.mapInArrow(_histograms, "_f long, _n long, _w double, _z binary, _s binary"))
-
-    # groups around hubs
-    sized = lists.join(members.select("_f", "_n", "_w"), "_f")
-    hubs = sized.groupBy("_h").agg(F.max(F.struct("_w", "_n", "_f")).alias("_hub")).select("_h", F.col("_hub._f").alias("_b"))
-    groups = materialize(lists.join(hubs, "_h").select("_b", "_f").distinct())
-    return digest, members, groups, frequent
-
-
-def similar_sets(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(digests of every document, (v, c) component of every set that has a link)."""
-    digest, members, groups, frequent = _grouped(docs, percent, id_col, text_col)
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        z = members.select("_f", "_z")
-        both = pairs.join(z.select(F.col("_f").alias("x"), F.col("_z").alias("_zx")), "x").join(z.select(F.col("_f").alias("y"), F.col("_z").alias("_zy")), "y")
-        return materialize(both.select("x", "y", "_zx", "_zy").mapInArrow(_verified(frequent, percent), "x long, y long"))
-
-    of = members.select("_f", "_n", "_s")
-    stars = groups.where("_b <> _f").join(of.select("_f", F.col("_n").alias("_ny"), F.col("_s").alias("_sy")), "_f").join(of.select(F.col("_f").alias("_b"), F.col("_n").alias("_nx"), F.col("_s").alias("_sx")), "_b")
-    near = stars.select("_b", "_f", "_nx", "_ny", "_sx", "_sy").mapInArrow(_near_hub(percent), "x long, y long").distinct()
-    links = verify(near)
-    found = components(links)
-
-    # what is left between components
-    named = materialize(groups.join(found.withColumnRenamed("v", "_f"), "_f", "left").select("_b", "_f", F.coalesce("c", "_f").alias("c")))
-    per = named.groupBy("_b", "c").agg(F.count("*").alias("k"))
-    main = per.groupBy("_b").agg(F.max(F.struct("k", "c")).alias("m"), F.count("*").alias("kinds"), F.sum("k").alias("size")).where("kinds > 1").select("_b", F.col("m.c").alias("main"), F.col("size"), (F.col("size") - F.col("m.k")).alias("others"))
-    within = named.join(main, "_b").join(of, "_f")
-    n_left, n_right = F.ceil(F.col("others") / BLOCK).cast("int"), F.ceil(F.col("size") / BLOCK).cast("int")
-    block = lambda n: F.pmod(F.xxhash64("_f"), n).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
-    left = within.where("c <> main").select("_b", block(n_left).alias("_i"), spread(n_right).alias("_j"), "_f", "_n", "c", "_s", F.lit(True).alias("_left"))
-    right = within.select("_b", spread(n_left).alias("_i"), block(n_right).alias("_j"), "_f", "_n", "c", "_s", F.lit(False).alias("_left"))
-    rest = left.unionByName(right).groupBy("_b", "_i", "_j").applyInArrow(_between(percent), "x long, y long").distinct()
-    more = verify(rest)
-    return digest, components(links.unionByName(more))
-
-
-def _named(digest: DataFrame, found: DataFrame, weight: DataFrame | None = None) -> DataFrame:
-    """_ord, _th, n_shingles, component, _c (and n_links from weight) of every document; a frequent _c is dealt to salts."""
-    named = digest.join(found.withColumnRenamed("v", "_f"), "_f", "left")
-    more = [] if weight is None else ["n_links"]
-    named = named if weight is None else named.join(weight, "_f", "left").withColumn("n_links", F.coalesce("n_links", F.lit(0).cast("long")))
-    named = named.select("_ord", "_th", F.col("_n").alias("n_shingles"), F.coalesce("c", "_f").alias("_c"), *more)
-    named = materialize(named.withColumn("_salt", F.pmod(F.xxhash64("_ord", "_th"), F.lit(SALTS)).cast("int")))
-    some = named.where("n_shingles > 0")
-    least = some.groupBy("_c").agg(F.min("_ord").alias("component")).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return some.join(least, ["_c", "_salt"]).select("_ord", "_th", "n_shingles", "component", "_c", *more).unionByName(named.where("n_shingles = 0").select("_ord", "_th", "n_shingles", F.col("_ord").alias("component"), "_c", *more))
+def similar_links(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(digests of every document, all links between different sets: x < y, shared, united)."""
+    return _verified(docs, percent, id_col, text_col, True)
 
 
 def classes(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_ord, _th, n_shingles, component (smallest _ord of the component), _c (the component's own key) of every document.
+    """_ord, _th, n_shingles, component (smallest _ord of the component), _c (the component's own key) and n_links of every document.
 
-    Null and repeated ids give unrelated components one `component`; only _c tells them apart.  Rows without words share a _c and are in no component.
+    n_links counts the other rows whose set is equal or linked: every link weighs the copies of the
+    set at its other end.  Null and repeated ids give unrelated components one `component`; only _c
+    tells them apart.  Rows without words share a _c and are in no component.
     """
-    return _named(*similar_sets(docs, percent, id_col, text_col))
+    digest, got = _verified(docs, percent, id_col, text_col, False)
+    copies = digest.where("_n > 0").groupBy("_f").agg(F.count("*").alias("k"))
+    others = got.where("y is null").groupBy(F.col("x").alias("_f")).agg(F.sum("weight").alias("n"))
+    weight = copies.join(others, "_f", "left").select("_f", (F.col("k") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"))
+    found = components(got.where("y is not null")).withColumnRenamed("v", "_f")
+    of_set = weight.join(found, "_f", "left").select("_f", F.coalesce("c", "_f").alias("_c"), "n_links")
+
+    # a set that many documents share, and a component of many sets, are dealt to salts
+    some = _salted(digest.where("_n > 0"), of_set, ["_f"], F.xxhash64("_ord", "_th")).select("_ord", "_th", F.col("_n").alias("n_shingles"), "_c", "n_links")
+    some = materialize(some)
+    least = some.groupBy("_c").agg(F.min("_ord").alias("component"))
+    named = _salted(some, least, ["_c"], F.xxhash64("_ord", "_th")).select("_ord", "_th", "n_shingles", "component", "_c", "n_links")
+    none = digest.where("_n = 0").select("_ord", "_th", F.col("_n").alias("n_shingles"), F.col("_ord").alias("component"), F.col("_f").alias("_c"), F.lit(0).cast("long").alias("n_links"))
+    return named.unionByName(none)
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -481,5 +479,6 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def op2_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
-    found, _ = linked(table(spark, sf_dir, "documents"))
+    """Every document: set size, smallest id reachable by links, and how many other documents are equal or linked."""
+    found = classes(table(spark, sf_dir, "documents"))
     return found.select(doc_id_of().alias("doc_id"), "n_shingles", doc_id_of("component").alias("component_id"), "n_links")

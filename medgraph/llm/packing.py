@@ -15,24 +15,30 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import VOCABULARY, PairIndexBPE, Remembered, byte_letters, text_slices
-from .common import doc_id_of, keyed, materialize, table
+from .bpe import PATTERN, VOCABULARY, PairIndexBPE, Remembered, byte_letters, text_slices
+from .common import doc_id_of, keyed, materialize, released, table
 
 SEQUENCE_TOKENS = 2048
 #: Tokens of one packing group: some two thousand sequences, of which at most about one stays part empty.
 GROUP_TOKENS = 4 << 20
 
-#: Words remembered in a worker, small enough to fit beside what earlier stages of a pipeline left there.
-WORDS = 250_000
+#: Pieces in each of the two generations that a worker remembers, and words.
+PIECES, WORDS = 150_000, 150_000
+
+#: The pieces of words, and the line ends between words.
+PIECES_AND_ENDS = regex.compile(PATTERN + r"|\n")
+END = b"\xff\xff\xff\xff"
 
 _loaded: dict[str, tuple[PairIndexBPE, Remembered]] = {}
 
@@ -48,14 +54,28 @@ def _library(path: str) -> tuple[PairIndexBPE, Remembered]:
         tok.no_padding()
         model, tokenize = PairIndexBPE(path), tok.model.tokenize
         letters = dict(enumerate(byte_letters()))
-        special = {t: np.array([i], "<u4").tobytes() for t, i in model.special.items()}
+        special = {t: i.to_bytes(4, "little") for t, i in model.special.items()}
+
+        def piece_ids(pieces: list[str]) -> list[bytes]:
+            """The library's model on pieces: its normaliser and splitter are slow on single words."""
+            plain = [p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(letters) for p in pieces]
+            return [array("I", [t.id for t in tokenize(p)]).tobytes() for p in plain]
+
+        pieces = Remembered(piece_ids, lambda raw: raw, PIECES)
 
         def encode(words: list[str]) -> list[bytes]:
-            """The library's model on the distinct pieces of new words: its normaliser and splitter are slow on single words."""
-            split = [model.pieces(w) for w in words]
-            distinct = list(set().union(*split) - special.keys())
-            ids = special | {p: np.array([t.id for t in tokenize(p.encode("utf-8").decode("latin-1").translate(letters))], "<u4").tobytes() for p in distinct}
-            return [b"".join(map(ids.__getitem__, s)) for s in split]
+            """Ids of new words, split into pieces all at once; a word with a special token or a capital sigma on its own."""
+            alone = {w for w in words if "<|" in w or "Σ" in w}
+            joined = model.normal("\n".join(w for w in words if w not in alone))
+            split = PIECES_AND_ENDS.findall(joined)
+            odd = {w: model.pieces(w) for w in alone}
+            known = pieces.learn([set(split) - {"\n"}, *([p for p in s if p not in special] for s in odd.values())])
+            known = known | special if alone else known
+            known["\n"] = END
+            # ids are below 2**16, so END stands nowhere in them, aligned or not
+            rest = iter(b"".join(map(known.__getitem__, split)).split(END))
+            del known["\n"]
+            return [b"".join(map(known.__getitem__, odd[w])) if w in alone else next(rest) for w in words]
 
         _loaded[path] = model, Remembered(encode, lambda raw: raw, WORDS)
     return _loaded[path]
@@ -67,6 +87,7 @@ def pieces(df: DataFrame, max_tokens: int = SEQUENCE_TOKENS, end_id: int = 0, vo
     names = ["_ord", "_row", "piece", "start", "length", "ids_crc32"]
     end = np.array([end_id], "<u4").tobytes()
 
+    @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memory = _library(path)
         row = 0

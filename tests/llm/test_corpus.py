@@ -180,12 +180,13 @@ def test_jaccard_links(spark, docs, rows, empty, monkeypatch, block):
     distinct = sorted(set(sets), key=repr)
     pairs = Counter((len(a & b), len(a | b)) for k, a in enumerate(distinct) for b in distinct[:k] if like(a, b))
     want = Counter((order(i), len(s), sum(like(s, o) for o in sets) - bool(s)) for (i, _), s in zip(more, sets))
-    found, links = jaccard.linked(docs.unionByName(frame(spark, more[len(rows) :])))
+    every = docs.unionByName(frame(spark, more[len(rows) :]))
+    found, (_, links) = jaccard.classes(every), jaccard.similar_links(every)
     assert Counter((r.shared, r.united) for r in links.collect()) == pairs
     assert links.where("x >= y").count() == 0 and sum(pairs.values()) > 100
     assert Counter((min(r._ord, BIG), r.n_shingles, r.n_links) for r in found.collect()) == want
     if block == 4:
-        assert jaccard.linked(empty)[0].count() == 0
+        assert jaccard.classes(empty).count() == 0
 
 
 def test_components(spark):
