@@ -176,6 +176,9 @@ class Remembered:
     def __init__(self, encode, entry, most: int = REMEMBERED):
         self.encode, self.entry, self.most, self.seen, self.old = encode, entry, most, {}, {}
 
+    def clear(self) -> None:
+        self.seen, self.old = {}, {}
+
     def learn(self, split: list[list[str]]) -> dict:
         """Makes sure that every word of these texts is remembered."""
         if len(self.seen) > self.most:

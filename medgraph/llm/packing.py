@@ -33,14 +33,14 @@ SEQUENCE_TOKENS = 2048
 #: Tokens of one packing group: some two thousand sequences, of which at most about one stays part empty.
 GROUP_TOKENS = 4 << 20
 
-#: Pieces in each of the two generations that a worker remembers, and words.
-PIECES, WORDS = 150_000, 150_000
+#: Pieces in each of the two generations that a task remembers, and words; characters taken at once.
+PIECES, WORDS, SLICE_CHARS = 100_000, 100_000, 1 << 20
 
 #: The pieces of words, and the line ends between words.
 PIECES_AND_ENDS = regex.compile(PATTERN + r"|\n")
 END = b"\xff\xff\xff\xff"
 
-_loaded: dict[str, tuple[PairIndexBPE, Remembered]] = {}
+_loaded: dict[str, tuple[PairIndexBPE, Remembered, Remembered]] = {}
 
 
 def _library(path: str) -> tuple[PairIndexBPE, Remembered]:
@@ -77,8 +77,11 @@ def _library(path: str) -> tuple[PairIndexBPE, Remembered]:
             del known["\n"]
             return [b"".join(map(known.__getitem__, odd[w])) if w in alone else next(rest) for w in words]
 
-        _loaded[path] = model, Remembered(encode, lambda raw: raw, WORDS)
-    return _loaded[path]
+        _loaded[path] = model, Remembered(encode, lambda raw: raw, WORDS), pieces
+    model, words, pieces = _loaded[path]
+    words.clear()  # the memory is a task's: a reused worker would keep it for the stages after
+    pieces.clear()
+    return model, words
 
 
 def pieces(df: DataFrame, max_tokens: int = SEQUENCE_TOKENS, end_id: int = 0, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -93,7 +96,7 @@ def pieces(df: DataFrame, max_tokens: int = SEQUENCE_TOKENS, end_id: int = 0, vo
         row = 0
         for b in batches:
             ords = b.column(0).to_pylist()
-            for first, some in text_slices(b.column(1).to_pylist()):
+            for first, some in text_slices(b.column(1).to_pylist(), SLICE_CHARS):
                 split = [model.words(t) for t in some]
                 known = memory.learn(split)
                 out: list[tuple] = []
@@ -104,6 +107,7 @@ def pieces(df: DataFrame, max_tokens: int = SEQUENCE_TOKENS, end_id: int = 0, vo
                         out.append((ords[first + i], row, k, at // 4, len(part) // 4, zlib.crc32(part)))
                     row += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
+        _library(path)
 
     return keyed(df, id_col, text_col).select("_ord", "_text").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 

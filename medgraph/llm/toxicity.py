@@ -40,8 +40,8 @@ TOXIC_DICT, ORDINARY_DICT = 8192, 65536
 LEVEL = 3
 #: Share of the ids, by checksum, on which nothing is learnt.
 HELD_OUT = 5
-#: Words remembered in a worker; beyond it the memory starts anew.
-REMEMBERED = 500_000
+#: Words remembered in a task, beyond which the memory starts anew; characters taken at once.
+REMEMBERED, SLICE_CHARS = 250_000, 1 << 20
 FLOOR, STRONG = 0.5, 1.5
 
 
@@ -181,7 +181,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, some in text_slices(b.column(2).to_pylist()):
+            for first, some in text_slices(b.column(2).to_pylist(), SLICE_CHARS):
                 got = model.score([windows(t) for t in some])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(some)), b.column(1).slice(first, len(some)), pa.array(got)], ["_ord", "_th", "score"])
 
@@ -206,7 +206,7 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [t or "" for t in b.column(at).to_pylist()]
-            keep = [s < 0.5 for _, some in text_slices(texts) for s in model.score([windows(t) for t in some])]
+            keep = [s < 0.5 for _, some in text_slices(texts, SLICE_CHARS) for s in model.score([windows(t) for t in some])]
             yield b.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema).select(*names)
