@@ -16,7 +16,7 @@ import hashlib
 import json
 import unicodedata
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from heapq import heapify, heappop, heappush
 
 import public_tokenizers
@@ -202,7 +202,7 @@ def loaded(path: str, use: str, entry) -> tuple[PairIndexBPE, Remembered]:
     return _loaded[path, use]
 
 
-def text_slices(texts: list[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
+def text_slices(texts: Iterable[str], most: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
     first, size, some = 0, 0, []
     for i, t in enumerate(texts):
         if some and size + len(t) > most:
@@ -222,7 +222,7 @@ def encode(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memory = loaded(path, "ids", lambda model, ids: ids)
         for b in batches:
-            for first, some in text_slices(b.column(1).to_pylist()):
+            for first, some in text_slices(t.as_py() for t in b.column(1)):
                 split = [model.words(t) for t in some]
                 known = memory.learn(split)
                 ids = [[i for w in s for i in known[w]] for s in split]
@@ -243,7 +243,7 @@ def digests(df: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memory = loaded(path, "digests", lambda model, ids: (len(ids), " ".join(map(str, ids)), model.decode(ids)))
         for b in batches:
-            for first, some in text_slices(b.column(1).to_pylist()):
+            for first, some in text_slices(t.as_py() for t in b.column(1)):
                 split = [model.words(t) for t in some]
                 known = memory.learn(split)
                 n, ids, text = [], [], []

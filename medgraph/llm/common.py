@@ -16,7 +16,6 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -91,20 +90,27 @@ def rewritten(docs: DataFrame, runs: DataFrame, cut) -> DataFrame:
 
     A text of which nothing but white space is left goes; every other row stays as it was.
     """
-    other = [f.name for f in docs.schema.fields if f.name not in ("text", "n_chars")]
+    other = [c for c in docs.columns if c != "text"]
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(MAX_LONG)).alias("_ord"), F.xxhash64(text).alias("_th"), F.col("text").alias("_text"), F.struct(*other).alias("_row"))
     fields = [c for c in runs.columns if c not in ("_ord", "_th")]
     per_doc = runs.groupBy("_ord", "_th").agg(F.collect_list(F.struct(*fields)).alias("_runs"))
 
-    @F.pandas_udf("string")
-    def cut_all(texts: pd.Series, runs: pd.Series) -> pd.Series:
-        return pd.Series([t if r is None or t is None else cut(t.encode("utf-8"), r).decode("utf-8") for t, r in zip(texts, runs, strict=True)], dtype=object)
+    @F.arrow_udf("string")
+    def cut_all(texts: pa.Array, runs: pa.Array) -> pa.Array:
+        """Texts come only where there are runs."""
+        out = [None if t.as_py() is None else cut(t.as_py().encode("utf-8"), r.as_py()).decode("utf-8") for t, r in zip(texts, runs, strict=True)]
+        made = pa.array(out, pa.string())
+        del out
+        release()
+        return made
 
     joined = rows.join(per_doc, ["_ord", "_th"], "left")
-    new = joined.withColumn("_new", F.when(F.col("_runs").isNull(), F.col("_text")).otherwise(cut_all("_text", "_runs")))
+    some = F.when(F.col("_runs").isNotNull(), F.col("_text"))
+    new = joined.withColumn("_new", F.when(F.col("_runs").isNull(), F.col("_text")).otherwise(cut_all(some, F.col("_runs"))))
     kept = new.where(F.col("_runs").isNull() | F.col("_new").rlike(r"\S"))
-    made = {"text": F.col("_new"), "n_chars": F.length("_new").cast("long")}
+    chars = F.when(F.col("_runs").isNull(), F.col("_row.n_chars")).otherwise(F.length("_new")).cast("long") if "n_chars" in docs.columns else None
+    made = {"text": F.col("_new"), "n_chars": chars}
     return kept.select(*[made[c].alias(c) if c in made else F.col("_row")[c].alias(c) for c in docs.columns])
 
 
@@ -161,7 +167,7 @@ def pack_text_column(df: DataFrame) -> DataFrame:
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            z = [pack(t.encode("utf-8")) for t in b.column(2).to_pylist()]
+            z = [pack(t.as_py().encode("utf-8")) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(z, pa.binary())], ["_ord", "_th", "_z"])
 
     return df.select("_ord", "_th", "_text").mapInArrow(run, "_ord long, _th long, _z binary")

@@ -366,7 +366,7 @@ def _around_hubs(lists: DataFrame) -> DataFrame:
 
 
 def _comparisons(large: DataFrame, small: DataFrame, percent: int) -> DataFrame:
-    """(_t, _b, _f, _left, _right): which sets are on which side of which comparison, so that any two sets of a group that can link meet in one."""
+    """(_t, _b, _f, _n, _left, _right): which sets are on which side of which comparison, so that any two sets of a group that can link meet in one."""
     # a little wider than the ratio of linked sizes, so that rounding parts no neighbours
     ratio = 100 / percent * 1.001
     large = large.withColumn("_k", F.floor(F.log(F.col("_n").cast("double")) / float(np.log(ratio))))
@@ -380,21 +380,25 @@ def _comparisons(large: DataFrame, small: DataFrame, percent: int) -> DataFrame:
     side = lambda left: (F.lit(left).alias("_left"), F.lit(not left).alias("_right"))
     upto = lambda n: F.explode(F.sequence(F.lit(0), n - 1)).alias("_j")
     k, i, j = F.col("_k"), F.col("_i"), F.col("_j")
-    within = at.select("_b", "_k", "_i", "_f", upto(F.col("p")))
-    above = at.where("p_up is not null").select("_b", "_k", "_i", "_f", upto(F.col("p_up")))
-    below = at.where("p_down is not null").select("_b", "_k", "_i", "_f", upto(F.col("p_down")))
+    within = at.select("_b", "_k", "_i", "_f", "_n", upto(F.col("p")))
+    above = at.where("p_up is not null").select("_b", "_k", "_i", "_f", "_n", upto(F.col("p_up")))
+    below = at.where("p_down is not null").select("_b", "_k", "_i", "_f", "_n", upto(F.col("p_down")))
     rows = [
-        small.select(F.xxhash64("_b").alias("_t"), "_b", "_f", *both),
-        within.where("_i = _j").select(task(k, i, 0, j), "_b", "_f", *both),
-        within.where("_i < _j").select(task(k, i, 0, j), "_b", "_f", *side(True)),
-        within.where("_i > _j").select(task(k, j, 0, i), "_b", "_f", *side(False)),
-        above.select(task(k, i, 1, j), "_b", "_f", *side(True)),
-        below.select(task(k - 1, j, 1, i), "_b", "_f", *side(False)),
+        small.select(F.xxhash64("_b").alias("_t"), "_b", "_f", "_n", *both),
+        within.where("_i = _j").select(task(k, i, 0, j), "_b", "_f", "_n", *both),
+        within.where("_i < _j").select(task(k, i, 0, j), "_b", "_f", "_n", *side(True)),
+        within.where("_i > _j").select(task(k, j, 0, i), "_b", "_f", "_n", *side(False)),
+        above.select(task(k, i, 1, j), "_b", "_f", "_n", *side(True)),
+        below.select(task(k - 1, j, 1, i), "_b", "_f", "_n", *side(False)),
     ]
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    return out
+    # in order of size, a set that can link with any of its comparison can by size with a neighbour
+    by_size = Window.partitionBy("_t").orderBy("_n", "_f")
+    near = lambda a, b: F.coalesce(100 * a >= percent * b, F.lit(False))
+    mate = near(F.lag("_n").over(by_size), F.col("_n")) | near(F.col("_n"), F.lead("_n").over(by_size))
+    return out.withColumn("_mate", mate).where("_mate").drop("_mate")
 
 
 def _verified(docs: DataFrame, percent: int, id_col: str, text_col: str, every: bool) -> tuple[DataFrame, DataFrame]:
@@ -418,7 +422,7 @@ def _verified(docs: DataFrame, percent: int, id_col: str, text_col: str, every:
         both = groups.join(more.withColumnRenamed("_b", "_c"), "_f").select(F.xxhash64("_b", "_c").alias("_h"), "_f")
         groups = materialize(_around_hubs(both))
     sized = _sized(groups, alive.select("_f", "_n"))
-    small, large = sized.where("_small").select("_b", "_f"), sized.where("not _small").select("_b", "_f", "_n")
+    small, large = sized.where("_small").select("_b", "_f", "_n"), sized.where("not _small").select("_b", "_f", "_n")
     of = sized.groupBy("_f").agg(F.sort_array(F.collect_set("_b")).alias("_gs"))
 
     # one text and histogram for each set that is still in
@@ -430,7 +434,7 @@ def _verified(docs: DataFrame, percent: int, id_col: str, text_col: str, every:
         return rows.withColumn("_g", F.pmod("_t", F.lit(max(16, -(-count // per)))))
 
     sides = materialize(_comparisons(large, small, percent).join(of, "_f"))
-    first_pass = dealt(sides.join(members.select("_f", "_n", "_s"), "_f"), sides.count(), TASK_ROWS[0])
+    first_pass = dealt(sides.join(members.select("_f", "_s"), "_f"), sides.count(), TASK_ROWS[0])
     near = materialize(first_pass.groupBy("_g").applyInArrow(_near(percent), "_t long, _b long, _gs array<long>, _f long, _left boolean, _right boolean"))
     second = dealt(near.join(members.select("_f", "_z", "_m"), "_f"), near.count(), TASK_ROWS[1])
     schema = "x long, y long, shared long, united long" if every else "x long, y long, weight long"

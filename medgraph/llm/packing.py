@@ -19,7 +19,6 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import regex
@@ -96,7 +95,7 @@ def pieces(df: DataFrame, max_tokens: int = SEQUENCE_TOKENS, end_id: int = 0, vo
         row = 0
         for b in batches:
             ords = b.column(0).to_pylist()
-            for first, some in text_slices(b.column(1).to_pylist(), SLICE_CHARS):
+            for first, some in text_slices((t.as_py() for t in b.column(1)), SLICE_CHARS):
                 split = [model.words(t) for t in some]
                 known = memory.learn(split)
                 out: list[tuple] = []
@@ -159,17 +158,19 @@ def pack(
         raise ValueError("a piece exceeds a capacity of an empty sequence")
     groups = max(1, -(-(worst["n"] or 0) // group_tokens))
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["length", "_ord", "_row", "piece"], ascending=[False, True, True, True], kind="stable")
-        length = pdf["length"].to_numpy()
+    @released
+    def run(group: pa.Table) -> pa.Table:
+        length, ords, rows, piece = (group.column(c).to_numpy() for c in ("length", "_ord", "_row", "piece"))
+        by = np.lexsort((piece, rows, ords, -length))
+        group, length = group.take(pa.array(by)), length[by]
         whole = int((length == max_tokens).sum())  # these come first and fill a sequence each
         bins, offsets = best_fit(length[whole:], max_tokens, max_documents, max_cost, weights, score)
-        seq = np.concatenate([np.arange(whole), whole + bins]) + (int(pdf["_group"].iloc[0]) << 32)
-        return pdf.assign(sequence_id=seq, offset=np.concatenate([np.zeros(whole, np.int64), offsets]))
+        seq = np.concatenate([np.arange(whole), whole + bins]) + (int(group.column("_group")[0].as_py()) << 32)
+        return group.append_column("sequence_id", pa.array(seq)).append_column("offset", pa.array(np.concatenate([np.zeros(whole, np.int64), offsets])))
 
     keyed_parts = parts.withColumn("_group", F.pmod(F.xxhash64("_ord", "_row", "piece"), F.lit(groups)))
     schema = ", ".join(f"{c} long" for c in [*keyed_parts.columns, "sequence_id", "offset"])
-    return keyed_parts.groupBy("_group").applyInPandas(run, schema).drop("_group")
+    return keyed_parts.groupBy("_group").applyInArrow(run, schema).drop("_group")
 
 
 def pack_documents(df: DataFrame, **options) -> DataFrame:

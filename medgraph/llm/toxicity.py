@@ -181,7 +181,7 @@ def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for first, some in text_slices(b.column(2).to_pylist(), SLICE_CHARS):
+            for first, some in text_slices((t.as_py() for t in b.column(2)), SLICE_CHARS):
                 got = model.score([windows(t) for t in some])
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(first, len(some)), b.column(1).slice(first, len(some)), pa.array(got)], ["_ord", "_th", "score"])
 
@@ -205,7 +205,7 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = [t or "" for t in b.column(at).to_pylist()]
+            texts = (t.as_py() or "" for t in b.column(at))
             keep = [s < 0.5 for _, some in text_slices(texts, SLICE_CHARS) for s in model.score([windows(t) for t in some])]
             yield b.filter(pa.array(keep, pa.bool_()))
 
