@@ -356,13 +356,13 @@ def _sized(groups: DataFrame, sizes: DataFrame) -> DataFrame:
     """_b, _f, _n, _small of the groups that have two sets or more."""
     sized = groups.join(sizes, "_f")
     whole = sized.groupBy("_b").agg(F.count("*").alias("m"), F.sum("_n").alias("s")).where("m > 1").select("_b", ((F.col("m") <= BLOCK) & (F.col("s") <= BLOCK_SHINGLES)).alias("_small"))
-    return materialize(_salted(sized, whole, ["_b"], F.xxhash64("_f")).select("_b", "_f", "_n", "_small"))
+    return materialize(sized.join(materialize(whole), "_b").select("_b", "_f", "_n", "_small"))
 
 
 def _around_hubs(lists: DataFrame) -> DataFrame:
     """(_b, _f): the sets of lists (_h, _f) of two sets or more around the hub of each, its smallest set."""
     hubs = lists.groupBy("_h").agg(F.min("_f").alias("_b"), F.max("_f").alias("_last")).where("_b < _last").select("_h", "_b")
-    return _salted(lists, hubs, ["_h"], F.xxhash64("_f")).select("_b", "_f").distinct()
+    return lists.join(hubs, "_h").select("_b", "_f").distinct()
 
 
 def _comparisons(large: DataFrame, small: DataFrame, percent: int) -> DataFrame:
@@ -460,11 +460,11 @@ def classes(docs: DataFrame, percent: int = PERCENT, id_col: str = "doc_id", tex
     found = components(got.where("y is not null")).withColumnRenamed("v", "_f")
     of_set = weight.join(found, "_f", "left").select("_f", F.coalesce("c", "_f").alias("_c"), "n_links")
 
-    # a set that many documents share, and a component of many sets, are dealt to salts
-    some = _salted(digest.where("_n > 0"), of_set, ["_f"], F.xxhash64("_ord", "_th")).select("_ord", "_th", F.col("_n").alias("n_shingles"), "_c", "n_links")
+    # both sides of these joins are plain tables, so that Spark can split a set that many documents share, or a component of many sets
+    some = digest.where("_n > 0").join(materialize(of_set), "_f").select("_ord", "_th", F.col("_n").alias("n_shingles"), "_c", "n_links")
     some = materialize(some)
-    least = some.groupBy("_c").agg(F.min("_ord").alias("component"))
-    named = _salted(some, least, ["_c"], F.xxhash64("_ord", "_th")).select("_ord", "_th", "n_shingles", "component", "_c", "n_links")
+    least = materialize(some.groupBy("_c").agg(F.min("_ord").alias("component")))
+    named = some.join(least, "_c").select("_ord", "_th", "n_shingles", "component", "_c", "n_links")
     none = digest.where("_n = 0").select("_ord", "_th", F.col("_n").alias("n_shingles"), F.col("_ord").alias("component"), F.col("_f").alias("_c"), F.lit(0).cast("long").alias("n_links"))
     return named.unionByName(none)
 
