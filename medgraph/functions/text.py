@@ -25,9 +25,15 @@ FINALS = ("", "g", "kk", "gs", "n", "nj", "nh", "d", "l", "lg", "lm", "lb", "ls"
 #: Greek letters and their names.
 GREEK = {"α": "alpha", "β": "beta", "γ": "gamma", "δ": "delta", "ε": "epsilon", "ζ": "zeta", "η": "eta", "θ": "theta", "κ": "kappa", "λ": "lambda", "μ": "mu", "ω": "omega"}
 #: Dosage forms that end a product name, longest first.
-FORMS = ("서방캡슐", "서방정", "주사액", "캡슐", "주사", "시럽", "정", "주", "액")
+FORMS = ("서방캡슐", "서방정", "주사액", "주입액", "현탁액", "캡슐", "주사", "시럽", "분말", "과립", "패치", "키트", "연질", "경질", "정", "주", "펜", "액")
 #: Salts that end an ingredient name.
-SALTS = ("hydrochloride", "dihydrochloride", "mesylate", "acetate", "sulfate", "tosylate", "citrate", "maleate", "phosphate", "sodium", "disodium", "calcium")
+SALTS = ("hydrochloride", "dihydrochloride", "mesylate", "acetate", "sulfate", "tosylate", "citrate", "maleate", "tartrate", "phosphate", "potassium", "sodium", "disodium", "calcium", "magnesium")
+#: Korean salts that end an ingredient name, and their English names.
+SALTS_KO = {"아세테이트": "acetate", "염산염": "hydrochloride", "황산염": "sulfate", "구연산염": "citrate", "이말레산염": "maleate", "말레산염": "maleate", "주석산염": "tartrate", "인산염": "phosphate", "칼륨": "potassium", "나트륨": "sodium", "칼슘": "calcium", "마그네슘": "magnesium"}
+#: Greek letters and their Korean names.
+GREEK_KO = {"α": "알파", "β": "베타", "γ": "감마", "δ": "델타", "ε": "엡실론", "ζ": "제타", "η": "에타", "θ": "세타", "κ": "카파", "λ": "람다", "μ": "뮤", "ω": "오메가"}
+#: Parts of names of recombinant ingredients.
+RECOMBINANT = ("-mab", "filgrastim", "interferon", "interleukin")
 CIRCLED = "①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮"
 
 
@@ -118,15 +124,26 @@ def normalize_key(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(c), r"[\s\-_/,.()]+", ""), r"(?U)[^\w]+", "")
 
 
-def salt_split(c: Column, salts: tuple[str, ...] = SALTS) -> Column:
-    """(base, salt) of an ingredient name."""
+def salt_split(c: Column, salts: tuple[str, ...] = SALTS, korean: dict[str, str] = SALTS_KO) -> Column:
+    """(base, salt) of an ingredient name; an English salt is a last word of its own, a Korean one ends the name, the longest first."""
     end = rf"(?i)\s+({'|'.join(salts)})$"
-    return F.struct(F.trim(F.regexp_replace(c, end, "")).alias("base"), F.nullif(F.lower(F.regexp_extract(c, end, 1)), F.lit("")).alias("salt"))
+    end_ko = f"({'|'.join(sorted(korean, key=lambda k: -len(k)))})$"
+    found = F.nullif(F.lower(F.regexp_extract(c, end, 1)), F.lit(""))
+    found_ko = F.nullif(F.regexp_extract(c, end_ko, 1), F.lit(""))
+    names = F.create_map(*[F.lit(x) for kv in korean.items() for x in kv])
+    base = F.when(found.isNotNull(), F.regexp_replace(c, end, "")).when(found_ko.isNotNull(), F.regexp_replace(c, end_ko, "")).otherwise(c)
+    return F.struct(F.trim(base).alias("base"), F.coalesce(found, names[found_ko]).alias("salt"))
+
+
+def name_with_source(original: Column, extracted: Column, manual: Column) -> Column:
+    """(name, source): the manual name, else an extracted one that differs from the original, else the code system's."""
+    own = extracted.isNotNull() & (extracted != "") & ~extracted.eqNullSafe(original)
+    return F.struct(F.coalesce(manual, F.when(own, extracted), original).alias("name"), F.when(manual.isNotNull(), "manual").when(own, "extracted").otherwise("atc").alias("source"))
 
 
 def is_antibody(c: Column) -> Column:
-    """Recombinant by name."""
-    return F.coalesce(F.lower(c).rlike("mab$"), F.lit(False))
+    """Recombinant by name; null is false."""
+    return F.coalesce(F.lower(c).rlike("|".join(("mab$", *RECOMBINANT))), F.lit(False))
 
 
 def atc_levels(c: Column) -> Column:
@@ -144,12 +161,12 @@ def greek_letters(c: Column) -> Column:
     return F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(bare), F.lit(f"([{''.join(GREEK)}])"), 1)))
 
 
-def greek_synonyms(c: Column) -> Column:
-    """Names with Greek letters spelt out, with and without the hyphen after them; empty without such letters."""
+def greek_synonyms(c: Column, names: dict[str, str] = GREEK) -> Column:
+    """Names with Greek letters spelt out (names: GREEK or GREEK_KO), with and without the hyphen after them; empty without such letters."""
     full = c
-    for letter, name in GREEK.items():
-        full = F.regexp_replace(full, rf"(?i){letter}(?!g|mol|[mlLM])" if letter == "μ" else rf"(?i){letter}", name)
-    plain = F.regexp_replace(full, f"({'|'.join(GREEK.values())})-", "$1")
+    for letter, name in names.items():
+        full = F.regexp_replace(full, rf"(?iu){letter}(?!g|mol|[mlLM])" if letter == "μ" else rf"(?iu){letter}", name)
+    plain = F.regexp_replace(full, f"({'|'.join(names.values())})-", "$1")
     return F.when(F.size(greek_letters(c)) > 0, F.array_sort(F.array_distinct(F.array(full, plain)))).otherwise(F.array().cast("array<string>"))
 
 

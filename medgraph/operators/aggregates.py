@@ -27,9 +27,10 @@ def frequencies(df: DataFrame, key: list[str], k: int | None = None) -> DataFram
     return out.orderBy(F.desc("n"), *key).limit(k) if k else out
 
 
-def match_rates(df: DataFrame, kind: str, value: str) -> DataFrame:
-    """Occurrences and distinct values by kind with their shares."""
-    g = df.groupBy(kind).agg(F.count("*").alias("occurrences"), F.countDistinct(value).alias("distinct_values"))
+def match_rates(df: DataFrame, kind: str, value: str, weight: str | None = None) -> DataFrame:
+    """Occurrences (or the sum of a weight: rows that stand for so many) and distinct values by kind with their shares."""
+    times = F.count("*") if weight is None else F.sum(weight)
+    g = df.groupBy(kind).agg(times.alias("occurrences"), F.countDistinct(value).alias("distinct_values"))
     w = Window.partitionBy()
     return g.withColumn("occurrence_share", F.try_divide("occurrences", F.sum("occurrences").over(w))).withColumn("distinct_share", F.try_divide("distinct_values", F.sum("distinct_values").over(w)))
 
@@ -98,6 +99,21 @@ def tiers(df: DataFrame, key: str, cuts: tuple[int, int, int] = (20, 10, 5)) ->
     return g.withColumn("coverage", F.try_divide("rows", F.sum("rows").over(Window.partitionBy())))
 
 
+def by_path(df: DataFrame, path: str, seq: str, name: str) -> DataFrame:
+    """Documents grouped by their path array: path, document_count, documents (seq, name) by seq."""
+    return df.groupBy(path).agg(F.count("*").alias("document_count"), F.array_sort(F.collect_list(F.struct(seq, name))).alias("documents"))
+
+
+def value_distribution(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """For each of several columns, its values with rows, least, mean and largest of a number: (column, value, n, least, mean, most)."""
+    out = None
+    for c in by:
+        d = df.groupBy(F.col(c).cast("string").alias("value")).agg(F.count("*").alias("n"), F.min(value).alias("least"), F.avg(value).alias("mean"), F.max(value).alias("most"))
+        d = d.select(F.lit(c).alias("column"), "value", "n", "least", "mean", "most")
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 def transitions(df: DataFrame, old: str, new: str) -> DataFrame:
     """Counts by (old, new)."""
     return df.groupBy(old, new).agg(F.count("*").alias("n"))

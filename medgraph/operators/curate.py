@@ -57,10 +57,10 @@ def gate_chain(entries: DataFrame, rules: dict, curated: DataFrame | None = None
         return df.withColumn("reason_codes", F.when(F.col("decision").isNull() & F.coalesce(holds, F.lit(False)), F.array_append("reason_codes", F.lit(reason))).otherwise(F.col("reason_codes")))
 
     hard, cond, hints = (rules.get(k, []) for k in ("hard", "conditional", "hints"))
-    e = gate(e, joins.forbidden(F.col("ko"), hard, cond, F.col("context_span"), hints) | joins.forbidden(F.col("en"), hard, cond, F.col("context_span"), hints), F.lit("drop"), F.lit("FORM_TERM"))
+    form = joins.forbidden_reason(F.col("ko"), hard, cond, F.col("context_span"), hints)
+    e = gate(e, form.isNotNull(), F.lit("drop"), form)
     for kind in ("regimen", "biomarker", "disease"):
         e = gate(e, route_match(F.col("en"), rules.get(kind, []), legacy_unanchored), F.lit(f"route_{kind}"), F.lit(f"ROUTE_{kind.upper()}"))
-    strict_hit = F.lit(False)
     for s in rules.get("suffixes", []):
         en_has, ko_has = F.col("en").endswith(s["en"]), any_suffix(F.col("ko"), s["ko"])
         if s.get("strict"):
@@ -91,12 +91,23 @@ def gate_chain(entries: DataFrame, rules: dict, curated: DataFrame | None = None
     return e.drop("_curated", "_score_it", "_s", "_low", "_seen", "_conflict", "_p")
 
 
-def keyword_classifier(terms: DataFrame, rules: DataFrame, term: str, text: str) -> DataFrame:
-    """Per term the category with the largest (2 x keyword hits + 5 x suffix hits) / priority; ties to the smaller priority number, then name.  rules: category, keyword, kind (keyword or suffix), priority.  Terms without a hit are left out."""
-    hits = F.when(F.col("kind") == "suffix", F.when(F.col(term).endswith(F.col("keyword")), 5).otherwise(0)).otherwise(2 * F.regexp_count(F.col(text), F.concat(F.lit("\\Q"), F.col("keyword"), F.lit("\\E"))))
-    scored = terms.join(rules, F.col(text).contains(F.col("keyword")) | F.col(term).endswith(F.col("keyword")))
-    by = scored.withColumn("_h", hits).groupBy(term, "category", "priority").agg(F.sum("_h").alias("_h")).withColumn("score", F.col("_h") / F.col("priority")).where("score > 0").drop("_h")
-    return top_k(by, [term], [F.desc("score"), F.col("priority"), F.col("category")], 1).drop("rank", "priority")
+def keyword_classifier(terms: DataFrame, rules: DataFrame, term: str, text: str, key: str | None = None) -> DataFrame:
+    """Per term the category with the largest score: 2 for every keyword hit, 5 for a suffix of the term, -3 for a negative keyword, over the category's priority; ties to the smaller priority number, then name.
+
+    rules: category, keyword, kind (keyword, suffix or negative), priority.  key: the terms' id, if
+    terms repeat.  Keywords are looked for in the text, suffixes at the end of the term (see
+    joins.containments); the text is then counted once a hit.  Terms that score 0 or less are left out.
+    """
+    key = key or term
+    inside = joins.containments(terms, [key], text, rules.where("kind <> 'suffix'"), "keyword")
+    at_end = joins.containments(terms, [key], term, rules.where("kind = 'suffix'"), "keyword")
+    found = inside.withColumn("_in", F.lit(True)).unionByName(at_end.withColumn("_in", F.lit(False)))
+    hits = found.join(rules, (F.col("_word") == F.col("keyword")) & (F.col("_in") == (F.col("kind") != "suffix")))
+    of = terms.select(F.col(key).alias("_key"), F.col(term).alias("_term"), F.col(text).alias("_text"))
+    counted = hits.join(of, F.col(key) == F.col("_key"))
+    n = F.when(F.col("kind") == "negative", -3).when(F.col("kind") == "suffix", F.when(F.col("_term").endswith(F.col("keyword")), 5).otherwise(0)).otherwise(2 * F.regexp_count("_text", F.concat(F.lit("\\Q"), F.col("keyword"), F.lit("\\E"))))
+    by = counted.groupBy(key, "category", "priority").agg(F.sum(n).alias("_h")).withColumn("score", F.col("_h") / F.col("priority")).where("score > 0").drop("_h")
+    return top_k(by, [key], [F.desc("score"), F.col("priority"), F.col("category")], 1).drop("rank", "priority")
 
 
 def early_rules(terms: DataFrame, rules: list[tuple[str, str, float]], text: str, scored: DataFrame, term: str) -> DataFrame:
@@ -107,7 +118,7 @@ def early_rules(terms: DataFrame, rules: list[tuple[str, str, float]], text: str
         cat = F.when(m, c) if cat is None else cat.when(m, c)
         conf = F.when(m, f) if conf is None else conf.when(m, f)
     j = terms.withColumn("_c", cat).withColumn("_f", conf).join(scored, term, "left")
-    return j.withColumn("category", F.coalesce("_c", "category")).withColumn("confidence", F.coalesce("_f", F.least(F.col("score") / 10, F.lit(1.0)))).drop("_c", "_f", "score")
+    return j.withColumn("category", F.coalesce("_c", "category")).withColumn("confidence", F.coalesce("_f", F.when(F.col("score").isNotNull(), F.least(F.col("score") / 10, F.lit(1.0))))).drop("_c", "_f", "score")
 
 
 def whitelist_tokens(names: DataFrame, name: str, least: int = 3) -> DataFrame:
@@ -116,11 +127,22 @@ def whitelist_tokens(names: DataFrame, name: str, least: int = 3) -> DataFrame:
     return names.select(F.col(name).alias("token")).unionByName(names.where(F.size(F.split(name, r"\s+")) > 1).select(F.explode(words).alias("token"))).distinct()
 
 
-def choose_examples(terms: DataFrame, pool: DataFrame, term: str, text: str, k: int = 3) -> DataFrame:
-    """For every term and pool kind the k examples with most keyword hits x 2, plus 3 if the category cue occurs.  pool: kind, example, keyword, cue."""
-    score = 2 * F.countDistinct(F.when(F.col(text).contains(F.col("keyword")), F.col("keyword"))) + 3 * F.max(F.col(text).contains(F.col("cue")).cast("int"))
-    hits = terms.join(pool, F.col(text).contains(F.col("keyword")) | F.col(text).contains(F.col("cue"))).groupBy(term, "kind", "example").agg(score.alias("score"))
-    return top_k(hits, [term, "kind"], [F.desc("score"), F.col("example")], k)
+def choose_examples(terms: DataFrame, pool: DataFrame, term: str, text: str, k: int = 3, fixed: int = 1) -> DataFrame:
+    """For every term the k best core and the k best boundary examples and the first `fixed` ones: (term, kind, example, score, rank).
+
+    An example scores 2 for each of its distinct keywords in the text and 3 if one of its category's
+    cues occurs; ties and examples that score 0 follow the pool's order.  pool: kind (core, boundary
+    or fixed), example, seq (its place), keywords and cues (arrays).  The pool is one prompt's worth
+    of examples and meets every term; Spark broadcasts it while its measured size allows.
+    """
+    held = lambda words: F.size(F.filter(F.array_distinct(F.coalesce(words, F.array().cast("array<string>"))), lambda w: F.contains(F.col("_text"), w)))
+    t = terms.select(term, F.coalesce(text, F.lit("")).alias("_text"))
+    few = pool.groupBy(F.lit(1).alias("_one")).agg(F.collect_list(F.struct("kind", "example", "seq", "keywords", "cues")).alias("_pool"))
+    each = t.withColumn("_one", F.lit(1)).join(F.broadcast(few), "_one").select(term, "_text", F.inline("_pool"))
+    score = F.when(F.col("kind") == "fixed", 0).otherwise(2 * held(F.col("keywords")) + 3 * (held(F.col("cues")) > 0).cast("int"))
+    most = F.when(F.col("kind") == "fixed", fixed).otherwise(k)
+    ranked = each.select(term, "kind", "example", "seq", score.alias("score"))
+    return top_k(ranked, [term, "kind"], [F.desc("score"), F.col("seq"), F.col("example")], max(k, fixed)).where(F.col("rank") <= most).drop("seq")
 
 
 def quality_grade(chars: Column, pages: Column, low_ratio: Column) -> Column:

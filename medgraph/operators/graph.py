@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .joins import prefix_expand
-from .ordering import first_by
+from .ordering import checkpointed, first_by
 
 
 def upsert(old: DataFrame, new: DataFrame, key: str, keep_old: bool = True, status: bool = False) -> DataFrame:
@@ -52,6 +52,16 @@ def code_hierarchy(codes: DataFrame, ranges: DataFrame) -> DataFrame:
     return detail.unionByName(block)
 
 
+def delete_labels(nodes: DataFrame, e: DataFrame, labels: list[str] | None, key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """What is left of nodes (with a label column) and edges when the nodes of some labels, or all of them, go before a reload; edges that lose an end go too."""
+    if labels is None:
+        return nodes.limit(0), e.limit(0)
+    left = nodes.where(~F.coalesce(F.col("label").isin(labels), F.lit(False)))
+    ids = left.select(F.col(key).alias("_id")).distinct()
+    kept = e.join(ids, F.col("src_id") == F.col("_id"), "left_semi").join(ids, F.col("dst_id") == F.col("_id"), "left_semi")
+    return left, kept
+
+
 def mapping_edges(nodes: DataFrame, key: str, systems: dict[str, str]) -> DataFrame:
     """MAPS_TO_x edges from code columns."""
     out = None
@@ -64,6 +74,16 @@ def mapping_edges(nodes: DataFrame, key: str, systems: dict[str, str]) -> DataFr
 # --- queries ------------------------------------------------------------------------------------
 
 
+def lookup(nodes: DataFrame, equal: dict, present: list[str], order: list[Column], k: int) -> DataFrame:
+    """Q1: the first k nodes by order whose columns equal the given values and whose present columns are not null."""
+    out = nodes
+    for c, v in equal.items():
+        out = out.where(F.col(c) == v)
+    for c in present:
+        out = out.where(F.col(c).isNotNull())
+    return out.orderBy(*order).limit(k)
+
+
 def one_hop(e: DataFrame, src: DataFrame, dst: DataFrame, src_key: str, dst_key: str) -> DataFrame:
     """Q2: edges with the properties of both ends (columns prefixed src_ and dst_)."""
     a = src.select(F.col(src_key).alias("src_id"), *[F.col(c).alias("src_" + c) for c in src.columns if c != src_key])
@@ -79,19 +99,23 @@ def path(*steps: DataFrame) -> DataFrame:
     return out.select(*[f"n{i}" for i in range(len(steps) + 1)])
 
 
-def descend(spark: SparkSession, e: DataFrame, roots: DataFrame, most: int = 20) -> DataFrame:
-    """Q4: (root, node, depth) of every node below the roots, at its least depth, by a recursive query; depth is bounded, so cycles end."""
-    kind = e.schema["dst_id"].dataType.simpleString()
-    e.createOrReplaceTempView("_descend_edges")
-    roots.createOrReplaceTempView("_descend_roots")
-    found = spark.sql(
-        f"""WITH RECURSIVE below(root, node, depth) AS (
-              SELECT CAST(id AS {kind}), CAST(id AS {kind}), 0 FROM _descend_roots
-              UNION ALL
-              SELECT b.root, d.dst_id, b.depth + 1 FROM below b JOIN _descend_edges d ON d.src_id = b.node WHERE b.depth < {int(most)}
-            ) SELECT * FROM below WHERE depth > 0"""
-    )
-    return found.groupBy("root", "node").agg(F.min("depth").alias("depth"))
+def descend(e: DataFrame, roots: DataFrame, most: int = 20) -> DataFrame:
+    """Q4: (root, node, depth) of every node below the roots (column id), at its least depth.
+
+    A frontier moves down one level a step and leaves nodes already met under its root, so cycles
+    end; each level is checkpointed.  Stops where nothing is left, or at depth `most`.
+    """
+    step = e.select(F.col("src_id").alias("node"), F.col("dst_id").alias("_next")).distinct()
+    front = roots.select(F.col("id").alias("root"), F.col("id").alias("node")).distinct()
+    seen = None
+    for depth in range(1, most + 1):
+        down = front.join(step, "node").select("root", F.col("_next").alias("node")).distinct()
+        front = checkpointed(down if seen is None else down.join(seen, ["root", "node"], "left_anti"))
+        level = front.withColumn("depth", F.lit(depth))
+        seen = level if seen is None else seen.unionByName(level)
+        if front.isEmpty():
+            break
+    return seen
 
 
 def chains(e: DataFrame, least: int = 2, most: int = 3) -> DataFrame:
@@ -181,16 +205,37 @@ QUERY_TEMPLATES = {
 
 
 def ask(spark: SparkSession, template: str, nodes: DataFrame, e: DataFrame, **args) -> DataFrame:
-    nodes.createOrReplaceTempView("nodes")
-    e.createOrReplaceTempView("edges")
-    return spark.sql(QUERY_TEMPLATES[template], args=args)
+    """Q14: the rows of a named template; the tables are bound to the query, no view of the session is touched."""
+    sql = QUERY_TEMPLATES[template].replace("FROM nodes", "FROM {nodes}").replace("JOIN nodes", "JOIN {nodes}").replace("FROM edges", "FROM {edges}").replace("JOIN edges", "JOIN {edges}")
+    used = {k: v for k, v in (("nodes", nodes), ("edges", e)) if "{" + k + "}" in sql}
+    return spark.sql(sql, args=args, **used)
 
 
 def fact_sentences(e: DataFrame, pattern: str, cols: list[str]) -> DataFrame:
-    """Q15: a sentence per edge."""
+    """Q15: a sentence per edge by one pattern."""
     return e.withColumn("sentence", F.format_string(pattern, *cols))
 
 
+#: Q15: sentence kinds and the columns they name.
+SENTENCES = {
+    "HAS_BIOMARKER": ("%s (%s) can have the biomarker %s (%s).", ["disease", "disease_code", "biomarker", "biomarker_en"]),
+    "TESTED_BY": ("%s is tested by %s (code %s).", ["biomarker", "test", "test_code"]),
+    "TARGETS": ("%s (%s) targets %s; it works by %s.", ["drug", "drug_code", "biomarker", "mechanism"]),
+    "TREATED_BY": ("%s is treated in line %s with %s: %s (notice %s).", ["disease", "line", "regimen_type", "drugs", "notice"]),
+}
+
+
+def sentences(facts: dict[str, DataFrame]) -> DataFrame:
+    """Q15: (kind, sentence) of the edges of each kind in SENTENCES; missing values read as a dash, an array is joined by commas in sorted order."""
+    out = None
+    for kind, df in facts.items():
+        pattern, cols = SENTENCES[kind]
+        value = lambda c: F.coalesce(F.array_join(F.array_sort(c), ", ") if df.schema[c].dataType.typeName() == "array" else F.col(c).cast("string"), F.lit("-"))  # noqa: B023, E731
+        d = df.select(F.lit(kind).alias("kind"), F.format_string(pattern, *[value(c) for c in cols]).alias("sentence"))
+        out = d if out is None else out.unionByName(d)
+    return out
+
+
 def nearest(df: DataFrame, vec: str, query: list[float], k: int, order: str) -> DataFrame:
     """Q16: rows by dot product with one query vector, best first, ties by order."""
     q = F.array(*[F.lit(float(x)) for x in query])

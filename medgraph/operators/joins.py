@@ -1,8 +1,9 @@
 """Matching joins (J operators) and the predicates they use (P operators).
 
-Sides that the caller does not call small are joined by hash on exact keys; nothing is broadcast
-by hint here, so Spark broadcasts a side when its measured size allows.  Prefix, range and
-containment predicates are rewritten to equi-joins on derived keys.
+Sides are joined by hash on exact keys; nothing is broadcast by hint but word lists whose size was
+checked, so Spark broadcasts a side when its measured size allows.  Prefix, range and containment
+predicates are rewritten to equi-joins on derived keys: ancestors of a code, numbers of a range,
+first characters of a contained word.
 """
 
 from __future__ import annotations
@@ -53,10 +54,10 @@ def all_keywords(c: Column, words: list[str]) -> Column:
     return out
 
 
-def forbidden(c: Column, hard: list[str], conditional: list[str], context: Column, hints: list[str]) -> Column:
-    """P5: hard terms always, conditional ones unless a hint stands in the context."""
+def forbidden_reason(c: Column, hard: list[str], conditional: list[str], context: Column, hints: list[str]) -> Column:
+    """P5: FORM_TERM for a hard term, CONTEXT_PACKAGING for a conditional one unless a hint stands in the context, else null."""
     saved = F.exists(F.array(*map(F.lit, hints)), lambda h: F.contains(F.coalesce(context, F.lit("")), h)) if hints else F.lit(False)
-    return F.coalesce(c.isin(hard), F.lit(False)) | (F.coalesce(c.isin(conditional), F.lit(False)) & ~saved)
+    return F.when(c.isin(hard), "FORM_TERM").when(c.isin(conditional) & ~saved, "CONTEXT_PACKAGING")
 
 
 def valid_name(c: Column, excluded: list[str]) -> Column:
@@ -69,6 +70,16 @@ def member_like(arr: Column, text: Column) -> Column:
     return F.coalesce(F.exists(arr, lambda x: F.contains(text, x)), F.lit(False))
 
 
+def within(df: DataFrame, least: dict[str, float], most: dict[str, float]) -> DataFrame:
+    """Rows whose columns reach their least and do not pass their most value; a null fails."""
+    out = F.lit(True)
+    for c, v in least.items():
+        out = out & (F.col(c) >= v)
+    for c, v in most.items():
+        out = out & (F.col(c) <= v)
+    return df.where(out)
+
+
 # --- joins ------------------------------------------------------------------------------------
 
 
@@ -110,22 +121,52 @@ def tiered_codes(a: DataFrame, b: DataFrame, tiers: list[tuple[str, str, str, fl
     return first_by(out, [a_id, b_id], [F.desc("confidence"), F.col("match_type")])
 
 
+#: Words that meet every text in a loop at most; more are found by their first characters.
+FEW_WORDS = 200
+#: Characters at the start of a word on which words and texts meet.
+GRAM = 3
+
+
+def containments(texts: DataFrame, key: list[str], text: str, words: DataFrame, word: str) -> DataFrame:
+    """(key, _word): which distinct words occur in which texts.
+
+    The words are counted first: up to FEW_WORDS are broadcast and looked for in every text.  Beyond
+    that both sides may be large: a word meets the texts that hold its first GRAM characters (all of
+    a shorter word) in a hash join, and is then looked for.  Null and empty words never match.
+    """
+    w = words.select(F.col(word).alias("_word")).where(F.col("_word") != "").distinct()
+    t = texts.select(*key, F.col(text).alias("_text")).where(F.col("_text").isNotNull())
+    if w.limit(FEW_WORDS + 1).count() <= FEW_WORDS:
+        return t.join(F.broadcast(w), F.contains("_text", "_word")).select(*key, "_word").distinct()
+    starts = F.sequence(F.lit(1), F.length("_text"))
+    grams = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.array(*[F.substr(F.col("_text"), i, F.lit(n)) for n in range(1, GRAM + 1)]))))
+    keyed = t.where(F.length("_text") > 0).select(*key, "_text", F.explode(grams).alias("_g"))
+    return keyed.join(w.withColumn("_g", F.substring("_word", 1, GRAM)), "_g").where(F.contains("_text", "_word")).select(*key, "_word").distinct()
+
+
+def _contained_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(_a, _b): distinct names, one of which contains the other; a has _a, b has _b."""
+    one = containments(b, ["_b"], "_b", a, "_a").select(F.col("_word").alias("_a"), "_b")
+    return one.unionByName(containments(a, ["_a"], "_a", b, "_b").select("_a", F.col("_word").alias("_b"))).distinct()
+
+
 def name_match(small: DataFrame, big: DataFrame, small_name: str, big_name: str) -> DataFrame:
-    """Equal .95, contained either way .85, a part of a/b names .80; nulls never match.
+    """Equal .95, contained either way .85, a part of a/b names .80; nulls and empty names never match.
 
-    Exact matches are a hash join.  Containment has no key, so the names meet as a nested loop;
-    meant for a lexicon on one side.
+    Distinct names meet first (see containments), rows are joined to the pairs by hash.
     """
-    s, b = F.col(small_name), F.col(big_name)
-    parts = F.split(b, "/")
-    conf = F.when(s == b, 0.95).when(b.contains(s) | s.contains(b), 0.85).when(F.exists(parts, lambda p: p == s), 0.80)
-    return small.join(big, (s == b) | b.contains(s) | s.contains(b) | F.array_contains(parts, s)).withColumn("confidence", conf)
+    pairs = _contained_pairs(small.select(F.col(small_name).alias("_a")).distinct(), big.select(F.col(big_name).alias("_b")).distinct())
+    s, b = F.col("_a"), F.col("_b")
+    pairs = pairs.withColumn("confidence", F.when(s == b, 0.95).when(b.contains(s) | s.contains(b), 0.85).otherwise(0.80))
+    return small.join(pairs, F.col(small_name) == F.col("_a")).join(big, F.col("_b") == F.col(big_name)).drop("_a", "_b").select(*small.columns, *big.columns, "confidence")
 
 
 def keyword_scores(keywords: DataFrame, master: DataFrame, owner: str, word: str, text: str, code: str, k: int) -> DataFrame:
-    """Master rows by how many of an owner's keywords they hold: score, ratio; the best k, ties by code."""
+    """Master rows by how many of an owner's keywords they hold, case ignored: score, ratio; the best k, ties by code."""
     total = keywords.groupBy(owner).agg(F.countDistinct(word).alias("_n"))
-    hits = keywords.join(master, F.lower(F.col(text)).contains(F.lower(F.col(word)))).groupBy(owner, code).agg(F.countDistinct(word).alias("score"))
+    low = keywords.select(owner, F.col(word).alias("_w"), F.lower(word).alias("_word"))
+    held = containments(master.withColumn("_low", F.lower(text)), [code], "_low", low, "_word")
+    hits = held.join(low, "_word").groupBy(owner, code).agg(F.countDistinct("_w").alias("score"))
     scored = hits.join(total, owner).withColumn("ratio", F.col("score") / F.col("_n")).drop("_n")
     w = Window.partitionBy(owner).orderBy(F.desc("score"), F.desc("ratio"), code)
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
@@ -144,25 +185,46 @@ def prefix_expand(edges: DataFrame, master: DataFrame, edge_code: str, code: str
 
 
 def range_contains(items: DataFrame, ranges: DataFrame, chapter: str, number: str, lo: str, hi: str, order: list[Column]) -> DataFrame:
-    """The first range of the same chapter that holds the number; ranges are exploded to the numbers they hold, so it is a hash join."""
+    """Every item with the first range, by order over the ranges' columns, of its chapter that holds its number.
+
+    Ranges are exploded to the numbers they hold, so it is a hash join on the distinct (chapter,
+    number); repeated items keep their rows, items outside every range leave.
+    """
     filled = ranges.withColumn("_n", F.explode(F.sequence(F.col(lo), F.col(hi)))).withColumnRenamed(chapter, "_c")
-    hit = items.join(filled, (F.col(chapter) == F.col("_c")) & (F.col(number) == F.col("_n"))).drop("_n", "_c")
-    return first_by(hit, [c for c in items.columns], order)
+    asked = items.select(F.col(chapter).alias("_ic"), F.col(number).alias("_in")).distinct()
+    best = first_by(asked.join(filled, (F.col("_ic") == F.col("_c")) & (F.col("_in") == F.col("_n"))).drop("_n", "_c"), ["_ic", "_in"], order)
+    return items.join(best, (F.col(chapter) == F.col("_ic")) & (F.col(number) == F.col("_in"))).drop("_ic", "_in")
 
 
 def mutual_contains(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
-    """For every left name the right name that contains it or is contained, longest then smallest; exact flag and confidence .95 or .8.
+    """For every left name the right name that contains it or is contained, case ignored, longest then smallest; exact flag and confidence .95 or .8.
 
-    Equal names are found by hash first; only names without an equal one meet the other side's
-    distinct names in a loop.
+    Equal names are found by hash first; only distinct names without an equal one are looked for in
+    the other side's distinct names, and they in them (see containments).
     """
-    exact = left.join(right.select(b).distinct(), F.lower(a) == F.lower(b))
-    rest = left.join(right.select(b).distinct(), F.lower(a) == F.lower(b), "left_anti")
-    loose = rest.join(right.select(b).distinct(), F.lower(F.col(a)).contains(F.lower(b)) | F.lower(F.col(b)).contains(F.lower(a)))
-    loose = first_by(loose, [a], [F.length(b).desc(), F.col(b)])
+    names = right.select(b).distinct()
+    exact = left.join(names, F.lower(a) == F.lower(b))
+    rest = left.join(names, F.lower(a) == F.lower(b), "left_anti")
+    pairs = _contained_pairs(rest.select(F.lower(a).alias("_a")).distinct(), names.select(F.lower(b).alias("_b")).distinct())
+    best = first_by(pairs.join(names, F.lower(b) == F.col("_b")), ["_a"], [F.length(b).desc(), F.col(b)]).select("_a", b)
+    loose = rest.join(best, F.lower(a) == F.col("_a")).drop("_a")
     return exact.withColumn("exact", F.lit(True)).unionByName(loose.withColumn("exact", F.lit(False))).withColumn("confidence", F.when(F.col("exact"), 0.95).otherwise(0.8))
 
 
+def file_catalogue(files: DataFrame, file: str, catalogue: DataFrame, name: str) -> DataFrame:
+    """Every file with the catalogue row whose name its own name contains; the longest such name, then the smallest; null columns if none."""
+    hit = containments(files, [file], file, catalogue, name)
+    best = hit.groupBy(file).agg(F.min_by("_word", F.struct(-F.length("_word"), F.col("_word"))).alias("_word"))
+    one = first_by(catalogue, [name], [F.col(c) for c in catalogue.columns if c != name])
+    return files.join(best, file, "left").join(one, F.col("_word") == F.col(name), "left").drop("_word")
+
+
+def missing_files(catalogue: DataFrame, name: str, files: DataFrame, file: str) -> DataFrame:
+    """Catalogue rows whose name no file's name contains."""
+    found = containments(files, [file], file, catalogue, name).select(F.col("_word").alias(name)).distinct()
+    return catalogue.join(found, name, "left_anti")
+
+
 def resolve_list(df: DataFrame, names: str, codes: DataFrame, key: str, name: str, code: str) -> DataFrame:
     """Per row, codes of the array's names in order and the names without one."""
     one = df.select(key, F.posexplode(names).alias("pos", "_n")).join(codes.select(F.col(name).alias("_n"), F.col(code).alias("_c")), "_n", "left")
@@ -222,7 +284,8 @@ def merge_codes(df: DataFrame, types: str, codes: DataFrame, type_col: str, code
 
 
 def variant_match(names: DataFrame, variants: Column, master: DataFrame, name: str, master_name: str) -> DataFrame:
-    """The master row that equals the earliest of a name's variants, case ignored."""
-    v = names.withColumn("_v", variants).select("*", F.posexplode("_v").alias("_p", "_x")).drop("_v")
-    hit = v.join(master.withColumn("_m", F.lower(master_name)), F.lower("_x") == F.col("_m"))
-    return first_by(hit, [name], [F.col("_p"), F.col(master_name)]).drop("_p", "_x", "_m")
+    """Every name with the master row that equals the earliest of its variants, case ignored.  The choice is made once for equal names and variants; repeated rows stay."""
+    v = names.withColumn("_v", variants)
+    x = v.select(F.col(name).alias("_k"), "_v").distinct().select("_k", "_v", F.posexplode("_v").alias("_p", "_x"))
+    hit = first_by(x.join(master.withColumn("_m", F.lower(master_name)), F.lower("_x") == F.col("_m")), ["_k", "_v"], [F.col("_p"), F.col(master_name)])
+    return v.join(hit.withColumnRenamed("_v", "_w").drop("_p", "_x", "_m"), (F.col(name) == F.col("_k")) & (F.col("_v") == F.col("_w"))).drop("_v", "_w", "_k")

@@ -41,18 +41,29 @@ def articles(laws: DataFrame) -> DataFrame:
     ls = ls.withColumns({"article_number": F.col("_s0.k"), "article_title": F.col("_s0.title"), "_clause": held(1), "_sub": held(2), "_item": held(3)})
     at = lambda d, c: F.when(F.col("depth") >= d, F.col(c))
     own = F.col("depth").isNotNull()
-    body = Window.partitionBy("law_id", F.col("_s0.line"))
-    rest = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~own, F.struct("line", "content"))).over(body)), lambda x: x["content"]), "\n")
-    ls = ls.withColumn("_rest", rest).withColumn("_end", F.max("line").over(body)).where(own)
+    # the text of an article meets its first line only
+    rest = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~own, F.struct("line", "content")))), lambda x: x["content"]), "\n")
+    bodies = ls.groupBy(F.col("law_id").alias("_law"), F.col("_s0.line").alias("_first")).agg(rest.alias("_rest"), F.max("line").alias("_end"))
+    ls = ls.where(own).join(bodies, (F.col("law_id") == F.col("_law")) & (F.when(F.col("depth") == 0, F.col("line")) == F.col("_first")), "left")
     ident = lambda d: T.article_id(F.col("law_id"), F.col("article_number"), F.col("_clause") if d >= 1 else F.lit(None), F.col("_sub") if d >= 2 else F.lit(None), F.col("_item") if d >= 3 else F.lit(None))
     self_id = F.when(F.col("depth") == 0, ident(0)).when(F.col("depth") == 1, ident(1)).when(F.col("depth") == 2, ident(2)).otherwise(ident(3))
     up = F.when(F.col("depth") == 0, None).when((F.col("depth") == 1) | ((F.col("depth") == 2) & F.col("_clause").isNull()), ident(0)).when((F.col("depth") == 2) | F.col("_sub").isNull(), ident(1)).otherwise(ident(2))
     return ls.select("law_id", "law_name", self_id.alias("article_id"), "article_number", "article_title", "depth", up.alias("parent_article_id"), at(1, "_clause").alias("clause_number"), at(2, "_sub").alias("subclause_number"), at(3, "_item").alias("item_number"), F.when(F.col("depth") == 0, F.concat_ws("\n", F.nullif("_rest", F.lit("")))).otherwise(F.col("content")).alias("full_text"), F.col("line").alias("line_start"), F.when(F.col("depth") == 0, F.col("_end")).otherwise(F.col("line")).alias("line_end"))
 
 
+#: Kinds of references and what marks them, in order; without a mark it is OTHER.
+REFERENCE_TYPES = (("준용", r"[을를]\s*준용한다"), ("위임", r"에\s*따라|에서\s*정하는\s*바에\s*따라"), ("예외", r"에도\s*불구하고"), ("정의", r"정의|말한다"))
+OTHER = "일반참조"
+#: Kinds of laws that another law gives rise to.
+DERIVED = ("시행령", "시행규칙")
+
+
 def reference_type(context: Column) -> Column:
-    """준용, 위임, 예외, 정의, 일반참조, first that holds."""
-    return F.when(context.rlike(r"[을를]\s*준용한다"), "준용").when(context.rlike(r"에\s*따라|에서\s*정하는\s*바에\s*따라"), "위임").when(context.rlike(r"에도\s*불구하고"), "예외").when(context.contains("정의") | context.contains("말한다"), "정의").otherwise("일반참조")
+    """The first kind whose mark stands in the context."""
+    out = None
+    for kind, mark in REFERENCE_TYPES:
+        out = F.when(context.rlike(mark), kind) if out is None else out.when(context.rlike(mark), kind)
+    return out.otherwise(OTHER)
 
 
 def references(arts: DataFrame, id_col: str = "article_id", text_col: str = "full_text") -> DataFrame:
@@ -98,3 +109,24 @@ def tree_edges(arts: DataFrame) -> tuple[DataFrame, DataFrame]:
 def reference_edges(refs: DataFrame) -> DataFrame:
     """Resolved references, one edge per (source, target, type, text)."""
     return refs.where("target_article_id is not null").select(F.col("source_id").alias("src_id"), F.col("target_article_id").alias("dst_id"), "reference_type", "reference_text", F.when(F.col("is_cross_law"), "CROSS_LAW_REFERS_TO").otherwise("REFERS_TO").alias("edge_type")).distinct()
+
+
+def derived_from_edges(laws: DataFrame, title: str = "title") -> DataFrame:
+    """DERIVED_FROM edges (src_id, dst_id, relationship_type, edge_type) from decrees and rules to the law whose name is theirs without the last word; laws without such a parent have none."""
+    kind = F.regexp_extract(title, f"({'|'.join(DERIVED)})$", 1)
+    named = laws.select(F.col(title).alias("name"), T.law_id(F.col(title)).alias("id"), F.nullif(kind, F.lit("")).alias("kind")).where("name is not null").distinct()
+    base = F.trim(F.regexp_replace("name", f"({'|'.join(DERIVED)})$", ""))
+    child = named.where("kind is not null").select(F.col("id").alias("src_id"), F.col("kind").alias("relationship_type"), base.alias("_base"))
+    parent = named.where("kind is null").select(F.col("name").alias("_base"), F.col("id").alias("dst_id"))
+    return child.join(parent, "_base").select("src_id", "dst_id", "relationship_type", F.lit("DERIVED_FROM").alias("edge_type"))
+
+
+def reference_report(refs: DataFrame) -> DataFrame:
+    """Q8: (is_cross_law, parsed, linked, unlinked) of references with target_article_id."""
+    linked = F.count("target_article_id")
+    return refs.groupBy("is_cross_law").agg(F.count("*").alias("parsed"), linked.alias("linked"), (F.count("*") - linked).alias("unlinked"))
+
+
+def top_targets(refs: DataFrame, k: int = 20) -> DataFrame:
+    """Q8: the k laws that cross-law references name most often, ties by name."""
+    return refs.where("is_cross_law").groupBy("target_law_name").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "target_law_name").limit(k)

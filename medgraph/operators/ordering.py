@@ -6,12 +6,24 @@ a stable result.
 
 from __future__ import annotations
 
+import tempfile
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df written to the session's checkpoint folder, which ends its lineage; a local session without one gets its own."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+    return df.checkpoint()
+
+
 def first_by(df: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """The first row of every key."""
     w = Window.partitionBy(*key).orderBy(*order)
@@ -26,10 +38,10 @@ def longest_by(df: DataFrame, key: list[str], name: str, seq: str) -> DataFrame:
 def number(df: DataFrame, prefix: str, order: list[str], name: str = "id", digits: int = 3) -> DataFrame:
     """PREFIX_001 ... over a total order.
 
-    Numbers by range: rows are sorted in ranges, each range counts its own, and the counts of the
-    ranges before (one row a range) are added, so no task sees all rows.
+    Numbers by range: rows are dealt to ranges and written once, each range numbers its own, and the
+    counts of the ranges before (one row a range) are added, so no task sees all rows.
     """
-    ranged = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
+    ranged = checkpointed(df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()))
     before = ranged.groupBy("_p").count().withColumn("_base", F.sum("count").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))).select("_p", F.coalesce("_base", F.lit(0)).alias("_base"))
     own = F.row_number().over(Window.partitionBy("_p").orderBy(*order))
     n = (own + F.col("_base")).cast("string")
@@ -77,8 +89,8 @@ def stitch_tables(segments: DataFrame, doc: str = "doc") -> DataFrame:
 
 def alias_conflicts(df: DataFrame, ko: str = "ko", en: str = "en", seq: str = "seq") -> DataFrame:
     """Rows that name another English name than the first one that passed for their Korean name."""
-    first = F.first(en).over(Window.partitionBy(ko).orderBy(seq).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return df.withColumn("first_en", first).withColumn("conflict", F.col(en) != F.col("first_en"))
+    first = df.groupBy(F.col(ko).alias("_ko")).agg(F.min_by(F.struct(F.col(en).alias("en")), seq).alias("_f"))
+    return df.join(first, F.col(ko).eqNullSafe(F.col("_ko"))).withColumn("first_en", F.col("_f.en")).withColumn("conflict", F.col(en) != F.col("first_en")).drop("_ko", "_f")
 
 
 def carry_forward(df: DataFrame, doc: list[str], order: str, col: str) -> DataFrame:
@@ -101,6 +113,22 @@ def page_chunks(df: DataFrame, most: int = 50) -> DataFrame:
     return cut.withColumn("chunk_start", lo.cast("int")).withColumn("chunk_end", F.least(lo + size - 1, F.col("end")).cast("int"))
 
 
+def section_chunks(sections: DataFrame, subsections: DataFrame, doc: str, section: str, most: int = 50) -> DataFrame:
+    """Chunks (doc, section, name, kind, chunk_start, chunk_end) of sections (doc, section, start, end): whole up to `most` pages, else one a subsection (doc, section, title, start), else cut evenly.
+
+    A subsection ends before the next one starts, the last where its section ends.
+    """
+    pages = F.col("end") - F.col("start") + 1
+    key = [doc, section]
+    whole = sections.where(pages <= most).select(*key, F.col(section).alias("name"), F.lit("section").alias("kind"), F.col("start").alias("chunk_start"), F.col("end").alias("chunk_end"))
+    long_ = sections.where(pages > most)
+    parts = subsections.join(long_.select(*key, F.col("end").alias("_end")), key)
+    parts = range_ends(parts, key, "start", "_end", "chunk_end").select(*key, F.concat_ws(" - ", F.col(section), F.col("title")).alias("name"), F.lit("subsection").alias("kind"), F.col("start").alias("chunk_start"), "chunk_end")
+    even = page_chunks(long_.join(subsections.select(*key).distinct(), key, "left_anti"), most)
+    even = even.select(*key, F.concat_ws(" Part ", F.col(section), (F.col("chunk") + 1).cast("string")).alias("name"), F.lit("split").alias("kind"), "chunk_start", "chunk_end")
+    return whole.unionByName(parts).unionByName(even)
+
+
 def greedy_chunks(df: DataFrame, most: int = 50, doc: str = "doc") -> DataFrame:
     """Neighbouring sections merged while they hold at most `most` pages; the running choice makes it a per-document step."""
 
@@ -139,3 +167,11 @@ def extend_dictionary(dictionary: DataFrame, variants: DataFrame, key: str = "ke
     """Variants (key, normalized_from) that the dictionary lacks, added and marked."""
     new = variants.join(dictionary.select(key).distinct(), key, "left_anti").dropDuplicates([key])
     return dictionary.withColumn("normalized_from", F.lit(None).cast("string")).withColumn("is_normalized", F.lit(False)).unionByName(new.withColumn("is_normalized", F.lit(True)), allowMissingColumns=True)
+
+
+def concat_collections(*parts: DataFrame) -> DataFrame:
+    """U4: rows of several collections under one another; columns that one lacks are null there."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p, allowMissingColumns=True)
+    return out

@@ -108,9 +108,15 @@ def _(t):
     return t.documents.select("doc_id", T.normalize_case(F.col("text"), F.col("lang")).alias("folded"))
 
 
-@query("n03_romanize", "SELECT n_name AS name, 'mog-' || n_name AS spelt FROM nation")
+#: A few syllables and their spelling, for texts made from names.
+_SYLLABLES = [("목", "mog"), ("한", "han"), ("글", "geul"), ("값", "gabs"), ("의", "ui"), ("쪽", "jjog"), ("위", "wi"), ("닭", "dalg"), ("하", "ha"), ("앉", "anj")]
+
+
+@query("n03_romanize", "SELECT c_custkey, CASE c_custkey % 10 " + " ".join(f"WHEN {i} THEN '{b}'" for i, (_, b) in enumerate(_SYLLABLES)) + " END || CASE (c_custkey // 10) % 10 " + " ".join(f"WHEN {i} THEN '{b}'" for i, (_, b) in enumerate(_SYLLABLES)) + " END || '-' || c_name AS spelt FROM customer")
 def _(t):
-    return t.nation.select(F.col("n_name").alias("name"), T.romanize(F.concat(F.lit("목-"), F.col("n_name"))).alias("spelt"))
+    pick = lambda n: F.element_at(F.array(*[F.lit(a) for a, _ in _SYLLABLES]), (n % 10 + 1).cast("int"))
+    k = F.col("c_custkey")
+    return t.customer.select("c_custkey", T.romanize(F.concat(pick(k), pick(F.floor(k / 10)), F.lit("-"), "c_name")).alias("spelt"))
 
 
 @query("n04_similarity")
@@ -139,26 +145,42 @@ def _(t):
     return t.part.select("p_partkey", T.plain_name(F.col("p_name")).alias("plain"))
 
 
-@query("n20_code_parse", "SELECT n_nationkey, 'category' AS kind, 'C' AS chapter, n_nationkey + 10 AS number FROM nation")
+@query("n20_code_parse", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'category' WHEN 1 THEN 'detailed' WHEN 2 THEN 'range' ELSE 'chapter' END AS kind, chr(CAST(65 + p_size % 26 AS INT)) AS chapter, CASE WHEN p_partkey % 4 < 3 THEN p_size + 10 END AS number, CASE WHEN p_partkey % 4 = 2 THEN p_size + 15 END AS end_number FROM part")
+def _(t):
+    ch, n = F.char(65 + F.col("p_size") % 26), (F.col("p_size") + 10).cast("string")
+    k = F.col("p_partkey") % 4
+    code = F.when(k == 0, F.concat(ch, n)).when(k == 1, F.concat(ch, n, F.lit(".1"))).when(k == 2, F.concat(ch, n, F.lit("-"), ch, (F.col("p_size") + 15).cast("string"))).otherwise(ch)
+    return t.part.select("p_partkey", F.inline(F.array(T.disease_code(code))))
+
+
+_CODES = "CASE WHEN p_partkey % 5 = 4 THEN 'C' || (p_size + 10) || '-D20' ELSE CASE WHEN p_partkey % 5 < 3 THEN 'D' WHEN p_partkey % 5 = 3 THEN 'C' END || (p_size + 10) || CASE WHEN p_partkey % 2 = 0 THEN '.1' ELSE '' END END"
+
+
+def _code(t):
+    n, k = (F.col("p_size") + 10).cast("string"), F.col("p_partkey")
+    single = F.concat(F.when(k % 5 < 3, "D").when(k % 5 == 3, "C"), n, F.when(k % 2 == 0, ".1").otherwise(""))
+    return t.part.select("p_partkey", F.when(k % 5 == 4, F.concat(F.lit("C"), n, F.lit("-D20"))).otherwise(single).alias("code"))
+
+
+@query("n21_cancer_codes", f"SELECT p_partkey, NOT contains(code, '-') AND (starts_with(code, 'C') OR CAST(substr(code, 2, 2) AS INT) <= 48) AS strict FROM (SELECT p_partkey, {_CODES} AS code FROM part)")
 def _(t):
-    p = T.disease_code(F.concat(F.lit("C"), (F.col("n_nationkey") + 10).cast("string")))
-    return t.nation.select("n_nationkey", p["kind"].alias("kind"), p["chapter"].alias("chapter"), p["number"].alias("number"))
+    return _code(t).select("p_partkey", T.is_cancer_strict(F.col("code")).alias("strict"))
 
 
-@query("n21_cancer_codes", "SELECT n_nationkey, n_nationkey * 4 <= 48 AS strict FROM nation WHERE n_nationkey * 4 BETWEEN 10 AND 99")
+@query("n22_cancer_codes_lenient", f"SELECT p_partkey, contains(code, '-') OR starts_with(code, 'C') OR CAST(substr(code, 2, 2) AS INT) <= 48 AS lenient FROM (SELECT p_partkey, {_CODES} AS code FROM part)")
 def _(t):
-    code = F.concat(F.lit("D"), (F.col("n_nationkey") * 4).cast("string"))
-    return t.nation.where("n_nationkey * 4 BETWEEN 10 AND 99").select("n_nationkey", T.is_cancer_strict(code).alias("strict"))
+    return _code(t).select("p_partkey", T.is_cancer_lenient(F.col("code")).alias("lenient"))
 
 
-@query("n23_article_number", "SELECT n_nationkey, lpad(CAST(n_nationkey AS VARCHAR), 3, '0') || '_02' AS number FROM nation")
+@query("n23_article_number", "SELECT o_orderkey, lpad(CAST(o_orderkey % 1000 AS VARCHAR), 3, '0') || CASE WHEN o_custkey % 3 > 0 THEN '_' || lpad(CAST(o_custkey % 3 AS VARCHAR), 2, '0') ELSE '' END AS number FROM orders")
 def _(t):
-    return t.nation.select("n_nationkey", T.article_number(F.concat(F.lit("제"), F.col("n_nationkey").cast("string"), F.lit("조의2"))).alias("number"))
+    n, b = (F.col("o_orderkey") % 1000).cast("string"), (F.col("o_custkey") % 3).cast("string")
+    return t.orders.select("o_orderkey", T.article_number(F.concat(F.lit("제"), n, F.lit("조"), F.when(b != "0", F.concat(F.lit("의"), b)).otherwise(""))).alias("number"))
 
 
-@query("n24_law_id", "SELECT n_name, 'LAW_' || upper(substr(md5(n_name), 1, 8)) AS law_id FROM nation")
+@query("n24_law_id", "SELECT c_custkey, 'LAW_' || upper(substr(md5(c_name), 1, 8)) AS law_id FROM customer")
 def _(t):
-    return t.nation.select("n_name", T.law_id(F.col("n_name")).alias("law_id"))
+    return t.customer.select("c_custkey", T.law_id(F.col("c_name")).alias("law_id"))
 
 
 @query("n26_number_cell", "SELECT event_id, value AS number FROM events")
@@ -171,10 +193,11 @@ def _(t):
     return t.pages.select("page_id", T.strip_html(F.col("html")).alias("plain"))
 
 
-@query("n29_context", "SELECT doc_id, replace(substr(text, greatest(instr(text, ' the ') - 1 - 20, 0) + 1, instr(text, ' the ') - 1 + 5 + 20 - greatest(instr(text, ' the ') - 1 - 20, 0)), chr(10), ' ') AS around FROM documents WHERE instr(text, ' the ') > 0")
+@query("n29_context", "SELECT doc_id, replace(substr(text, greatest(pos - 20, 0) + 1, pos + 5 + 20 - greatest(pos - 20, 0)), chr(10), ' ') AS around FROM (SELECT doc_id, text, CASE WHEN instr(text, ' the ') > 0 THEN instr(text, ' the ') - 1 ELSE CAST(length(text) // 2 AS BIGINT) END AS pos FROM documents)")
 def _(t):
-    at = F.instr("text", " the ") - 1
-    return t.documents.where("instr(text, ' the ') > 0").select("doc_id", T.context(F.col("text"), at, at + 5, 20).alias("around"))
+    found = F.instr("text", " the ")
+    at = F.when(found > 0, found - 1).otherwise(F.floor(F.length("text") / 2).cast("int"))
+    return t.documents.select("doc_id", T.context(F.col("text"), at, at + 5, 20).alias("around"))
 
 
 @query("n30_first_label", "SELECT doc_id, CASE WHEN text LIKE '%Licensed%' THEN 'license' WHEN text LIKE '%http%' THEN 'link' ELSE 'prose' END AS label FROM documents")
@@ -206,10 +229,12 @@ def _(t):
     return X.spans(t.documents, {"ing": r"\b\w+ing\b", "tion": r"\b\w+tion\b"}, 20)
 
 
-@query("x02_bilingual_pairs", "SELECT n_nationkey, n_name AS english, '나라' AS korean FROM nation")
+@query("x02_bilingual_pairs", "SELECT c_custkey, replace(c_name, '#', '-') AS english, CASE WHEN c_custkey % 3 = 0 THEN '나라' WHEN c_custkey % 3 = 1 THEN '도시' ELSE '마을사람' END AS korean FROM customer")
 def _(t):
-    d = t.nation.select("n_nationkey", F.concat(F.lit("나라 ("), F.translate("n_name", "_", "-"), F.lit(")")).alias("text"))
-    return X.bilingual_pairs(d).select("n_nationkey", F.translate("english", "-", "_").alias("english"), "korean")
+    ko = F.when(F.col("c_custkey") % 3 == 0, "나라").when(F.col("c_custkey") % 3 == 1, "도시").otherwise("마을사람")
+    name = F.translate("c_name", "#", "-")
+    text = F.when(F.col("c_custkey") % 2 == 0, F.concat(F.lit("앞 "), ko, F.lit(" ("), name, F.lit(") 뒤"))).otherwise(F.concat(F.lit("앞 "), name, F.lit(" ("), ko, F.lit(")")))
+    return X.bilingual_pairs(t.customer.select("c_custkey", text.alias("text"))).select("c_custkey", "english", "korean")
 
 
 @query("x03_mentions", "SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[A-Z][a-z]{7,}'))) AS mention FROM documents")
@@ -254,9 +279,9 @@ def _(t):
     return X.page_parts(t.pages)
 
 
-@query("x22_references", "SELECT doc_id, len(list_distinct(regexp_extract_all(text, '[0-9]{4}'))) AS n FROM documents")
+@query("x22_references", "SELECT doc_id, array_to_string(list_sort(list_distinct(regexp_extract_all(text, '[0-9]{4}'))), ',') AS found FROM documents")
 def _(t):
-    return t.documents.select("doc_id", F.size(X.references(F.col("text"), "[0-9]{4}")).alias("n"))
+    return t.documents.select("doc_id", F.array_join(F.array_sort(X.references(F.col("text"), "[0-9]{4}")), ",").alias("found"))
 
 
 @query("x26_paired_arrays", "SELECT o_orderkey, unnest([0, 1]) AS pos, unnest([o_orderstatus, o_orderpriority]) AS codes, unnest([o_orderpriority, NULL]) AS names FROM orders")
@@ -301,9 +326,23 @@ def _(t):
     return t.part.where(J.member_like(F.array(F.lit("a"), F.lit("zz")), F.col("p_name"))).select("p_partkey")
 
 
-@query("p13_thresholds", "SELECT doc_id FROM labels WHERE quality = 0 AND toxic = 0")
+@query("p13_thresholds", "SELECT p_partkey FROM part WHERE p_size >= 5 AND p_retailprice >= 950 AND p_retailprice <= 1500")
+def _(t):
+    return J.within(t.part, {"p_size": 5, "p_retailprice": 950}, {"p_retailprice": 1500}).select("p_partkey")
+
+
+_LISTS = {"hard": ["STANDARD POLISHED STEEL", "SMALL PLATED TIN"], "conditional": ["ECONOMY BRUSHED TIN", "PROMO PLATED NICKEL", "MEDIUM BURNISHED COPPER"]}
+
+
+@query("p05_forbidden", "SELECT p_partkey, CASE WHEN p_type IN ('" + "', '".join(_LISTS["hard"]) + "') THEN 'FORM_TERM' WHEN p_type IN ('" + "', '".join(_LISTS["conditional"]) + "') AND NOT contains(p_name, 'a') THEN 'CONTEXT_PACKAGING' END AS reason FROM part")
 def _(t):
-    return t.labels.where("quality = 0 AND toxic = 0").select("doc_id")
+    return t.part.select("p_partkey", J.forbidden_reason(F.col("p_type"), _LISTS["hard"], _LISTS["conditional"], F.col("p_name"), ["a"]).alias("reason"))
+
+
+@query("p09_valid_name", "SELECT doc_id, word, length(word) > 1 AND NOT regexp_full_match(word, '[0-9]+') AND word NOT IN ('the', 'und') AS valid FROM (SELECT doc_id, unnest(list_distinct(regexp_extract_all(text, '[A-Za-z0-9]+'))) AS word FROM documents)")
+def _(t):
+    w = X.mentions(t.documents, "[A-Za-z0-9]+", 1).select("doc_id", F.col("mention").alias("word"))
+    return w.select("doc_id", "word", J.valid_name(F.col("word"), ["the", "und"]).alias("valid"))
 
 
 # --- joins ------------------------------------------------------------------------------------------
@@ -341,9 +380,13 @@ def _(t):
     return _two_stage(t).select("doc_id", "mention", "matched_key", "match_type")
 
 
-@query("a05_match_rates", f"SELECT match_type, count(*) AS occurrences, count(DISTINCT mention) AS distinct_values, round(count(*) / sum(count(*)) OVER (), 9) AS occurrence_share FROM ({_TWO}) GROUP BY match_type")
+@query("a05_match_rates", f"SELECT match_type, CAST(count(*) AS BIGINT) AS occurrences, count(DISTINCT mention) AS distinct_values, round(count(*) / sum(count(*)) OVER (), 9) AS occurrence_share FROM ({_TWO}) GROUP BY match_type")
 def _(t):
-    return A.match_rates(_two_stage(t), "match_type", "mention").select("match_type", "occurrences", "distinct_values", F.round("occurrence_share", 9).alias("occurrence_share"))
+    # mentions are counted by word first, so that the dictionary is joined to distinct words
+    d = _dictionary(t)
+    words = A.frequencies(_mentions(t), ["mention"])
+    matched = J.two_stage(words, d, d.select(F.expr("substr(key, 1, length(key) - 1)").alias("alias"), "key"))
+    return A.match_rates(matched, "match_type", "mention", "n").select("match_type", "occurrences", "distinct_values", F.round("occurrence_share", 9).alias("occurrence_share"))
 
 
 @query("j03_cascade", "SELECT o_orderkey, CASE WHEN o_orderpriority = '1-URGENT' THEN 'first' WHEN o_orderstatus = 'F' THEN 'second' END AS label, CASE WHEN o_orderpriority = '1-URGENT' THEN 'priority' WHEN o_orderstatus = 'F' THEN 'status' END AS tier FROM orders")
@@ -358,15 +401,17 @@ def _(t):
     return J.tiered_codes(a, t.customer.withColumn("c2", F.col("c_nationkey")), [("nation", "n", "c_nationkey", 0.98), ("twice", "d", "c2", 0.95)], "s_suppkey", "c_custkey", [3])
 
 
-@query("j05_name_match", "SELECT r_name, n_name, CASE WHEN r_name = n_name THEN 0.95 ELSE 0.85 END AS confidence FROM region JOIN nation ON contains(n_name, substr(r_name, 1, 2)) OR contains(substr(r_name, 1, 2), n_name)")
+@query("j05_name_match", "WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part) SELECT w, p_partkey, CASE WHEN w = p_type THEN 0.95 ELSE 0.85 END AS confidence FROM w JOIN (SELECT p_partkey, lower(p_type) AS p_type FROM part) ON contains(p_type, w) OR contains(w, p_type)")
 def _(t):
-    return J.name_match(t.region.withColumn("s", F.substring("r_name", 1, 2)), t.nation, "s", "n_name").select("r_name", "n_name", "confidence")
+    words = t.part.select(F.explode(F.split("p_name", " ")).alias("w")).distinct()
+    return J.name_match(words, t.part.select("p_partkey", F.lower("p_type").alias("p_type")), "w", "p_type").select("w", "p_partkey", "confidence")
 
 
-@query("j06_keyword_scores", "WITH k AS (SELECT r_regionkey, unnest(['A', 'E', r_name]) AS w FROM region), h AS (SELECT r_regionkey, n_nationkey, count(DISTINCT w) AS score FROM k JOIN nation ON contains(lower(n_name), lower(w)) GROUP BY 1, 2), n AS (SELECT r_regionkey, count(DISTINCT w) AS c FROM k GROUP BY 1) SELECT r_regionkey, n_nationkey, score, score / c AS ratio, rank FROM (SELECT *, row_number() OVER (PARTITION BY r_regionkey ORDER BY score DESC, score / c DESC, n_nationkey) AS rank FROM h JOIN n USING (r_regionkey)) WHERE rank <= 4")
+@query("j06_keyword_scores", "WITH k AS (SELECT DISTINCT item_id, unnest(list_slice(list_sort(list_distinct(regexp_extract_all(text, '[A-Za-z]{5,}'))), 1, 4)) AS w FROM benchmark), h AS (SELECT item_id, p_partkey, count(DISTINCT w) AS score FROM k JOIN part ON contains(lower(p_name || p_type), substr(lower(w), 1, 3)) GROUP BY 1, 2), n AS (SELECT item_id, count(DISTINCT w) AS c FROM k GROUP BY 1) SELECT item_id, p_partkey, score, score / c AS ratio, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, score / c DESC, p_partkey) AS rank FROM h JOIN n USING (item_id)) WHERE rank <= 4".replace("count(DISTINCT w)", "count(DISTINCT substr(w, 1, 3))"))
 def _(t):
-    k = t.region.select("r_regionkey", F.explode(F.array(F.lit("A"), F.lit("E"), "r_name")).alias("w"))
-    return J.keyword_scores(k, t.nation, "r_regionkey", "w", "n_name", "n_nationkey", 4)
+    w = F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{5,}"), 0))), 1, 4)
+    k = t.benchmark.select("item_id", F.explode(w).alias("w")).select("item_id", F.substring("w", 1, 3).alias("w")).distinct()
+    return J.keyword_scores(k, t.part.withColumn("x", F.concat("p_name", "p_type")), "item_id", "w", "x", "p_partkey", 4)
 
 
 @query("j07_prefix_expand", "SELECT n_nationkey, p_partkey FROM nation JOIN part ON CAST(p_size AS VARCHAR) = CAST(n_nationkey AS VARCHAR) OR CAST(p_size AS VARCHAR) || '.' || p_brand LIKE CAST(n_nationkey AS VARCHAR) || '.%'")
@@ -375,22 +420,25 @@ def _(t):
     return J.prefix_expand(t.nation.select("n_nationkey", F.col("n_nationkey").cast("string").alias("e")), master, "e", "code").select("n_nationkey", "p_partkey")
 
 
-@query("j08_range_contains", "SELECT p_partkey, p_size, min(lo) AS lo FROM part JOIN (SELECT n_nationkey * 2 AS lo, n_nationkey * 2 + 5 AS hi FROM nation) r ON p_size BETWEEN lo AND hi GROUP BY 1, 2")
+@query("j08_range_contains", "SELECT p_size, min(lo) AS lo, any_value(n) AS items FROM (SELECT p_size, count(*) AS n FROM part GROUP BY 1) JOIN (SELECT n_nationkey * 2 AS lo, n_nationkey * 2 + 5 AS hi FROM nation) r ON p_size BETWEEN lo AND hi GROUP BY 1")
 def _(t):
-    items = t.part.select("p_partkey", "p_size", F.lit("x").alias("ch"))
+    items = t.part.select("p_size", F.lit("x").alias("ch"))  # sizes repeat, and every row stays
     ranges = t.nation.select(F.lit("x").alias("ch"), (F.col("n_nationkey") * 2).alias("lo"), (F.col("n_nationkey") * 2 + 5).alias("hi"))
-    return J.range_contains(items, ranges, "ch", "p_size", "lo", "hi", [F.col("lo")]).select("p_partkey", "p_size", "lo")
+    return J.range_contains(items, ranges, "ch", "p_size", "lo", "hi", [F.col("lo")]).groupBy("p_size", "lo").agg(F.count("*").alias("items"))
 
 
-@query("j09_mutual_contains", "WITH x AS (SELECT r_name, n_name, row_number() OVER (PARTITION BY r_name ORDER BY length(n_name) DESC, n_name) AS k FROM (SELECT substr(r_name, 1, 2) AS r_name FROM region) JOIN nation ON contains(lower(n_name), lower(r_name)) OR contains(lower(r_name), lower(n_name))) SELECT r_name, n_name, 0.8 AS confidence FROM x WHERE k = 1")
+@query("j09_mutual_contains", "WITH a AS (SELECT DISTINCT lower(w) AS w FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]{4,}')) AS w FROM benchmark)), b AS (SELECT DISTINCT unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS n FROM part), x AS (SELECT w, n, row_number() OVER (PARTITION BY w ORDER BY CASE WHEN w = n THEN 0 ELSE 1 END, length(n) DESC, n) AS k FROM a JOIN b ON contains(n, w) OR contains(w, n) WHERE n <> '') SELECT w, n, CASE WHEN w = n THEN 0.95 ELSE 0.8 END AS confidence FROM x WHERE k = 1")
 def _(t):
-    return J.mutual_contains(t.region.select(F.substring("r_name", 1, 2).alias("r_name")), t.nation, "r_name", "n_name").select("r_name", "n_name", "confidence")
+    a = t.benchmark.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{4,}"), 0)).alias("w")).select(F.lower("w").alias("w")).distinct()
+    b = t.part.select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("n")).where("n <> ''")
+    return J.mutual_contains(a, b, "w", "n").select("w", "n", "confidence")
 
 
-@query("j10_resolve_list", "SELECT l_orderkey, count(p_name) AS resolved, count(*) - count(p_name) AS missing FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 25) ON l_partkey = p_partkey GROUP BY 1")
+@query("j10_resolve_list", "SELECT l_orderkey, coalesce(string_agg(p_name, '|' ORDER BY l_linenumber, l_partkey) FILTER (p_name IS NOT NULL), '') AS resolved, coalesce(string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_linenumber, l_partkey) FILTER (p_name IS NULL), '') AS missing FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 25) ON l_partkey = p_partkey GROUP BY 1")
 def _(t):
     o = t.lineitem.groupBy("l_orderkey").agg(F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"]).alias("parts"))
-    return J.resolve_list(o, "parts", t.part.where("p_size > 25"), "l_orderkey", "p_partkey", "p_name").select("l_orderkey", F.size("codes").cast("long").alias("resolved"), F.size("missing").cast("long").alias("missing"))
+    out = J.resolve_list(o, "parts", t.part.where("p_size > 25"), "l_orderkey", "p_partkey", "p_name")
+    return out.select("l_orderkey", F.array_join("codes", "|").alias("resolved"), F.array_join(F.col("missing").cast("array<string>"), "|").alias("missing"))
 
 
 @query("j11_base_name", "SELECT p_partkey, p_brand AS matched, 'base' AS match_type FROM part WHERE p_brand IN (SELECT p_brand FROM part WHERE p_size < 10)")
@@ -419,23 +467,58 @@ def _(t):
     return t.lineitem.where(J.mismatched(F.col("l_returnflag"), F.col("l_linestatus"))).agg(F.count("*").alias("n"))
 
 
-@query("j22_merge_codes", "SELECT c_custkey, len(list_distinct(list(s_suppkey) FILTER (s_suppkey IS NOT NULL))) AS n FROM customer LEFT JOIN supplier ON c_nationkey = s_nationkey GROUP BY 1")
+@query("j22_merge_codes", "SELECT c_custkey, coalesce(string_agg(DISTINCT CAST(s_suppkey AS VARCHAR), ',' ORDER BY CAST(s_suppkey AS VARCHAR)), '') AS codes FROM customer LEFT JOIN supplier ON c_nationkey = s_nationkey GROUP BY 1")
+def _(t):
+    codes = t.supplier.groupBy("s_nationkey").agg(F.collect_list(F.col("s_suppkey").cast("string")).alias("codes"))
+    return J.merge_codes(t.customer.withColumn("types", F.array("c_nationkey")), "types", codes, "s_nationkey", "codes", "c_custkey").select("c_custkey", F.array_join("codes", ",").alias("codes"))
+
+
+@query("j23_variant_match", "SELECT o_orderkey, n_nationkey FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON n_nationkey = CASE WHEN o_orderkey % 2 = 0 THEN c_nationkey ELSE 24 - c_nationkey END")
 def _(t):
-    codes = t.supplier.groupBy("s_nationkey").agg(F.collect_list("s_suppkey").alias("codes"))
-    return J.merge_codes(t.customer.withColumn("types", F.array("c_nationkey")), "types", codes, "s_nationkey", "codes", "c_custkey").select("c_custkey", F.size("codes").cast("long").alias("n"))
+    # orders repeat the names, every row stays
+    pick = F.when(F.col("o_orderkey") % 2 == 0, F.col("c_nationkey")).otherwise(24 - F.col("c_nationkey"))
+    o = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", pick.alias("k")).join(t.nation.withColumnRenamed("n_nationkey", "k"), "k").select("o_orderkey", F.col("n_name").alias("name"))
+    return J.variant_match(o, F.array(F.concat("name", F.lit("?")), F.lower("name")), t.nation.select("n_nationkey", F.col("n_name").alias("m")), "name", "m").select("o_orderkey", "n_nationkey")
 
 
-@query("j23_variant_match", "SELECT n_name, n_nationkey FROM nation")
+@query("j14_missing_targets", "SELECT l_orderkey, l_linenumber, CASE WHEN l_orderkey % 3 = 0 THEN 'article' ELSE 'clause' END AS reason FROM lineitem WHERE l_orderkey % 3 = 0 OR l_linenumber > 2")
 def _(t):
-    return J.variant_match(t.nation.select("n_name"), F.array(F.concat("n_name", F.lit("?")), F.lower("n_name")), t.nation.select("n_nationkey", F.col("n_name").alias("m")), "n_name", "m").select("n_name", "n_nationkey")
+    s = lambda c: F.col(c).cast("string")
+    top = t.orders.where("o_orderkey % 3 <> 0").select(F.lit("L").alias("law_id"), s("o_orderkey").alias("article_number"), F.lit(0).alias("depth"), F.lit(None).cast("int").alias("clause_number"))
+    kid = t.lineitem.where("l_linenumber <= 2").select(F.lit("L").alias("law_id"), s("l_orderkey").alias("article_number"), F.lit(1).alias("depth"), F.col("l_linenumber").cast("int").alias("clause_number")).distinct()
+    refs = t.lineitem.select("l_orderkey", "l_linenumber", F.lit("L").alias("target_law_id"), s("l_orderkey").alias("target_article_number"), F.col("l_linenumber").cast("int").alias("target_clause"))
+    return J.missing_targets(refs, top.unionByName(kid)).select("l_orderkey", "l_linenumber", "reason")
+
+
+_FILES = "SELECT doc_id, source || '-' || lang || '-' || (doc_id % 7) || '.pdf' AS file FROM documents"
+_NAMES = "SELECT name, min(seq) AS seq FROM (SELECT source || '-' || lang AS name, doc_id AS seq FROM documents UNION ALL SELECT source || '-' || lang || '-3', doc_id FROM documents UNION ALL SELECT 'none-' || (doc_id % 300), doc_id FROM documents) GROUP BY 1"
+
+
+def _files_and_names(t):
+    d = t.documents
+    file = F.concat_ws("-", "source", "lang", F.concat((F.col("doc_id") % 7).cast("string"), F.lit(".pdf")))
+    n = F.concat_ws("-", "source", "lang")
+    names = d.select(n.alias("name"), F.col("doc_id").alias("seq")).unionByName(d.select(F.concat(n, F.lit("-3")).alias("name"), F.col("doc_id").alias("seq"))).unionByName(d.select(F.concat(F.lit("none-"), (F.col("doc_id") % 300).cast("string")).alias("name"), F.col("doc_id").alias("seq")))
+    return d.select("doc_id", file.alias("file")), names.groupBy("name").agg(F.min("seq").alias("seq"))
+
+
+@query("j19_file_catalogue", f"WITH f AS ({_FILES}), n AS ({_NAMES}), g AS (SELECT file, arg_min(name, (-length(name), name)) AS name FROM (SELECT DISTINCT file FROM f) JOIN n ON contains(file, name) GROUP BY 1) SELECT doc_id, file, g.name, n.seq FROM f LEFT JOIN g USING (file) LEFT JOIN n ON n.name = g.name")
+def _(t):
+    return J.file_catalogue(_files_and_names(t)[0], "file", _files_and_names(t)[1], "name").select("doc_id", "file", "name", "seq")
+
+
+@query("j19_missing_files", f"WITH f AS (SELECT DISTINCT file FROM ({_FILES})), n AS ({_NAMES}) SELECT name, seq FROM n WHERE NOT EXISTS (SELECT 1 FROM f WHERE contains(file, name))")
+def _(t):
+    f, n = _files_and_names(t)
+    return J.missing_files(n, "name", f, "file").select("name", "seq")
 
 
 # --- aggregates, windows, sets ------------------------------------------------------------------------
 
 
-@query("a01_group_lists", "SELECT p_brand, arg_min(p_name, p_partkey) AS p_name, count(DISTINCT p_type) AS p_type_count FROM part GROUP BY 1")
+@query("a01_group_lists", "SELECT p_brand, arg_min(p_name, p_partkey) AS p_name, count(DISTINCT p_type) AS p_type_count, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS types FROM part GROUP BY 1")
 def _(t):
-    return A.group_lists(t.part, ["p_brand"], "p_partkey", ["p_name"], ["p_type"]).select("p_brand", "p_name", F.col("p_type_count").cast("long").alias("p_type_count"))
+    return A.group_lists(t.part, ["p_brand"], "p_partkey", ["p_name"], ["p_type"]).select("p_brand", "p_name", F.col("p_type_count").cast("long").alias("p_type_count"), F.array_join("p_type_list", "|").alias("types"))
 
 
 @query("a03_positive_stats", "SELECT c_nationkey, count(*) AS products, count(DISTINCT c_mktsegment) AS makers, coalesce(min(CASE WHEN c_acctbal > 0 THEN c_acctbal END), 0.0) AS min_value, coalesce(max(CASE WHEN c_acctbal > 0 THEN c_acctbal END), 0.0) AS max_value FROM customer GROUP BY 1")
@@ -463,9 +546,9 @@ def _(t):
     return A.choose_alias(t.part.withColumn("v", F.col("p_size") > 25), "p_brand", "p_name", "v").select("p_brand", "target")
 
 
-@query("a09_inverted_index", "SELECT w AS word, count(DISTINCT p_brand) AS n FROM (SELECT unnest(string_split(p_name, ' ')) AS w, p_brand FROM part) GROUP BY 1")
+@query("a09_inverted_index", "SELECT w AS word, string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS owners, count(DISTINCT p_brand) > 1 AS ambiguous FROM (SELECT unnest(string_split(p_name, ' ')) AS w, p_brand FROM part) GROUP BY 1")
 def _(t):
-    return A.inverted_index(t.part, "word", F.split("p_name", " "), "p_brand").select("word", F.size("owners").cast("long").alias("n"))
+    return A.inverted_index(t.part, "word", F.split("p_name", " "), "p_brand").select("word", F.array_join("owners", ",").alias("owners"), "ambiguous")
 
 
 @query("a11_many_owned", "SELECT l_partkey, count(DISTINCT l_suppkey) AS owners FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_suppkey) >= 3")
@@ -473,11 +556,11 @@ def _(t):
     return A.many_owned(t.lineitem, "l_partkey", "l_suppkey", 3)
 
 
-@query("a13_two_source_rollup", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'right' WHEN b.k IS NULL THEN 'left' ELSE 'both' END AS source, coalesce(a.n, 0) AS left_count, coalesce(b.n, 0) AS right_count FROM (SELECT c_nationkey AS k, count(DISTINCT c_mktsegment) AS n FROM customer WHERE c_nationkey < 15 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, count(DISTINCT s_name) AS n FROM supplier GROUP BY 1) b ON a.k = b.k")
+@query("a13_two_source_rollup", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'right' WHEN b.k IS NULL THEN 'left' ELSE 'both' END AS source, coalesce(a.n, '') AS left_list, coalesce(b.n, '') AS right_list FROM (SELECT c_nationkey AS k, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS n FROM customer WHERE c_nationkey < 15 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, string_agg(DISTINCT s_name, ',' ORDER BY s_name) AS n FROM supplier GROUP BY 1) b ON a.k = b.k")
 def _(t):
     a = t.customer.where("c_nationkey < 15").select(F.col("c_nationkey").alias("k"), "c_mktsegment")
     out = A.two_source_rollup(a, t.supplier.select(F.col("s_nationkey").alias("k"), "s_name"), "k", "c_mktsegment", "s_name")
-    return out.select("k", "source", F.col("left_count").cast("long").alias("left_count"), F.col("right_count").cast("long").alias("right_count"))
+    return out.select("k", "source", F.array_join("left_list", ",").alias("left_list"), F.array_join("right_list", ",").alias("right_list"))
 
 
 @query("a15_prefix_stats", "SELECT substr(o_orderpriority, 1, 1) AS prefix, count(*) AS codes FROM orders GROUP BY 1")
@@ -573,6 +656,18 @@ def _(t):
     return W.page_chunks(d).select("o_orderkey", F.col("chunk").cast("long").alias("chunk"), F.col("chunk_start").cast("double").alias("chunk_start"))
 
 
+_SECTIONS = "SELECT o_custkey AS doc, CAST(o_orderkey AS VARCHAR) AS section, 1 AS s, CAST(floor(o_totalprice) AS BIGINT) % 130 + 1 AS e FROM orders"
+
+
+@query("g04_section_chunks", f"WITH x AS ({_SECTIONS}), p AS (SELECT section, 'L' || l_linenumber AS title, l_linenumber * 10 + 1 AS s, e, x.doc FROM x JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem WHERE l_linenumber <= 4 AND l_orderkey % 3 = 0) ON section = CAST(l_orderkey AS VARCHAR) WHERE e > 50) SELECT doc, section AS name, 'section' AS kind, s AS chunk_start, e AS chunk_end FROM x WHERE e <= 50 UNION ALL SELECT doc, section || ' - ' || title, 'subsection', s, coalesce(lead(s) OVER (PARTITION BY doc, section ORDER BY s) - 1, e) FROM p UNION ALL SELECT doc, section || ' Part ' || (k + 1), 'split', 1 + k * z, least(1 + k * z + z - 1, e) FROM (SELECT doc, section, e, CAST(ceil(e / ceil(e / 50.0)) AS BIGINT) AS z, unnest(range(0, CAST(ceil(e / 50.0) AS BIGINT))) AS k FROM x WHERE e > 50 AND section NOT IN (SELECT section FROM p))")
+def _(t):
+    pages = F.floor("o_totalprice") % 130 + 1
+    s = t.orders.select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").cast("string").alias("section"), F.lit(1).cast("long").alias("start"), pages.alias("end"))
+    sub = t.lineitem.where("l_linenumber <= 4 AND l_orderkey % 3 = 0").select(F.col("l_orderkey").cast("string").alias("section"), F.concat(F.lit("L"), F.col("l_linenumber").cast("string")).alias("title"), (F.col("l_linenumber") * 10 + 1).cast("long").alias("start")).distinct()
+    sub = sub.join(s.select("doc", "section"), "section").select("doc", "section", "title", "start")
+    return W.section_chunks(s, sub, "doc", "section").select("doc", "name", "kind", F.col("chunk_start").cast("long").alias("chunk_start"), F.col("chunk_end").cast("long").alias("chunk_end"))
+
+
 @query("u01_key_sets", "SELECT coalesce(a.k, b.k) AS k, CASE WHEN b.k IS NULL THEN 'left' WHEN a.k IS NULL THEN 'right' ELSE 'both' END AS side FROM (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_nationkey < 15) a FULL JOIN (SELECT DISTINCT s_nationkey AS k FROM supplier WHERE s_nationkey > 5) b ON a.k = b.k")
 def _(t):
     return W.key_sets(t.customer.where("c_nationkey < 15").select(F.col("c_nationkey").alias("k")), t.supplier.where("s_nationkey > 5").select(F.col("s_nationkey").alias("k")), "k")
@@ -598,9 +693,40 @@ _RULES = [("legal", "License", "keyword", 1), ("legal", "rights", "keyword", 1),
 @query("c02_keyword_classifier", "WITH r(category, keyword, kind, priority) AS (VALUES " + ", ".join(f"('{a}', '{b}', '{c}', {d})" for a, b, c, d in _RULES) + "), s AS (SELECT doc_id, category, priority, sum(CASE WHEN kind = 'suffix' THEN CASE WHEN ends_with(text, keyword) THEN 5 ELSE 0 END ELSE 2 * CAST((length(text) - length(replace(text, keyword, ''))) / length(keyword) AS INT) END) / priority AS score FROM documents JOIN r ON contains(text, keyword) OR ends_with(text, keyword) GROUP BY 1, 2, 3) SELECT doc_id, category, round(score, 9) AS score FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, priority, category) AS k FROM s WHERE score > 0) WHERE k = 1")
 def _(t):
     rules = t.spark.createDataFrame(_RULES, "category string, keyword string, kind string, priority int")
+    return C.keyword_classifier(t.documents.select("doc_id", "text"), rules, "text", "text", "doc_id").select("doc_id", "category", F.round("score", 9).alias("score"))
+
+
+_EARLY = [("Licensed|rights reserved", "legal", 0.95), ("https?://", "web", 0.9)]
+_SCORED = [("tech", "system", "keyword", 1), ("tech", "data", "keyword", 1), ("tech", "the ", "negative", 1), ("talk", "you", "keyword", 2), ("talk", "?", "suffix", 2)]
+
+
+@query("c03_early_rules", "WITH r(category, keyword, kind, priority) AS (VALUES " + ", ".join(f"('{a}', '{b}', '{c}', {d})" for a, b, c, d in _SCORED) + "), s AS (SELECT doc_id, category, priority, sum(CASE kind WHEN 'suffix' THEN CASE WHEN ends_with(text, keyword) THEN 5 ELSE 0 END WHEN 'negative' THEN -3 ELSE 2 * CAST((length(text) - length(replace(text, keyword, ''))) / length(keyword) AS INT) END) / priority AS score FROM documents JOIN r ON contains(text, keyword) GROUP BY 1, 2, 3), b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, priority, category) AS k FROM s WHERE score > 0) WHERE k = 1) SELECT d.doc_id, CASE WHEN regexp_matches(text, 'Licensed|rights reserved') THEN 'legal' WHEN regexp_matches(text, 'https?://') THEN 'web' ELSE category END AS category, round(CASE WHEN regexp_matches(text, 'Licensed|rights reserved') THEN 0.95 WHEN regexp_matches(text, 'https?://') THEN 0.9 WHEN score IS NOT NULL THEN least(score / 10, 1.0) ELSE 1.0 END, 9) AS confidence FROM documents d LEFT JOIN b USING (doc_id)".replace("ELSE 1.0 END, 9)", "END, 9)"))
+def _(t):
+    rules = t.spark.createDataFrame(_SCORED, "category string, keyword string, kind string, priority int")
     d = t.documents.select("doc_id", "text")
-    out = C.keyword_classifier(d.withColumn("k", F.concat_ws("\u0001", F.col("doc_id").cast("string"), "text")), rules, "k", "text")
-    return out.select(F.split("k", "\u0001")[0].cast("long").alias("doc_id"), "category", F.round("score", 9).alias("score"))
+    scored = C.keyword_classifier(d, rules, "text", "text", "doc_id")
+    return C.early_rules(d, _EARLY, "text", scored, "doc_id").select("doc_id", "category", F.round("confidence", 9).alias("confidence"))
+
+
+_POOL = [("core", "c1", 1, ["the", "and"], ["Licensed"]), ("core", "c2", 2, ["data"], ["http"]), ("core", "c3", 3, ["was", "were"], []), ("core", "c4", 4, ["you"], ["?"]), ("boundary", "b1", 1, ["of"], []), ("boundary", "b2", 2, ["in", "on", "at"], ["!"]), ("fixed", "f1", 1, [], []), ("fixed", "f2", 2, ["the"], [])]
+
+
+def _pool_sql() -> str:
+    held = lambda ws: " + ".join(f"CAST(contains(text, '{w}') AS INT)" for w in ws) or "0"
+    rows = [f"SELECT doc_id, '{k}' AS kind, '{e}' AS example, {s} AS seq, " + ("0" if k == "fixed" else f"2 * ({held(ws)}) + 3 * CAST(({held(cues)}) > 0 AS INT)") + " AS score FROM documents" for k, e, s, ws, cues in _POOL]
+    return " UNION ALL ".join(rows)
+
+
+@query("c05_choose_examples", f"SELECT doc_id, kind, example, score, rank FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, kind ORDER BY score DESC, seq) AS rank FROM ({_pool_sql()})) WHERE rank <= CASE WHEN kind = 'fixed' THEN 1 ELSE 3 END")
+def _(t):
+    pool = t.spark.createDataFrame(_POOL, "kind string, example string, seq int, keywords array<string>, cues array<string>")
+    return C.choose_examples(t.documents, pool, "doc_id", "text").select("doc_id", "kind", "example", "score", "rank")
+
+
+@query("c07_complexity", "SELECT o_custkey, round(least(coalesce(tables / nullif(pages, 0), 0) * 20, 40) + CASE WHEN nested THEN 30 ELSE 0 END + least(rows / 10, 30), 6) AS score FROM (SELECT o_custkey, count(*) AS tables, count(DISTINCT o_orderstatus) - 1 AS pages, count_if(o_orderpriority = '1-URGENT') > 1 AS nested, sum(o_orderkey % 50) AS rows FROM orders GROUP BY 1)")
+def _(t):
+    s = t.orders.groupBy("o_custkey").agg(F.count("*").alias("tables"), (F.countDistinct("o_orderstatus") - 1).alias("pages"), (F.count_if(F.col("o_orderpriority") == "1-URGENT") > 1).alias("nested"), F.sum(F.col("o_orderkey") % 50).alias("rows"))
+    return s.select("o_custkey", F.round(C.complexity(F.col("tables"), F.col("pages"), F.col("nested"), F.col("rows")), 6).alias("score"))
 
 
 @query("c06_quality_grade", "SELECT doc_id, CASE WHEN length(text) / (1 + len(string_split(text, chr(10)))) < 50 OR 0.0 >= 0.5 THEN 'C' WHEN length(text) / (1 + len(string_split(text, chr(10)))) >= 300 THEN 'A' ELSE 'B' END AS grade FROM documents")
@@ -608,11 +734,25 @@ def _(t):
     return t.documents.select("doc_id", C.quality_grade(F.length("text"), F.size(F.split("text", "\n")) + 1, F.lit(0.0)).alias("grade"))
 
 
+_GATES = {
+    "hard": ["k0"], "conditional": ["k1"], "hints": ["ECONOMY"], "suffixes": [{"en": "e", "ko": ["2", "3"], "strict": True}, {"en": "d", "ko": ["4"]}],
+    "regimen": ["r5"], "biomarker": ["b6"], "disease": ["d7"], "context_tokens": ["PROMO"], "strict": 0.25, "loose": 0.6, "high_frequency": 20,
+}
+
+
 @query("c01_gate_chain")
 def _(t):
-    rules = {"hard": ["box"], "conditional": [], "hints": [], "suffixes": [], "regimen": ["steel"], "biomarker": [], "disease": ["tin"], "strict": 0.25, "loose": 0.35, "high_frequency": 20}
-    e = t.part.select(F.substring_index("p_name", " ", 1).alias("en"), F.substring_index("p_name", " ", -1).alias("ko"), F.col("p_size").alias("count"), F.lit(None).cast("string").alias("context_span"), F.col("p_partkey").alias("seq"))
-    return C.gate_chain(e, rules).select("seq", "decision", F.array_join("reason_codes", ",").alias("reasons"))
+    # names are words of p_name with an end that the gates know, by the part's number
+    kind = F.col("p_partkey") % 10
+    end = F.when(kind == 5, "r5").when(kind == 6, "b6").when(kind == 7, "d7")
+    first = F.concat_ws(" ", F.substring_index("p_name", " ", 1), end)
+    last = F.when(kind < 2, F.concat(F.lit("k"), kind.cast("string"))).when(kind == 4, F.substring_index("p_name", " ", 1)).otherwise(F.concat(F.substring_index("p_name", " ", -1), kind.cast("string")))
+    e = t.part.select(first.alias("en"), last.alias("ko"), F.col("p_size").alias("count"), F.col("p_type").alias("context_span"), F.col("p_partkey").alias("seq"))
+    curated = t.part.where("p_size = 7").select(first.alias("en"), last.alias("ko"))
+    brands = t.part.where("p_size = 9").select(first.alias("brand"), last.alias("ingredient"))
+    promotion = t.part.where("p_size = 11").select(F.substring_index("p_type", " ", 1).alias("anchor"), first.alias("drug"))
+    out = C.gate_chain(e, _GATES, curated, brands, promotion=promotion)
+    return out.select("seq", "decision", F.array_join("reason_codes", ",").alias("reasons"))
 
 
 @query("c09_dictionary", "SELECT p_brand AS ingredient, arg_min(p_type, p_partkey) AS atc_code, count(DISTINCT p_name) AS makers, CASE WHEN starts_with(arg_min(p_type, p_partkey), 'STA') THEN 'standard' ELSE 'other' END AS therapeutic_category FROM part GROUP BY 1")
@@ -682,7 +822,7 @@ def _tree(t):
 
 @query("q04_descend", f"WITH RECURSIVE e AS ({_TREE}), b(root, node, depth) AS (SELECT 'r' || r_regionkey, 'r' || r_regionkey, 0 FROM region UNION ALL SELECT b.root, e.dst_id, b.depth + 1 FROM b JOIN e ON e.src_id = b.node) SELECT root, node, depth FROM b WHERE depth > 0")
 def _(t):
-    return G.descend(t.spark, _tree(t), t.region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("id")), 5)
+    return G.descend(_tree(t), t.region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("id")), 5)
 
 
 @query("q06_neighbourhood", f"WITH e AS ({_TREE}), u AS (SELECT src_id AS id, dst_id AS o FROM e UNION SELECT dst_id, src_id FROM e), one AS (SELECT DISTINCT o AS id FROM u WHERE id = 'n3'), two AS (SELECT DISTINCT u.o AS id FROM u JOIN one ON u.id = one.id WHERE u.o <> 'n3' AND u.o NOT IN (SELECT id FROM one)) SELECT 'n3' AS id, 0 AS distance UNION ALL SELECT id, 1 FROM one UNION ALL SELECT id, 2 FROM two")
@@ -720,9 +860,15 @@ def _(t):
     return G.unwound(t.part.withColumn("w", F.split("p_name", " ")), "w", "word", "p_partkey")
 
 
-@query("q15_fact_sentences", "SELECT o_orderkey, 'customer ' || o_custkey || ' placed order ' || o_orderkey AS sentence FROM orders")
+@query("q15_fact_sentences", "SELECT 'HAS_BIOMARKER' AS kind, c_name || ' (' || c_custkey || ') can have the biomarker ' || c_mktsegment || ' (' || c_nationkey || ').' AS sentence FROM customer UNION ALL SELECT 'TESTED_BY', p_brand || ' is tested by ' || p_name || ' (code ' || p_partkey || ').' FROM part UNION ALL SELECT 'TARGETS', s_name || ' (' || s_suppkey || ') targets ' || s_nationkey || '; it works by -.' FROM supplier UNION ALL SELECT 'TREATED_BY', o_orderkey || ' is treated in line ' || o_custkey || ' with ' || o_orderstatus || ': ' || o_orderpriority || ', ' || o_orderstatus || ' (notice ' || o_orderpriority || ').' FROM orders")
 def _(t):
-    return G.fact_sentences(t.orders, "customer %s placed order %s", ["o_custkey", "o_orderkey"]).select("o_orderkey", "sentence")
+    a = lambda df, **cols: df.select(*[F.col(v).alias(k) for k, v in cols.items()])
+    return G.sentences({
+        "HAS_BIOMARKER": a(t.customer, disease="c_name", disease_code="c_custkey", biomarker="c_mktsegment", biomarker_en="c_nationkey"),
+        "TESTED_BY": a(t.part, biomarker="p_brand", test="p_name", test_code="p_partkey"),
+        "TARGETS": a(t.supplier, drug="s_name", drug_code="s_suppkey", biomarker="s_nationkey").withColumn("mechanism", F.lit(None).cast("string")),
+        "TREATED_BY": t.orders.select(F.col("o_orderkey").alias("disease"), F.col("o_custkey").alias("line"), F.col("o_orderstatus").alias("regimen_type"), F.array("o_orderstatus", "o_orderpriority").alias("drugs"), F.col("o_orderpriority").alias("notice")),
+    })
 
 
 @query("q16_nearest", "SELECT vec_id, round(score, 6) AS score FROM (SELECT vec_id, list_sum(CAST(embedding AS DOUBLE[])) AS score FROM embeddings) ORDER BY score DESC, vec_id LIMIT 10")
@@ -730,9 +876,10 @@ def _(t):
     return G.nearest(t.embeddings, "embedding", [1.0] * 64, 10, "vec_id").select("vec_id", F.round("score", 6).alias("score"))
 
 
-@query("q17_distinct_members", "SELECT o_custkey, count(DISTINCT l_partkey) AS n FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
+@query("q17_distinct_members", "SELECT o_custkey, string_agg(DISTINCT CAST(l_partkey AS VARCHAR), ',' ORDER BY CAST(l_partkey AS VARCHAR)) AS members FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1")
 def _(t):
-    return G.distinct_members(t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")), ["o_custkey"], "l_partkey").select("o_custkey", F.size("members").cast("long").alias("n"))
+    j = t.orders.join(t.lineitem, F.col("o_orderkey") == F.col("l_orderkey")).withColumn("p", F.col("l_partkey").cast("string"))
+    return G.distinct_members(j, ["o_custkey"], "p").select("o_custkey", F.array_join("members", ",").alias("members"))
 
 
 @query("q18_search", "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'red') ORDER BY p_name, p_partkey")

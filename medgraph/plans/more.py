@@ -27,20 +27,25 @@ def _(t):
     return S.envelope(d, "other", "items")
 
 
-@query("s07_column_like", "SELECT sum(c_acctbal) > 0 AS positive FROM customer")
+@query("s07_column_like", "SELECT c_custkey, c_acctbal AS found FROM customer")
 def _(t):
-    return t.customer.agg((F.sum(S.column_like(t.customer, "acct")) > 0).alias("positive"))
+    return t.customer.select("c_custkey", F.col(S.column_like(t.customer, "acct")).alias("found"))
 
 
-@query("s08_array_literal", "SELECT p_partkey, 2 AS n, p_brand AS second FROM part")
+@query("s08_array_literal", "SELECT p_partkey, array_to_string(string_split(p_name, ' '), '|') AS items, len(string_split(p_name, ' ')) AS n FROM part")
 def _(t):
-    a = T.array_literal(F.concat(F.lit("['"), "p_type", F.lit("', '"), "p_brand", F.lit("']")))
-    return t.part.select("p_partkey", F.size(a).alias("n"), a[1].alias("second"))
+    a = T.array_literal(F.concat(F.lit("['"), F.regexp_replace("p_name", " ", "', '"), F.lit("']")))
+    return t.part.select("p_partkey", F.array_join(a, "|").alias("items"), F.size(a).cast("long").alias("n"))
+
+
+#: Dosage forms that the query puts behind names in turn.
+_FORMS = ["주입액", "현탁액", "분말", "과립", "패치", "펜", "키트", "연질", "경질", "서방정", "정"]
 
 
 @query("n05_brand_and_ingredient", "SELECT p_partkey, replace(p_name, ' ', '-') AS brand, p_type AS ingredient FROM part")
 def _(t):
-    c = F.concat(F.translate("p_name", " ", "-"), F.lit("("), F.col("p_type"), F.lit(", x)"))
+    form = F.element_at(F.array(*map(F.lit, _FORMS)), (F.col("p_partkey") % len(_FORMS) + 1).cast("int"))
+    c = F.concat(F.translate("p_name", " ", "-"), form, F.lit("("), F.col("p_type"), F.lit(", x)"))
     return t.part.select("p_partkey", T.brand(c).alias("brand"), T.ingredient_in_parens(c).alias("ingredient"))
 
 
@@ -50,10 +55,10 @@ def _(t):
     return t.part.select("p_partkey", F.inline(F.array(T.brand_spec(c))))
 
 
-@query("n08_brand_variants", "SELECT p_partkey, 3 AS n FROM part")
+@query("n08_brand_variants", "SELECT p_partkey, unnest(['약' || p_brand || '정(' || p_size || ')', '약' || p_brand || '정', '약' || p_brand]) AS variant FROM part")
 def _(t):
-    c = F.concat(F.lit("약품"), F.col("p_partkey").cast("string"), F.lit("가정(x)"))
-    return t.part.select("p_partkey", F.size(T.brand_variants(c)).alias("n"))
+    c = F.concat(F.lit("약 "), F.col("p_brand"), F.lit("정 ("), F.col("p_size").cast("string"), F.lit(")"))
+    return t.part.select("p_partkey", F.explode(T.brand_variants(c)).alias("variant"))
 
 
 @query("n09_search_keys", "SELECT p_partkey, unnest(['약' || p_partkey || 'mg', '약', p_type]) AS key FROM part")
@@ -62,15 +67,23 @@ def _(t):
     return t.part.select("p_partkey", F.explode(T.search_keys(c)).alias("key"))
 
 
-@query("n11_salt_split", "SELECT p_partkey, p_type AS base, 'sodium' AS salt FROM part")
+_SALTS_SQL = ["sodium", "tartrate", "potassium", "magnesium", None]
+
+
+@query("n11_salt_split", "SELECT p_partkey, CASE WHEN p_partkey % 10 >= 5 THEN p_brand ELSE p_type END AS base, CASE p_partkey % 5 " + " ".join(f"WHEN {i} THEN '{s}'" for i, s in enumerate(_SALTS_SQL) if s) + " END AS salt FROM part")
 def _(t):
-    s = T.salt_split(F.concat("p_type", F.lit(" Sodium")))
+    english = F.element_at(F.array(F.lit(" Sodium"), F.lit(" TARTRATE"), F.lit(" potassium"), F.lit(" magnesium"), F.lit("")), (F.col("p_partkey") % 5 + 1).cast("int"))
+    korean = F.element_at(F.array(F.lit("나트륨"), F.lit("주석산염"), F.lit("칼륨"), F.lit("마그네슘"), F.lit("")), (F.col("p_partkey") % 5 + 1).cast("int"))
+    s = T.salt_split(F.when(F.col("p_partkey") % 10 >= 5, F.concat("p_brand", korean)).otherwise(F.concat("p_type", english)))
     return t.part.select("p_partkey", s["base"].alias("base"), s["salt"].alias("salt"))
 
 
-@query("n12_antibody", "SELECT p_partkey, p_partkey % 2 = 0 AS recombinant FROM part")
+@query("n12_antibody", "SELECT p_partkey, p_partkey % 4 < 2 AS recombinant, CASE p_partkey % 3 WHEN 0 THEN 'manual' WHEN 1 THEN 'extracted' ELSE 'atc' END AS source, CASE p_partkey % 3 WHEN 0 THEN p_brand WHEN 1 THEN p_type ELSE p_name END AS name FROM part")
 def _(t):
-    return t.part.select("p_partkey", T.is_antibody(F.concat("p_name", F.when(F.col("p_partkey") % 2 == 0, "Mab").otherwise("x"))).alias("recombinant"))
+    k = F.col("p_partkey")
+    n = T.name_with_source(F.col("p_name"), F.when(k % 3 == 1, F.col("p_type")).when(k % 3 == 2, F.col("p_name")), F.when(k % 3 == 0, F.col("p_brand")))
+    end = F.when(k % 4 == 0, "Mab").when(k % 4 == 1, " pegfilgrastim x").otherwise("x")
+    return t.part.select("p_partkey", T.is_antibody(F.concat("p_name", end)).alias("recombinant"), n["source"].alias("source"), n["name"].alias("name"))
 
 
 @query("n15_class_by_prefix", "SELECT p_partkey, CASE WHEN starts_with(p_type, 'STA') THEN 'standard' ELSE 'rest' END AS class FROM part")
@@ -78,14 +91,17 @@ def _(t):
     return t.part.select("p_partkey", F.when(J.any_prefix(F.col("p_type"), ["STA"]), "standard").otherwise("rest").alias("class"))
 
 
-@query("n16_greek_synonyms", "SELECT p_partkey, unnest(['alpha-' || p_name, 'alpha' || p_name]) AS name FROM part")
+@query("n16_greek_synonyms", "SELECT p_partkey, unnest(CASE WHEN p_partkey % 3 = 2 THEN [] WHEN p_partkey % 3 = 0 THEN ['alpha-' || p_name, 'alpha' || p_name, '알파-' || p_name, '알파' || p_name] ELSE ['omega-' || p_name || ' 5 μg', 'omega' || p_name || ' 5 μg', '오메가-' || p_name || ' 5 μg', '오메가' || p_name || ' 5 μg'] END) AS name FROM part")
 def _(t):
-    return t.part.select("p_partkey", F.explode(T.greek_synonyms(F.concat(F.lit("α-"), "p_name"))).alias("name"))
+    c = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("α-"), "p_name")).when(F.col("p_partkey") % 3 == 1, F.concat(F.lit("ω-"), "p_name", F.lit(" 5 μg"))).otherwise(F.concat("p_name", F.lit(" 5 μg")))
+    return t.part.select("p_partkey", F.explode(F.concat(T.greek_synonyms(c), T.greek_synonyms(c, T.GREEK_KO))).alias("name"))
 
 
-@query("n17_greek_letters", "SELECT p_partkey, 'β' AS letter FROM part")
+@query("n17_greek_letters", "SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN 'β' WHEN 1 THEN 'α,κ' WHEN 2 THEN '' ELSE 'μ' END AS letters FROM part")
 def _(t):
-    return t.part.select("p_partkey", F.explode(T.greek_letters(F.concat(F.lit("β 5 μg "), "p_name"))).alias("letter"))
+    k = F.col("p_partkey") % 4
+    c = F.when(k == 0, "β 5 μg ").when(k == 1, "κ-α-κ ").when(k == 2, "5 μmol ").otherwise("μ-x ")
+    return t.part.select("p_partkey", F.array_join(T.greek_letters(F.concat(c, "p_name")), ",").alias("letters"))
 
 
 @query("n18_alias_fold", "SELECT p_partkey, replace(upper(p_name), 'RED', 'R') AS folded FROM part")
@@ -93,19 +109,13 @@ def _(t):
     return t.part.select("p_partkey", T.alias_fold(F.col("p_name"), [("RED", "R")]).alias("folded"))
 
 
-@query("n25_circled", "SELECT n_nationkey, n_nationkey + 1 AS n FROM nation WHERE n_nationkey < 15")
-def _(t):
-    return t.nation.where("n_nationkey < 15").select("n_nationkey", T.circled(F.substring(F.lit(T.CIRCLED), F.col("n_nationkey") + 1, F.lit(1))).alias("n"))
-
-
-@query("n28_drop_phrases", "SELECT doc_id, replace(text, 'Licensed', '') AS cut FROM documents WHERE contains(text, 'Licensed') AND NOT regexp_matches(text, '\\n\\s*\\n') AND text = trim(text) AND NOT starts_with(text, 'Licensed')")
+@query("n25_circled", "SELECT p_partkey, CASE WHEN p_size <= 15 THEN p_size END AS n FROM part")
 def _(t):
-    d = t.documents.where("contains(text, 'Licensed') AND NOT text RLIKE '\\\\n\\\\s*\\\\n' AND text = trim(text) AND NOT startswith(text, 'Licensed')")
-    return d.select("doc_id", T.drop_phrases(F.col("text"), ["Licensed"]).alias("cut"))
+    c = F.when(F.col("p_size") <= 15, F.substring(F.lit(T.CIRCLED), F.col("p_size"), F.lit(1))).otherwise(F.col("p_name"))
+    return t.part.select("p_partkey", T.circled(c).alias("n"))
 
 
-# the twin above is a plain replace(); this one meets blank lines and outer white space, and the tests hold it against plain Python
-@query("n28_drop_phrases_all")
+@query("n28_drop_phrases", "SELECT doc_id, trim(regexp_replace(replace(text, 'Licensed', ''), '\\n[\\s\\x{0B}]*\\n+', chr(10), 'g'), ' ') AS cut FROM documents")
 def _(t):
     return t.documents.select("doc_id", T.drop_phrases(F.col("text"), ["Licensed"]).alias("cut"))
 
@@ -115,15 +125,18 @@ def _(t):
     return t.part.select("p_partkey", T.marker_of_title(F.concat("p_name", F.lit(" ["), F.col("p_brand"), F.lit("]")), ["x"]).alias("marker"))
 
 
-@query("n32_full_path", "SELECT n_nationkey, '제' || n_nationkey || '조(' || n_name || ') 제' || n_regionkey || '항' AS path FROM nation")
+@query("n32_full_path", "SELECT o_orderkey, '제' || o_orderkey || '조(' || o_orderstatus || ')' || CASE WHEN o_custkey % 2 = 0 THEN ' 제' || (o_custkey % 9) || '항' ELSE '' END || CASE WHEN o_custkey % 3 = 0 THEN ' 제' || (o_custkey % 5) || '호' ELSE '' END AS path FROM orders")
 def _(t):
-    s = lambda c: F.col(c).cast("string")
-    return t.nation.select("n_nationkey", T.full_path(s("n_nationkey"), F.col("n_name"), s("n_regionkey"), F.lit(None).cast("string")).alias("path"))
+    s = lambda c: c.cast("string")
+    k = F.col("o_custkey")
+    return t.orders.select("o_orderkey", T.full_path(s(F.col("o_orderkey")), F.col("o_orderstatus"), F.when(k % 2 == 0, s(k % 9)), F.when(k % 3 == 0, s(k % 5))).alias("path"))
 
 
-@query("n35_scripts", "SELECT n_name, true AS latin, false AS hangul FROM nation")
+@query("n35_scripts", "SELECT doc_id, regexp_matches(text, '[A-Za-z]') AS latin, regexp_matches(text, '[가-힣]') AS hangul FROM (SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN '글' ELSE '' END AS text FROM (SELECT doc_id, CASE WHEN doc_id % 4 = 0 THEN '1 2' ELSE text END AS text FROM documents))")
 def _(t):
-    return t.nation.select("n_name", T.has_latin(F.col("n_name")).alias("latin"), T.has_hangul(F.col("n_name")).alias("hangul"))
+    base = F.when(F.col("doc_id") % 4 == 0, F.lit("1 2")).otherwise(F.col("text"))
+    d = t.documents.select("doc_id", F.concat(base, F.when(F.col("doc_id") % 3 == 0, "글").otherwise("")).alias("text"))
+    return d.select("doc_id", T.has_latin(F.col("text")).alias("latin"), T.has_hangul(F.col("text")).alias("hangul"))
 
 
 @query("x07_headings", "SELECT p_partkey AS doc_id, CAST(p_size AS VARCHAR) AS number, p_brand AS english FROM part")
@@ -132,10 +145,10 @@ def _(t):
     return X.numbered_headings(d).select("doc_id", "number", "english")
 
 
-@query("x08_markdown_rows", "SELECT p_partkey AS doc_id, p_brand AS drug, '' AS note FROM part")
+@query("x08_markdown_rows", "SELECT p_partkey AS doc_id, unnest(['x' || translate(p_brand, '0123456789', ''), p_name]) AS drug, unnest(['', p_type]) AS note FROM part")
 def _(t):
-    d = _text(t, F.lit("| 항암요법 | 비고 |\n|---|---|\n| x"), F.translate("p_brand", "0123456789", ""), F.lit("1 |\nend")).join(t.part.select(F.col("p_partkey").alias("doc_id"), "p_brand"), "doc_id")
-    return X.markdown_rows(d, "항암요법").join(t.part.select(F.col("p_partkey").alias("doc_id"), "p_brand"), "doc_id").select("doc_id", F.when(F.col("cells")["항암요법"].startswith("x"), F.col("p_brand")).alias("drug"), F.col("cells")["비고"].alias("note"))
+    d = _text(t, F.lit("| 항암요법 | 비고 |\n|---|---|\n| x"), F.translate("p_brand", "0123456789", ""), F.lit("1 |\n| "), F.col("p_name"), F.lit(" | "), F.col("p_type"), F.lit(" |\nend"))
+    return X.markdown_rows(d, "항암요법").select("doc_id", F.col("cells")["항암요법"].alias("drug"), F.col("cells")["비고"].alias("note"))
 
 
 @query("x09_restrictions", "SELECT p_partkey AS doc_id, 'bullet' AS kind, p_brand AS category, p_type AS description FROM part")
@@ -143,9 +156,9 @@ def _(t):
     return X.restrictions(_text(t, F.lit("▪ "), F.col("p_brand"), F.lit(": "), F.col("p_type"))).select("doc_id", "kind", "category", "description")
 
 
-@query("x10_questions", "SELECT p_partkey AS doc_id, p_name AS question, p_type AS answer FROM part")
+@query("x10_questions", "SELECT p_partkey AS doc_id, unnest([p_name, p_type]) AS question, unnest([p_type, p_brand]) AS answer FROM part")
 def _(t):
-    return X.questions(_text(t, F.lit("Q1. "), F.col("p_name"), F.lit("\nA1. "), F.col("p_type"))).select("doc_id", "question", "answer")
+    return X.questions(_text(t, F.lit("Q1. "), F.col("p_name"), F.lit("\nA1. "), F.col("p_type"), F.lit("\nQ2. "), F.col("p_type"), F.lit("\nA2. "), F.col("p_brand"))).select("doc_id", "question", "answer")
 
 
 @query("x13_section_relations", "SELECT p_partkey AS doc_id, '비소세포폐암' AS cancer, p_brand AS drug, 2 AS therapy_line, 'add' AS action FROM part")
@@ -155,30 +168,78 @@ def _(t):
 
 
 def _laws(t):
-    body = F.concat(F.lit("제1조(목적)\n① 하나\n1. 둘\n가. 셋\n제2조의3(끝)\n「"), F.col("n_name"), F.lit("」 제1조제1항을 준용한다"))
-    return t.nation.select(F.col("n_name").alias("title"), body.alias("content"))
+    """A statute from every document: its title, three articles, a body of its own lines, and references that depend on its id."""
+    n = F.col("doc_id")
+    other = F.concat(F.lit("법"), (n + 1).cast("string"))
+    lines = F.regexp_replace("text", r"[제①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮「]", "")
+    body = F.concat(
+        F.lit("서문\n제1조(목적)\n① 하나\n1. 둘\n가. 셋\n제2조의3(끝)\n「"), other, F.lit("」 제"), (n % 3 + 1).cast("string"), F.lit("조제1항을 준용한다\n제"),
+        (n % 40 + 3).cast("string"), F.lit("조(글)\n"), F.transform(F.split(lines, "\n"), lambda x: F.concat(F.lit("- "), x)).cast("array<string>")[0],
+    )
+    return t.documents.select(n, F.concat(F.lit("법"), n.cast("string")).alias("title"), body.alias("content"))
+
+
+_LAW_ROWS = "SELECT '법' || doc_id AS law_name, unnest([0, 1, 2, 3, 0, 0]) AS depth, unnest(['001', '001', '001', '001', '002_03', lpad(CAST(doc_id % 40 + 3 AS VARCHAR), 3, '0')]) AS article_number, unnest([1, 2, 3, 4, 5, 7]) AS line_start, unnest([4, 2, 3, 4, 6, 8]) AS line_end FROM documents"
+
+
+@query("x14_articles", _LAW_ROWS)
+def _(t):
+    return L.articles(_laws(t)).select("law_name", "depth", "article_number", "line_start", "line_end")
+
+
+def _references(t):
+    return L.references(L.articles(_laws(t).drop("doc_id")))
+
+
+@query("x15_references", "SELECT '법' || (doc_id + 1) AS target_law_name, lpad(CAST(doc_id % 3 + 1 AS VARCHAR), 3, '0') AS target_article_number, 1 AS target_clause, '준용' AS reference_type, true AS is_cross_law FROM documents")
+def _(t):
+    return _references(t).select("target_law_name", "target_article_number", "target_clause", "reference_type", "is_cross_law")
+
+
+def _resolved(t):
+    """References with the article that they name, where the law has it."""
+    refs = _references(t).withColumn("target_law_id", T.law_id(F.col("target_law_name")))
+    return J.refine_target(refs, L.articles(_laws(t).drop("doc_id")))
 
 
-@query("x14_articles", "SELECT n_name AS law_name, unnest([0, 1, 2, 3, 0]) AS depth, unnest(['001', '001', '001', '001', '002_03']) AS article_number FROM nation")
+_LINKED = "doc_id % 3 IN (0, 2) AND doc_id + 1 IN (SELECT doc_id FROM documents) AND (doc_id % 3 = 0 OR (doc_id + 1) % 40 = 0)"
+
+
+@query("k11_reference_edges", f"SELECT 'ART_LAW_' || upper(substr(md5('법' || doc_id), 1, 8)) || '_002_03' AS src_id, 'ART_LAW_' || upper(substr(md5('법' || (doc_id + 1)), 1, 8)) || CASE WHEN doc_id % 3 = 0 THEN '_001_C1' ELSE '_003' END AS dst_id, 'CROSS_LAW_REFERS_TO' AS edge_type FROM documents WHERE {_LINKED}")
+def _(t):
+    return L.reference_edges(_resolved(t)).select("src_id", "dst_id", "edge_type")
+
+
+@query("q08_reference_report", f"SELECT true AS is_cross_law, count(*) AS parsed, count_if({_LINKED}) AS linked, count(*) - count_if({_LINKED}) AS unlinked FROM documents")
 def _(t):
-    return L.articles(_laws(t)).select("law_name", "depth", "article_number")
+    return L.reference_report(_resolved(t))
 
 
-@query("x15_references", "SELECT n_name AS target_law_name, '001' AS target_article_number, 1 AS target_clause, '준용' AS reference_type, true AS is_cross_law FROM nation")
+@query("q08_top_targets", "SELECT '법' || (doc_id + 1) AS target_law_name, count(*) AS n FROM documents GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20")
 def _(t):
-    return L.references(L.articles(_laws(t))).select("target_law_name", "target_article_number", "target_clause", "reference_type", "is_cross_law")
+    return L.top_targets(_references(t), 20)
 
 
-@query("x19_code_pairs", "SELECT n_nationkey AS page_id, 0 AS table_index, '가' || n_nationkey AS korean_code, 'A' || n_nationkey AS english_code FROM nation")
+@query("k10_derived_from", "SELECT 'LAW_' || upper(substr(md5(c_name || k), 1, 8)) AS src_id, 'LAW_' || upper(substr(md5(c_name), 1, 8)) AS dst_id, trim(k) AS relationship_type FROM (SELECT c_name, CASE c_custkey % 3 WHEN 0 THEN ' 시행령' WHEN 1 THEN '시행규칙' END AS k, c_custkey FROM customer) WHERE k IS NOT NULL AND c_custkey % 5 <> 0")
 def _(t):
-    h = t.nation.select(F.col("n_nationkey").alias("page_id"), F.concat(F.lit("<table><tr><td>가"), F.col("n_nationkey").cast("string"), F.lit("</td><td>A"), F.col("n_nationkey").cast("string"), F.lit("</td></tr><tr><td>x</td></tr></table>")).alias("html"))
-    return X.code_pairs(X.page_parts(h), "^[가-힣]", "^[A-Z]").select(F.col("page_id").cast("int").alias("page_id"), "table_index", "korean_code", "english_code")
+    k = F.col("c_custkey")
+    child = t.customer.select(F.concat("c_name", F.when(k % 3 == 0, " 시행령").when(k % 3 == 1, "시행규칙")).alias("title"))
+    parent = t.customer.where("c_custkey % 5 <> 0").select(F.col("c_name").alias("title"))
+    return L.derived_from_edges(child.unionByName(parent)).select("src_id", "dst_id", "relationship_type")
 
 
-@query("x21_element_names", "SELECT text AS name, count(DISTINCT conv_id) AS n FROM conversations WHERE role = 'user' GROUP BY 1")
+@query("x19_code_pairs", "SELECT p_partkey AS page_id, 0 AS table_index, '가' || p_size AS korean_code, p_brand AS english_code FROM part WHERE p_partkey % 3 <> 0")
 def _(t):
-    e = t.conversations.groupBy("conv_id").agg(F.collect_list(F.struct(F.col("role").alias("category"), "text")).alias("elements"))
-    return X.element_names(e, "user", "conv_id").select("name", F.size("sources").cast("long").alias("n"))
+    td = lambda c: F.concat(F.lit("<td>"), c, F.lit("</td>"))
+    first = F.concat(F.when(F.col("p_partkey") % 3 != 0, "가").otherwise(""), F.col("p_size").cast("string"))
+    h = t.part.select(F.col("p_partkey").alias("page_id"), F.concat(F.lit("<table><tr>"), td(first), td(F.col("p_brand")), F.lit("</tr><tr><td>x</td></tr></table>")).alias("html"))
+    return X.code_pairs(X.page_parts(h), "^[가-힣]", "^[A-Z]").select("page_id", "table_index", "korean_code", "english_code")
+
+
+@query("x21_element_names", "SELECT text AS name, string_agg(DISTINCT CAST(conv_id AS VARCHAR), ',' ORDER BY CAST(conv_id AS VARCHAR)) AS sources FROM conversations WHERE role = 'user' GROUP BY 1")
+def _(t):
+    e = t.conversations.groupBy(F.col("conv_id").cast("string").alias("conv_id")).agg(F.collect_list(F.struct(F.col("role").alias("category"), "text")).alias("elements"))
+    return X.element_names(e, "user", "conv_id").select("name", F.array_join("sources", ",").alias("sources"))
 
 
 @query("x23_outline", "SELECT p_partkey AS doc_id, p_name AS item, p_brand || '/' || p_type AS path FROM part")
@@ -198,10 +259,11 @@ def _(t):
     return X.record_rows(t.part.select("p_partkey", rows.alias("rows"))).select("p_partkey", F.col("cells")["name"].alias("name"), F.col("cells")["kind"].alias("kind"))
 
 
-@query("x28_record_map", "SELECT n_nationkey AS page_id, n_name AS name FROM nation")
+@query("x28_record_map", "SELECT p_partkey AS page_id, p_name AS name, p_brand AS brand FROM part")
 def _(t):
-    h = t.nation.select(F.col("n_nationkey").alias("page_id"), F.concat(F.lit("<table><tr><th>name</th><td>"), "n_name", F.lit("</td></tr></table>")).alias("html"))
-    return X.record_map(X.page_parts(h)).select(F.col("page_id").cast("int").alias("page_id"), F.col("fields")["name"].alias("name"))
+    row = lambda k, c: F.concat(F.lit(f"<tr><th>{k}</th><td>"), c, F.lit("</td></tr>"))
+    h = t.part.select(F.col("p_partkey").alias("page_id"), F.concat(F.lit("<table>"), row("name", F.col("p_name")), row("brand", F.col("p_brand")), row("name", F.lit("again")), F.lit("</table>")).alias("html"))
+    return X.record_map(X.page_parts(h)).select("page_id", F.col("fields")["name"].alias("name"), F.col("fields")["brand"].alias("brand"))
 
 
 @query("p04_leaf_only", "SELECT p_partkey FROM part WHERE NOT p_size > 40 AND p_size % 2 = 0")
@@ -228,19 +290,32 @@ def _(t):
     return J.refine_target(refs, top.unionByName(kid)).select("l_orderkey", "l_linenumber", F.col("target_article_id").alias("target"))
 
 
-@query("a02_products_by_key", "SELECT p_type, count(DISTINCT p_name) AS p_name_count FROM part GROUP BY 1")
+@query("a02_products_by_key", "SELECT p_type, count(DISTINCT p_name) AS p_name_count, string_agg(DISTINCT p_name, '|' ORDER BY p_name) AS names FROM part GROUP BY 1")
+def _(t):
+    return A.group_lists(t.part, ["p_type"], "p_partkey", [], ["p_name"]).select("p_type", F.col("p_name_count").cast("long").alias("p_name_count"), F.array_join("p_name_list", "|").alias("names"))
+
+
+@query("a10_bidirectional_aliases", "WITH b AS (SELECT p_type AS a, p_brand AS b, 0 AS p FROM part WHERE p_size > 45 UNION ALL SELECT p_type, p_brand, 1 FROM part), f AS (SELECT a, arg_min(b, (p, b)) AS b FROM b GROUP BY 1) SELECT f.a AS p_type, f.b AS p_brand, l.all_a AS all_types FROM f JOIN (SELECT b, string_agg(DISTINCT a, '|' ORDER BY a) AS all_a FROM b GROUP BY 1) l USING (b)")
 def _(t):
-    return A.group_lists(t.part, ["p_type"], "p_partkey", [], ["p_name"]).select("p_type", F.col("p_name_count").cast("long").alias("p_name_count"))
+    out = A.bidirectional_aliases(t.part.where("p_size > 45"), t.part, "p_type", "p_brand")
+    return out.select("p_type", "p_brand", F.array_join("all_p_type", "|").alias("all_types"))
 
 
-@query("a10_bidirectional_aliases", "SELECT p_name, min(p_brand) AS p_brand FROM part GROUP BY 1")
+@query("a12_code_sets", "SELECT p_brand, count(*) AS total, string_agg(DISTINCT p_type, '|' ORDER BY p_type) AS types FROM part GROUP BY 1")
 def _(t):
-    return A.bidirectional_aliases(t.part.where("p_size < 0"), t.part, "p_name", "p_brand").select("p_name", "p_brand")
+    return A.code_sets(t.part, "p_brand", ["p_type"]).select("p_brand", "total", F.array_join("p_types", "|").alias("types"))
 
 
-@query("a12_code_sets", "SELECT p_brand, count(*) AS total, count(DISTINCT p_size) AS sizes FROM part GROUP BY 1")
+@query("a18_by_path", "SELECT source || '/' || lang AS path, count(*) AS documents, string_agg(doc_id || ':' || n_chars, ',' ORDER BY doc_id, n_chars) AS listed FROM documents GROUP BY 1")
 def _(t):
-    return A.code_sets(t.part, "p_brand", ["p_size"]).select("p_brand", "total", F.size("p_sizes").cast("long").alias("sizes"))
+    d = A.by_path(t.documents.withColumn("path", F.array("source", "lang")), "path", "doc_id", "n_chars")
+    one = lambda x: F.concat_ws(":", x["doc_id"].cast("string"), x["n_chars"].cast("string"))
+    return d.select(F.array_join("path", "/").alias("path"), F.col("document_count").alias("documents"), F.array_join(F.transform("documents", one), ",").alias("listed"))
+
+
+@query("a26_distribution", " UNION ALL ".join(f"SELECT '{c}' AS \"column\", CAST({c} AS VARCHAR) AS value, count(*) AS n, min(p_retailprice) AS least, round(avg(p_retailprice), 6) AS mean, max(p_retailprice) AS most FROM part GROUP BY 2" for c in ("p_brand", "p_type", "p_size")))
+def _(t):
+    return A.value_distribution(t.part, ["p_brand", "p_type", "p_size"], "p_retailprice").withColumn("mean", F.round("mean", 6))
 
 
 @query("a22_reason_counts", "SELECT reason, count(*) AS n FROM (SELECT unnest([o_orderstatus, o_orderpriority]) AS reason FROM orders) GROUP BY 1 ORDER BY n DESC, reason LIMIT 5")
@@ -271,9 +346,23 @@ def _(t):
     return W.stitch_tables(seg).select("doc", "first_page", F.col("last_page").cast("long").alias("last_page"), F.size("rows").cast("long").alias("rows"))
 
 
-@query("g01_global_order", "SELECT n_nationkey, n_name FROM nation ORDER BY n_name, n_nationkey")
+@query("g01_global_order", "SELECT c_custkey, row_number() OVER (ORDER BY c_name DESC, c_custkey) AS place FROM customer")
+def _(t):
+    ordered = W.number(t.customer.select("c_custkey", "c_name").withColumn("_down", F.transform(F.split("c_name", ""), lambda ch: -F.ascii(ch))), "", ["_down", "c_custkey"], "place", 1)
+    return ordered.select("c_custkey", F.col("place").cast("long").alias("place"))
+
+
+@query("u04_concat_collections", "SELECT c_custkey AS k, c_name AS name, CAST(NULL AS VARCHAR) AS brand FROM customer UNION ALL SELECT p_partkey, p_name, p_brand FROM part")
+def _(t):
+    return W.concat_collections(t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name")), t.part.select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand")))
+
+
+@query("k12_delete_labels", "SELECT 'node' AS kind, o_orderkey AS a, NULL AS b FROM orders WHERE o_orderstatus <> 'F' UNION ALL SELECT 'edge', a.o_orderkey, b.o_orderkey FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 WHERE a.o_orderstatus <> 'F' AND b.o_orderstatus <> 'F'")
 def _(t):
-    return t.nation.orderBy("n_name", "n_nationkey").select("n_nationkey", "n_name")
+    nodes = t.orders.select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("label"))
+    e = t.orders.select(F.col("o_orderkey").alias("src_id"), (F.col("o_orderkey") + 1).alias("dst_id"))
+    n, left = G.delete_labels(nodes, e, ["F"])
+    return n.select(F.lit("node").alias("kind"), F.col("id").alias("a"), F.lit(None).cast("long").alias("b")).unionByName(left.select(F.lit("edge").alias("kind"), F.col("src_id").alias("a"), F.col("dst_id").alias("b")))
 
 
 @query("u06_extend_dictionary", "SELECT p_brand AS key, false AS is_normalized FROM part UNION ALL SELECT DISTINCT p_type, true FROM part")
@@ -292,16 +381,15 @@ def _(t):
     return t.part.select("p_partkey", C.has_header(F.array(first, F.array(F.lit("3"), F.lit("4")))).alias("header"))
 
 
-@query("c10_derive_keywords", "SELECT p_partkey, unnest(string_split(p_name, ' ')) AS word FROM part WHERE NOT contains(p_name, 'red')")
+@query("c10_derive_keywords", "SELECT p_partkey, unnest(CASE WHEN contains(p_name, 'red') THEN ['r', 'rot'] ELSE string_split(p_name, ' ') END) AS word FROM part")
 def _(t):
-    d = t.part.where("NOT contains(p_name, 'red')")
-    return d.select("p_partkey", F.explode(C.derive_keywords(F.col("p_name"), {"red": ["r"]}, [])).alias("word"))
+    return t.part.select("p_partkey", F.explode(C.derive_keywords(F.col("p_name"), {"red": ["r", "rot"]}, [])).alias("word"))
 
 
-@query("c11_acceptance", "SELECT n_nationkey, CASE WHEN n_nationkey % 2 = 0 THEN 'pass' ELSE 'missing' END AS status FROM nation")
+@query("c11_acceptance", "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'missing' WHEN o_orderstatus = 'F' THEN 'pass' ELSE 'fail' END AS status FROM orders")
 def _(t):
-    e = t.nation.select("n_nationkey", F.lit("active").alias("decision"))
-    return C.acceptance(e, e.where("n_nationkey % 2 = 0"), ["n_nationkey"]).select("n_nationkey", "status")
+    e = t.orders.select("o_orderkey", F.lit("F").alias("decision"))
+    return C.acceptance(e, t.orders.where("o_orderkey % 3 <> 0").select("o_orderkey", F.col("o_orderstatus").alias("decision")), ["o_orderkey"]).select("o_orderkey", "status")
 
 
 @query("c13_canonical", "SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 'finished' ELSE o_orderstatus END AS o_orderstatus FROM orders")
@@ -315,21 +403,22 @@ def _(t):
     return G.prefix_edges(t.nation.withColumn("codes", F.array(F.col("n_nationkey").cast("string"))), "n_nationkey", "codes", master, "code")
 
 
-@query("k08_code_hierarchy", "SELECT DISTINCT 'C' || lpad(CAST(p_size AS VARCHAR), 2, '0') AS src_id, CASE WHEN p_size < 30 THEN 'C00-C29' ELSE 'C30-C99' END AS dst_id FROM part")
+@query("k08_code_hierarchy", "WITH c AS (SELECT DISTINCT 'C' || lpad(CAST(p_size AS VARCHAR), 2, '0') || CASE WHEN p_partkey % 3 = 0 THEN '.' || (p_partkey % 10) ELSE '' END AS code FROM part) SELECT code AS src_id, CASE WHEN CAST(substr(code, 2) AS INT) < 30 THEN 'C00-C29' ELSE 'C30-C99' END AS dst_id FROM c WHERE NOT contains(code, '.') UNION ALL SELECT code, split_part(code, '.', 1) FROM c WHERE contains(code, '.') AND split_part(code, '.', 1) IN (SELECT code FROM c)".replace("CAST(substr(code, 2) AS INT)", "TRY_CAST(substr(code, 2) AS INT)"))
 def _(t):
-    codes = t.part.select(F.concat(F.lit("C"), F.lpad(F.col("p_size").cast("string"), 2, "0")).alias("code")).distinct()
+    tail = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.lit("."), (F.col("p_partkey") % 10).cast("string"))).otherwise("")
+    codes = t.part.select(F.concat(F.lit("C"), F.lpad(F.col("p_size").cast("string"), 2, "0"), tail).alias("code")).distinct()
     blocks = t.spark.createDataFrame([("C00-C29", "C", 0, 29), ("C30-C99", "C", 30, 99)], "code string, chapter string, lo int, hi int")
     return G.code_hierarchy(codes, blocks)
 
 
-@query("k09_tree_edges", "SELECT n_name, 5 - 2 AS children, 2 AS articles FROM nation")
+@query("k09_tree_edges", "SELECT '법' || doc_id AS law_name, 3 AS children, 3 AS articles FROM documents")
 def _(t):
-    arts = L.articles(_laws(t))
+    arts = L.articles(_laws(t).drop("doc_id"))
     a, c = L.tree_edges(arts)
-    names = arts.select("law_name", "law_id", "article_id")
+    names = arts.select("law_name", "article_id")
     kids = c.join(names, c.dst_id == names.article_id).groupBy("law_name").agg(F.count("*").cast("int").alias("children"))
-    tops = a.join(names.select("law_name", "article_id"), a.dst_id == F.col("article_id")).groupBy("law_name").agg(F.count("*").cast("int").alias("articles"))
-    return kids.join(tops, "law_name").select(F.col("law_name").alias("n_name"), "children", "articles")
+    tops = a.join(names, a.dst_id == names.article_id).groupBy("law_name").agg(F.count("*").cast("int").alias("articles"))
+    return kids.join(tops, "law_name").select("law_name", "children", "articles")
 
 
 @query("k13_mapping_edges", "SELECT s_suppkey AS src_id, s_name AS dst_id, 'MAPS_TO_NAME' AS edge_type FROM supplier")
@@ -339,7 +428,7 @@ def _(t):
 
 @query("q01_lookup", "SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING' AND c_acctbal IS NOT NULL ORDER BY c_acctbal DESC, c_custkey LIMIT 15")
 def _(t):
-    return t.customer.where("c_mktsegment = 'BUILDING' AND c_acctbal IS NOT NULL").orderBy(F.desc("c_acctbal"), "c_custkey").limit(15).select("c_custkey", "c_name")
+    return G.lookup(t.customer, {"c_mktsegment": "BUILDING"}, ["c_acctbal"], [F.desc("c_acctbal"), F.col("c_custkey")], 15).select("c_custkey", "c_name")
 
 
 @query("q05_chains", "SELECT a.n_regionkey AS n0, a.n_nationkey AS n1, b.c_custkey AS n2 FROM nation a JOIN customer b ON a.n_nationkey = b.c_nationkey")

@@ -35,6 +35,16 @@ def one(spark, value, f):
         (lambda c: T.atc_levels(c)["level3"], "L01", None),
         (T.greek_synonyms, "α-Tocopherol", ["alpha-Tocopherol", "alphaTocopherol"]),
         (T.greek_letters, "Test μg/mL", []),
+        (lambda c: T.greek_synonyms(c, T.GREEK_KO), "β-Carotene", ["베타-Carotene", "베타Carotene"]),
+        (lambda c: T.salt_split(c)["salt"], "모르핀이말레산염", "maleate"),
+        (lambda c: T.salt_split(c)["base"], "모르핀이말레산염", "모르핀"),
+        (lambda c: T.salt_split(c)["salt"], "vinorelbine tartrate", "tartrate"),
+        (T.brand, "가나현탁액100mg(다라)", "가나"),
+        (T.is_antibody, "Pegfilgrastim", True),
+        (T.is_antibody, None, False),
+        (lambda c: T.name_with_source(c, F.lit("나"), F.lit(None).cast("string"))["source"], "가", "extracted"),
+        (lambda c: T.name_with_source(c, c, F.lit(None).cast("string"))["source"], "가", "atc"),
+        (lambda c: T.name_with_source(c, c, F.lit("다"))["name"], "가", "다"),
         (T.greek_synonyms, "Dexamethasone", []),
         (T.plain_name, "Leucovorin (x)", "leucovorin"),
         (lambda c: T.disease_code(c)["kind"], "C50.1", "detailed"),
@@ -219,7 +229,7 @@ def test_graph(spark):
     over = {r.id: (r.name, r.status) for r in G.upsert(old, new, "id", keep_old=False, status=True).collect()}
     assert over == {"a": ("z", "updated"), "b": ("y", "unchanged"), "c": ("w", "created")}
     e = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("c", "d")], "src_id string, dst_id string")
-    down = {(r.node, r.depth) for r in G.descend(spark, e, spark.createDataFrame([("a",)], "id string"), 5).collect()}
+    down = {(r.node, r.depth) for r in G.descend(e, spark.createDataFrame([("a",)], "id string"), 5).collect()}
     assert {("b", 1), ("c", 2), ("d", 3), ("a", 3)} == down
     assert sorted(tuple(r.nodes) for r in G.chains(e, 3, 3).collect()) == [("a", "b", "c", "a"), ("a", "b", "c", "d"), ("b", "c", "a", "b"), ("c", "a", "b", "c")]
     near = {r.id: r.distance for r in G.neighbourhood(e, spark.createDataFrame([("a",)], "id string"), 2).collect()}
@@ -277,3 +287,86 @@ def test_long_items_and_arrays(spark):
     p = spark.range(1).select(F.sequence(F.lit(1), F.lit(n)).alias("codes"), F.sequence(F.lit(1), F.lit(n)).alias("names"))
     got = X.paired_arrays(p, "codes", "names").agg(F.count("*").alias("n"), F.count_if(F.col("codes") == F.col("names")).alias("same")).first()
     assert (got.n, got.same) == (n, n)
+
+
+def test_gate_reasons_of_conditional_terms(spark):
+    rows = [("mL", "mL", None, 0), ("x", "mL", "성분 이다", 1), ("mL", "가나", None, 2), ("바이알", "가나", None, 3)]
+    e = spark.createDataFrame([(en, ko, 1, ctx, i) for en, ko, ctx, i in rows], "en string, ko string, count int, context_span string, seq long")
+    got = {r.seq: (r.decision, r.reason_codes) for r in C.gate_chain(e, RULES).collect()}
+    assert got[0] == ("drop", ["CONTEXT_PACKAGING"])
+    assert got[1][0] != "drop" and got[2][0] != "drop" and got[3][0] != "drop"  # a hint in the context; only Korean names are tested
+
+
+def test_gate_promotion(spark):
+    e = spark.createDataFrame([("paclitaxal", "파클리", 1, "FOLFOX 와 함께", 0), ("paclitaxal", "파클리", 1, "혼자", 1)], "en string, ko string, count int, context_span string, seq long")
+    p = spark.createDataFrame([("FOLFOX", "paclitaxal")], "anchor string, drug string")
+    got = {r.seq: (r.decision, r.reason_codes) for r in C.gate_chain(e, {"strict": 0.1, "loose": 0.1}, promotion=p).collect()}
+    assert got[0][0] == "active" and "CTX_PROMOTE" in got[0][1]
+    assert got[1] == ("pending", ["PHONETIC_FAIL"])
+
+
+def test_rows_that_repeat(spark):
+    it = spark.createDataFrame([("C", 34), ("C", 34), (None, 34), ("C", 99)], "ch string, n int")
+    rg = spark.createDataFrame([("C30-C39", "C", 30, 39), ("C00-C75", "C", 0, 75)], "block string, ch string, lo int, hi int")
+    got = J.range_contains(it, rg, "ch", "n", "lo", "hi", [F.col("hi") - F.col("lo")])
+    assert [(r.ch, r.n, r.block) for r in got.collect()] == [("C", 34, "C30-C39")] * 2
+    names = spark.createDataFrame([("A",), ("A",), ("B",), (None,)], "name string")
+    master = spark.createDataFrame([("a", 1), ("A2", 2)], "m string, k int")
+    got = J.variant_match(names, F.array(F.concat("name", F.lit("?")), F.col("name")), master, "name", "m")
+    assert [(r["name"], r.k) for r in got.collect()] == [("A", 1)] * 2
+
+
+@pytest.mark.parametrize("few", [J.FEW_WORDS, 0])
+def test_containments(spark, monkeypatch, few):
+    monkeypatch.setattr(J, "FEW_WORDS", few)
+    texts = spark.createDataFrame([(1, "abcd"), (2, "xa"), (3, None), (4, "bcbc")], "k int, t string")
+    words = spark.createDataFrame([("bc",), ("a",), ("abcd",), ("abcde",), ("",), (None,), ("bc",)], "w string")
+    got = sorted((r.k, r._word) for r in J.containments(texts, ["k"], "t", words, "w").collect())
+    assert got == [(1, "a"), (1, "abcd"), (1, "bc"), (2, "a"), (4, "bc")]
+    a = spark.createDataFrame([("폐암",), ("폐암",), ("위암",)], "a string")
+    b = spark.createDataFrame([("비소세포폐암",), ("위암",)], "b string")
+    got = sorted((r.a, r.b, r.confidence) for r in J.mutual_contains(a, b, "a", "b").collect())
+    assert got == [("위암", "위암", 0.95), ("폐암", "비소세포폐암", 0.8), ("폐암", "비소세포폐암", 0.8)]
+    files = spark.createDataFrame([("가나-1.pdf",), ("다.pdf",)], "file string")
+    names = spark.createDataFrame([("가나", 1), ("가나-1", 2), ("없음", 3)], "name string, seq int")
+    assert {r.file: r.seq for r in J.file_catalogue(files, "file", names, "name").collect()} == {"가나-1.pdf": 2, "다.pdf": None}
+    assert [r.seq for r in J.missing_files(names, "name", files, "file").collect()] == [3]
+
+
+def test_classifier_parts(spark):
+    pool = spark.createDataFrame([("core", "a", 1, ["x"], []), ("core", "b", 2, ["y", "z"], []), ("core", "c", 3, [], ["q"]), ("core", "d", 4, [], []), ("boundary", "e", 1, ["x"], None), ("fixed", "f", 1, [], []), ("fixed", "g", 2, ["x"], [])], "kind string, example string, seq int, keywords array<string>, cues array<string>")
+    t = spark.createDataFrame([("t", "x y z q")], "term string, text string")
+    got = sorted((r.kind, r["rank"], r.example, r.score) for r in C.choose_examples(t, pool, "term", "text").collect())
+    assert got == [("boundary", 1, "e", 2), ("core", 1, "b", 4), ("core", 2, "c", 3), ("core", 3, "a", 2), ("fixed", 1, "f", 0)]
+    rules = spark.createDataFrame([("분자", "유전자", "keyword", 1), ("분자", "투여", "negative", 1)], "category string, keyword string, kind string, priority int")
+    terms = spark.createDataFrame([("a", "유전자 유전자 투여 투여"), ("b", "유전자 투여")], "title string, content string")
+    assert {r.title: r.score for r in C.keyword_classifier(terms, rules, "title", "content").collect()} == {"a": 1.0}
+    c = spark.createDataFrame([(10, 1, True, 500), (0, 0, False, 0)], "t int, p int, n boolean, r int")
+    assert [r[0] for r in c.select(C.complexity(F.col("t"), F.col("p"), F.col("n"), F.col("r"))).collect()] == [100.0, 0.0]
+    v = spark.createDataFrame([("ab",), ("a",), ("12",), ("no",), (None,)], "c string")
+    assert [r[0] for r in v.select(J.valid_name(F.col("c"), ["no"])).collect()] == [True, False, False, False, False]
+
+
+def test_law_edges(spark):
+    laws = spark.createDataFrame([("의료급여법",), ("의료급여법 시행령",), ("의료급여법시행규칙",), ("상법 시행령",), (None,)], "title string")
+    got = sorted((r.dst_id, r.relationship_type) for r in L.derived_from_edges(laws).collect())
+    assert got == [("LAW_A267443F", "시행규칙"), ("LAW_A267443F", "시행령")]
+    refs = spark.createDataFrame([("s", "t", "일반참조", "x", True, "L"), ("s", "t", "일반참조", "x", True, "L"), ("s", None, "준용", "y", True, "L"), ("s", "u", "준용", "z", False, None)], "source_id string, target_article_id string, reference_type string, reference_text string, is_cross_law boolean, target_law_name string")
+    assert sorted((r.dst_id, r.edge_type) for r in L.reference_edges(refs).collect()) == [("t", "CROSS_LAW_REFERS_TO"), ("u", "REFERS_TO")]
+    assert {r.is_cross_law: (r.parsed, r.linked, r.unlinked) for r in L.reference_report(refs).collect()} == {True: (3, 2, 1), False: (1, 1, 0)}
+    assert [(r.target_law_name, r.n) for r in L.top_targets(refs, 5).collect()] == [("L", 3)]
+
+
+def test_chunks_of_sections(spark):
+    s = spark.createDataFrame([("d", "a", 1, 50), ("d", "b", 51, 170), ("d", "c", 171, 290)], "doc string, section string, start int, end int")
+    sub = spark.createDataFrame([("d", "b", "b1", 51), ("d", "b", "b2", 100), ("d", "a", "a1", 1)], "doc string, section string, title string, start int")
+    got = sorted((r.chunk_start, r.chunk_end, r.name, r.kind) for r in W.section_chunks(s, sub, "doc", "section").collect())
+    assert got == [(1, 50, "a", "section"), (51, 99, "b - b1", "subsection"), (100, 170, "b - b2", "subsection"), (171, 210, "c Part 1", "split"), (211, 250, "c Part 2", "split"), (251, 290, "c Part 3", "split")]
+
+
+def test_delete_labels(spark):
+    n = spark.createDataFrame([("a", "X"), ("b", "Y"), ("c", None)], "id string, label string")
+    e = spark.createDataFrame([("a", "b"), ("b", "c")], "src_id string, dst_id string")
+    left, edges = G.delete_labels(n, e, ["X"])
+    assert {r.id for r in left.collect()} == {"b", "c"} and [(r.src_id, r.dst_id) for r in edges.collect()] == [("b", "c")]
+    assert [d.count() for d in G.delete_labels(n, e, None)] == [0, 0]

@@ -57,10 +57,38 @@ def test_drop_phrases_of_all_documents(spark, tmp_path):
     rows = docs.collect()
     cut = lambda t: None if t is None else re.sub(r"\n\s*\n+", "\n", t.replace("Licensed", ""), flags=re.ASCII).strip(" ")
     want = sorted(((r.doc_id, cut(r.text)) for r in rows), key=repr)
-    got = sorted(((r.doc_id, r.cut) for r in catalog.QUERIES["n28_drop_phrases_all"](spark, str(tmp_path)).collect()), key=repr)
+    got = sorted(((r.doc_id, r.cut) for r in catalog.QUERIES["n28_drop_phrases"](spark, str(tmp_path)).collect()), key=repr)
     assert got == want and len(got) == len(rows)
 
 
+def test_gate_chain_reasons(spark):
+    """The registered chain meets its curated pairs, brands, suffix rules, promotion and every drop and route."""
+    seen = {c for r in catalog.QUERIES["c01_gate_chain"](spark, SF).collect() for c in r.reasons.split(",")}
+    assert {"PASS_ALL", "CURATED_WHITELIST", "BRAND_RESOLVED_EN", "FORM_TERM", "CONTEXT_PACKAGING", "ROUTE_REGIMEN", "ROUTE_BIOMARKER", "ROUTE_DISEASE", "SUFFIX_MISMATCH", "PHONETIC_FAIL", "CTX_PROMOTE"} <= seen
+
+
+def test_normal_texts_and_similarity(spark):
+    import unicodedata
+    from difflib import SequenceMatcher
+
+    from medgraph.functions import text as T
+
+    d = spark.read.parquet(f"{SF}/documents.parquet").select("text").distinct()
+    fold = str.maketrans(T.FOLD_FROM, T.FOLD_TO)
+    want = {" ".join(unicodedata.normalize("NFKC", r.text).translate(fold).split()) for r in d.collect()}
+    got = {" ".join(r.normal.split()) for r in catalog.QUERIES["n01_normalize_text"](spark, SF).collect()}
+    assert got == want
+    for r in catalog.QUERIES["n04_similarity"](spark, SF).collect():
+        assert r.score == round(SequenceMatcher(None, r.a, r.b).ratio(), 9)
+
+
+def test_spans_of_documents(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    want = sorted((r.doc_id, k, m[0], m.start(), m.end()) for r in docs for k, p in (("ing", r"\b\w+ing\b"), ("tion", r"\b\w+tion\b")) for m in re.finditer(p, r.text or ""))
+    got = sorted((r.doc_id, r.name, r.surface, r.span_start, r.span_end) for r in catalog.QUERIES["x01_spans"](spark, SF).collect())
+    assert got == want and got
+
+
 def test_entry(spark):
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
