@@ -156,27 +156,35 @@ def _postings(frequent, buckets: int, percent: int):
                     for x, y in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
                         i = by[x:y]
                         docs, which = np.unique(doc[at[i]], return_inverse=True)
-                        rows.append(pack_parts(token[i].astype("<u4").tobytes(), (token[i] >> np.uint64(32)).astype("u1").tobytes(), which.astype("<u2").tobytes(), ident[docs].tobytes(), many[i].tobytes()))
+                        rows.append(pack_parts(token[i].astype("<u4").tobytes(), (token[i] >> np.uint64(32)).astype("u1").tobytes(), which.astype("<u2").tobytes(), ident[docs].tobytes(), many[i].tobytes(), size[docs].astype("<u4").tobytes()))
                     yield pa.RecordBatch.from_arrays([pa.array(bucket[by[edges[:-1]]] * len(ORDERS) + order), pa.array(rows, pa.binary())], ["_bucket", "_z"])
 
     return run
 
 
-@released
-def _lists(group: pa.Table) -> pa.Table:
-    """(_o order, _b, _f, _many): sets around the hubs of the lists of a bucket, or the lists of frequent tokens, whose other members are in other buckets."""
+def _lists(percent: int):
+    return released(lambda group: _hubs_of(group, percent))
+
+
+def _hubs_of(group: pa.Table, percent: int) -> pa.Table:
+    """(_o order, _b, _f, _many): sets around the hubs of the lists of a bucket, or the lists of frequent tokens, whose other members are in other buckets.
+
+    In order of size, a list is parted where neighbours are too unlike in size to link: no link crosses that place.
+    """
     parts = [unpack_parts(z.as_py()) for z in group.column("_z")]
     token = np.concatenate([np.frombuffer(p[0], "<u4").astype(np.int64) | np.frombuffer(p[1], "u1").astype(np.int64) << 32 for p in parts])
     f = np.concatenate([np.frombuffer(p[3], "<i8")[np.frombuffer(p[2], "<u2")] for p in parts])
     many = np.concatenate([np.frombuffer(p[4], bool) for p in parts])
     order = int(group.column("_bucket")[0].as_py()) % len(ORDERS)
     own, own_f = token[~many], f[~many]
-    by = np.lexsort((own_f, own))
-    own, own_f = own[by], own_f[by]
-    head = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])) if len(own) else np.zeros(0, np.int64)
+    sizes = np.concatenate([np.frombuffer(p[5], "<u4")[np.frombuffer(p[2], "<u2")] for p in parts]).astype(np.int64)[~many]
+    by = np.lexsort((sizes, own))
+    own, own_f, sizes = own[by], own_f[by], sizes[by]
+    head = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) | (100 * sizes[:-1] < percent * sizes[1:])])) if len(own) else np.zeros(0, np.int64)
     n = np.diff(np.append(head, len(own)))
-    hub = np.repeat(own_f[head], n)  # the smallest set
-    keep = np.repeat(own_f[head] != own_f[head + n - 1], n)
+    low, high = (f_.reduceat(own_f, head) if len(head) else head for f_ in (np.minimum, np.maximum))
+    hub = np.repeat(low, n)  # the smallest set
+    keep = np.repeat(low != high, n)
     pairs = np.unique(np.stack([hub[keep], own_f[keep]], 1), axis=0) if keep.any() else np.zeros((0, 2), np.int64)
     rest = np.unique(np.stack([-1 - token[many], f[many]], 1), axis=0) if many.any() else np.zeros((0, 2), np.int64)
     both = np.concatenate([pairs, rest])
@@ -409,7 +417,7 @@ def _verified(docs: DataFrame, percent: int, id_col: str, text_col: str, every:
     frequent = spark.sparkContext.broadcast(frequent_shingles(rows, rows.count()))
     digest = materialize(digests(rows))
     posted = rows.mapInArrow(_postings(frequent, buckets_for(total, ANCHOR_BYTES, 8), percent), "_bucket long, _z binary")
-    lists = materialize(posted.groupBy("_bucket").applyInArrow(_lists, "_o int, _b long, _f long, _many boolean"))
+    lists = materialize(posted.groupBy("_bucket").applyInArrow(_lists(percent), "_o int, _b long, _f long, _many boolean"))
 
     # sets that share a prefix shingle under every order, and the intersection of their groups
     first = digest.where("_n > 0").groupBy("_f").agg(F.min(F.struct("_ord", "_th")).alias("_p"), F.first("_n").alias("_n"), F.count("*").alias("_m"))
