@@ -15,12 +15,13 @@ Candidates.  The prefixes under each order are dealt to buckets by shingle; a se
 under one of the orders leaves.  Each list of a prefix shingle has a hub, its member with the
 smallest identity; the sets of all lists of one order with one hub are a group,
 so any two sets that share a prefix shingle under an order are in one of its groups.  The groups
-of the three orders are intersected by a join on the set alone, and intersections with one hub are
-a group again: sets stay together only if they are in one group under every order.  What is larger than BLOCK sets or BLOCK_SHINGLES shingles
-even then (a family of near copies) is split by size class (linked sets are of one class or of
-neighbouring ones) and each class into blocks; a task compares two blocks.  There pairs must pass
-the sizes and a bound from histograms of their shingles over CELLS cells.  No text is fetched
-before all that.
+of the first order are compared.  What is larger than BLOCK sets or BLOCK_SHINGLES shingles
+(a passage that many documents share, a family of near copies) is split by size class (linked sets
+are of one class or of neighbouring ones) and each class into blocks; a task compares two blocks.
+Every set brings the names of its groups under the other orders along, and a pair is left only if
+it shares a group under each of them: the intersection takes a row for a set and group of the first
+order, never one for every pair of groups.  A set without such a partner leaves before any text is
+fetched.  What is left must pass a bound from histograms of shingles over CELLS cells.
 
 Verification.  The sets left in a comparison come with their texts, and shared shingles are
 counted exactly.  Two sets may meet in several groups; their pair belongs to the smallest group
@@ -58,8 +59,8 @@ SALTS = 16
 CELLS = 512
 BLOCK = 512
 BLOCK_SHINGLES = 1 << 21
-#: Rows that one task of the join reads, on average, in its first and second pass.
-TASK_ROWS = (2000, 500)
+#: Rows that one group of comparisons holds, on average: with names of groups, with histograms, with texts.
+TASK_ROWS = (20_000, 2000, 500)
 #: The global orders whose prefixes are intersected.
 ORDERS = (0, 1, 2)
 #: Sets that a task remembers to have posted, in each of two generations.
@@ -261,7 +262,7 @@ def _tokens(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def _not_owned(g: pa.Table, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Whether a set of left and one of right share a group that comes before the one of this comparison."""
-    row, of = _tokens(g.column("_gs").combine_chunks() if isinstance(g.column("_gs"), pa.ChunkedArray) else g.column("_gs"))
+    row, of = _tokens(_flat(g.column("_gs")))
     own = int(g.column("_b")[0].as_py())
     before = of < own
     return shared_shingles(row[before], of[before], left, right, g.num_rows) > 0
@@ -275,6 +276,53 @@ def _flat(column) -> pa.Array:
     return column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
 
 
+def _partnered(t: np.ndarray, column: pa.Array) -> np.ndarray:
+    """Whether each row shares a token of an array column with another row of its comparison."""
+    row, token = _tokens(column)
+    key = mix(t[row].view(np.uint64) ^ mix(token.astype(np.int64).view(np.uint64)))
+    by = np.argsort(key, kind="stable")
+    same = key[by[1:]] == key[by[:-1]]
+    has = np.zeros(len(t), bool)
+    has[row[by[1:][same]]] = True
+    has[row[by[:-1][same]]] = True
+    return has
+
+
+def _intersected(percent: int):
+    """(_t, _b, _gs, _f, _n, _left, _right) of the sets that share a group under every order with one of the other side whose size can link."""
+    others = [f"_g{o}" for o in ORDERS[1:]]
+    names = ["_t", "_b", "_gs", "_f", "_n", "_left", "_right"]
+
+    @released
+    def run(group: pa.Table) -> pa.Table:
+        while True:  # all comparisons at once, until every row has a partner under every order
+            rows = group.num_rows
+            for o in others:
+                group = group.filter(pa.array(_partnered(group.column("_t").to_numpy(), _flat(group.column(o)))))
+            if group.num_rows == rows:
+                break
+        out = [group.select(names).slice(0, 0)]
+        for g in _pieces(group):
+            f, n = (_flat(g.column(k)).to_numpy() for k in ("_f", "_n"))
+            l, r = _side(g, "_left"), _side(g, "_right")
+            ok = f[l][:, None] != f[r][None, :]
+            ok &= 100 * np.minimum(n[l][:, None], n[r][None, :]) >= percent * np.maximum(n[l][:, None], n[r][None, :])
+            for o in others:
+                if ok.any():
+                    ok &= shared_shingles(*_tokens(_flat(g.column(o))), l, r, g.num_rows) > 0
+            if ok.any():
+                ok &= ~_not_owned(g, l, r)
+            near_left, near_right = np.zeros(len(f), bool), np.zeros(len(f), bool)
+            near_left[l[ok.any(1)]] = True
+            near_right[r[ok.any(0)]] = True
+            keep = pa.array(near_left | near_right)
+            kept = [_flat(g.column(c)).filter(keep) for c in names[:-2]]
+            out.append(pa.table([*kept, pa.array(near_left).filter(keep), pa.array(near_right).filter(keep)], names))
+        return pa.concat_tables(out)
+
+    return run
+
+
 def _near(percent: int):
     """(_t, _b, _gs, _f, _left, _right) of the sets that sizes and histograms let link with one of the other side."""
 
@@ -370,7 +418,8 @@ def _sized(groups: DataFrame, sizes: DataFrame) -> DataFrame:
 def _around_hubs(lists: DataFrame) -> DataFrame:
     """(_b, _f): the sets of lists (_h, _f) of two sets or more around the hub of each, its smallest set."""
     hubs = lists.groupBy("_h").agg(F.min("_f").alias("_b"), F.max("_f").alias("_last")).where("_b < _last").select("_h", "_b")
-    return lists.join(hubs, "_h").select("_b", "_f").distinct()
+    # written first: a join of two plain tables is one whose hot lists Spark can split
+    return lists.join(materialize(hubs), "_h").select("_b", "_f").distinct()
 
 
 def _comparisons(large: DataFrame, small: DataFrame, percent: int) -> DataFrame:
@@ -419,32 +468,34 @@ def _verified(docs: DataFrame, percent: int, id_col: str, text_col: str, every:
     posted = rows.mapInArrow(_postings(frequent, buckets_for(total, ANCHOR_BYTES, 8), percent), "_bucket long, _z binary")
     lists = materialize(posted.groupBy("_bucket").applyInArrow(_lists(percent), "_o int, _b long, _f long, _many boolean"))
 
-    # sets that share a prefix shingle under every order, and the intersection of their groups
+    # sets that share a prefix shingle under every order
     first = digest.where("_n > 0").groupBy("_f").agg(F.min(F.struct("_ord", "_th")).alias("_p"), F.first("_n").alias("_n"), F.count("*").alias("_m"))
     shared = lists.groupBy("_f").agg(F.countDistinct("_o").alias("_k")).where(F.col("_k") == len(ORDERS))
     alive = materialize(first.join(shared.select("_f"), "_f"))
     under = lambda o: lists.where(F.col("_o") == o).join(alive.select("_f"), "_f", "left_semi")
     by_order = [under(o).where("not _many").select("_b", "_f").unionByName(_around_hubs(under(o).where("_many").select(F.col("_b").alias("_h"), "_f"))).distinct() for o in ORDERS]
-    groups = by_order[0]
-    for more in by_order[1:]:
-        both = groups.join(more.withColumnRenamed("_b", "_c"), "_f").select(F.xxhash64("_b", "_c").alias("_h"), "_f")
-        groups = materialize(_around_hubs(both))
-    sized = _sized(groups, alive.select("_f", "_n"))
+    sized = _sized(by_order[0], alive.select("_f", "_n"))
     small, large = sized.where("_small").select("_b", "_f", "_n"), sized.where("not _small").select("_b", "_f", "_n")
     of = sized.groupBy("_f").agg(F.sort_array(F.collect_set("_b")).alias("_gs"))
+    for o in ORDERS[1:]:  # names of 32 bits: two groups of one name only leave a pair to the checks after
+        of = of.join(by_order[o].groupBy("_f").agg(F.collect_set(F.hash("_b")).alias(f"_g{o}")), "_f")
+
+    def dealt(rows: DataFrame, count: int, per: int) -> DataFrame:
+        return rows.withColumn("_g", F.pmod("_t", F.lit(max(16, -(-count // per)))))
+
+    sides = materialize(_comparisons(large, small, percent))
+    met = dealt(sides.join(materialize(of), "_f"), sides.count(), TASK_ROWS[0])
+    kept = "_t long, _b long, _gs array<long>, _f long, _n long, _left boolean, _right boolean"
+    sides = materialize(met.groupBy("_g").applyInArrow(_intersected(percent), kept))
 
     # one text and histogram for each set that is still in
-    still = alive.join(sized.select("_f").distinct(), "_f").select("_f", "_n", "_m", F.col("_p._ord").alias("_ord"), F.col("_p._th").alias("_th"))
+    still = alive.join(sides.select("_f").distinct(), "_f").select("_f", "_n", "_m", F.col("_p._ord").alias("_ord"), F.col("_p._th").alias("_th"))
     texts = pack_text_column(rows).join(still, ["_ord", "_th"]).dropDuplicates(["_f"]).select("_f", "_n", "_m", "_z")
     members = materialize(texts.mapInArrow(_histograms, "_f long, _n long, _m long, _z binary, _s binary"))
 
-    def dealt(rows: DataFrame, count: int, per: int) -> DataFrame:
-        return rows.withColumn("_g", F.pmod("_t", F.lit(max(16, -(-count // per)))))
-
-    sides = materialize(_comparisons(large, small, percent).join(of, "_f"))
-    first_pass = dealt(sides.join(members.select("_f", "_s"), "_f"), sides.count(), TASK_ROWS[0])
+    first_pass = dealt(sides.join(members.select("_f", "_s"), "_f"), sides.count(), TASK_ROWS[1])
     near = materialize(first_pass.groupBy("_g").applyInArrow(_near(percent), "_t long, _b long, _gs array<long>, _f long, _left boolean, _right boolean"))
-    second = dealt(near.join(members.select("_f", "_z", "_m"), "_f"), near.count(), TASK_ROWS[1])
+    second = dealt(near.join(members.select("_f", "_z", "_m"), "_f"), near.count(), TASK_ROWS[2])
     schema = "x long, y long, shared long, united long" if every else "x long, y long, weight long"
     return digest, materialize(second.groupBy("_g").applyInArrow(_exact(percent, every), schema))
 
