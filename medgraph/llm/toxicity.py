@@ -1,14 +1,16 @@
 """Toxicity by compression distance: zstandard dictionaries trained on toxic and on ordinary text.
 
 Fitting.  A bounded sample of labelled rows (MAX_TOXIC and MAX_ORDINARY documents, none longer
-than MAX_SAMPLE_BYTES, taken by hash of the id) is brought to the driver.  Byte five-grams that
-mark the toxic texts choose the windows on which the toxic dictionary is trained; the ordinary
-dictionary is trained on windows of ordinary text.  A window is one word with the spaces around
-it.  Each window gets two compressed lengths, under either dictionary; every pair of lengths is
-calibrated to the log ratio of toxic to ordinary sample documents that hold such a window.
-
-Scoring.  A document's three largest ratios, the root of its summed ratios above a threshold and
-the log of its length enter a logistic model, weighted to the label counts of the whole table.
+than MAX_SAMPLE_BYTES, taken by hash of the id) is brought to the driver.  Byte grams that toxic
+texts hold, once or several times, and ordinary ones hardly choose the windows on which the toxic
+dictionary is trained; the ordinary dictionary is trained on all windows of the ordinary sample.
+A window is one word with the spaces around it.  Each window gets a cell: its own length and its
+compressed lengths under either dictionary.  Every cell is calibrated, for each number of TIMES,
+to the log ratio of toxic to ordinary sample documents that hold such windows at least so often.
+
+Scoring.  From its cells, each with the best ratio up to the number of its windows, a document's
+three largest ratios, the root of its summed ratios above a threshold and the log of its length
+enter a logistic model, weighted to the label counts of the whole table.
 Every word of every text is compressed (lengths of words already met are remembered in a worker).
 
 Null and empty texts are scored as texts without windows.  Labels that are null are unlabelled.
@@ -19,6 +21,7 @@ ordinary row to learn from, every score is 0.  Repeated rows get equal scores.
 from __future__ import annotations
 
 import math
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -35,7 +38,12 @@ from .common import doc_id_of, keyed, released, table
 MAX_TOXIC = 1500
 MAX_ORDINARY = 4500
 MAX_SAMPLE_BYTES = 40_000
-GRAM = 5
+#: Bytes of a mark, and how often a text has to hold it.
+GRAM, MARK_TIMES = 7, (1, 3)
+#: Numbers of windows of one cell in a document that are calibrated each for themselves.
+TIMES = (1, 2, 3, 5)
+#: Window bytes told apart in a cell.
+MAX_WINDOW = 64
 TOXIC_DICT, ORDINARY_DICT = 8192, 65536
 LEVEL = 3
 #: Share of the ids, by checksum, on which nothing is learnt.
@@ -54,42 +62,51 @@ def windows(text: str) -> list[str]:
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
-    params = zstandard.ZstdCompressionParameters.from_level(LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0)
+    params = zstandard.ZstdCompressionParameters.from_level(LEVEL, format=zstandard.FORMAT_ZSTD1_MAGICLESS, write_content_size=0, write_checksum=0, write_dict_id=0, min_match=3)
     return zstandard.ZstdCompressor(dict_data=zstandard.ZstdCompressionDict(dictionary), compression_params=params)
 
 
+def _raw(word: str) -> bytes:
+    return b" " + word.encode("utf-8") + b" "
+
+
 @dataclass
 class Model:
-    """Two dictionaries, log ratios by pair of lengths, and the logistic weights."""
+    """Two dictionaries, best log ratios by cell and number of windows, and the logistic weights."""
 
     toxic: bytes
     ordinary: bytes
-    ratios: dict[tuple[int, int], float]
+    ratios: dict[tuple[int, int, int], list[float]]
     weights: list[float]
     memo: dict | None = None
 
-    def lengths(self, words: list[str]) -> list[tuple[int, int]]:
+    def cells(self, words: list[str]) -> list[tuple[int, int, int]]:
         if not hasattr(self, "_c"):
             self._c = _compressor(self.ordinary), _compressor(self.toxic)
         a, b = self._c
-        raw = [b" " + w.encode("utf-8") + b" " for w in words]
-        return [(len(a.compress(w)), len(b.compress(w))) for w in raw]
+        raw = [_raw(w) for w in words]
+        return [(min(len(w), MAX_WINDOW), len(a.compress(w)), len(b.compress(w))) for w in raw]
 
-    def ratio(self, split: list[list[str]]) -> dict:
-        """word -> log ratio, or None below FLOOR, for every word of these texts."""
+    def known(self, split: list[list[str]]) -> dict:
+        """word -> cell, or None where no ratio is above FLOOR, for every word of these texts."""
         if self.memo is None or len(self.memo) > REMEMBERED:
             self.memo = {}
         new = list(set().union(*split) - self.memo.keys())
-        get = self.ratios.get
-        for w, pair in zip(new, self.lengths(new), strict=True):
-            r = get(pair, 0.0)
-            self.memo[w] = r if r > FLOOR else None
+        for w, cell in zip(new, self.cells(new), strict=True):
+            self.memo[w] = cell if self.ratios.get(cell, [0.0])[-1] > FLOOR else None
         return self.memo
 
+    def features(self, split: list[list[str]]) -> np.ndarray:
+        known, out = self.known(split), []
+        for s in split:
+            held = Counter(map(known.__getitem__, s))
+            held.pop(None, None)
+            found = [r for c, n in held.items() if (r := self.ratios[c][bisect_right(TIMES, n) - 1]) > FLOOR]
+            out.append(features(found, len(s)))
+        return np.array(out)
+
     def score(self, split: list[list[str]]) -> np.ndarray:
-        known = self.ratio(split)
-        x = np.array([features([r for r in map(known.__getitem__, s) if r is not None], len(s)) for s in split])
-        return 1 / (1 + np.exp(-(x @ np.array(self.weights[:-1]) + self.weights[-1])))
+        return 1 / (1 + np.exp(-(self.features(split) @ np.array(self.weights[:-1]) + self.weights[-1])))
 
     def __getstate__(self):
         return {"toxic": self.toxic, "ordinary": self.ordinary, "ratios": self.ratios, "weights": self.weights, "memo": None}
@@ -101,27 +118,36 @@ def features(found: list[float], words: int) -> list[float]:
     return [*top, math.sqrt(sum(r - STRONG for r in found if r > STRONG)), math.log1p(words)]
 
 
+def _grams(raw: bytes) -> set[bytes]:
+    """The grams of a window, or the whole of a shorter one."""
+    return {raw[i : i + GRAM] for i in range(max(1, len(raw) - GRAM + 1))}
+
+
+def _marks(words: list[str]) -> Iterator[tuple[bytes, int]]:
+    """(gram, times) of what a text holds at least so often."""
+    held: Counter = Counter()
+    for w, n in Counter(words).items():
+        for g in _grams(_raw(w)):
+            held[g] += n
+    return ((g, k) for g, n in held.items() for k in MARK_TIMES if n >= k)
+
+
 def fit_rows(toxic: list[str], ordinary: list[str], share: float) -> Model | None:
     """The model from sample texts; share: of the labelled rows that are toxic."""
     tox, ordy = [windows(t) for t in toxic], [windows(t) for t in ordinary]
     if not tox or not ordy or not any(tox) or not any(ordy):
         return None
 
-    def document_counts(docs: list[list[str]]) -> Counter:
-        out: Counter = Counter()
-        for d in docs:
-            grams = set()
-            for w in set(d):
-                raw = b" " + w.encode("utf-8") + b" "
-                grams.update(raw[i : i + GRAM] for i in range(len(raw) - GRAM + 1))
-            out.update(grams)
-        return out
-
-    ct, co = document_counts(tox), document_counts(ordy)
     least = max(2, round(0.008 * len(tox)))
-    marks = {g for g, n in ct.items() if n >= least and math.log((n + 0.5) / len(tox)) - math.log((co[g] + 0.5) / len(ordy)) > 3.5}
-    chosen = [raw for d in tox for raw in (b" " + w.encode("utf-8") + b" " for w in d) if any(raw[i : i + GRAM] in marks for i in range(len(raw) - GRAM + 1))]
-    plain = [b" " + " ".join(d[i : i + 4]).encode("utf-8") + b" " for d in ordy for i in range(0, len(d), 4)][:120_000]
+    a, b = Counter(), Counter()
+    for d in tox:
+        a.update(_marks(d))
+    a = {m: n for m, n in a.items() if n >= least}
+    for d in ordy:
+        b.update(m for m in _marks(d) if m in a)
+    marks = {g for (g, k), n in a.items() if math.log((n + 0.5) / len(tox)) - math.log((b[g, k] + 0.5) / len(ordy)) > 3.5}
+    chosen = [_raw(w) for d in tox for w in d if any(g in marks for g in _grams(_raw(w)))]
+    plain = [b" " + " ".join(d[i : i + 4]).encode("utf-8") + b" " for d in ordy for i in range(0, len(d), 4)]
 
     def trained(size: int, samples: list[bytes]) -> bytes:
         try:
@@ -130,16 +156,16 @@ def fit_rows(toxic: list[str], ordinary: list[str], share: float) -> Model | Non
             return (b"".join(samples) or b" " * 8)[:size].ljust(8)
 
     model = Model(trained(TOXIC_DICT, chosen), trained(ORDINARY_DICT, plain), {}, [])
-    memo: dict[str, tuple[int, int]] = {}
-    cells = []
-    for d in [*tox, *ordy]:
-        new = [w for w in set(d) if w not in memo]
-        memo.update(zip(new, model.lengths(new), strict=True))
-        cells.append({memo[w] for w in d})
-    a, b = Counter(c for s in cells[: len(tox)] for c in s), Counter(c for s in cells[len(tox) :] for c in s)
-    model.ratios = {c: math.log((a[c] + 0.5) / len(tox)) - math.log((b[c] + 0.5) / len(ordy)) for c in a.keys() | b.keys()}
-    known = model.ratio([*tox, *ordy])
-    x = np.array([features([r for w in d if (r := known[w]) is not None], len(d)) for d in [*tox, *ordy]])
+    memo: dict[str, tuple[int, int, int]] = {}
+    a, b = Counter(), Counter()
+    for counts, docs in ((a, tox), (b, ordy)):
+        for d in docs:
+            new = [w for w in set(d) if w not in memo]
+            memo.update(zip(new, model.cells(new), strict=True))
+            counts.update((c, k) for c, n in Counter(memo[w] for w in d).items() for k in TIMES if n >= k)
+    ratio = lambda c, k: math.log((a[c, k] + 0.5) / len(tox)) - math.log((b[c, k] + 0.5) / len(ordy))
+    model.ratios = {c: np.maximum.accumulate([ratio(c, k) if a[c, k] or b[c, k] else 0.0 for k in TIMES]).tolist() for c in {c for c, _ in a.keys() | b.keys()}}
+    x = model.features([*tox, *ordy])
     y = np.array([1.0] * len(tox) + [0.0] * len(ordy))
     weight = np.where(y == 1, share / len(tox), (1 - share) / len(ordy)) * len(y)
     mean, dev = x.mean(0), np.maximum(x.std(0), 0.05)
