@@ -331,6 +331,22 @@ def test_toxicity(spark, empty):
     assert toxicity.classify(empty, table).count() == 0
 
 
+def test_toxicity_counts_windows():
+    """A stem that clean texts hold once and toxic ones several times."""
+    rng = random.Random(8)
+    vocab = ["".join(rng.choice("aeioubcdlmn") for _ in range(rng.randint(4, 9))) for _ in range(2000)]
+
+    def text(stems: int) -> str:
+        w = [rng.choice(vocab) for _ in range(80)]
+        return " ".join([*w, *("zqxwkvj" + rng.choice("aeiou") + rng.choice("bcdlmn") for _ in range(stems))])
+
+    toxic, clean = [text(5) for _ in range(150)], [text(i % 2) for i in range(600)]
+    model = toxicity.fit_rows(toxic, clean, 0.2)
+    got = lambda n, k: model.score([toxicity.windows(text(k)) for _ in range(n)])
+    assert (got(50, 5) >= 0.5).mean() > 0.9
+    assert (got(50, 1) < 0.5).mean() > 0.9 and (got(50, 0) < 0.5).all()
+
+
 def test_licenses(spark, empty):
     mit, gpl = licenses.TEMPLATES["MIT"], licenses.TEMPLATES["GPL-3.0"]
     files = [(1, "a/LICENSE", gpl), (2, "a/b/x.py", "nothing here"), (3, "a/b/c/y.py", f"code\nmore\n{mit}\nend"), (4, "d/z.py", "plain words"), (5, None, None), (6, "a/b/c/e.py", ""), (7, "d/q/LICENSE.md", "no notice at all"), (7, "d/q/LICENSE.md", "no notice at all")]
