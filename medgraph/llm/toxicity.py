@@ -1,9 +1,10 @@
 """Toxicity by compression distance: zstandard dictionaries trained on toxic and on ordinary text.
 
 Fitting.  A bounded sample of labelled rows (MAX_TOXIC and MAX_ORDINARY documents, none longer
-than MAX_SAMPLE_BYTES, taken by hash of the id) is brought to the driver.  Byte grams that toxic
-texts hold, once or several times, and ordinary ones hardly choose the windows on which the toxic
-dictionary is trained; the ordinary dictionary is trained on all windows of the ordinary sample.
+than MAX_SAMPLE_BYTES, taken by hash of the id) is brought to one task, which returns the model
+alone, so that the driver holds no text.  Byte grams that toxic texts hold, once or several
+times, and ordinary ones hardly choose the windows on which the toxic dictionary is trained; the
+ordinary dictionary is trained on all windows of the ordinary sample.
 A window is one word with the spaces around it.  Each window gets a cell: its own length and its
 compressed lengths under either dictionary.  Every cell is calibrated, for each number of TIMES,
 to the log ratio of toxic to ordinary sample documents that hold such windows at least so often.
@@ -21,6 +22,7 @@ ordinary row to learn from, every score is 0.  Repeated rows get equal scores.
 from __future__ import annotations
 
 import math
+import pickle
 from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
@@ -194,8 +196,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     # twice the bound of ids is drawn by hash, so that this side stays small at any size and is broadcast
     drawn = {k: F.broadcast(known.where(F.col("_toxic") == k).orderBy(F.xxhash64("_ord"), "_ord").limit(2 * most).select("_ord")) for k, most in ((True, max_toxic), (False, max_ordinary))}
     joined = {k: texts.join(ids, "_ord").select("_text", F.xxhash64("_ord", "_th").alias("_h")) for k, ids in drawn.items()}
-    got = {k: [r["_text"] for r in joined[k].orderBy("_h").limit(most).select("_text").collect()] for k, most in ((True, max_toxic), (False, max_ordinary))}
-    return fit_rows(got[True], got[False], counts[True] / (counts[True] + counts[False]))
+    sample = {k: joined[k].orderBy("_h").limit(most).select(F.lit(k).alias("_toxic"), "_h", "_text") for k, most in ((True, max_toxic), (False, max_ordinary))}
+    share = counts[True] / (counts[True] + counts[False])
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got: dict[bool, list[tuple[int, str]]] = {True: [], False: []}
+        for b in batches:
+            for toxic, h, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                got[toxic].append((h, text.as_py()))
+        toxic, ordinary = ([text for _, text in sorted(got[k])] for k in (True, False))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(fit_rows(toxic, ordinary, share))], pa.binary())], ["_model"])
+
+    made = sample[True].unionByName(sample[False]).coalesce(1).mapInArrow(run, "_model binary").collect()
+    return pickle.loads(made[0]["_model"]) if made else None
 
 
 def score(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
