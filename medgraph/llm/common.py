@@ -128,14 +128,14 @@ def buckets_for(total_bytes: int, per_bucket: int, least: int = 16) -> int:
 class _Codecs:
     """zstd contexts, made once in each Python worker."""
 
-    c = None
+    c: dict[int, zstandard.ZstdCompressor] = {}
     d = None
 
 
-def pack(data: bytes) -> bytes:
-    if _Codecs.c is None:
-        _Codecs.c = zstandard.ZstdCompressor(level=1, write_checksum=False)
-    return _Codecs.c.compress(data)
+def pack(data: bytes, level: int = 1) -> bytes:
+    if level not in _Codecs.c:
+        _Codecs.c[level] = zstandard.ZstdCompressor(level=level, write_checksum=False)
+    return _Codecs.c[level].compress(data)
 
 
 def unpack(data: bytes) -> bytes:
@@ -144,10 +144,10 @@ def unpack(data: bytes) -> bytes:
     return _Codecs.d.decompress(data)
 
 
-def pack_parts(*parts: bytes) -> bytes:
+def pack_parts(*parts: bytes, level: int = 1) -> bytes:
     """Several byte strings as one compressed value."""
     head = np.array([len(parts), *(len(p) for p in parts)], "<i8").tobytes()
-    return pack(head + b"".join(parts))
+    return pack(head + b"".join(parts), level)
 
 
 def unpack_parts(data: bytes) -> list[bytes]:
