@@ -57,7 +57,7 @@ FREQUENT = 2000
 ANCHOR_BYTES = 64 << 20
 SALTS = 16
 CELLS = 512
-BLOCK = 512
+BLOCK = 1024
 BLOCK_SHINGLES = 1 << 21
 #: Rows that one group of comparisons holds, on average: with names of groups, with histograms, with texts.
 TASK_ROWS = (20_000, 2000, 500)
