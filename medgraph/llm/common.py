@@ -70,6 +70,27 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: A key is hot if it holds more than one of so many rows; so there are fewer hot keys than this.
+HOT_SHARE = 1000
+
+
+def with_values(rows: DataFrame, values: DataFrame, key: str, count: str) -> DataFrame:
+    """rows with the columns of values (one row a key; count: the key's rows) but key and count; null equals null.
+
+    Hot keys, fewer than HOT_SHARE, are broadcast, so no task gets all rows of one; the rest are
+    joined by hash.  Both tables are read more than once: hand over written ones, or cheap ones.
+    """
+    values = materialize(values)
+    total = values.agg(F.sum(count).alias("n")).first()["n"] or 0
+    fields = [c for c in values.columns if c not in (key, count)]
+    held = values.select(F.col(key).alias("_key"), F.struct(*fields).alias("_values"), (F.col(count) * HOT_SHARE > total).alias("_hot"))
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    hot = F.broadcast(held.where("_hot").drop("_hot"))
+    cold = held.where("not _hot").drop("_hot")
+    both = rows.join(hot, same).unionByName(rows.join(hot, same, "left_anti").join(cold, same))
+    return both.select(*rows.columns, "_values.*")
+
+
 def keyed(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(_ord, _th, _text): the row key and the text, null text as empty."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))

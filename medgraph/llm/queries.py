@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .ann import op1_adaptive_dimension_scan
 from .bpe import op10_bpe_encode_decode
+from .codes import op11_vector_code_compression
 from .fingerprint import op4_one_permutation_minhash
 from .jaccard import op2_ngram_jaccard_join
 from .licenses import op3_license_scan
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_line_chunk_dedup": op8_line_chunk_dedup,
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
+    "op11_vector_code_compression": op11_vector_code_compression,
 }
 
 ORACLES: dict[str, str] = {}
