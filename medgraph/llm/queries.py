@@ -10,6 +10,7 @@ from .jaccard import op2_ngram_jaccard_join
 from .licenses import op3_license_scan
 from .lines import op8_line_chunk_dedup
 from .packing import op6_best_fit_packing
+from .simhash import op13_simhash_bk_trees
 from .substrings import op9_super_kmer_dedup
 from .suffixes import op7_suffix_array_dedup
 from .toxicity import op5_toxicity_compression
@@ -26,6 +27,7 @@ QUERIES = {
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
     "op11_vector_code_compression": op11_vector_code_compression,
+    "op13_simhash_bk_trees": op13_simhash_bk_trees,
 }
 
 ORACLES: dict[str, str] = {}
