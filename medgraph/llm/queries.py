@@ -14,6 +14,7 @@ from .simhash import op13_simhash_bk_trees
 from .substrings import op9_super_kmer_dedup
 from .suffixes import op7_suffix_array_dedup
 from .toxicity import op5_toxicity_compression
+from .trie import op12_conversation_prefix_trie
 
 QUERIES = {
     "op1_adaptive_dimension_scan": op1_adaptive_dimension_scan,
@@ -27,6 +28,7 @@ QUERIES = {
     "op9_super_kmer_dedup": op9_super_kmer_dedup,
     "op10_bpe_encode_decode": op10_bpe_encode_decode,
     "op11_vector_code_compression": op11_vector_code_compression,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
     "op13_simhash_bk_trees": op13_simhash_bk_trees,
 }
 
