@@ -95,17 +95,17 @@ def keyword_classifier(terms: DataFrame, rules: DataFrame, term: str, text: str,
     """Per term the category with the largest score: 2 for every keyword hit, 5 for a suffix of the term, -3 for a negative keyword, over the category's priority; ties to the smaller priority number, then name.
 
     rules: category, keyword, kind (keyword, suffix or negative), priority.  key: the terms' id, if
-    terms repeat.  Keywords are looked for in the text, suffixes at the end of the term (see
-    joins.containments); the text is then counted once a hit.  Terms that score 0 or less are left out.
+    terms repeat.  Keywords are looked for and counted in the text, suffixes at the end of the term (see
+    joins.containments).  Equal rows of an id count once; different texts of an id count together.
+    Terms that score 0 or less are left out.
     """
     key = key or term
-    inside = joins.containments(terms, [key], text, rules.where("kind <> 'suffix'"), "keyword")
-    at_end = joins.containments(terms, [key], term, rules.where("kind = 'suffix'"), "keyword")
+    times = ((F.length("_text") - F.length(F.replace(F.col("_text"), F.col("_word"), F.lit("")))) / F.length("_word")).cast("int")
+    inside = joins.containments(terms, [key], text, rules.where("kind <> 'suffix'"), "keyword", {"_times": times})
+    at_end = joins.containments(terms, [key], term, rules.where("kind = 'suffix'"), "keyword", {"_times": F.col("_text").endswith(F.col("_word")).cast("int")})
     found = inside.withColumn("_in", F.lit(True)).unionByName(at_end.withColumn("_in", F.lit(False)))
-    hits = found.join(rules, (F.col("_word") == F.col("keyword")) & (F.col("_in") == (F.col("kind") != "suffix")))
-    of = terms.select(F.col(key).alias("_key"), F.col(term).alias("_term"), F.col(text).alias("_text"))
-    counted = hits.join(of, F.col(key) == F.col("_key"))
-    n = F.when(F.col("kind") == "negative", -3).when(F.col("kind") == "suffix", F.when(F.col("_term").endswith(F.col("keyword")), 5).otherwise(0)).otherwise(2 * F.regexp_count("_text", F.concat(F.lit("\\Q"), F.col("keyword"), F.lit("\\E"))))
+    counted = found.join(rules, (F.col("_word") == F.col("keyword")) & (F.col("_in") == (F.col("kind") != "suffix")))
+    n = F.when(F.col("kind") == "negative", -3).when(F.col("kind") == "suffix", 5 * F.col("_times")).otherwise(2 * F.col("_times"))
     by = counted.groupBy(key, "category", "priority").agg(F.sum(n).alias("_h")).withColumn("score", F.col("_h") / F.col("priority")).where("score > 0").drop("_h")
     return top_k(by, [key], [F.desc("score"), F.col("priority"), F.col("category")], 1).drop("rank", "priority")
 
@@ -132,17 +132,28 @@ def choose_examples(terms: DataFrame, pool: DataFrame, term: str, text: str, k:
 
     An example scores 2 for each of its distinct keywords in the text and 3 if one of its category's
     cues occurs; ties and examples that score 0 follow the pool's order.  pool: kind (core, boundary
-    or fixed), example, seq (its place), keywords and cues (arrays).  The pool is one prompt's worth
-    of examples and meets every term; Spark broadcasts it while its measured size allows.
+    or fixed), example, seq (its place), keywords and cues (arrays; empty words count nothing).
+    Equal rows of the pool are one.
+
+    Only examples with a word in the text meet a term (see joins.containments).  The others that can
+    be chosen are the first 2k of each kind, as at most k with a score stand before them: so many
+    rows, whatever the pool's size, are broadcast.
     """
-    held = lambda words: F.size(F.filter(F.array_distinct(F.coalesce(words, F.array().cast("array<string>"))), lambda w: F.contains(F.col("_text"), w)))
-    t = terms.select(term, F.coalesce(text, F.lit("")).alias("_text"))
-    few = pool.groupBy(F.lit(1).alias("_one")).agg(F.collect_list(F.struct("kind", "example", "seq", "keywords", "cues")).alias("_pool"))
-    each = t.withColumn("_one", F.lit(1)).join(F.broadcast(few), "_one").select(term, "_text", F.inline("_pool"))
-    score = F.when(F.col("kind") == "fixed", 0).otherwise(2 * held(F.col("keywords")) + 3 * (held(F.col("cues")) > 0).cast("int"))
-    most = F.when(F.col("kind") == "fixed", fixed).otherwise(k)
-    ranked = each.select(term, "kind", "example", "seq", score.alias("score"))
-    return top_k(ranked, [term, "kind"], [F.desc("score"), F.col("seq"), F.col("example")], max(k, fixed)).where(F.col("rank") <= most).drop("seq")
+    most = max(k, fixed)
+    pool = pool.dropDuplicates(["kind", "example", "seq"])
+    one = F.array(F.struct("keywords", F.lit(False).alias("cue")), F.struct(F.col("cues").alias("keywords"), F.lit(True).alias("cue")))
+    words = pool.where("kind <> 'fixed'").select("kind", "example", "seq", F.inline(one)).select("kind", "example", "seq", F.explode(F.array_distinct("keywords")).alias("_w"), "cue")
+    texts = terms.select(F.col(term).alias("_term"), F.coalesce(text, F.lit("")).alias("_text"))
+    held = joins.containments(texts, ["_term"], "_text", words, "_w")
+    score = 2 * F.count_distinct(F.when(~F.col("cue"), F.col("_word"))) + 3 * F.max(F.col("cue").cast("int"))
+    hits = held.join(words, F.col("_word") == F.col("_w")).groupBy("_term", "kind", "example", "seq").agg(score.cast("int").alias("score"))
+    first = top_k(pool.select("kind", "example", "seq"), ["kind"], [F.col("seq"), F.col("example")], 2 * most).drop("rank")
+    # one small row for each kind, so that every term has its kinds
+    lists = first.where(F.col("kind").isin("core", "boundary", "fixed")).groupBy("kind").agg(F.collect_list(F.struct("example", "seq")).alias("_first"))
+    rest = texts.select("_term").distinct().withColumn("kind", F.explode(F.array(F.lit("core"), F.lit("boundary"), F.lit("fixed")))).join(F.broadcast(lists), "kind").select("_term", "kind", F.inline("_first"))
+    both = hits.unionByName(rest.withColumn("score", F.lit(0))).groupBy("_term", "kind", "example", "seq").agg(F.max("score").alias("score"))
+    ranked = top_k(both, ["_term", "kind"], [F.desc("score"), F.col("seq"), F.col("example")], most)
+    return ranked.where(F.col("rank") <= F.when(F.col("kind") == "fixed", fixed).otherwise(k)).select(F.col("_term").alias(term), "kind", "example", "score", "rank")
 
 
 def quality_grade(chars: Column, pages: Column, low_ratio: Column) -> Column:

@@ -99,23 +99,56 @@ def path(*steps: DataFrame) -> DataFrame:
     return out.select(*[f"n{i}" for i in range(len(steps) + 1)])
 
 
-def descend(e: DataFrame, roots: DataFrame, most: int = 20) -> DataFrame:
-    """Q4: (root, node, depth) of every node below the roots (column id), at its least depth.
+def nearest_forks(one: DataFrame) -> DataFrame:
+    """(node, top, away): for nodes with one parent, their nearest ancestor without an own row in `one`, and how far it is.
 
-    A frontier moves down one level a step and leaves nodes already met under its root, so cycles
-    end; each level is checkpointed.  Stops where nothing is left, or at depth `most`.
+    one: (node, up).  Every round doubles how far each node sees, so their number is logarithmic in
+    the depth; what is open when all rows could have been passed is on, or hangs from, a cycle that
+    nothing leads into, and is left out.
     """
-    step = e.select(F.col("src_id").alias("node"), F.col("dst_id").alias("_next")).distinct()
-    front = roots.select(F.col("id").alias("root"), F.col("id").alias("node")).distinct()
-    seen = None
-    for depth in range(1, most + 1):
-        down = front.join(step, "node").select("root", F.col("_next").alias("node")).distinct()
-        front = checkpointed(down if seen is None else down.join(seen, ["root", "node"], "left_anti"))
-        level = front.withColumn("depth", F.lit(depth))
-        seen = level if seen is None else seen.unionByName(level)
-        if front.isEmpty():
+    inner = one.select(F.col("node").alias("up"), F.lit(True).alias("_inner"))
+    ptr = checkpointed(one.join(inner, "up", "left").select("node", F.col("up").alias("top"), F.lit(1).cast("long").alias("away"), F.coalesce("_inner", F.lit(False)).alias("open")))
+    seen, most = 1, ptr.count()
+    while seen <= most and not ptr.where("open").isEmpty():
+        of = ptr.select(F.col("node").alias("top"), F.col("top").alias("_top"), F.col("away").alias("_away"), F.col("open").alias("_open"))
+        further = ptr.where("open").join(of, "top").select("node", F.col("_top").alias("top"), (F.col("away") + F.col("_away")).alias("away"), F.col("_open").alias("open"))
+        ptr = checkpointed(ptr.where("not open").unionByName(further))
+        seen *= 2
+    return ptr.where("not open").select("node", "top", "away")
+
+
+def descend(e: DataFrame, roots: DataFrame) -> DataFrame:
+    """Q4: (root, node, depth) of every node below the roots (column id), at its least depth, however deep; a root that a cycle leads back to is below itself.  Null ends lead nowhere.
+
+    Nodes with one parent are found from their nearest fork, a root or a node with several parents, by
+    pointer doubling (see nearest_forks).  Only forks are walked to, over edges as long as the
+    way between them, from what the step before found or found nearer; so the steps are as
+    many as there are forks on the way, not levels.  Every step is checkpointed.
+    """
+    step = checkpointed(e.select(F.col("src_id").alias("up"), F.col("dst_id").alias("node")).where("up is not null and node is not null").distinct())
+    starts = checkpointed(roots.select(F.col("id").alias("node")).where("node is not null").distinct())
+    several = step.groupBy("node").agg(F.count("*").alias("n")).where("n > 1").select("node").unionByName(starts).distinct()
+    tops = checkpointed(nearest_forks(step.join(several, "node", "left_anti").select("node", "up")))
+    above = tops.withColumnsRenamed({"node": "up", "top": "_top", "away": "_away"})
+    to_forks = step.join(several, "node", "left_semi").join(above, "up", "left")
+    ways = checkpointed(to_forks.select(F.coalesce("_top", "up").alias("top"), "node", (F.coalesce("_away", F.lit(0)) + 1).alias("away")).groupBy("top", "node").agg(F.min("away").alias("away")))
+    front = starts.select(F.col("node").alias("root"), F.col("node").alias("top"), F.lit(0).cast("long").alias("depth"))
+    found = None
+    while True:
+        near = front.join(ways, "top").groupBy("root", "node").agg(F.min(F.col("depth") + F.col("away")).alias("depth"))
+        if found is not None:
+            known = found.select("root", "node", F.col("depth").alias("_known"))
+            near = near.join(known, ["root", "node"], "left").where("_known is null or depth < _known").drop("_known")
+        near = checkpointed(near)
+        if near.isEmpty():
             break
-    return seen
+        found = near if found is None else checkpointed(found.unionByName(near).groupBy("root", "node").agg(F.min("depth").alias("depth")))
+        front = near.withColumnRenamed("node", "top")
+    begun = starts.select(F.col("node").alias("root"), F.col("node").alias("top"), F.lit(0).cast("long").alias("depth"))
+    forks = begun if found is None else begun.unionByName(found.select("root", F.col("node").alias("top"), "depth").where("root <> top"))
+    below = forks.join(tops, "top").select("root", "node", (F.col("depth") + F.col("away")).alias("depth"))
+    below = below if found is None else below.unionByName(found)
+    return below.select("root", "node", F.col("depth").cast("int").alias("depth"))
 
 
 def chains(e: DataFrame, least: int = 2, most: int = 3) -> DataFrame:

@@ -2,16 +2,18 @@
 
 Sides are joined by hash on exact keys; nothing is broadcast by hint but word lists whose size was
 checked, so Spark broadcasts a side when its measured size allows.  Prefix, range and containment
-predicates are rewritten to equi-joins on derived keys: ancestors of a code, numbers of a range,
-first characters of a contained word.
+predicates are rewritten to equi-joins on derived keys: ancestors of a code, blocks of a range, the
+rarest gram of a contained word, which is then looked for in the text.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordering import first_by
+from .ordering import checkpointed, first_by
 
 
 # --- predicates -------------------------------------------------------------------------------
@@ -121,27 +123,98 @@ def tiered_codes(a: DataFrame, b: DataFrame, tiers: list[tuple[str, str, str, fl
     return first_by(out, [a_id, b_id], [F.desc("confidence"), F.col("match_type")])
 
 
-#: Words that meet every text in a loop at most; more are found by their first characters.
+#: Words that meet every text in a loop at most; more are found by an index of grams.
 FEW_WORDS = 200
-#: Characters at the start of a word on which words and texts meet.
+#: Characters of a gram; a shorter word is its own gram.
 GRAM = 3
+#: A gram is hot if it has more than one of so many gram rows; its rows are dealt to SALTS keys.
+HOT_GRAM, SALTS = 1000, 32
 
 
-def containments(texts: DataFrame, key: list[str], text: str, words: DataFrame, word: str) -> DataFrame:
-    """(key, _word): which distinct words occur in which texts.
+def gram_codes(text: str, lengths: list[int]) -> np.ndarray:
+    """Distinct runs of so many characters (up to three), each as one number of its code points."""
+    c = np.frombuffer(text.encode("utf-32-le"), "<u4").astype(np.int64)
+    runs = [c, c[:-1] | c[1:] + 1 << 21, c[:-2] | c[1:-1] + 1 << 21 | c[2:] + 1 << 42]
+    return np.unique(np.concatenate([runs[n - 1] for n in lengths]))
 
-    The words are counted first: up to FEW_WORDS are broadcast and looked for in every text.  Beyond
-    that both sides may be large: a word meets the texts that hold its first GRAM characters (all of
-    a shorter word) in a hash join, and is then looked for.  Null and empty words never match.
+
+def grams(c: Column | str, lengths: list[int]) -> Column:
+    """Array of gram_codes; in Arrow, as regular expressions in the JVM take four times as long."""
+
+    @F.arrow_udf("array<bigint>")
+    def of_each(texts: pa.Array) -> pa.Array:
+        codes = [gram_codes(t or "", lengths) for t in texts.to_pylist()]
+        ends = np.cumsum([0, *map(len, codes)])
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*codes, np.zeros(0, np.int64)])))
+
+    return of_each(c)
+
+
+def words_in(text: Column, words: Column | list[str]) -> Column:
+    """Array: the words that occur in a text; in Arrow, as contains() reads a long text anew for every word.
+
+    A word without a place for one of its grams leaves before the text is searched for it.
+    """
+
+    def held(text: str, words: list[str], given: np.ndarray, word: np.ndarray) -> list[str]:
+        """given: the grams of the words, word: whose they are."""
+        if len(words) < 8 or len(text) < 200:
+            return [w for w in words if w in text]
+        own = gram_codes(text, [GRAM])
+        at = np.minimum(np.searchsorted(own, given), len(own) - 1)
+        out = np.zeros(len(words), bool)
+        out[word[own[at] != given]] = True
+        return [w for w, no in zip(words, out.tolist(), strict=True) if not no and w in text]
+
+    def grams_of(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        c = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+        word = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        inside = word[:-2] == word[2:]
+        return (c[:-2] | c[1:-1] + 1 << 21 | c[2:] + 1 << 42)[inside], word[:-2][inside]
+
+    @F.arrow_udf("array<string>")
+    def of_each(texts: pa.Array, words: pa.Array) -> pa.Array:
+        return pa.array([held(t, ws, *grams_of(ws)) for t, ws in zip(texts.to_pylist(), words.to_pylist(), strict=True)], pa.list_(pa.string()))
+
+    @F.arrow_udf("array<string>")
+    def of_all(texts: pa.Array) -> pa.Array:
+        given = grams_of(words)
+        return pa.array([held(t, words, *given) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return of_all(text) if isinstance(words, list) else of_each(text, words)
+
+
+def containments(texts: DataFrame, key: list[str], text: str, words: DataFrame, word: str, also: dict[str, Column] | None = None) -> DataFrame:
+    """(key, _word, also): which distinct words occur in which texts; also: columns over _text and _word, taken where a word is found.
+
+    Up to FEW_WORDS words are looked for in every text.  More are found by an index: the texts that
+    hold each gram are counted, a word is filed under its rarest gram, and only (key,
+    hash of the text, gram) meets the words; grams of very many texts are salted.  A text is fetched once,
+    with all its candidates, and searched.  Equal rows give one result; rows that share a key but not
+    their text give one each.  Null and empty words never match.
     """
     w = words.select(F.col(word).alias("_word")).where(F.col("_word") != "").distinct()
     t = texts.select(*key, F.col(text).alias("_text")).where(F.col("_text").isNotNull())
-    if w.limit(FEW_WORDS + 1).count() <= FEW_WORDS:
-        return t.join(F.broadcast(w), F.contains("_text", "_word")).select(*key, "_word").distinct()
-    starts = F.sequence(F.lit(1), F.length("_text"))
-    grams = F.array_distinct(F.flatten(F.transform(starts, lambda i: F.array(*[F.substr(F.col("_text"), i, F.lit(n)) for n in range(1, GRAM + 1)]))))
-    keyed = t.where(F.length("_text") > 0).select(*key, "_text", F.explode(grams).alias("_g"))
-    return keyed.join(w.withColumn("_g", F.substring("_word", 1, GRAM)), "_g").where(F.contains("_text", "_word")).select(*key, "_word").distinct()
+    found = [c.alias(n) for n, c in (also or {}).items()]
+    few = [r["_word"] for r in w.limit(FEW_WORDS + 1).collect()]
+    if len(few) <= FEW_WORDS:
+        return t.select(*key, "_text", F.explode(words_in(F.col("_text"), sorted(few))).alias("_word")).select(*key, "_word", *found).distinct()
+    t = t.withColumn("_t", F.xxhash64("_text"))
+    lengths = sorted(r["n"] for r in w.select(F.least(F.length("_word"), F.lit(GRAM)).alias("n")).distinct().collect())
+    in_texts = t.select(*key, "_t", F.explode(grams("_text", lengths)).alias("_g"))
+    held = in_texts.groupBy("_g").agg(F.count("*").alias("_n"))
+    of = w.select("_word", F.explode(grams("_word", lengths)).alias("_g")).join(held, "_g")
+    filed = checkpointed(of.groupBy("_word").agg(F.min(F.struct("_n", "_g")).alias("_m")).select("_word", "_m.*"))
+    asked = filed.groupBy("_g").agg(F.max("_n").alias("_n"))
+    rows = asked.agg(F.sum("_n").alias("n")).first()["n"] or 0
+    hot = asked.where(F.col("_n") * HOT_GRAM > rows).select("_g", F.lit(SALTS).alias("_salts"))  # fewer than HOT_GRAM
+    salted = lambda df: df.join(F.broadcast(hot), "_g", "left").withColumn("_salts", F.coalesce("_salts", F.lit(1)))
+    dealt = salted(filed.drop("_n")).select("_word", "_g", F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_s"))
+    met = salted(in_texts).select(*key, "_t", "_g", F.pmod("_t", F.col("_salts")).cast("int").alias("_s")).join(dealt, ["_g", "_s"])
+    of_text = met.groupBy(*key, "_t").agg(F.collect_set("_word").alias("_words")).toDF(*[f"_k{i}" for i in range(len(key))], "_h", "_words")
+    same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(key)]
+    both = t.join(of_text, [F.col("_t") == F.col("_h"), *same]).select(*key, "_text", words_in(F.col("_text"), F.col("_words")).alias("_words"))
+    return both.select(*key, "_text", F.explode("_words").alias("_word")).select(*key, "_word", *found).distinct()
 
 
 def _contained_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
@@ -151,11 +224,14 @@ def _contained_pairs(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def name_match(small: DataFrame, big: DataFrame, small_name: str, big_name: str) -> DataFrame:
-    """Equal .95, contained either way .85, a part of a/b names .80; nulls and empty names never match.
+    """Equal .95, contained either way .85, a part of a small name a/b contained in the big name .80; nulls, empty names and empty parts never match.
 
     Distinct names meet first (see containments), rows are joined to the pairs by hash.
     """
-    pairs = _contained_pairs(small.select(F.col(small_name).alias("_a")).distinct(), big.select(F.col(big_name).alias("_b")).distinct())
+    a, b = small.select(F.col(small_name).alias("_a")).distinct(), big.select(F.col(big_name).alias("_b")).distinct()
+    parts = a.where(F.contains("_a", F.lit("/"))).select("_a", F.explode(F.array_distinct(F.split("_a", "/"))).alias("_part"))
+    by_part = containments(b, ["_b"], "_b", parts, "_part").join(parts, F.col("_word") == F.col("_part")).select("_a", "_b")
+    pairs = _contained_pairs(a, b).unionByName(by_part).distinct()
     s, b = F.col("_a"), F.col("_b")
     pairs = pairs.withColumn("confidence", F.when(s == b, 0.95).when(b.contains(s) | s.contains(b), 0.85).otherwise(0.80))
     return small.join(pairs, F.col(small_name) == F.col("_a")).join(big, F.col("_b") == F.col(big_name)).drop("_a", "_b").select(*small.columns, *big.columns, "confidence")
@@ -184,29 +260,53 @@ def prefix_expand(edges: DataFrame, master: DataFrame, edge_code: str, code: str
     return edges.join(up, F.col(edge_code) == F.col("_anc")).drop("_anc")
 
 
+#: Levels of halving: a block of level l holds 2^l numbers.
+LEVELS = 63
+
+
+def dyadic(lo: Column, hi: Column) -> Column:
+    """The blocks (level, n), numbers n * 2^level to (n + 1) * 2^level - 1, that together are lo to hi: at most two a level; none if hi is below lo."""
+    def step(s: Column, l: Column) -> Column:  # noqa: E741
+        # what is left is a to z in blocks of this level; an odd first or an even last has no partner and goes
+        a, z = s["a"], s["z"]
+        first, last = (a <= z) & (F.pmod(a, F.lit(2)) == 1), (a <= z) & (F.pmod(z, F.lit(2)) == 0)
+        alone = F.filter(F.array(F.when(first, F.struct(l.alias("level"), a.alias("n"))), F.when(last & ~(first & (a == z)), F.struct(l.alias("level"), z.alias("n")))), lambda x: x.isNotNull())
+        up, down = F.when(first, a + 1).otherwise(a), F.when(last, z - 1).otherwise(z)
+        some = F.coalesce((a <= z) & (up <= down), F.lit(False))
+        half = lambda x, none: F.when(some, F.shiftright(x, 1)).otherwise(F.lit(none).cast("long"))
+        return F.struct(half(up, 1).alias("a"), half(down, 0).alias("z"), F.concat(s["out"], alone).alias("out"))
+
+    start = F.struct(lo.cast("long").alias("a"), hi.cast("long").alias("z"), F.array().cast("array<struct<level: int, n: bigint>>").alias("out"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, step, lambda s: s["out"])
+
+
 def range_contains(items: DataFrame, ranges: DataFrame, chapter: str, number: str, lo: str, hi: str, order: list[Column]) -> DataFrame:
     """Every item with the first range, by order over the ranges' columns, of its chapter that holds its number.
 
-    Ranges are exploded to the numbers they hold, so it is a hash join on the distinct (chapter,
-    number); repeated items keep their rows, items outside every range leave.
+    A range of any width is at most some 120 blocks of powers of two (see dyadic), and a number is in one block of
+    each level that the ranges use, so it is a hash join on the distinct (chapter, level, block);
+    repeated items keep their rows, items outside every range leave.  Numbers are longs.
     """
-    filled = ranges.withColumn("_n", F.explode(F.sequence(F.col(lo), F.col(hi)))).withColumnRenamed(chapter, "_c")
-    asked = items.select(F.col(chapter).alias("_ic"), F.col(number).alias("_in")).distinct()
-    best = first_by(asked.join(filled, (F.col("_ic") == F.col("_c")) & (F.col("_in") == F.col("_n"))).drop("_n", "_c"), ["_ic", "_in"], order)
+    filed = ranges.withColumn("_d", F.explode(dyadic(F.col(lo), F.col(hi)))).withColumnRenamed(chapter, "_c")
+    used = sorted(r["l"] for r in filed.select(F.col("_d.level").alias("l")).distinct().collect())
+    asked = items.select(F.col(chapter).alias("_ic"), F.col(number).cast("long").alias("_in")).where("_ic is not null and _in is not null").distinct()
+    at = asked.withColumn("_l", F.explode(F.array(*map(F.lit, used)).cast("array<int>"))).withColumn("_b", F.expr("shiftright(_in, _l)"))
+    hit = at.join(filed, (F.col("_ic") == F.col("_c")) & (F.col("_l") == F.col("_d.level")) & (F.col("_b") == F.col("_d.n"))).drop("_l", "_b", "_d", "_c")
+    best = first_by(hit, ["_ic", "_in"], order)
     return items.join(best, (F.col(chapter) == F.col("_ic")) & (F.col(number) == F.col("_in"))).drop("_ic", "_in")
 
 
 def mutual_contains(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:
-    """For every left name the right name that contains it or is contained, case ignored, longest then smallest; exact flag and confidence .95 or .8.
+    """For every left row the one right name that equals it, contains it or is contained, case ignored: an equal one before others, the longest, then the smallest; exact flag and confidence .95 or .8.
 
     Equal names are found by hash first; only distinct names without an equal one are looked for in
     the other side's distinct names, and they in them (see containments).
     """
-    names = right.select(b).distinct()
-    exact = left.join(names, F.lower(a) == F.lower(b))
-    rest = left.join(names, F.lower(a) == F.lower(b), "left_anti")
-    pairs = _contained_pairs(rest.select(F.lower(a).alias("_a")).distinct(), names.select(F.lower(b).alias("_b")).distinct())
-    best = first_by(pairs.join(names, F.lower(b) == F.col("_b")), ["_a"], [F.length(b).desc(), F.col(b)]).select("_a", b)
+    names = first_by(right.select(b).distinct().withColumn("_l", F.lower(b)), ["_l"], [F.length(b).desc(), F.col(b)])
+    exact = left.join(names, F.lower(a) == F.col("_l")).drop("_l")
+    rest = left.join(names, F.lower(a) == F.col("_l"), "left_anti")
+    pairs = _contained_pairs(rest.select(F.lower(a).alias("_a")).distinct(), names.select(F.col("_l").alias("_b")))
+    best = first_by(pairs.join(names, F.col("_l") == F.col("_b")), ["_a"], [F.length(b).desc(), F.col(b)]).select("_a", b)
     loose = rest.join(best, F.lower(a) == F.col("_a")).drop("_a")
     return exact.withColumn("exact", F.lit(True)).unionByName(loose.withColumn("exact", F.lit(False))).withColumn("confidence", F.when(F.col("exact"), 0.95).otherwise(0.8))
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -401,17 +401,18 @@ def _(t):
     return J.tiered_codes(a, t.customer.withColumn("c2", F.col("c_nationkey")), [("nation", "n", "c_nationkey", 0.98), ("twice", "d", "c2", 0.95)], "s_suppkey", "c_custkey", [3])
 
 
-@query("j05_name_match", "WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part) SELECT w, p_partkey, CASE WHEN w = p_type THEN 0.95 ELSE 0.85 END AS confidence FROM w JOIN (SELECT p_partkey, lower(p_type) AS p_type FROM part) ON contains(p_type, w) OR contains(w, p_type)")
+@query("j05_name_match", "WITH w AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part UNION SELECT DISTINCT lower(p_brand) || '/' || string_split(p_name, ' ')[1] FROM part), b AS (SELECT p_partkey, lower(p_name || ' ' || p_type) AS b FROM part) SELECT w, p_partkey, CASE WHEN w = b THEN 0.95 WHEN contains(b, w) OR contains(w, b) THEN 0.85 ELSE 0.80 END AS confidence FROM w JOIN b ON contains(b, w) OR contains(w, b) OR (contains(w, '/') AND (contains(b, split_part(w, '/', 1)) OR contains(b, split_part(w, '/', 2))))")
 def _(t):
-    words = t.part.select(F.explode(F.split("p_name", " ")).alias("w")).distinct()
-    return J.name_match(words, t.part.select("p_partkey", F.lower("p_type").alias("p_type")), "w", "p_type").select("w", "p_partkey", "confidence")
+    one = t.part.select(F.explode(F.split("p_name", " ")).alias("w"))
+    two = t.part.select(F.concat_ws("/", F.lower("p_brand"), F.substring_index("p_name", " ", 1)).alias("w"))
+    big = t.part.select("p_partkey", F.lower(F.concat_ws(" ", "p_name", "p_type")).alias("b"))
+    return J.name_match(one.unionByName(two).distinct(), big, "w", "b").select("w", "p_partkey", "confidence")
 
 
-@query("j06_keyword_scores", "WITH k AS (SELECT DISTINCT item_id, unnest(list_slice(list_sort(list_distinct(regexp_extract_all(text, '[A-Za-z]{5,}'))), 1, 4)) AS w FROM benchmark), h AS (SELECT item_id, p_partkey, count(DISTINCT w) AS score FROM k JOIN part ON contains(lower(p_name || p_type), substr(lower(w), 1, 3)) GROUP BY 1, 2), n AS (SELECT item_id, count(DISTINCT w) AS c FROM k GROUP BY 1) SELECT item_id, p_partkey, score, score / c AS ratio, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, score / c DESC, p_partkey) AS rank FROM h JOIN n USING (item_id)) WHERE rank <= 4".replace("count(DISTINCT w)", "count(DISTINCT substr(w, 1, 3))"))
+@query("j06_keyword_scores", "WITH k AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(text, '[A-Za-z]{5,}')) AS w FROM benchmark), u AS (SELECT DISTINCT lower(w) AS l FROM k), f AS (SELECT doc_id, l FROM u JOIN documents ON contains(lower(text), l)), h AS (SELECT item_id, doc_id, count(DISTINCT w) AS score FROM k JOIN f ON lower(w) = l GROUP BY 1, 2), n AS (SELECT item_id, count(DISTINCT w) AS c FROM k GROUP BY 1) SELECT item_id, doc_id, score, score / c AS ratio, rank FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, score / c DESC, doc_id) AS rank FROM h JOIN n USING (item_id)) WHERE rank <= 4")
 def _(t):
-    w = F.slice(F.array_sort(F.array_distinct(F.regexp_extract_all("text", F.lit("[A-Za-z]{5,}"), 0))), 1, 4)
-    k = t.benchmark.select("item_id", F.explode(w).alias("w")).select("item_id", F.substring("w", 1, 3).alias("w")).distinct()
-    return J.keyword_scores(k, t.part.withColumn("x", F.concat("p_name", "p_type")), "item_id", "w", "x", "p_partkey", 4)
+    k = t.benchmark.select("item_id", F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{5,}"), 0)).alias("w")).distinct()
+    return J.keyword_scores(k, t.documents, "item_id", "w", "text", "doc_id", 4)
 
 
 @query("j07_prefix_expand", "SELECT n_nationkey, p_partkey FROM nation JOIN part ON CAST(p_size AS VARCHAR) = CAST(n_nationkey AS VARCHAR) OR CAST(p_size AS VARCHAR) || '.' || p_brand LIKE CAST(n_nationkey AS VARCHAR) || '.%'")
@@ -427,11 +428,20 @@ def _(t):
     return J.range_contains(items, ranges, "ch", "p_size", "lo", "hi", [F.col("lo")]).groupBy("p_size", "lo").agg(F.count("*").alias("items"))
 
 
-@query("j09_mutual_contains", "WITH a AS (SELECT DISTINCT lower(w) AS w FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]{4,}')) AS w FROM benchmark)), b AS (SELECT DISTINCT unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS n FROM part), x AS (SELECT w, n, row_number() OVER (PARTITION BY w ORDER BY CASE WHEN w = n THEN 0 ELSE 1 END, length(n) DESC, n) AS k FROM a JOIN b ON contains(n, w) OR contains(w, n) WHERE n <> '') SELECT w, n, CASE WHEN w = n THEN 0.95 ELSE 0.8 END AS confidence FROM x WHERE k = 1")
+@query("j08_wide_ranges", "SELECT o_orderkey, p_partkey FROM (SELECT o_orderkey, p_partkey, row_number() OVER (PARTITION BY o_orderkey ORDER BY hi - lo, p_partkey) AS k FROM orders JOIN (SELECT p_partkey, CAST(p_partkey AS BIGINT) * 40000000 - 20000000 AS lo, CAST(p_partkey AS BIGINT) * 40000000 + CAST(p_size AS BIGINT) * 20000000 AS hi FROM part) ON CAST(o_custkey AS BIGINT) * 50000000 + o_orderkey BETWEEN lo AND hi) WHERE k = 1")
+def _(t):
+    """Orders in ranges up to 10^9 wide."""
+    items = t.orders.select("o_orderkey", F.lit("x").alias("ch"), (F.col("o_custkey") * 50_000_000 + F.col("o_orderkey")).alias("at"))
+    key = F.col("p_partkey").cast("long")
+    ranges = t.part.select("p_partkey", F.lit("x").alias("ch"), (key * 40_000_000 - 20_000_000).alias("lo"), (key * 40_000_000 + F.col("p_size").cast("long") * 20_000_000).alias("hi"))
+    return J.range_contains(items, ranges, "ch", "at", "lo", "hi", [F.col("hi") - F.col("lo"), F.col("p_partkey")]).select("o_orderkey", "p_partkey")
+
+
+@query("j09_mutual_contains", "WITH a AS (SELECT DISTINCT lower(w) AS w FROM (SELECT unnest(regexp_extract_all(text, '[A-Za-z]{4,}')) AS w FROM benchmark)), b AS (SELECT DISTINCT unnest([n, upper(n)]) AS n FROM (SELECT unnest(string_split(lower(p_name || ' ' || p_type), ' ')) AS n FROM part)), x AS (SELECT w, n, row_number() OVER (PARTITION BY w ORDER BY CASE WHEN w = lower(n) THEN 0 ELSE 1 END, length(n) DESC, n) AS k FROM a JOIN b ON contains(lower(n), w) OR contains(w, lower(n)) WHERE n <> '') SELECT w, n, CASE WHEN w = lower(n) THEN 0.95 ELSE 0.8 END AS confidence FROM x WHERE k = 1")
 def _(t):
     a = t.benchmark.select(F.explode(F.regexp_extract_all("text", F.lit("[A-Za-z]{4,}"), 0)).alias("w")).select(F.lower("w").alias("w")).distinct()
     b = t.part.select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("n")).where("n <> ''")
-    return J.mutual_contains(a, b, "w", "n").select("w", "n", "confidence")
+    return J.mutual_contains(a, b.select(F.explode(F.array("n", F.upper("n"))).alias("n")), "w", "n").select("w", "n", "confidence")
 
 
 @query("j10_resolve_list", "SELECT l_orderkey, coalesce(string_agg(p_name, '|' ORDER BY l_linenumber, l_partkey) FILTER (p_name IS NOT NULL), '') AS resolved, coalesce(string_agg(CAST(l_partkey AS VARCHAR), '|' ORDER BY l_linenumber, l_partkey) FILTER (p_name IS NULL), '') AS missing FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 25) ON l_partkey = p_partkey GROUP BY 1")
@@ -822,7 +832,20 @@ def _tree(t):
 
 @query("q04_descend", f"WITH RECURSIVE e AS ({_TREE}), b(root, node, depth) AS (SELECT 'r' || r_regionkey, 'r' || r_regionkey, 0 FROM region UNION ALL SELECT b.root, e.dst_id, b.depth + 1 FROM b JOIN e ON e.src_id = b.node) SELECT root, node, depth FROM b WHERE depth > 0")
 def _(t):
-    return G.descend(_tree(t), t.region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("id")), 5)
+    return G.descend(_tree(t), t.region.select(F.concat(F.lit("r"), F.col("r_regionkey").cast("string")).alias("id")))
+
+
+_RN = "row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)"
+
+
+@query("q04_descend_cycles", f"WITH x AS (SELECT event_id, {_RN} AS k, first_value(event_id) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS root, count(*) OVER (PARTITION BY user_id) AS n FROM events) SELECT root, event_id AS node, CASE WHEN k = 1 THEN n ELSE k - 1 END AS depth FROM x")
+def _(t):
+    """Every user's events one after the other, the last leading back to the first."""
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    own = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    x = t.events.select("event_id", F.lead("event_id").over(w).alias("next"), F.first("event_id").over(own).alias("root"))
+    e = x.select(F.col("event_id").alias("src_id"), F.coalesce("next", "root").alias("dst_id"))
+    return G.descend(e, x.select(F.col("root").alias("id")))
 
 
 @query("q06_neighbourhood", f"WITH e AS ({_TREE}), u AS (SELECT src_id AS id, dst_id AS o FROM e UNION SELECT dst_id, src_id FROM e), one AS (SELECT DISTINCT o AS id FROM u WHERE id = 'n3'), two AS (SELECT DISTINCT u.o AS id FROM u JOIN one ON u.id = one.id WHERE u.o <> 'n3' AND u.o NOT IN (SELECT id FROM one)) SELECT 'n3' AS id, 0 AS distance UNION ALL SELECT id, 1 FROM one UNION ALL SELECT id, 2 FROM two")
