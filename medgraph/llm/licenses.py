@@ -30,6 +30,7 @@ from collections import Counter
 from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -160,36 +161,59 @@ class Scorer:
             size -= len(line)
 
     def text(self, text: str, rare: dict[str, int]) -> tuple | None:
-        """(block, license, cosine, license and cosine of the whole text) of a text, or None; rare: rows that hold its words outside `known`."""
+        """(block, license, cosine, license and cosine of the whole text) of a text, or None; rare: rows that hold its words outside `known`.
+
+        The square of a run's norm is a sum over its words of weight squared times (1 + twice the
+        earlier places of the word in the run), so one cumulative sum from a start line gives all of its runs, for
+        all templates; products with a template are differences of sums over the text.
+        """
         split = line_words(text)
         weight = {w: self.known[w] if w in self.known else idf(self.rows, rare.get(w, 0)) for s in split for w in s}
-        whole = Counter(w for s in split for w in s)
+        number = {w: i for i, w in enumerate(weight)}
+        flat = [w for s in split for w in s]
+        which = np.fromiter(map(number.__getitem__, flat), np.int64, len(flat))
+        square = np.fromiter(weight.values(), np.float64, len(weight)) ** 2
+        first = np.cumsum([0, *map(len, split)])  # where each line begins
+        whole = Counter(flat)
         total = math.sqrt(sum((k * weight[w]) ** 2 for w, k in whole.items()))
+        order = np.argsort(which, kind="stable")
+        begins = np.searchsorted(which[order], np.arange(len(weight)))
+        rank = np.empty(len(flat), np.int64)
+        rank[order] = np.arange(len(flat)) - begins[which[order]]
+        each = square[which]
         best = whole_text = None
+
+        def offer(cosine: float, block: int, name: str) -> None:
+            nonlocal best, whole_text
+            cosine = round(float(cosine), 9)
+            if cosine < self.threshold:
+                return
+            got = (name != RESERVED, cosine, -block, name)
+            best = got if best is None or got[:3] > best[:3] else best
+            if block == 0:
+                whole_text = got if whole_text is None or got[:3] > whole_text[:3] else whole_text
+
+        runs: dict[int, list[tuple[int, int]]] = {}
+        shared: dict[int, np.ndarray] = {}
         for form in self.reachable(set(whole)):
             name, count = self.forms[form]
-
-            def offer(cosine: float, block: int, name: str = name) -> None:
-                nonlocal best, whole_text
-                if cosine < self.threshold:
-                    return
-                got = (name != RESERVED, cosine, -block, name)
-                best = got if best is None or got[:3] > best[:3] else best
-                if block == 0:
-                    whole_text = got if whole_text is None or got[:3] > whole_text[:3] else whole_text
-
-            offer(round(sum(k * whole[w] * weight[w] ** 2 for w, k in count.items() if w in whole) / (total * self.norms[form]), 12), 0)
+            offer(sum(k * whole[w] * weight[w] ** 2 for w, k in count.items() if w in whole) / (total * self.norms[form]), 0, name)
+            times = np.fromiter((count.get(w, 0) for w in weight), np.float64, len(weight))
+            shared[form] = np.concatenate([[0.0], np.cumsum((times * square)[which])])
             for at, end in self._starts(split, form):
-                own: dict[str, int] = {}
-                dot = square = 0.0
-                for line in split[at:end]:
-                    for w in line:
-                        k, v = own.get(w, 0), weight[w] ** 2
-                        square += (2 * k + 1) * v
-                        dot += count.get(w, 0) * v
-                        own[w] = k + 1
-                    if line:
-                        offer(round(dot / (math.sqrt(square) * self.norms[form]), 12), at + 1)
+                runs.setdefault(at, []).append((form, end))
+        before, upto = np.zeros(len(weight), np.int64), 0  # places of each word before the start line
+        for at in sorted(runs):
+            a = int(first[at])
+            np.add.at(before, which[upto:a], 1)
+            upto = a
+            b = int(first[max(end for _, end in runs[at])])
+            norm = np.sqrt(np.cumsum(each[a:b] * (1 + 2 * (rank[a:b] - before[which[a:b]]))))
+            for form, end in runs[at]:
+                ends = first[at + 1 : end + 1]
+                ends = ends[ends > a]
+                if len(ends):
+                    offer(((shared[form][ends] - shared[form][a]) / norm[ends - a - 1]).max() / self.norms[form], at + 1, self.forms[form][0])
         return best and (-best[2], best[3], best[1], whole_text and whole_text[3], whole_text and whole_text[1])
 
 
