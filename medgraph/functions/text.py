@@ -202,10 +202,15 @@ def is_cancer_lenient(c: Column) -> Column:
     return F.coalesce(is_cancer_strict(c) | c.rlike(r"^[CD]\d{2}-"), F.lit(False))
 
 
+def zero_padded(c: Column, digits: int) -> Column:
+    """Digits with zeros before them; longer ones stay."""
+    return F.lpad(c, F.greatest(F.length(c), F.lit(digits)), F.lit("0"))
+
+
 def article_number(c: Column) -> Column:
     """제3조의2 as 003_02."""
     n, b = F.regexp_extract(c, r"제(\d+)조", 1), F.regexp_extract(c, r"조의(\d+)", 1)
-    return F.when(n != "", F.concat_ws("_", F.lpad(n, 3, "0"), F.when(b != "", F.lpad(b, 2, "0"))))
+    return F.when(n != "", F.concat_ws("_", zero_padded(n, 3), F.when(b != "", zero_padded(b, 2))))
 
 
 def article_id(law: Column, number: Column, clause: Column, subclause: Column, item: Column) -> Column:

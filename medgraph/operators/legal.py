@@ -18,6 +18,8 @@ SUBCLAUSE = r"^(\d+)\.\s+"
 ITEM = r"^([가-힣])\.\s+"
 #: How references to articles are written.
 TARGET = r"제(\d+)조(?:의(\d+))?(?:제(\d+)항)?(?:제(\d+)호)?(?:([가-힣])목)?"
+RELATIVE = r"같은\s+(법|조|항|호|목)\s*제(\d+)[조항호]?"
+LAW_NAME = r"「([^」]+)」"
 
 
 def articles(laws: DataFrame) -> DataFrame:
@@ -29,7 +31,7 @@ def articles(laws: DataFrame) -> DataFrame:
     ls = laws.select(F.col("title").alias("law_name"), T.law_id(F.col("title")).alias("law_id"), F.posexplode(F.split("content", "\n")).alias("line", "_c")).withColumn("content", F.trim("_c")).drop("_c")
     g = lambda p, i: F.nullif(F.regexp_extract("content", p, i), F.lit(""))
     depth = F.when(F.col("content").rlike(ARTICLE), 0).when(F.col("content").rlike(CLAUSE), 1).when(F.col("content").rlike(SUBCLAUSE), 2).when(F.col("content").rlike(ITEM), 3)
-    number = F.concat_ws("_", F.lpad(g(ARTICLE, 1), 3, "0"), F.lpad(g(ARTICLE, 2), 2, "0"))
+    number = F.concat_ws("_", T.zero_padded(g(ARTICLE, 1), 3), T.zero_padded(g(ARTICLE, 2), 2))
     ls = ls.withColumn("depth", depth)
     keys = {0: F.struct("line", number.alias("k"), g(ARTICLE, 3).alias("title")), 1: F.struct("line", T.circled(g(CLAUSE, 1)).alias("k")), 2: F.struct("line", g(SUBCLAUSE, 1).cast("int").alias("k")), 3: F.struct("line", g(ITEM, 1).alias("k"))}
     so_far = Window.partitionBy("law_id").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
@@ -54,6 +56,8 @@ def articles(laws: DataFrame) -> DataFrame:
 #: Kinds of references and what marks them, in order; without a mark it is OTHER.
 REFERENCE_TYPES = (("준용", r"[을를]\s*준용한다"), ("위임", r"에\s*따라|에서\s*정하는\s*바에\s*따라"), ("예외", r"에도\s*불구하고"), ("정의", r"정의|말한다"))
 OTHER = "일반참조"
+#: Fixed value: the kind of references to the same unit.
+SAME_UNIT = "상대참조"
 #: Kinds of laws that another law gives rise to.
 DERIVED = ("시행령", "시행규칙")
 
@@ -66,36 +70,72 @@ def reference_type(context: Column) -> Column:
     return out.otherwise(OTHER)
 
 
-def references(arts: DataFrame, id_col: str = "article_id", text_col: str = "full_text") -> DataFrame:
-    """Cross-law 「law」 제n조, relative 같은 법 제n조 and same-law references with spans and 50 characters around; a same-law match within ten characters of a closing 」 belongs to the cross-law one."""
-    cross, near, same = re.compile("「([^」]+)」\\s*" + TARGET), re.compile(r"같은\s+(?:법|조|항|호|목)\s*" + TARGET), re.compile(TARGET)
-    names = ["source_id", "kind", "reference_text", "target_law_name", "number", "branch", "target_clause", "target_subclause", "target_item", "span_start", "span_end", "context"]
-    kinds = [pa.string()] * 6 + [pa.int32(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string()]
+def references(arts: DataFrame, id_col: str = "article_id", text_col: str = "full_text", law_col: str = "law_name") -> DataFrame:
+    """Cross-law 「law」 제n조, same-law 제n조 and relative 같은 법 제n references with spans and 50 characters around.
+
+    A same-law match within ten characters after a closing 」 belongs to the cross-law one.  Same-law
+    and relative rows have the article's own law as target law (null without law_col); a relative one has
+    its unit and number (same_unit, target_number) instead of an article, and always the type SAME_UNIT.
+
+    What 같은 refers back to is carried along the text: antecedent_law_name is the law last named
+    before a relative reference, or the own law, antecedent_article_number and antecedent_clause
+    what was last referred to (a reference to an article ends the clause).
+    """
+    cross, same, relative, law = (re.compile(p) for p in (LAW_NAME + r"\s*" + TARGET, TARGET, RELATIVE, LAW_NAME))
+    schema = "source_id string, kind string, reference_text string, target_law_name string, number string, branch string, target_clause int, target_subclause int, target_item string, span_start int, span_end int, context string, same_unit string, target_number long, antecedent_law_name string, _number string, _branch string, antecedent_clause int"
+    names = [x.split()[0] for x in schema.split(", ")]
+    kinds = [{"string": pa.string(), "int": pa.int32(), "long": pa.int64()}[x.split()[1]] for x in schema.split(", ")]
+    whole = lambda x: int(x) if x else None
+
+    def found(text: str, own: str | None) -> Iterator[tuple]:
+        """The fields after source_id of every reference."""
+        marks = [(m.start(), 0, m) for m in law.finditer(text)] + [(m.start(), 1, m) for m in cross.finditer(text)]
+        marks += [(m.start(), 2, m) for m in relative.finditer(text)] + [(m.start(), 3, m) for m in same.finditer(text)]
+        last_law, article, clause = own, (None, None), None
+        for start, what, m in sorted(marks, key=lambda x: x[:2]):
+            around = text[max(0, start - 50) : m.end() + 50].replace("\n", " ")
+            if what == 0:
+                last_law = m[1]
+            elif what == 2:
+                yield ("relative", m[0], own, None, None, None, None, None, start, m.end(), around, m[1], int(m[2]), last_law, *article, clause)
+            else:
+                g = m.groups()[1:] if what == 1 else m.groups()
+                if what == 1 or "」" not in text[max(0, start - 10) : start]:
+                    yield ("cross_law" if what == 1 else "same_law", m[0], m[1] if what == 1 else own, g[0], g[1], whole(g[2]), whole(g[3]), g[4], start, m.end(), around, None, None, None, None, None, None)
+                article, clause = (g[0], g[1]), whole(g[2])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list[tuple] = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                taken: list[tuple[int, int]] = []
-
-                def add(kind, m, law, g):
-                    n = lambda x: int(x) if x else None
-                    out.append((i, kind, m[0], law, g[0], g[1], n(g[2]), n(g[3]), g[4], m.start(), m.end(), t[max(0, m.start() - 50) : m.end() + 50].replace("\n", " ")))
-                    taken.append(m.span())
-
-                for m in cross.finditer(t or ""):
-                    add("cross_law", m, m[1], m.groups()[1:])
-                for m in near.finditer(t or ""):
-                    add("relative", m, None, m.groups())
-                for m in same.finditer(t or ""):
-                    if "」" in t[max(0, m.start() - 10) : m.start()] or any(a <= m.start() < z for a, z in taken):
-                        continue
-                    add("same_law", m, None, m.groups())
+            out = [(i, *x) for i, t, own in zip(*(c.to_pylist() for c in b.columns), strict=True) for x in found(t or "", own)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    found = arts.select(id_col, text_col).mapInArrow(run, "source_id string, kind string, reference_text string, target_law_name string, number string, branch string, target_clause int, target_subclause int, target_item string, span_start int, span_end int, context string")
-    return found.withColumn("target_article_number", F.concat_ws("_", F.lpad("number", 3, "0"), F.lpad("branch", 2, "0"))).withColumn("reference_type", reference_type(F.col("context"))).withColumn("is_cross_law", F.col("kind") == "cross_law").drop("number", "branch")
+    own = F.col(law_col) if law_col in arts.columns else F.lit(None).cast("string")
+    rows = arts.select(id_col, text_col, own.alias("_law")).mapInArrow(run, schema)
+    padded = lambda n, b: F.nullif(F.concat_ws("_", T.zero_padded(F.col(n), 3), T.zero_padded(F.col(b), 2)), F.lit(""))
+    kind = F.when(F.col("kind") == "relative", SAME_UNIT).otherwise(reference_type(F.col("context")))
+    return rows.withColumns({"target_article_number": padded("number", "branch"), "antecedent_article_number": padded("_number", "_branch"), "reference_type": kind, "is_cross_law": F.col("kind") == "cross_law"}).drop("number", "branch", "_number", "_branch")
+
+
+def meant_targets(refs: DataFrame) -> DataFrame:
+    """Relative references with the law, article, clause and below that they mean by what they refer back to: 같은 법 제n (조), 같은 조 제n (항), 같은 항 제n (호); others as they are."""
+    unit, n = F.col("same_unit"), F.col("target_number")
+    at = lambda u, c: F.when(unit == u, c)
+    return refs.withColumns({
+        "target_law_name": F.when(unit.isNull(), F.col("target_law_name")).otherwise(F.col("antecedent_law_name")),
+        "target_article_number": F.when(unit.isNull(), F.col("target_article_number")).otherwise(F.coalesce(at("법", T.zero_padded(n.cast("string"), 3)), F.when(unit != "법", F.col("antecedent_article_number")))),
+        "target_clause": F.when(unit.isNull(), F.col("target_clause")).otherwise(F.coalesce(at("조", n.cast("int")), F.when(unit.isin("항", "호", "목"), F.col("antecedent_clause")))),
+        "target_subclause": F.when(unit.isNull(), F.col("target_subclause")).otherwise(at("항", n.cast("int"))),
+    })
+
+
+def same_law_targets(refs: DataFrame, arts: DataFrame) -> DataFrame:
+    """target_article_id of references by (target_law_id, target_article_number): the article, or below it the clause, subclause and item named, as an id that need not exist; null without such an article."""
+    top = arts.where("depth = 0").groupBy(F.col("law_id").alias("_law"), F.col("article_number").alias("_number")).agg(F.min("article_id").alias("_base"))
+    j = refs.join(top, (F.col("target_law_id") == F.col("_law")) & (F.col("target_article_number") == F.col("_number")), "left")
+    part = lambda p, c: F.when(F.col("target_clause").isNotNull(), F.concat(F.lit(p), F.col(c).cast("string")))
+    named = F.concat_ws("_", "_base", part("C", "target_clause"), part("S", "target_subclause"), part("I", "target_item"))
+    return j.withColumn("target_article_id", F.when(F.col("_base").isNotNull(), named)).drop("_law", "_number", "_base")
 
 
 def tree_edges(arts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -106,9 +146,10 @@ def tree_edges(arts: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
 
 
-def reference_edges(refs: DataFrame) -> DataFrame:
-    """Resolved references, one edge per (source, target, type, text)."""
-    return refs.where("target_article_id is not null").select(F.col("source_id").alias("src_id"), F.col("target_article_id").alias("dst_id"), "reference_type", "reference_text", F.when(F.col("is_cross_law"), "CROSS_LAW_REFERS_TO").otherwise("REFERS_TO").alias("edge_type")).distinct()
+def reference_edges(refs: DataFrame, arts: DataFrame | None = None) -> DataFrame:
+    """Resolved references, one edge per (source, target, type, text); with arts, only to articles that exist."""
+    e = refs.where("target_article_id is not null").select(F.col("source_id").alias("src_id"), F.col("target_article_id").alias("dst_id"), "reference_type", "reference_text", F.when(F.col("is_cross_law"), "CROSS_LAW_REFERS_TO").otherwise("REFERS_TO").alias("edge_type")).distinct()
+    return e if arts is None else e.join(arts.select(F.col("article_id").alias("dst_id")).distinct(), "dst_id", "left_semi")
 
 
 def derived_from_edges(laws: DataFrame, title: str = "title") -> DataFrame:

@@ -168,54 +168,75 @@ def _(t):
 
 
 def _laws(t):
-    """A statute from every document: its title, three articles, a body of its own lines, and references that depend on its id."""
-    n = F.col("doc_id")
-    other = F.concat(F.lit("법"), (n + 1).cast("string"))
-    lines = F.regexp_replace("text", r"[제①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮「]", "")
-    body = F.concat(
-        F.lit("서문\n제1조(목적)\n① 하나\n1. 둘\n가. 셋\n제2조의3(끝)\n「"), other, F.lit("」 제"), (n % 3 + 1).cast("string"), F.lit("조제1항을 준용한다\n제"),
-        (n % 40 + 3).cast("string"), F.lit("조(글)\n"), F.transform(F.split(lines, "\n"), lambda x: F.concat(F.lit("- "), x)).cast("array<string>")[0],
-    )
-    return t.documents.select(n, F.concat(F.lit("법"), n.cast("string")).alias("title"), body.alias("content"))
+    """A statute from every document: an article from each of its lines, with the line as its text and a clause that refers, by the line's place, to the next law, the article before, or back to the law after the next."""
+    n, i = F.col("doc_id"), F.col("i")
+    line = F.regexp_replace("line", "[제「]", "")
+    say = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    s = lambda c: c.cast("string")
+    ref = (
+        F.when(i % 3 == 0, say("「법", s(n + 1), "」 제", s(i + 1), "조제1항을 준용한다"))
+        .when(i % 3 == 1, say("제", s(i), "조제1항에 따라 정한다"))
+        .otherwise(say("「법", s(n + 2), "」에서 정하는 것과 같은 법 제", s(i), "조를 말한다"))
+    )
+    lines = t.documents.select(n, F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    made = lines.select(n, i, say("제", s(i + 1), "조(글)\n- ", line, "\n① ", ref).alias("x"))
+    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda v: v["x"]), "\n")
+    return made.groupBy("doc_id").agg(F.concat(F.lit("서문\n"), body).alias("content")).select(F.concat(F.lit("법"), s(n)).alias("title"), "content")
+
 
+_LINES = "SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS i, unnest(string_split(text, chr(10))) AS line FROM documents"
 
-_LAW_ROWS = "SELECT '법' || doc_id AS law_name, unnest([0, 1, 2, 3, 0, 0]) AS depth, unnest(['001', '001', '001', '001', '002_03', lpad(CAST(doc_id % 40 + 3 AS VARCHAR), 3, '0')]) AS article_number, unnest([1, 2, 3, 4, 5, 7]) AS line_start, unnest([4, 2, 3, 4, 6, 8]) AS line_end FROM documents"
 
+def _number(n: str) -> str:
+    return f"lpad(CAST({n} AS VARCHAR), CAST(greatest(3, length(CAST({n} AS VARCHAR))) AS INT), '0')"
 
-@query("x14_articles", _LAW_ROWS)
+
+@query("x14_articles", f"WITH x AS ({_LINES}) SELECT '법' || doc_id AS law_name, 0 AS depth, {_number('i + 1')} AS article_number, 3 * i + 1 AS line_start, 3 * i + 3 AS line_end, md5(rtrim('- ' || regexp_replace(line, '[제「]', '', 'g'), ' ')) AS text_md5 FROM x UNION ALL SELECT '법' || doc_id, 1, {_number('i + 1')}, 3 * i + 3, 3 * i + 3, NULL FROM x")
 def _(t):
-    return L.articles(_laws(t)).select("law_name", "depth", "article_number", "line_start", "line_end")
+    return L.articles(_laws(t)).select("law_name", "depth", "article_number", "line_start", "line_end", F.when(F.col("depth") == 0, F.md5("full_text")).alias("text_md5"))
 
 
 def _references(t):
-    return L.references(L.articles(_laws(t).drop("doc_id")))
+    return L.references(L.articles(_laws(t)))
+
+
+_REFERENCES = f"WITH x AS ({_LINES}) SELECT doc_id, i, 'cross_law' AS kind, '법' || (doc_id + 1) AS target_law_name, {_number('i + 1')} AS target_article_number, 1 AS target_clause, '준용' AS reference_type, NULL AS same_unit, NULL AS target_number, NULL AS antecedent_law_name FROM x WHERE i % 3 = 0 UNION ALL SELECT doc_id, i, 'same_law', '법' || doc_id, {_number('i')}, CASE WHEN i % 3 = 1 THEN 1 END, CASE WHEN i % 3 = 1 THEN '위임' ELSE '정의' END, NULL, NULL, NULL FROM x WHERE i % 3 > 0 UNION ALL SELECT doc_id, i, 'relative', '법' || doc_id, NULL, NULL, '상대참조', '법', i, '법' || (doc_id + 2) FROM x WHERE i % 3 = 2"
+
+
+@query("x15_references", f"SELECT kind, target_law_name, target_article_number, target_clause, reference_type, kind = 'cross_law' AS is_cross_law, same_unit, target_number, antecedent_law_name FROM ({_REFERENCES})")
+def _(t):
+    return _references(t).select("kind", "target_law_name", "target_article_number", "target_clause", "reference_type", "is_cross_law", "same_unit", "target_number", "antecedent_law_name")
 
 
-@query("x15_references", "SELECT '법' || (doc_id + 1) AS target_law_name, lpad(CAST(doc_id % 3 + 1 AS VARCHAR), 3, '0') AS target_article_number, 1 AS target_clause, '준용' AS reference_type, true AS is_cross_law FROM documents")
+@query("x15_meant_targets", f"SELECT '법' || (doc_id + 2) AS target_law_name, {_number('i')} AS target_article_number, count(*) AS n FROM ({_LINES}) WHERE i % 3 = 2 GROUP BY 1, 2")
 def _(t):
-    return _references(t).select("target_law_name", "target_article_number", "target_clause", "reference_type", "is_cross_law")
+    return L.meant_targets(_references(t).where("kind = 'relative'")).groupBy("target_law_name", "target_article_number").agg(F.count("*").alias("n"))
 
 
 def _resolved(t):
-    """References with the article that they name, where the law has it."""
-    refs = _references(t).withColumn("target_law_id", T.law_id(F.col("target_law_name")))
-    return J.refine_target(refs, L.articles(_laws(t).drop("doc_id")))
+    """Cross-law references with the clause or article that they name, same-law ones with theirs."""
+    arts = L.articles(_laws(t))
+    refs = L.references(arts).withColumn("target_law_id", T.law_id(F.col("target_law_name")))
+    cross = J.refine_target(refs.where("is_cross_law"), arts)
+    return cross.unionByName(L.same_law_targets(refs.where("kind = 'same_law'"), arts)), arts
 
 
-_LINKED = "doc_id % 3 IN (0, 2) AND doc_id + 1 IN (SELECT doc_id FROM documents) AND (doc_id % 3 = 0 OR (doc_id + 1) % 40 = 0)"
+_ART = "'ART_LAW_' || upper(substr(md5('법' || {}), 1, 8)) || '_' || {}"
+_CROSS = f"SELECT x.doc_id, x.i FROM ({_LINES}) x JOIN ({_LINES}) y ON y.doc_id = x.doc_id + 1 AND y.i = x.i WHERE x.i % 3 = 0"
 
 
-@query("k11_reference_edges", f"SELECT 'ART_LAW_' || upper(substr(md5('법' || doc_id), 1, 8)) || '_002_03' AS src_id, 'ART_LAW_' || upper(substr(md5('법' || (doc_id + 1)), 1, 8)) || CASE WHEN doc_id % 3 = 0 THEN '_001_C1' ELSE '_003' END AS dst_id, 'CROSS_LAW_REFERS_TO' AS edge_type FROM documents WHERE {_LINKED}")
+@query("k11_reference_edges", f"SELECT {_ART.format('doc_id', _number('i + 1'))} || '_C1' AS src_id, {_ART.format('(doc_id + 1)', _number('i + 1'))} || '_C1' AS dst_id, 'CROSS_LAW_REFERS_TO' AS edge_type FROM ({_CROSS}) UNION ALL SELECT {_ART.format('doc_id', _number('i + 1'))} || '_C1', {_ART.format('doc_id', _number('i'))} || CASE WHEN i % 3 = 1 THEN '_C1' ELSE '' END, 'REFERS_TO' FROM ({_LINES}) WHERE i % 3 > 0")
 def _(t):
-    return L.reference_edges(_resolved(t)).select("src_id", "dst_id", "edge_type")
+    refs, arts = _resolved(t)
+    return L.reference_edges(refs, arts).select("src_id", "dst_id", "edge_type")
 
 
-@query("q08_reference_report", f"SELECT true AS is_cross_law, count(*) AS parsed, count_if({_LINKED}) AS linked, count(*) - count_if({_LINKED}) AS unlinked FROM documents")
+@query("q08_reference_report", f"SELECT true AS is_cross_law, count(*) AS parsed, (SELECT count(*) FROM ({_CROSS})) AS linked, count(*) - (SELECT count(*) FROM ({_CROSS})) AS unlinked FROM ({_LINES}) WHERE i % 3 = 0 UNION ALL SELECT false, count(*), count(*), 0 FROM ({_LINES}) WHERE i % 3 > 0")
 def _(t):
-    return L.reference_report(_resolved(t))
+    return L.reference_report(_resolved(t)[0])
 
 
-@query("q08_top_targets", "SELECT '법' || (doc_id + 1) AS target_law_name, count(*) AS n FROM documents GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20")
+@query("q08_top_targets", f"SELECT '법' || (doc_id + 1) AS target_law_name, count(*) AS n FROM ({_LINES}) WHERE i % 3 = 0 GROUP BY 1 ORDER BY n DESC, 1 LIMIT 20")
 def _(t):
     return L.top_targets(_references(t), 20)
 
@@ -411,13 +432,13 @@ def _(t):
     return G.code_hierarchy(codes, blocks)
 
 
-@query("k09_tree_edges", "SELECT '법' || doc_id AS law_name, 3 AS children, 3 AS articles FROM documents")
+@query("k09_tree_edges", f"SELECT '법' || doc_id AS law_name, count(*) AS children, count(*) AS articles FROM ({_LINES}) GROUP BY doc_id")
 def _(t):
-    arts = L.articles(_laws(t).drop("doc_id"))
+    arts = L.articles(_laws(t))
     a, c = L.tree_edges(arts)
     names = arts.select("law_name", "article_id")
-    kids = c.join(names, c.dst_id == names.article_id).groupBy("law_name").agg(F.count("*").cast("int").alias("children"))
-    tops = a.join(names, a.dst_id == names.article_id).groupBy("law_name").agg(F.count("*").cast("int").alias("articles"))
+    kids = c.join(names, c.dst_id == names.article_id).groupBy("law_name").agg(F.count("*").alias("children"))
+    tops = a.join(names, a.dst_id == names.article_id).groupBy("law_name").agg(F.count("*").alias("articles"))
     return kids.join(tops, "law_name").select("law_name", "children", "articles")
 
 

@@ -347,6 +347,28 @@ def test_classifier_parts(spark):
     assert [r[0] for r in v.select(J.valid_name(F.col("c"), ["no"])).collect()] == [True, False, False, False, False]
 
 
+def test_references_in_order(spark):
+    """Same-law and relative references with their law, what 같은 refers back to, and same-law ids with all their parts."""
+    laws = spark.createDataFrame([("갑법", "제1조(가)\n① 제3조제2항제1호나목에 따라\n「을법」 제5조의2제3항을 준용하고 같은 법 제7조, 같은 조 제4항 및 같은 항 제9호\n제3조(나)\n본문 같은 법 제1조\n② 둘\n제1005조(다)")], "title string, content string")
+    arts = L.articles(laws)
+    assert [r.article_number for r in arts.where("depth = 0").orderBy("line_start").collect()] == ["001", "003", "1005"]
+    refs = L.references(arts)
+    got = sorted((r.span_start, r.kind, r.target_law_name, r.target_article_number, r.target_clause, r.same_unit, r.target_number, r.antecedent_law_name, r.antecedent_article_number, r.antecedent_clause) for r in refs.where("source_id like '%_001'").collect())
+    assert [g[1:] for g in got] == [
+        ("cross_law", "을법", "005_02", 3, None, None, None, None, None),
+        ("relative", "갑법", None, None, "법", 7, "을법", "005_02", 3),
+        ("same_law", "갑법", "007", None, None, None, None, None, None),
+        ("relative", "갑법", None, None, "조", 4, "을법", "007", None),
+        ("relative", "갑법", None, None, "항", 9, "을법", "007", None),
+    ]
+    meant = [(r.target_law_name, r.target_article_number, r.target_clause) for r in L.meant_targets(refs.where("kind = 'relative'")).orderBy("span_start").collect()]
+    assert ("을법", "007", None) in meant and ("을법", "007", 4) in meant and ("갑법", "001", None) in meant
+    ids = L.same_law_targets(refs.where("kind = 'same_law'").withColumn("target_law_id", T.law_id(F.col("target_law_name"))), arts)
+    law = arts.first().law_id
+    assert sorted((r.reference_text, r.target_article_id) for r in ids.collect()) == [("제1조", f"ART_{law}_001"), ("제3조제2항제1호나목", f"ART_{law}_003_C2_S1_I나"), ("제7조", None)]
+    assert [r.dst_id for r in L.reference_edges(ids, arts).collect()] == [f"ART_{law}_001"]
+
+
 def test_law_edges(spark):
     laws = spark.createDataFrame([("의료급여법",), ("의료급여법 시행령",), ("의료급여법시행규칙",), ("상법 시행령",), (None,)], "title string")
     got = sorted((r.dst_id, r.relationship_type) for r in L.derived_from_edges(laws).collect())
