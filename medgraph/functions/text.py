@@ -78,6 +78,14 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
 
 
+def similarity_bound(a: Column, b: Column) -> Column:
+    """At least similarity(a, b): matching blocks hold no letter more often than both sides do.  Two empty strings are alike."""
+    letters = F.filter(F.array_distinct(F.split(a, "")), lambda x: x != "")
+    times = lambda c, x: (F.length(c) - F.length(F.replace(c, x, F.lit("")))) / F.length(x)
+    shared = F.aggregate(letters, F.lit(0.0), lambda n, x: n + F.least(times(a, x), times(b, x)))
+    return F.coalesce(F.try_divide(2 * shared, F.length(a) + F.length(b)), F.lit(1.0))
+
+
 def strip_form(c: Column, forms: tuple[str, ...] = FORMS) -> Column:
     return F.regexp_replace(c, f"({'|'.join(forms)})$", "")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from . import aggregates, joins
-from .ordering import alias_conflicts, top_k
+from .ordering import alias_conflicts, checkpointed, top_k
 
 
 def any_suffix(c: Column, suffixes: list[str]) -> Column:
@@ -32,7 +32,7 @@ def gate_chain(entries: DataFrame, rules: dict, curated: DataFrame | None = None
     and diseases are routed; name endings must agree; spelling must be near unless a strict
     ending agreed or the context promotes; the first English name to pass for a Korean name
     wins.  Each gate sets the decision once; only rows that need the spelling score, and only
-    their distinct pairs, reach the Arrow function.  promotion (anchor, drug): C12, a drug next
+    their distinct pairs whose letters allow a score that counts, reach the Arrow function.  promotion (anchor, drug): C12, a drug next
     to its anchor is promoted from a score of 0.30 on if its ending agrees.
     Null names count as empty.  seq settles conflicts and must be unique.
     """
@@ -70,8 +70,13 @@ def gate_chain(entries: DataFrame, rules: dict, curated: DataFrame | None = None
             e = note(e, en_has & ~ko_has, "SUFFIX_MISMATCH_WARN")
     strict_hit = F.array_contains("reason_codes", "SUFFIX_MATCH_STRICT")
     e = e.withColumn("_score_it", F.col("decision").isNull() & ~strict_hit)
-    pairs = e.where("_score_it").select("en", "ko").distinct().withColumn("_s", T.similarity(F.col("en"), T.romanize(F.col("ko"))))
-    e = e.join(pairs, ["en", "ko"], "left")
+    # what is read more than once from here on is written once
+    e = checkpointed(e)
+    spelt = e.where("_score_it").select("en", "ko").distinct().withColumn("_latin", T.romanize(F.col("ko")))
+    # a score below every threshold decides as 0 does; the bound on it needs no matching blocks
+    least = min(1 - rules.get("strict", 0.25), 1 - rules.get("loose", 0.35), *([0.30] if promotion is not None else []))
+    near = spelt.where(T.similarity_bound(F.col("en"), F.col("_latin")) >= least - 1e-9)
+    e = e.join(near.select("en", "ko", T.similarity(F.col("en"), F.col("_latin")).alias("_s")), ["en", "ko"], "left")
     most = F.when(F.col("count") >= rules.get("high_frequency", 20), rules.get("strict", 0.25)).otherwise(rules.get("loose", 0.35))
     low = F.col("_score_it") & (1 - F.coalesce(F.col("_s"), F.lit(0.0)) > most)  # the thresholds are distances
     seen = F.exists(F.array(*[F.lit(t) for t in rules.get("context_tokens", [])]), lambda t: F.contains(F.coalesce("context_span", F.lit("")), t)) if rules.get("context_tokens") else F.lit(False)
@@ -84,6 +89,7 @@ def gate_chain(entries: DataFrame, rules: dict, curated: DataFrame | None = None
     e = note(e, F.col("_low"), "PHONETIC_FAIL")
     e = note(e, F.col("_low") & F.col("_seen"), "CTX_PROMOTE")
     e = e.withColumn("decision", F.when(F.col("decision").isNull() & F.col("_low") & ~F.col("_seen"), "pending").otherwise(F.col("decision")))
+    e = checkpointed(e)
     passed = alias_conflicts(e.where(F.col("decision").isNull() & (F.col("ko") != "")).select("seq", "ko", "en")).where("conflict").select("seq", F.lit(True).alias("_conflict"))
     e = e.join(passed, "seq", "left")
     e = gate(e, F.col("_conflict"), F.lit("pending"), F.lit("ALIAS_CONFLICT"))
