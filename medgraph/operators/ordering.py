@@ -7,20 +7,30 @@ a stable result.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df written to the session's checkpoint folder, which ends its lineage; a local session without one gets its own."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        if not sc.master.startswith("local"):
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder's path below the session's checkpoint folder, which every executor sees; only a local session without one gets its own."""
+    sc = spark.sparkContext
+    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not at:
+        if sc.master != "local" and not sc.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-"))
+        at = tempfile.mkdtemp(prefix="spark-")
+        sc.setCheckpointDir(at)
+    return f"{at}/medgraph-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """df written to the session's checkpoint folder, which ends its lineage."""
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()
 
 

@@ -12,6 +12,7 @@ from ..operators import graph as G
 from ..operators import joins as J
 from ..operators import legal as L
 from ..operators import ordering as W
+from ..sources import commits, versioned
 from ..sources import readers as S
 from .catalog import query
 
@@ -465,3 +466,34 @@ def _(t):
     s = lambda c: F.col(c).cast("string")
     nodes = t.orders.select(s("o_orderkey").alias("id"), F.lit("order").alias("label"), F.col("o_orderstatus").alias("name"))
     return G.ask(t.spark, "neighbours", nodes, t.orders.select(F.concat(F.lit("c"), s("o_custkey")).alias("src_id"), s("o_orderkey").alias("dst_id"), F.lit("placed").alias("edge_type")), id="c7")
+
+
+# --- stored tables ----------------------------------------------------------------------------------
+
+
+@query("k01_versioned_upsert", "SELECT coalesce(a.k, b.k) AS k, coalesce(a.name, b.name) AS name, coalesce(a.bal, b.bal) AS bal FROM (SELECT c_custkey AS k, c_name AS name, CASE WHEN c_custkey % 3 > 0 THEN c_acctbal END AS bal FROM customer) a FULL JOIN (SELECT s_suppkey * 40 AS k, s_name AS name, s_acctbal AS bal FROM supplier) b ON a.k = b.k")
+def _(t):
+    """Customers as the first version of a table, suppliers upserted into its touched buckets."""
+    at = W.shared_folder(t.spark)
+    versioned.create(t.customer.select(F.col("c_custkey").alias("k"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 3 > 0, F.col("c_acctbal")).alias("bal")), at, "k")
+    versioned.change(t.spark, at, t.supplier.select((F.col("s_suppkey") * 40).alias("k"), F.col("s_name").alias("name"), F.col("s_acctbal").alias("bal")))
+    return versioned.read(t.spark, at)
+
+
+@query("k12_versioned_delete", "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F'")
+def _(t):
+    """Orders without one status, as the next version of their table."""
+    at = W.shared_folder(t.spark)
+    versioned.create(t.orders.select("o_orderkey", "o_orderstatus"), at, "o_orderkey")
+    versioned.delete(t.spark, at, F.col("o_orderstatus") == "F")
+    return versioned.read(t.spark, at)
+
+
+@query("s13_append_once", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def _(t):
+    """Events appended by kind, every batch tried twice."""
+    at = W.shared_folder(t.spark)
+    for kind in (True, False):
+        for _ in range(2):
+            commits.append_once(t.events.where((F.col("user_id") % 2 == 0) == kind).select("event_type", "value"), at, f"even-{kind}")
+    return commits.read(t.spark, at, "event_type string, value double").groupBy("event_type").agg(F.count("*").alias("n"))
