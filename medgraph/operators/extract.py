@@ -14,6 +14,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import containments
+
 
 def all_groups(text: Column, pattern: str, groups: list[int]) -> Column:
     """Array of structs g1, g2 ...: the groups of every match."""
@@ -139,26 +141,16 @@ def section_relations(sections: DataFrame, cancers: list[str], longest: bool = T
     return out.where(F.col("cancer").isNotNull() & (F.size("drugs") > 0)).withColumn("therapy_line", line).withColumn("action", action)
 
 
-def lexicon_hits(docs: DataFrame, lexicon: DataFrame, key: str = "doc_id", text_col: str = "text", term: str = "term", words: int = 2) -> DataFrame:
-    """(doc, term, position) of lexicon terms that occur in a text, case ignored.
+def lexicon_hits(docs: DataFrame, lexicon: DataFrame, key: str = "doc_id", text_col: str = "text", term: str = "term") -> DataFrame:
+    """(doc, term, position) of lexicon terms that occur in a text, also inside words and over each other, case ignored; position counts from 1.
 
-    Both sides may be large: terms and texts meet on their first `words` words by hash join, of
-    keys and grams only; the text comes back once for each pair found, where the whole term is
-    looked for.  Terms whose first words are part of longer words in a text are not hits.  Keys
-    must be unique.
+    Both sides may be large (see joins.containments): a term meets the texts that hold its rarest
+    gram, and a text is searched once for all of them.  Terms that differ in case alone give a row each.
     """
-    tokens = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"(?U)\w+"), 0)
-    head = lambda a: F.array_join(F.slice(a, 1, words), " ")
-    lex = lexicon.select(F.col(term), F.lower(term).alias("_t")).distinct().withColumn("_w", tokens(F.col(term))).where(F.size("_w") > 0)
-    texts = docs.select(key, tokens(F.col(text_col)).alias("_w"))
-    grams = lambda n: F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.size("_w") - (n - 1), F.lit(1))), lambda i: F.array_join(F.slice("_w", i, n), " "))))
-    out = None
-    for n in range(1, words + 1):
-        of = lex.where(F.size("_w") == n if n < words else F.size("_w") >= n).withColumn("_g", head(F.col("_w"))).drop("_w")
-        part = texts.where(F.size("_w") >= n).select(key, grams(n).alias("_g")).join(of, "_g").select(key, term, "_t")
-        out = part if out is None else out.unionByName(part)
-    at = F.instr(F.lower(text_col), F.col("_t"))
-    return out.join(docs.select(key, text_col), key).select(key, term, at.alias("position")).where("position > 0").distinct()
+    lex = lexicon.select(F.col(term), F.lower(term).alias("_low")).distinct()
+    texts = docs.select(key, F.lower(text_col).alias("_low_text"))
+    hits = containments(texts, [key], "_low_text", lex, "_low", {"position": F.instr(F.col("_text"), F.col("_word"))})
+    return hits.join(lex, F.col("_word") == F.col("_low")).select(key, term, "position").distinct()
 
 
 def keyword_tags(df: DataFrame, tags: dict[str, list[str]], text_col: str = "text") -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medgraph.operators import curate as C
+from medgraph.operators import extract as X
 from medgraph.operators import graph as G
 from medgraph.operators import joins as J
 
@@ -45,6 +46,17 @@ def test_gram_rows_carry_no_text(spark):
     assert below and not any("_text#" in x for x in below)
 
 
+@pytest.mark.parametrize("few", [J.FEW_WORDS, 0])
+def test_lexicon_of_any_terms(spark, monkeypatch, few):
+    """Terms inside Korean words with particles, longer and overlapping ones, of several words, in other case."""
+    monkeypatch.setattr(J, "FEW_WORDS", few)
+    terms = ["폐암", "비소세포폐암", "소세포", "EGFR", "egfr", "gene fusion", "fusion of", "x", "없음", "", None]
+    texts = [(1, "비소세포폐암은 EGFR 변이와 GENE fusion of x"), (2, "폐암과 폐암"), (3, None), (4, ""), (5, "none"), (2, "egfR")]
+    got = X.lexicon_hits(spark.createDataFrame(texts, "doc_id int, text string"), spark.createDataFrame([(t,) for t in [*terms, "x"]], "term string")).collect()
+    want = {(d, t, x.lower().index(t.lower()) + 1) for d, x in texts if x for t in terms if t and t.lower() in x.lower()}
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 def test_name_match_tiers(spark):
     small = ["egfr/alk", "alk", "cdk4/6", "ros1", "/x/", "", None, "abl"]
     big = ["x/alk", "alk", "cdk6 test", "bcr-abl", "ros", "", None, "zzz", "egfr/alk"]
