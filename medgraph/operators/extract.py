@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import containments
+from .ordering import scanned
 
 
 def all_groups(text: Column, pattern: str, groups: list[int]) -> Column:
@@ -80,9 +81,8 @@ def lines(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def blocks(df: DataFrame, starts: Column, doc: str = "doc_id", order: str = "line", name: str = "block") -> DataFrame:
-    """Block number that grows at every row where starts holds; 0 before the first."""
-    w = Window.partitionBy(doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.sum(starts.cast("int")).over(w))
+    """Block number that grows at every row where starts holds; 0 before the first.  order: whole numbers from 0; long documents are many tasks (see ordering.scanned)."""
+    return scanned(df, [doc], order, total={name: F.coalesce(starts, F.lit(False)).cast("int")})
 
 
 def markdown_rows(df: DataFrame, title: str, doc: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -256,10 +256,8 @@ def outline(df: DataFrame, doc: str = "doc_id", text_col: str = "text") -> DataF
     ls = lines(df, text_col)
     level = F.when(F.col("content").startswith("#### "), 3).when(F.col("content").startswith("### "), 2).when(F.col("content").startswith("## "), 1)
     ls = ls.withColumn("level", level)
-    so_far = Window.partitionBy(doc).orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
     title = F.trim(F.regexp_replace("content", "^#+ ", ""))
-    for k in (1, 2, 3):
-        ls = ls.withColumn(f"_l{k}", F.last(F.when(F.col("level") == k, F.struct("line", title.alias("t"))), ignorenulls=True).over(so_far))
+    ls = scanned(ls, [doc], "line", {f"_l{k}": F.when(F.col("level") == k, F.struct("line", title.alias("t"))) for k in (1, 2, 3)})
     p1, p2, p3 = (F.col(f"_l{k}") for k in (1, 2, 3))
     ok2 = p2.isNotNull() & (F.coalesce(p1["line"], F.lit(-1)) < p2["line"])
     ok3 = p3.isNotNull() & (F.coalesce(F.greatest(p1["line"], p2["line"]), F.lit(-1)) < p3["line"])

@@ -6,10 +6,11 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .ordering import scanned
 
 #: How articles, clauses, subclauses and items begin.
 ARTICLE = r"^제(\d+)조(?:의(\d+))?\s*\(([^)]+)\)\s*$"
@@ -23,7 +24,7 @@ LAW_NAME = r"「([^」]+)」"
 
 
 def articles(laws: DataFrame) -> DataFrame:
-    """Laws (title, content) as rows of depth 0 to 3 with parent ids, by line states in windows over the law.
+    """Laws (title, content) as rows of depth 0 to 3 with parent ids, by line states (see ordering.scanned: a long law is many tasks).
 
     The last article is kept even without a body.  Lines that begin nothing belong to the
     article's text.  Lines before the first article are dropped.
@@ -34,9 +35,7 @@ def articles(laws: DataFrame) -> DataFrame:
     number = F.concat_ws("_", T.zero_padded(g(ARTICLE, 1), 3), T.zero_padded(g(ARTICLE, 2), 2))
     ls = ls.withColumn("depth", depth)
     keys = {0: F.struct("line", number.alias("k"), g(ARTICLE, 3).alias("title")), 1: F.struct("line", T.circled(g(CLAUSE, 1)).alias("k")), 2: F.struct("line", g(SUBCLAUSE, 1).cast("int").alias("k")), 3: F.struct("line", g(ITEM, 1).alias("k"))}
-    so_far = Window.partitionBy("law_id").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    for d, k in keys.items():
-        ls = ls.withColumn(f"_s{d}", F.last(F.when(F.col("depth") == d, k), ignorenulls=True).over(so_far))
+    ls = scanned(ls, ["law_id"], "line", {f"_s{d}": F.when(F.col("depth") == d, k) for d, k in keys.items()})
     since = lambda d: F.greatest(*[F.coalesce(F.col(f"_s{i}.line"), F.lit(-1)) for i in range(d)], F.lit(-1))
     held = lambda d: F.when(F.col(f"_s{d}.line") > since(d), F.col(f"_s{d}.k"))
     ls = ls.where("_s0 is not null")

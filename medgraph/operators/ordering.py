@@ -103,9 +103,33 @@ def alias_conflicts(df: DataFrame, ko: str = "ko", en: str = "en", seq: str = "s
     return df.join(first, F.col(ko).eqNullSafe(F.col("_ko"))).withColumn("first_en", F.col("_f.en")).withColumn("conflict", F.col(en) != F.col("first_en")).drop("_ko", "_f")
 
 
+#: Places that one window of a scan sees at most.
+SCAN = 1 << 15
+
+
+def scanned(df: DataFrame, doc: list[str], line: str, last: dict[str, Column] | None = None, total: dict[str, Column] | None = None) -> DataFrame:
+    """df with running columns over the whole places (0, 1, ...) of each document: the last value that was not null, and the sum so far.
+
+    Two levels: windows over blocks of SCAN places, and over what each block ends with, one row a
+    block; so a document of any length is many tasks, each of one block.  Null documents are one document.
+    """
+    last, total = last or {}, total or {}
+    rows = df.withColumn("_blk", F.floor(F.col(line) / SCAN))
+    so_far = Window.partitionBy(*doc, "_blk").orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
+    ends = rows.groupBy(*doc, "_blk").agg(*[F.max_by(c, F.when(c.isNotNull(), F.col(line))).alias(n) for n, c in last.items()], *[F.sum(c).alias(n) for n, c in total.items()])
+    before = Window.partitionBy(*doc).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*[F.col(d).alias(f"_d{i}") for i, d in enumerate(doc)], F.col("_blk").alias("_b"), *[F.last(n, ignorenulls=True).over(before).alias(f"_c_{n}") for n in last], *[F.sum(n).over(before).alias(f"_c_{n}") for n in total])
+    carried = carried.where("_b > 0")
+    own = rows.withColumns({n: F.last(c, ignorenulls=True).over(so_far) for n, c in last.items()} | {n: F.sum(c).over(so_far) for n, c in total.items()})
+    same = [F.col(d).eqNullSafe(F.col(f"_d{i}")) for i, d in enumerate(doc)]
+    both = own.join(carried, [F.col("_blk") == F.col("_b"), *same], "left")
+    full = {n: F.coalesce(n, f"_c_{n}") for n in last} | {n: F.col(n) + F.coalesce(f"_c_{n}", F.lit(0)) for n in total}
+    return both.withColumns(full).drop("_blk", "_b", *[f"_d{i}" for i in range(len(doc))], *[f"_c_{n}" for n in [*last, *total]])
+
+
 def carry_forward(df: DataFrame, doc: list[str], order: str, col: str) -> DataFrame:
-    """The last value that was not null."""
-    return df.withColumn(col, F.last(col, ignorenulls=True).over(Window.partitionBy(*doc).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    """The last value that was not null, over whole numbers in order (see scanned)."""
+    return scanned(df.withColumnRenamed(col, "_value"), doc, order, {col: F.col("_value")}).select(*df.columns)
 
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:

@@ -10,6 +10,8 @@ from medgraph.operators import curate as C
 from medgraph.operators import extract as X
 from medgraph.operators import graph as G
 from medgraph.operators import joins as J
+from medgraph.operators import legal as L
+from medgraph.operators import ordering as W
 
 
 # --- containment ----------------------------------------------------------------------------------
@@ -183,3 +185,35 @@ def test_descend_deep(spark):
     edges = [*chain, *cycle, (10_000, 20_000), (21_000, 30_000), (-5, -6), (-6, -5), (-6, -7)]
     got = descended(spark, edges, [0])
     assert got == below(edges, [0]) and max(d for _, _, d in got) == 13_000
+
+
+# --- scans ----------------------------------------------------------------------------------------
+
+
+def test_scan_in_blocks(spark, monkeypatch):
+    """Blocks of three lines: states and counts go on over empty blocks, gaps and null documents; no window sees more than a block."""
+    monkeypatch.setattr(W, "SCAN", 3)
+    rng = random.Random(3)
+    rows = [(d, i, rng.choice([None, None, None, i])) for d in ("a", "b", None) for i in range(40) if rng.random() < 0.8 and not 12 <= i <= 20]
+    df = spark.createDataFrame(rows, "doc string, line long, v long").repartition(4)
+    want, state = [], {}
+    for d, i, v in sorted(rows, key=lambda r: (str(r[0]), r[1])):
+        last, n = state.get(d, (None, 0))
+        state[d] = (v if v is not None else last, n + (v is not None))
+        want.append((d, i, *state[d]))
+    got = W.scanned(df, ["doc"], "line", {"last": F.col("v")}, {"n": F.col("v").isNotNull().cast("int")}).collect()
+    assert sorted(((r.doc, r.line, r["last"], r.n) for r in got), key=repr) == sorted(want, key=repr)
+    kept = W.carry_forward(df, ["doc"], "line", "v")
+    assert kept.columns == df.columns and sorted(((r.doc, r.line, r.v) for r in kept.collect()), key=repr) == sorted(((d, i, x) for d, i, x, _ in want), key=repr)
+
+
+def test_parsers_of_long_texts(spark, monkeypatch):
+    """Statutes, sections and outlines are the same in small blocks."""
+    law = "서문\n" + "\n".join(f"제{i}조(t{i})\n본문 {i}\n① 하나\n1. 둘\n가. 셋\n② 넷" for i in range(1, 30))
+    text = "\n".join(f"## h{i // 9}\n### s{i // 3}\n- b{i}\n* item {i}\nmore" for i in range(40))
+    laws = spark.createDataFrame([("갑법", law), ("을법", law[:200])], "title string, content string")
+    docs = spark.createDataFrame([(1, text), (2, text[:90])], "doc_id long, text string")
+    every = lambda: [sorted(map(repr, f.collect())) for f in (L.articles(laws), X.bullet_sections(docs), X.outline(docs))]
+    whole = every()
+    monkeypatch.setattr(W, "SCAN", 4)
+    assert every() == whole and all(whole)
