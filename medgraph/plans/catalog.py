@@ -57,9 +57,12 @@ def _(t):
     return S.keyed_dictionary(t.events.select(v.alias("v")), "v", "amount: double, kind: string").select("key", "amount", "kind")
 
 
-@query("s12_null_tokens", "SELECT event_type AS kind, count(*) AS n, count(CASE WHEN event_type IN ('', 'nan') THEN NULL ELSE event_type END) AS present FROM events GROUP BY 1")
+_TOKEN = "CASE user_id % 6 WHEN 0 THEN '' WHEN 1 THEN 'nan' WHEN 2 THEN ' None ' WHEN 3 THEN user_id || '.0' WHEN 4 THEN ' NaN' ELSE event_type END"
+
+
+@query("s12_null_tokens", f"SELECT event_id, CASE WHEN trim(x) IN ('', 'nan', 'None', 'NaN') THEN NULL WHEN regexp_full_match(trim(x), '[0-9]+\\.0') THEN replace(trim(x), '.0', '') ELSE trim(x) END AS token FROM (SELECT event_id, {_TOKEN} AS x FROM events)")
 def _(t):
-    return t.events.groupBy(F.col("event_type").alias("kind")).agg(F.count("*").alias("n"), F.count(T.null_tokens(F.col("event_type"))).alias("present"))
+    return t.events.select("event_id", T.null_tokens(F.expr(_TOKEN)).alias("token"))
 
 
 @query("s14_keep_first", "SELECT user_id, min(event_id) AS event_id FROM events GROUP BY user_id")
@@ -215,9 +218,9 @@ def _(t):
     return t.documents.select("doc_id", T.preview(F.col("text"), 40).alias("preview"))
 
 
-@query("n36_tab_fields", "SELECT o_orderkey, o_orderstatus AS first, '' AS third FROM orders")
+@query("n36_tab_fields", "SELECT o_orderkey, o_orderstatus AS first, CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_custkey AS VARCHAR) ELSE '' END AS third FROM orders")
 def _(t):
-    row = F.concat_ws("\t", "o_orderstatus", "o_orderpriority")
+    row = F.concat_ws("\t", "o_orderstatus", "o_orderpriority", F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey").cast("string")))
     return t.orders.select("o_orderkey", T.tab_field(row, 1).alias("first"), T.tab_field(row, 3).alias("third"))
 
 
@@ -739,9 +742,9 @@ def _(t):
     return s.select("o_custkey", F.round(C.complexity(F.col("tables"), F.col("pages"), F.col("nested"), F.col("rows")), 6).alias("score"))
 
 
-@query("c06_quality_grade", "SELECT doc_id, CASE WHEN length(text) / (1 + len(string_split(text, chr(10)))) < 50 OR 0.0 >= 0.5 THEN 'C' WHEN length(text) / (1 + len(string_split(text, chr(10)))) >= 300 THEN 'A' ELSE 'B' END AS grade FROM documents")
+@query("c06_quality_grade", "SELECT doc_id, CASE WHEN per < 50 OR low >= 0.5 THEN 'C' WHEN per >= 300 AND low < 0.1 THEN 'A' ELSE 'B' END AS grade FROM (SELECT doc_id, length(text) / (1 + len(string_split(text, chr(10)))) AS per, (doc_id % 7) / 10.0 AS low FROM documents)")
 def _(t):
-    return t.documents.select("doc_id", C.quality_grade(F.length("text"), F.size(F.split("text", "\n")) + 1, F.lit(0.0)).alias("grade"))
+    return t.documents.select("doc_id", C.quality_grade(F.length("text"), F.size(F.split("text", "\n")) + 1, (F.col("doc_id") % 7) / 10.0).alias("grade"))
 
 
 _GATES = {

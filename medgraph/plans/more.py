@@ -162,9 +162,13 @@ def _(t):
     return X.questions(_text(t, F.lit("Q1. "), F.col("p_name"), F.lit("\nA1. "), F.col("p_type"), F.lit("\nQ2. "), F.col("p_type"), F.lit("\nA2. "), F.col("p_brand"))).select("doc_id", "question", "answer")
 
 
-@query("x13_section_relations", "SELECT p_partkey AS doc_id, '비소세포폐암' AS cancer, p_brand AS drug, 2 AS therapy_line, 'add' AS action FROM part")
+@query("x13_section_relations", "SELECT p_partkey AS doc_id, CASE p_size % 3 WHEN 0 THEN '비소세포폐암' WHEN 1 THEN '폐암' END AS cancer, p_brand AS drug, CASE WHEN p_size % 5 > 0 THEN p_size % 5 END AS therapy_line, CASE p_size % 4 WHEN 0 THEN 'add' WHEN 1 THEN 'remove' WHEN 2 THEN 'change' END AS action FROM part WHERE p_size % 3 < 2")
 def _(t):
-    d = _text(t, F.lit("- 비소세포폐암에 ‘"), F.col("p_brand"), F.lit("’ 2차 추가"))
+    size = F.col("p_size")
+    cancer = F.when(size % 3 == 0, "비소세포폐암").when(size % 3 == 1, "폐암").otherwise("위암")
+    line = F.when(size % 5 > 0, F.concat((size % 5).cast("string"), F.lit("차 "))).otherwise("")
+    action = F.when(size % 4 == 0, "신설").when(size % 4 == 1, "삭제").when(size % 4 == 2, "변경").otherwise("유지")
+    d = _text(t, F.lit("- "), cancer, F.lit("에 ‘"), F.col("p_brand"), F.lit("’ "), line, action)
     return X.section_relations(X.bullet_sections(d), ["폐암", "비소세포폐암"]).select("doc_id", "cancer", F.explode("drugs").alias("drug"), "therapy_line", "action")
 
 
@@ -360,12 +364,17 @@ def _(t):
     return W.samples(t.orders, ["o_custkey"], [F.col("o_orderkey")], 2, ["o_orderkey"]).select("o_custkey", F.inline("samples"))
 
 
-@query("w09_stitch_tables", "SELECT l_orderkey AS doc, 1 AS first_page, count(*) AS last_page, count(*) + 1 AS rows FROM lineitem GROUP BY 1")
+_SEGMENTS = "SELECT l_orderkey AS doc, row_number() OVER o AS page, l_returnflag AS head, CASE WHEN l_quantity > 40 THEN 20 ELSE 0 END AS x0, l_linestatus = 'O' AS has FROM lineitem WINDOW o AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey)"
+_STITCHED = f"SELECT *, coalesce(abs(x0 - lag(x0) OVER w) <= 5 AND (NOT (has AND lag(has) OVER w) OR head = lag(head) OVER w), false) AS goes_on, has AND lag(has) OVER w AS both_have FROM ({_SEGMENTS}) WINDOW w AS (PARTITION BY doc ORDER BY page)"
+
+
+@query("w09_stitch_tables", f"SELECT doc, min(page) AS first_page, max(page) AS last_page, CAST(sum(CASE WHEN goes_on AND both_have THEN 1 ELSE 2 END) AS BIGINT) AS rows FROM (SELECT *, sum(CASE WHEN goes_on THEN 0 ELSE 1 END) OVER (PARTITION BY doc ORDER BY page) AS k FROM ({_STITCHED})) GROUP BY doc, k")
 def _(t):
     page = F.row_number().over(W.Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey"))
-    box = F.struct(F.lit(0.0).alias("x0"), F.lit(0.0).alias("top"), F.lit(100.0).alias("x1"), F.lit(9.0).alias("bottom"))
-    seg = t.lineitem.select(F.col("l_orderkey").alias("doc"), page.alias("page_num"), F.lit(0).alias("table_idx"), box.alias("bbox"), F.array(F.array(F.lit("h")), F.array(F.col("l_partkey").cast("string"))).alias("rows"), F.lit(True).alias("has_header"))
-    return W.stitch_tables(seg).select("doc", "first_page", F.col("last_page").cast("long").alias("last_page"), F.size("rows").cast("long").alias("rows"))
+    left = F.when(F.col("l_quantity") > 40, 20.0).otherwise(0.0)
+    box = F.struct(left.alias("x0"), F.lit(0.0).alias("top"), (left + 100.0).alias("x1"), F.lit(9.0).alias("bottom"))
+    seg = t.lineitem.select(F.col("l_orderkey").alias("doc"), page.alias("page_num"), F.lit(0).alias("table_idx"), box.alias("bbox"), F.array(F.array("l_returnflag"), F.array(F.col("l_partkey").cast("string"))).alias("rows"), (F.col("l_linestatus") == "O").alias("has_header"))
+    return W.stitch_tables(seg).select("doc", F.col("first_page").cast("long").alias("first_page"), F.col("last_page").cast("long").alias("last_page"), F.size("rows").cast("long").alias("rows"))
 
 
 @query("g01_global_order", "SELECT c_custkey, row_number() OVER (ORDER BY c_name DESC, c_custkey) AS place FROM customer")
@@ -397,10 +406,13 @@ def _(t):
     return C.whitelist_tokens(t.part, "p_name")
 
 
-@query("c08_has_header", "SELECT p_partkey, p_size > 25 AS header FROM part")
+@query("c08_has_header", "SELECT p_partkey, p_size % 4 > 0 AND (CAST(p_size > 20 AS INT) + CAST(p_partkey % 2 = 0 AS INT)) = 0 AS header FROM part")
 def _(t):
-    first = F.when(F.col("p_size") > 25, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("1"), F.lit("2")))
-    return t.part.select("p_partkey", C.has_header(F.array(first, F.array(F.lit("3"), F.lit("4")))).alias("header"))
+    """Tables of one to four rows, whose first row has a number by size, one by key, and two words."""
+    cell = lambda number, word: F.when(number, F.col("p_size").cast("string")).otherwise(F.col(word))
+    first = F.array(cell(F.col("p_size") > 20, "p_name"), cell(F.col("p_partkey") % 2 == 0, "p_brand"), F.col("p_type"))
+    rest = F.array_repeat(F.array("p_name", "p_brand", "p_type"), (F.col("p_size") % 4).cast("int"))
+    return t.part.select("p_partkey", C.has_header(F.concat(F.array(first), rest)).alias("header"))
 
 
 @query("c10_derive_keywords", "SELECT p_partkey, unnest(CASE WHEN contains(p_name, 'red') THEN ['r', 'rot'] ELSE string_split(p_name, ' ') END) AS word FROM part")
