@@ -117,8 +117,8 @@ def nearest_forks(one: DataFrame) -> DataFrame:
     return ptr.where("not open").select("node", "top", "away")
 
 
-def descend(e: DataFrame, roots: DataFrame) -> DataFrame:
-    """Q4: (root, node, depth) of every node below the roots (column id), at its least depth, however deep; a root that a cycle leads back to is below itself.  Null ends lead nowhere.
+def descend(e: DataFrame, roots: DataFrame, most: int | None = None) -> DataFrame:
+    """Q4: (root, node, depth) of every node below the roots (column id), at its least depth, however deep, or down to depth `most` if one is asked for; a root that a cycle leads back to is below itself.  Null ends lead nowhere.
 
     Nodes with one parent are found from their nearest fork, a root or a node with several parents, by
     pointer doubling (see nearest_forks).  Only forks are walked to, over edges as long as the
@@ -148,6 +148,7 @@ def descend(e: DataFrame, roots: DataFrame) -> DataFrame:
     forks = begun if found is None else begun.unionByName(found.select("root", F.col("node").alias("top"), "depth").where("root <> top"))
     below = forks.join(tops, "top").select("root", "node", (F.col("depth") + F.col("away")).alias("depth"))
     below = below if found is None else below.unionByName(found)
+    below = below if most is None else below.where(F.col("depth") <= most)
     return below.select("root", "node", F.col("depth").cast("int").alias("depth"))
 
 
