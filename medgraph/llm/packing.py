@@ -181,4 +181,5 @@ def pack_documents(df: DataFrame, **options) -> DataFrame:
 
 
 def op6_best_fit_packing(spark, sf_dir: str) -> DataFrame:
+    """Every document's pieces with their sequence and place.  Null text is empty: one piece, the end id alone; repeated rows are packed each."""
     return pack_documents(table(spark, sf_dir, "documents"))

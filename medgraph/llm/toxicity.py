@@ -253,4 +253,5 @@ def keep_ordinary(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def op5_toxicity_compression(spark, sf_dir: str) -> DataFrame:
+    """Every document scored by a model of the labelled rows outside the held-out fifth.  Null text scores as empty; repeated rows get equal scores."""
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
