@@ -43,10 +43,10 @@ def coded(rows, parts, entries, rounds):
     best = [[nearest(part(x, p), b) for p, b in enumerate(books)] for x in ints]
     error = [sum(d for d, _ in x) for x in best]
     name = hashlib.sha256(",".join(str(c) for b in books for e in b for c in e).encode()).hexdigest()
-    by_label = {}
+    by_label, digits = {}, 2 if len(first) <= 256 else 4
     for (_, _, label), e in zip(rows, error):
         by_label[label] = by_label.get(label, 0) + e
-    return sorted(((r[0], "".join(f"{k:02x}" for _, k in x), e, by_label[r[2]], name) for r, x, e in zip(rows, best, error)), key=repr)
+    return sorted(((r[0], "".join(f"{k:0{digits}x}" for _, k in x), e, by_label[r[2]], name) for r, x, e in zip(rows, best, error)), key=repr)
 
 
 VECTORS = "vec_id long, embedding array<double>, label int, code string, _id string, error int"
