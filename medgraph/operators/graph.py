@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .joins import prefix_expand
+from .joins import classed, expanded, prefix_expand
 from .ordering import checkpointed, first_by
 
 
@@ -38,9 +38,17 @@ def merge_edges(e: DataFrame, order: list[Column], key: tuple[str, ...] = ("src_
 
 
 def inferred_edges(a: DataFrame, b: DataFrame, types: DataFrame) -> DataFrame:
-    """K7: a.src -> b.src through a shared end, where one of the middle node's type names occurs in b's name.  a: (src_id, mid); b: (mid, dst_id, name); types: (mid, names)."""
-    j = a.join(types, "mid").join(b, "mid")
-    return j.where(F.exists("names", lambda t: F.contains(F.col("name"), t))).select("src_id", "dst_id").distinct()
+    """K7: a.src -> b.src through a shared end, where one of the middle node's type names occurs in b's name.  a: (src_id, mid); b: (mid, dst_id, name); types: (mid, names).
+
+    Sources with equal middles and targets reached from equal middles share a class (see joins.classed), so
+    edges are made distinct as pairs of classes.
+    """
+    reached = b.join(types, "mid").where(F.exists("names", lambda t: F.contains(F.col("name"), t)))
+    mids = lambda df, id_col, name: df.where("mid is not null").groupBy(id_col).agg(F.array_sort(F.collect_set("mid")).alias(name))
+    sources, of_a = classed(mids(a, "src_id", "_am"), "src_id", ["_am"], "_ca")
+    targets, of_b = classed(mids(reached, "dst_id", "_bm"), "dst_id", ["_bm"], "_cb")
+    pairs = of_a.select("_ca", F.explode("_am").alias("mid")).join(of_b.select("_cb", F.explode("_bm").alias("mid")), "mid").select("_ca", "_cb").distinct()
+    return expanded(sources, targets, pairs, "_ca", "_cb").select("src_id", "dst_id")
 
 
 def code_hierarchy(codes: DataFrame, ranges: DataFrame) -> DataFrame:
