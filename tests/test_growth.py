@@ -4,6 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from medgraph.operators import graph as G
 from medgraph.operators import joins as J
 
 
@@ -26,3 +27,52 @@ def test_ranges_are_few_blocks(spark):
     want = {n: max(i for i, (lo, hi) in enumerate(spans) if lo <= n <= hi) for n in numbers}
     assert {r.n: r.id for r in got.collect()} == want
     assert "RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+# --- pairs of classes -----------------------------------------------------------------------------
+
+
+def widest_window_or_group(df, name):
+    """Lines of the optimized plan that shuffle or sort both ids named."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    return [x for x in plan if ("Aggregate [" in x or "Window [" in x) and all(f"{n}#" in x for n in name)]
+
+
+def test_pairs_of_codes_by_class(spark):
+    rng = random.Random(4)
+    a = [(rng.choice([*range(12), None]), [rng.choice([0, 1, 2, 3, None]) for _ in range(rng.randint(0, 2))], None if rng.random() < 0.2 else [rng.randint(0, 3)]) for _ in range(30)]
+    b = [(i % 70, rng.choice([0, 1, 2, 3, None]), rng.choice([0, 1, None])) for i in range(90)] + [(None, 1, 1)]
+    tiers = [("one", "x", "u", 0.9), ("two", "y", "v", 0.9), ("low", "y", "u", 0.5)]
+    got = J.tiered_codes(spark.createDataFrame(a, "i int, x array<int>, y array<int>"), spark.createDataFrame(b, "j int, u int, v int"), tiers, "i", "j", [3])
+    want = {}
+    for i, x, y in a:
+        for j, u, v in b:
+            for tier, ours, theirs, c in (("one", x, u, 0.9), ("two", y, v, 0.9), ("low", y, u, 0.5)):
+                if theirs is not None and theirs != 3 and theirs in (ours or []):
+                    want[i, j] = min(want.get((i, j), (0, "")), (-c, tier))
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(repr((*k, t, -c)) for k, (c, t) in want.items())
+    assert not widest_window_or_group(got, ["i", "j"])
+
+
+def test_codes_merged_once_for_equal_types(spark):
+    df = [(i % 40, [i % 3, None] if i % 5 else [7]) for i in range(60)] + [(None, [1]), (99, None), (98, [])]
+    codes = [(0, ["b", "a"]), (1, ["c", None]), (1, ["b"]), (None, ["z"])]
+    got = J.merge_codes(spark.createDataFrame(df, "k int, t array<int>"), "t", spark.createDataFrame(codes, "u int, c array<string>"), "u", "c", "k")
+    by = {}
+    for k, t in df:
+        by.setdefault(k, set()).update(c for x in t or [] if x is not None for u, cs in codes if u == x for c in cs if c)
+    assert {r.k: list(r.codes) for r in got.collect()} == {k: sorted(v) for k, v in by.items()} and got.count() == len(by)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("collect_set(_c#" in x and "Aggregate [k#" in x for x in plan.splitlines())
+
+
+def test_inferred_edges_by_class(spark):
+    rng = random.Random(6)
+    a = [(rng.choice([*range(9), None]), rng.choice([0, 1, 2, 3, None])) for _ in range(25)]
+    b = [(rng.choice([0, 1, 2, 3, None]), i % 50, rng.choice(["ax", "by", None])) for i in range(120)] + [(1, None, "ab")]
+    types = [(0, ["a"]), (1, ["a", "b"]), (1, ["x"]), (2, []), (3, ["y", None])]
+    got = G.inferred_edges(spark.createDataFrame(a, "src_id int, mid int"), spark.createDataFrame(b, "mid int, dst_id int, name string"), spark.createDataFrame(types, "mid int, names array<string>"))
+    want = {(s, d) for s, m in a for n, d, name in b for k, ws in types if m is not None and m == n == k and name and any(w and w in name for w in ws)}
+    rows = [tuple(r) for r in got.collect()]
+    assert set(rows) == want and len(rows) == len(want)
+    assert not widest_window_or_group(got, ["src_id", "dst_id"])
