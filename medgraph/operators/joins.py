@@ -383,22 +383,33 @@ def base_name_match(left: DataFrame, right: DataFrame, name: str, target: str, s
     return j.withColumn("match_type", F.when(F.col("_t").isNotNull(), "exact").when(F.col("_bt").isNotNull(), "base")).withColumn("matched", F.coalesce("_t", "_bt")).drop("_t", "_b", "_bt")
 
 
+def _by_law(refs: DataFrame, articles: DataFrame) -> tuple[dict[str, str], list[str]]:
+    """How refs' columns are called where they meet articles, and the columns that tell a law: its id, and its name if both have it, as laws may share an id."""
+    named = "target_law_name" in refs.columns and "law_name" in articles.columns
+    return {"target_law_id": "law_id"} | ({"target_law_name": "_ln"} if named else {}), ["law_id", "_ln"] if named else ["law_id"]
+
+
 def refine_target(refs: DataFrame, articles: DataFrame) -> DataFrame:
     """The clause named by (law, article, clause) if it exists, else its article, else null."""
-    top = articles.where("depth = 0").select("law_id", F.col("article_number").alias("_a"), F.col("article_id").alias("_base"))
-    kid = articles.where("depth = 1").select("law_id", F.col("article_number").alias("_a"), F.col("clause_number").alias("_c"), F.col("article_id").alias("_child"))
-    on = refs.withColumnsRenamed({"target_law_id": "law_id", "target_article_number": "_a", "target_clause": "_c"})
-    j = on.join(top, ["law_id", "_a"], "left").join(kid, ["law_id", "_a", "_c"], "left")
-    return j.withColumn("target_article_id", F.coalesce("_child", "_base")).drop("_child", "_base").withColumnsRenamed({"law_id": "target_law_id", "_a": "target_article_number", "_c": "target_clause"})
+    names, law = _by_law(refs, articles)
+    known = articles.withColumn("_ln", F.col("law_name")) if "_ln" in law else articles
+    top = known.where("depth = 0").select(*law, F.col("article_number").alias("_a"), F.col("article_id").alias("_base"))
+    kid = known.where("depth = 1").select(*law, F.col("article_number").alias("_a"), F.col("clause_number").alias("_c"), F.col("article_id").alias("_child"))
+    names |= {"target_article_number": "_a", "target_clause": "_c"}
+    j = refs.withColumnsRenamed(names).join(top, [*law, "_a"], "left").join(kid, [*law, "_a", "_c"], "left")
+    return j.withColumn("target_article_id", F.coalesce("_child", "_base")).drop("_child", "_base").withColumnsRenamed({n: c for c, n in names.items()})
 
 
 def missing_targets(refs: DataFrame, articles: DataFrame) -> DataFrame:
     """References whose article, or whose clause, does not exist: reason article or clause."""
-    on = refs.withColumnsRenamed({"target_law_id": "law_id", "target_article_number": "article_number", "target_clause": "clause_number"})
-    a = on.join(articles.where("depth = 0").select("law_id", "article_number"), ["law_id", "article_number"], "left_anti").withColumn("reason", F.lit("article"))
-    has = on.join(articles.where("depth = 0").select("law_id", "article_number"), ["law_id", "article_number"], "left_semi").where("clause_number is not null")
-    c = has.join(articles.where("depth = 1").select("law_id", "article_number", "clause_number"), ["law_id", "article_number", "clause_number"], "left_anti").withColumn("reason", F.lit("clause"))
-    return a.unionByName(c)
+    names, law = _by_law(refs, articles)
+    known = articles.withColumn("_ln", F.col("law_name")) if "_ln" in law else articles
+    on = refs.withColumnsRenamed(names | {"target_article_number": "article_number", "target_clause": "clause_number"})
+    top = known.where("depth = 0").select(*law, "article_number")
+    a = on.join(top, [*law, "article_number"], "left_anti").withColumn("reason", F.lit("article"))
+    has = on.join(top, [*law, "article_number"], "left_semi").where("clause_number is not null")
+    c = has.join(known.where("depth = 1").select(*law, "article_number", "clause_number"), [*law, "article_number", "clause_number"], "left_anti").withColumn("reason", F.lit("clause"))
+    return a.unionByName(c).withColumnsRenamed({"_ln": "target_law_name"})
 
 
 def changed(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:

@@ -27,7 +27,8 @@ def articles(laws: DataFrame) -> DataFrame:
     """Laws (title, content) as rows of depth 0 to 3 with parent ids, by line states (see ordering.scanned: a long law is many tasks).
 
     The last article is kept even without a body.  Lines that begin nothing belong to the
-    article's text.  Lines before the first article are dropped.
+    article's text.  Lines before the first article are dropped.  Laws are told apart by their title:
+    an id is 32 bits of a digest, which laws may share.
     """
     ls = laws.select(F.col("title").alias("law_name"), T.law_id(F.col("title")).alias("law_id"), F.posexplode(F.split("content", "\n")).alias("line", "_c")).withColumn("content", F.trim("_c")).drop("_c")
     g = lambda p, i: F.nullif(F.regexp_extract("content", p, i), F.lit(""))
@@ -35,7 +36,7 @@ def articles(laws: DataFrame) -> DataFrame:
     number = F.concat_ws("_", T.zero_padded(g(ARTICLE, 1), 3), T.zero_padded(g(ARTICLE, 2), 2))
     ls = ls.withColumn("depth", depth)
     keys = {0: F.struct("line", number.alias("k"), g(ARTICLE, 3).alias("title")), 1: F.struct("line", T.circled(g(CLAUSE, 1)).alias("k")), 2: F.struct("line", g(SUBCLAUSE, 1).cast("int").alias("k")), 3: F.struct("line", g(ITEM, 1).alias("k"))}
-    ls = scanned(ls, ["law_id"], "line", {f"_s{d}": F.when(F.col("depth") == d, k) for d, k in keys.items()})
+    ls = scanned(ls, ["law_name"], "line", {f"_s{d}": F.when(F.col("depth") == d, k) for d, k in keys.items()})
     since = lambda d: F.greatest(*[F.coalesce(F.col(f"_s{i}.line"), F.lit(-1)) for i in range(d)], F.lit(-1))
     held = lambda d: F.when(F.col(f"_s{d}.line") > since(d), F.col(f"_s{d}.k"))
     ls = ls.where("_s0 is not null")
@@ -44,8 +45,8 @@ def articles(laws: DataFrame) -> DataFrame:
     own = F.col("depth").isNotNull()
     # the text of an article meets its first line only
     rest = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~own, F.struct("line", "content")))), lambda x: x["content"]), "\n")
-    bodies = ls.groupBy(F.col("law_id").alias("_law"), F.col("_s0.line").alias("_first")).agg(rest.alias("_rest"), F.max("line").alias("_end"))
-    ls = ls.where(own).join(bodies, (F.col("law_id") == F.col("_law")) & (F.when(F.col("depth") == 0, F.col("line")) == F.col("_first")), "left")
+    bodies = ls.groupBy(F.col("law_name").alias("_law"), F.col("_s0.line").alias("_first")).agg(rest.alias("_rest"), F.max("line").alias("_end"))
+    ls = ls.where(own).join(bodies, F.col("law_name").eqNullSafe(F.col("_law")) & (F.when(F.col("depth") == 0, F.col("line")) == F.col("_first")), "left")
     ident = lambda d: T.article_id(F.col("law_id"), F.col("article_number"), F.col("_clause") if d >= 1 else F.lit(None), F.col("_sub") if d >= 2 else F.lit(None), F.col("_item") if d >= 3 else F.lit(None))
     self_id = F.when(F.col("depth") == 0, ident(0)).when(F.col("depth") == 1, ident(1)).when(F.col("depth") == 2, ident(2)).otherwise(ident(3))
     up = F.when(F.col("depth") == 0, None).when((F.col("depth") == 1) | ((F.col("depth") == 2) & F.col("_clause").isNull()), ident(0)).when((F.col("depth") == 2) | F.col("_sub").isNull(), ident(1)).otherwise(ident(2))
@@ -73,7 +74,7 @@ def references(arts: DataFrame, id_col: str = "article_id", text_col: str = "ful
     """Cross-law 「law」 제n조, same-law 제n조 and relative 같은 법 제n references with spans and 50 characters around.
 
     A same-law match within ten characters after a closing 」 belongs to the cross-law one.  Same-law
-    and relative rows have the article's own law as target law (null without law_col); a relative one has
+    and relative rows have the article's own law as target law (null without law_col), which is every row's source_law_name; a relative one has
     its unit and number (same_unit, target_number) instead of an article, and always the type SAME_UNIT.
 
     What 같은 refers back to is carried along the text: antecedent_law_name is the law last named
@@ -81,7 +82,7 @@ def references(arts: DataFrame, id_col: str = "article_id", text_col: str = "ful
     what was last referred to (a reference to an article ends the clause).
     """
     cross, same, relative, law = (re.compile(p) for p in (LAW_NAME + r"\s*" + TARGET, TARGET, RELATIVE, LAW_NAME))
-    schema = "source_id string, kind string, reference_text string, target_law_name string, number string, branch string, target_clause int, target_subclause int, target_item string, span_start int, span_end int, context string, same_unit string, target_number long, antecedent_law_name string, _number string, _branch string, antecedent_clause int"
+    schema = "source_id string, source_law_name string, kind string, reference_text string, target_law_name string, number string, branch string, target_clause int, target_subclause int, target_item string, span_start int, span_end int, context string, same_unit string, target_number long, antecedent_law_name string, _number string, _branch string, antecedent_clause int"
     names = [x.split()[0] for x in schema.split(", ")]
     kinds = [{"string": pa.string(), "int": pa.int32(), "long": pa.int64()}[x.split()[1]] for x in schema.split(", ")]
     whole = lambda x: int(x) if x else None
@@ -105,7 +106,7 @@ def references(arts: DataFrame, id_col: str = "article_id", text_col: str = "ful
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [(i, *x) for i, t, own in zip(*(c.to_pylist() for c in b.columns), strict=True) for x in found(t or "", own)]
+            out = [(i, own, *x) for i, t, own in zip(*(c.to_pylist() for c in b.columns), strict=True) for x in found(t or "", own)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
@@ -130,25 +131,33 @@ def meant_targets(refs: DataFrame) -> DataFrame:
 
 def same_law_targets(refs: DataFrame, arts: DataFrame) -> DataFrame:
     """target_article_id of references by (target_law_id, target_article_number): the article, or below it the clause, subclause and item named, as an id that need not exist; null without such an article."""
-    top = arts.where("depth = 0").groupBy(F.col("law_id").alias("_law"), F.col("article_number").alias("_number")).agg(F.min("article_id").alias("_base"))
-    j = refs.join(top, (F.col("target_law_id") == F.col("_law")) & (F.col("target_article_number") == F.col("_number")), "left")
+    named = "law_name" in arts.columns and "target_law_name" in refs.columns  # laws may share an id
+    law, name = F.col("law_id").alias("_law"), F.col("law_name" if named else "law_id").alias("_name")
+    top = arts.where("depth = 0").groupBy(law, name, F.col("article_number").alias("_number")).agg(F.min("article_id").alias("_base"))
+    same = (F.col("target_law_id") == F.col("_law")) & (F.col("target_law_name" if named else "target_law_id") == F.col("_name"))
+    j = refs.join(top, same & (F.col("target_article_number") == F.col("_number")), "left")
     part = lambda p, c: F.when(F.col("target_clause").isNotNull(), F.concat(F.lit(p), F.col(c).cast("string")))
     named = F.concat_ws("_", "_base", part("C", "target_clause"), part("S", "target_subclause"), part("I", "target_item"))
-    return j.withColumn("target_article_id", F.when(F.col("_base").isNotNull(), named)).drop("_law", "_number", "_base")
+    return j.withColumn("target_article_id", F.when(F.col("_base").isNotNull(), named)).drop("_law", "_name", "_number", "_base")
 
 
 def tree_edges(arts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """K9: HAS_ARTICLE (law, article) and HAS_CHILD (parent, child)."""
+    """K9: HAS_ARTICLE (law, article) and HAS_CHILD (parent, child), with the law's name, as laws may share an id."""
     return (
-        arts.where("depth = 0").select(F.col("law_id").alias("src_id"), F.col("article_id").alias("dst_id")),
-        arts.where("parent_article_id is not null").select(F.col("parent_article_id").alias("src_id"), F.col("article_id").alias("dst_id")),
+        arts.where("depth = 0").select(F.col("law_id").alias("src_id"), F.col("article_id").alias("dst_id"), "law_name"),
+        arts.where("parent_article_id is not null").select(F.col("parent_article_id").alias("src_id"), F.col("article_id").alias("dst_id"), "law_name"),
     )
 
 
 def reference_edges(refs: DataFrame, arts: DataFrame | None = None) -> DataFrame:
-    """Resolved references, one edge per (source, target, type, text); with arts, only to articles that exist."""
-    e = refs.where("target_article_id is not null").select(F.col("source_id").alias("src_id"), F.col("target_article_id").alias("dst_id"), "reference_type", "reference_text", F.when(F.col("is_cross_law"), "CROSS_LAW_REFERS_TO").otherwise("REFERS_TO").alias("edge_type")).distinct()
-    return e if arts is None else e.join(arts.select(F.col("article_id").alias("dst_id")).distinct(), "dst_id", "left_semi")
+    """Resolved references, one edge per (source, target, type, text); with arts, only to articles that exist.  Law names that refs have tell edges of laws apart that share an id."""
+    laws = [c for c in ("source_law_name", "target_law_name") if c in refs.columns]
+    e = refs.where("target_article_id is not null").select(F.col("source_id").alias("src_id"), F.col("target_article_id").alias("dst_id"), "reference_type", "reference_text", F.when(F.col("is_cross_law"), "CROSS_LAW_REFERS_TO").otherwise("REFERS_TO").alias("edge_type"), *laws).distinct()
+    if arts is None:
+        return e
+    name = [F.col("law_name").alias("target_law_name")] if "target_law_name" in laws and "law_name" in arts.columns else []
+    known = arts.select(F.col("article_id").alias("dst_id"), *name).distinct()
+    return e.join(known, known.columns, "left_semi")
 
 
 def derived_from_edges(laws: DataFrame, title: str = "title") -> DataFrame:

@@ -447,11 +447,9 @@ def _(t):
 
 @query("k09_tree_edges", f"SELECT '법' || doc_id AS law_name, count(*) AS children, count(*) AS articles FROM ({_LINES}) GROUP BY doc_id")
 def _(t):
-    arts = L.articles(_laws(t))
-    a, c = L.tree_edges(arts)
-    names = arts.select("law_name", "article_id")
-    kids = c.join(names, c.dst_id == names.article_id).groupBy("law_name").agg(F.count("*").alias("children"))
-    tops = a.join(names, a.dst_id == names.article_id).groupBy("law_name").agg(F.count("*").alias("articles"))
+    a, c = L.tree_edges(L.articles(_laws(t)))
+    kids = c.groupBy("law_name").agg(F.count("*").alias("children"))
+    tops = a.groupBy("law_name").agg(F.count("*").alias("articles"))
     return kids.join(tops, "law_name").select("law_name", "children", "articles")
 
 

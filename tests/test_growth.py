@@ -1,11 +1,17 @@
 """Operators whose work or memory grew faster than their input, and keys that collide, on small inputs made for it."""
 
+import hashlib
 import random
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from medgraph.operators import graph as G
 from medgraph.operators import joins as J
+from medgraph.plans import catalog, more  # noqa: F401  (more adds to the catalogue)
+
+from .test_queries import plain
 
 
 def test_ranges_are_few_blocks(spark):
@@ -76,3 +82,32 @@ def test_inferred_edges_by_class(spark):
     rows = [tuple(r) for r in got.collect()]
     assert set(rows) == want and len(rows) == len(want)
     assert not widest_window_or_group(got, ["src_id", "dst_id"])
+
+
+# --- laws that share an id ------------------------------------------------------------------------
+
+#: Documents whose laws' 32-bit ids are equal.
+TWINS = (13371, 32952)
+LAW_QUERIES = ["x14_articles", "x15_references", "x15_meant_targets", "k09_tree_edges", "k11_reference_edges", "q08_reference_report", "q08_top_targets"]
+
+
+@pytest.mark.parametrize("name", LAW_QUERIES)
+def test_laws_that_share_an_id(spark, tmp_path, name):
+    md5 = {i: hashlib.md5(f"법{i}".encode()).hexdigest()[:8] for i in TWINS}
+    assert len(set(md5.values())) == 1
+    docs = [(i + k, "\n".join(f"text {(i + k) % 7} {n}" for n in range(3 + 3 * k))) for i in TWINS for k in range(3)] + [(1, "one"), (2, "")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    found = con.execute(catalog.ORACLES[name])
+    cols = [d[0] for d in found.description]
+    want = sorted(map(repr, (tuple(map(plain, r)) for r in found.fetchall())))
+    got = sorted(map(repr, (tuple(plain(r[c]) for c in cols) for r in catalog.QUERIES[name](spark, str(tmp_path)).collect())))
+    assert got == want
+
+
+def test_missing_targets_of_laws_that_share_an_id(spark):
+    arts = spark.createDataFrame([("L", "a", "001", 0, None, "x"), ("L", "b", "002", 0, None, "y"), ("L", "b", "002", 1, 1, "z")], "law_id string, law_name string, article_number string, depth int, clause_number int, article_id string")
+    refs = spark.createDataFrame([(1, "L", "a", "002", 1), (2, "L", "b", "002", 1), (3, "L", "b", "001", None)], "i int, target_law_id string, target_law_name string, target_article_number string, target_clause int")
+    assert {r.i: (r.reason, r.target_law_name) for r in J.missing_targets(refs, arts).collect()} == {1: ("article", "a"), 3: ("article", "b")}
+    assert {r.i: r.target_article_id for r in J.refine_target(refs, arts).collect()} == {1: None, 2: "z", 3: None}
