@@ -8,8 +8,11 @@ rarest gram of a contained word, which is then looked for in the text.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -151,8 +154,10 @@ def tiered_codes(a: DataFrame, b: DataFrame, tiers: list[tuple[str, str, str, fl
     return expanded(ids_a, ids_b, best, "_ca", "_cb").select(a_id, b_id, "match_type", "confidence")
 
 
-#: Words that meet every text in a loop at most; more are found by an index of grams.
+#: Words that are looked for in every text at most; more are found by an index of grams.
 FEW_WORDS = 200
+#: As many are, and so many characters of them, if none is shorter than FIRST: then few places begin like one.
+MANY_WORDS, WORD_CHARS, FIRST = 20_000, 2_000_000, 4
 #: Characters of a gram; a shorter word is its own gram.
 GRAM = 3
 #: A gram is hot if it has more than one of so many gram rows; its rows are dealt to SALTS keys.
@@ -178,10 +183,85 @@ def grams(c: Column | str, lengths: list[int]) -> Column:
     return of_each(c)
 
 
+#: Bytes of text that are searched at once.
+SLICE = 1 << 18
+
+
+def bounded_slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of whole texts of about SLICE bytes; a longer text is its own."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
+def word_finder(words: list[str]) -> Callable[[pa.Array], pa.Array]:
+    """A function from texts to the given words (distinct, not empty) that each holds, in order.
+
+    UTF-8 bytes of all texts are searched at once: places whose first bytes begin some word, then 8 bytes
+    at a time, as numbers, until a word differs or ends.
+    """
+    raw = [w.encode() for w in words]
+    order = sorted(range(len(raw)), key=lambda i: int.from_bytes(raw[i][:8], "little"))
+    sizes = np.array([len(raw[i]) for i in order], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    letters = np.frombuffer(b"".join(raw[i] for i in order) + bytes(8), np.uint8)
+    masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    octet = np.arange(8)
+    load = lambda b, at: b[at[:, None] + octet].view("<u8")[:, 0]
+    first = min(8, int(sizes.min())) if raw else 8
+    heads = load(letters, starts) & masks[np.minimum(sizes, 8)] if raw else np.zeros(0, np.uint64)
+    mix = lambda codes: (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+    begins = np.zeros(1 << 20, bool)
+    begins[mix(heads & masks[first])] = True
+    # the words of one length, eight bytes or more being one, sorted by their heads
+    kinds = [(n, np.flatnonzero(np.minimum(sizes, 8) == n)) for n in np.unique(np.minimum(sizes, 8)).tolist()]
+
+    def find(texts: pa.Array) -> pa.Array:
+        lengths = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        data = b"".join(t for t in texts.cast(pa.binary()).to_pylist() if t) + bytes(8)
+        ends, b = np.cumsum(lengths), np.frombuffer(data, np.uint8)
+        n = len(b) - 8
+        codes = np.zeros(n, np.uint64)
+        for i in range(first):
+            codes |= b[i : n + i].astype(np.uint64) << np.uint64(8 * i)
+        place = np.flatnonzero(begins[mix(codes)])
+        here = load(b, place)
+        at, word = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for size, own in kinds:
+            head, seen = heads[own], here & masks[size]
+            lo, hi = np.searchsorted(head, seen, "left"), np.searchsorted(head, seen, "right")
+            many = hi - lo
+            at.append(np.repeat(place, many))
+            word.append(own[np.repeat(lo - (np.cumsum(many) - many), many) + np.arange(many.sum())])
+        at, word = np.concatenate(at), np.concatenate(word)
+        text = np.searchsorted(ends, at, "right")
+        fits = at + sizes[word] <= ends[text]
+        at, word, text = at[fits], word[fits], text[fits]
+        sure, done = [], 8
+        while len(at):
+            more = sizes[word] > done
+            sure.append(text[~more] * len(raw) + word[~more])
+            at, word, text = at[more], word[more], text[more]
+            mask = masks[np.minimum(sizes[word] - done, 8)]
+            same = (load(b, at + done) & mask) == (load(letters, starts[word] + done) & mask)
+            at, word, text, done = at[same], word[same], text[same], done + 8
+        pairs = np.unique(np.concatenate([*sure, np.zeros(0, np.int64)]))
+        owner, ids = pairs // max(len(raw), 1), np.array(order, np.int64)[pairs % max(len(raw), 1)]
+        back = np.lexsort((ids, owner))
+        bounds = np.searchsorted(owner, np.arange(len(texts) + 1))
+        return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(words, pa.string()).take(pa.array(ids[back])))
+
+    return find
+
+
 def words_in(text: Column, words: Column | list[str]) -> Column:
     """Array: the words that occur in a text; in Arrow, as contains() reads a long text anew for every word.
 
-    A word without a place for one of its grams leaves before the text is searched for it.
+    A list is looked for at once (see word_finder).  Of a column's words, those without a place for one of
+    their grams leave before the text is searched for them.
     """
 
     def held(text: str, words: list[str], given: np.ndarray, word: np.ndarray) -> list[str]:
@@ -206,8 +286,9 @@ def words_in(text: Column, words: Column | list[str]) -> Column:
 
     @F.arrow_udf("array<string>")
     def of_all(texts: pa.Array) -> pa.Array:
-        given = grams_of(words)
-        return pa.array([held(t, words, *given) for t in texts.to_pylist()], pa.list_(pa.string()))
+        find = word_finder(words)
+        parts = [find(p) for p in bounded_slices(texts)]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.string()))
 
     return of_all(text) if isinstance(words, list) else of_each(text, words)
 
@@ -215,7 +296,7 @@ def words_in(text: Column, words: Column | list[str]) -> Column:
 def containments(texts: DataFrame, key: list[str], text: str, words: DataFrame, word: str, also: dict[str, Column] | None = None) -> DataFrame:
     """(key, _word, also): which distinct words occur in which texts; also: columns over _text and _word, taken where a word is found.
 
-    Up to FEW_WORDS words are looked for in every text.  More are found by an index: the texts that
+    Up to FEW_WORDS words, or MANY_WORDS if none is short, are looked for in every text.  More are found by an index: the texts that
     hold each gram are counted, a word is filed under its rarest gram, and only (key,
     hash of the text, gram) meets the words; grams of very many texts are salted.  A text is fetched once,
     with all its candidates, and searched.  Equal rows give one result; rows that share a key but not
@@ -224,8 +305,10 @@ def containments(texts: DataFrame, key: list[str], text: str, words: DataFrame,
     w = words.select(F.col(word).alias("_word")).where(F.col("_word") != "").distinct()
     t = texts.select(*key, F.col(text).alias("_text")).where(F.col("_text").isNotNull())
     found = [c.alias(n) for n, c in (also or {}).items()]
-    few = [r["_word"] for r in w.limit(FEW_WORDS + 1).collect()]
-    if len(few) <= FEW_WORDS:
+    size = w.agg(F.count("*").alias("n"), F.sum(F.length("_word")).alias("chars"), F.min(F.length("_word")).alias("least")).first()
+    most = MANY_WORDS if (size["least"] or 0) >= FIRST else FEW_WORDS
+    if size["n"] <= most and (size["chars"] or 0) <= WORD_CHARS:
+        few = [r["_word"] for r in w.collect()]
         return t.select(*key, "_text", F.explode(words_in(F.col("_text"), sorted(few))).alias("_word")).select(*key, "_word", *found).distinct()
     t = t.withColumn("_t", F.xxhash64("_text"))
     lengths = sorted(r["n"] for r in w.select(F.least(F.length("_word"), F.lit(GRAM)).alias("n")).distinct().collect())
@@ -268,9 +351,9 @@ def name_match(small: DataFrame, big: DataFrame, small_name: str, big_name: str)
 def keyword_scores(keywords: DataFrame, master: DataFrame, owner: str, word: str, text: str, code: str, k: int) -> DataFrame:
     """Master rows by how many of an owner's keywords they hold, case ignored: score, ratio; the best k, ties by code."""
     total = keywords.groupBy(owner).agg(F.countDistinct(word).alias("_n"))
-    low = keywords.select(owner, F.col(word).alias("_w"), F.lower(word).alias("_word"))
+    low = keywords.select(owner, F.col(word).alias("_w"), F.lower(word).alias("_word")).where("_w is not null").distinct()
     held = containments(master.withColumn("_low", F.lower(text)), [code], "_low", low, "_word")
-    hits = held.join(low, "_word").groupBy(owner, code).agg(F.countDistinct("_w").alias("score"))
+    hits = held.join(low, "_word").groupBy(owner, code).agg(F.count("*").alias("score"))
     scored = hits.join(total, owner).withColumn("ratio", F.col("score") / F.col("_n")).drop("_n")
     w = Window.partitionBy(owner).orderBy(F.desc("score"), F.desc("ratio"), code)
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -111,3 +112,29 @@ def test_missing_targets_of_laws_that_share_an_id(spark):
     refs = spark.createDataFrame([(1, "L", "a", "002", 1), (2, "L", "b", "002", 1), (3, "L", "b", "001", None)], "i int, target_law_id string, target_law_name string, target_article_number string, target_clause int")
     assert {r.i: (r.reason, r.target_law_name) for r in J.missing_targets(refs, arts).collect()} == {1: ("article", "a"), 3: ("article", "b")}
     assert {r.i: r.target_article_id for r in J.refine_target(refs, arts).collect()} == {1: None, 2: "z", 3: None}
+
+
+# --- words in texts -------------------------------------------------------------------------------
+
+
+def test_finder_of_many_words():
+    """Words of all byte lengths, alike in their first 8 or 16 bytes, ends of texts, nulls, NUL bytes and slices, against `in`."""
+    rng = random.Random(8)
+    made = lambda n: "".join(rng.choice("abé가\0😀") for _ in range(n))
+    texts = [rng.choice([None, "", made(rng.randint(1, 60)), made(3) + "abababababababab" * 3 + made(2)]) for _ in range(300)]
+    words = sorted({made(rng.randint(1, 9)) for _ in range(400)} | {"ab" * n for n in range(1, 24)} | {"ab" * 8 + "x", "\0", "x" * 40})
+    want = [[w for w in words if w in (t or "")] for t in texts]
+    for some in (words, [w for w in words if len(w) >= J.FIRST], []):
+        assert J.word_finder(some)(pa.array(texts, pa.string())).to_pylist() == [[w for w in ws if w in some] for ws in want]
+    assert J.word_finder(words)(pa.array([None, ""], pa.string())).to_pylist() == [[], []]
+    a = pa.array([*texts, "y" * (J.SLICE + 5), "z"], pa.string()).slice(7)
+    parts = list(J.bounded_slices(a))
+    assert pa.concat_arrays(parts).equals(pa.concat_arrays([a])) and len(parts) > 1
+
+
+def test_many_long_words_need_no_index(spark):
+    words = [f"word{i}" for i in range(600)]
+    texts = [(i, f"a word{i} and xword{i * 7 % 900}y") for i in range(40)] + [(1, None), (0, "word599")]
+    got = J.containments(spark.createDataFrame(texts, "k int, t string"), ["k"], "t", spark.createDataFrame([(w,) for w in words], "w string"), "w")
+    assert sorted(map(tuple, got.collect())) == sorted({(k, w) for k, t in texts if t for w in words if w in t})
+    assert "_g#" not in got._jdf.queryExecution().optimizedPlan().toString()
