@@ -8,9 +8,13 @@ two are Arrow UDFs to be applied to distinct strings.  Patterns with word or spa
 from __future__ import annotations
 
 import unicodedata
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType
@@ -37,6 +41,20 @@ RECOMBINANT = ("-mab", "filgrastim", "interferon", "interleukin")
 CIRCLED = "①②③④⑤⑥⑦⑧⑨⑩⑪⑫⑬⑭⑮"
 
 
+#: Bytes of text that a worker turns to Python objects or numbers at once.
+SLICE = 1 << 18
+
+
+def bounded_slices(texts: pa.Array) -> Iterator[pa.Array]:
+    """Slices of whole texts of about SLICE bytes; a longer text is its own."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        end = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + SLICE, "right")))
+        yield texts.slice(at, end - at)
+        at = end
+
+
 def collapse(c: Column) -> Column:
     """White space runs as one space, ends trimmed."""
     return F.trim(F.regexp_replace(c, r"(?U)\s+", " "))
@@ -46,9 +64,10 @@ def fold_punctuation(c: Column) -> Column:
     return F.translate(c, FOLD_FROM, FOLD_TO)
 
 
-@F.pandas_udf(StringType())
-def nfkc(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else unicodedata.normalize("NFKC", x))
+@F.arrow_udf(StringType())
+def nfkc(s: pa.Array) -> pa.Array:
+    fold = lambda x: None if x is None else unicodedata.normalize("NFKC", x)
+    return pa.concat_arrays([pa.array([fold(x) for x in p.to_pylist()], pa.string()) for p in bounded_slices(s)] or [pa.array([], pa.string())])
 
 
 def normalize_text(c: Column) -> Column:

@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions import text as T
 from .joins import containments
 from .ordering import scanned
 
@@ -209,20 +210,29 @@ class _Page(HTMLParser):
             self.sections[-1][2] += data
 
 
+def _by_size(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """Batches of ids and texts in bounded slices (see text.bounded_slices), so that a worker holds the parts of one slice only."""
+    for b in batches:
+        at = 0
+        for texts in T.bounded_slices(b.column(1)):
+            yield b.column(0).slice(at, len(texts)), texts
+            at += len(texts)
+
+
 def page_parts(df: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
     """page_id, sections array<struct<level,heading,text>>, tables array<array<array<string>>>, images array<struct<src,alt>>."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sec, img = pa.list_(pa.struct([("level", pa.int32()), ("heading", pa.string()), ("text", pa.string())])), pa.list_(pa.struct([("src", pa.string()), ("alt", pa.string())]))
-        for b in batches:
+        for ids, pages in _by_size(batches):
             s, t, g = [], [], []
-            for h in b.column(1).to_pylist():
+            for h in pages.to_pylist():
                 p = _Page()
                 p.feed(h or "")
                 s.append([{"level": x[0], "heading": " ".join(x[1].split()), "text": " ".join(x[2].split())} for x in p.sections])
                 t.append([[r for r in x if r] for x in p.tables])
                 g.append([{"src": x[0], "alt": x[1]} for x in p.images])
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(s, sec), pa.array(t, pa.list_(pa.list_(pa.list_(pa.string())))), pa.array(g, img)], [id_col, "sections", "tables", "images"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(s, sec), pa.array(t, pa.list_(pa.list_(pa.list_(pa.string())))), pa.array(g, img)], [id_col, "sections", "tables", "images"])
 
     return df.select(F.col(id_col).cast("long"), html_col).mapInArrow(run, f"{id_col} long, sections array<struct<level:int,heading:string,text:string>>, tables array<array<array<string>>>, images array<struct<src:string,alt:string>>")
 

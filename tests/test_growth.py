@@ -8,6 +8,8 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from medgraph.functions import text as T
+from medgraph.operators import extract as X
 from medgraph.operators import graph as G
 from medgraph.operators import joins as J
 from medgraph.plans import catalog, more  # noqa: F401  (more adds to the catalogue)
@@ -138,3 +140,22 @@ def test_many_long_words_need_no_index(spark):
     got = J.containments(spark.createDataFrame(texts, "k int, t string"), ["k"], "t", spark.createDataFrame([(w,) for w in words], "w string"), "w")
     assert sorted(map(tuple, got.collect())) == sorted({(k, w) for k, t in texts if t for w in words if w in t})
     assert "_g#" not in got._jdf.queryExecution().optimizedPlan().toString()
+
+
+# --- memory of workers ----------------------------------------------------------------------------
+
+
+def test_pages_leave_in_bounded_slices():
+    """A batch of pages is not turned to Python objects as a whole."""
+    pages = ["<p>" + "x" * 1000] * 600 + [None, "y" * (T.SLICE + 1), ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(pages)), pa.int64()), pa.array(pages, pa.string())], ["i", "h"])
+    parts = list(X._by_size(iter([batch, batch])))
+    assert [i for ids, _ in parts for i in ids.to_pylist()] == [*range(len(pages))] * 2
+    assert [h for _, hs in parts for h in hs.to_pylist()] == pages * 2
+    assert max(sum(len(h or "") for h in hs.to_pylist()) for _, hs in parts if len(hs) > 1) <= T.SLICE
+
+
+def test_nfkc_of_slices(spark):
+    texts = ["ﬁ①", None, "", "a" * (T.SLICE + 1), "Å" * 5]
+    got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1).select("i", T.nfkc("t").alias("n")).collect()
+    assert [r.n for r in sorted(got)] == ["fi1", None, "", "a" * (T.SLICE + 1), "Å" * 5]
