@@ -5,9 +5,11 @@ import random
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
+import tokenizers
 from pyspark.sql import functions as F
 
-from medgraph.llm import ann, fingerprint, licenses, lines, suffixes
+from medgraph.llm import ann, bpe, fingerprint, licenses, lines, suffixes
 
 
 def own_chunks(rows):
@@ -116,3 +118,29 @@ def test_licence_scan_with_clashing_columns(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, path string, license string, _dir string, cosine double")
     got = {r._ord: (r.license, r.origin) for r in licenses.scan(df, F.col("path")).collect()}
     assert got == {1: ("MIT", "own"), 2: ("MIT", "inherited"), 3: (None, None)}
+
+
+def test_pieces_of_new_words_are_remembered(monkeypatch):
+    """Ids of odd words against the tokenizers library, with memories that overflow; a piece that a worker knows is not encoded again."""
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    lib = tokenizers.Tokenizer.from_file(path)
+    rng = random.Random(3)
+    made = lambda: "".join(rng.choice("aaabe'sS.,!1²é가\0ΣİŁ😀́") for _ in range(rng.randint(1, 9))) + rng.choice(["", "", "<|endoftext|>", "<|"])
+    words = [made() for _ in range(3000)] + ["", "a" * 40, "Σ", "<|endoftext|>"]
+    model = bpe.PairIndexBPE(path)
+    took: list[str] = []
+    index = model.encode_words
+    monkeypatch.setattr(model, "encode_words", lambda ws: took.extend(ws) or index(ws))
+    monkeypatch.setattr(bpe, "PairIndexBPE", lambda _: model)
+    monkeypatch.setattr(bpe, "_loaded", {})
+    _, memory = bpe.loaded(path, "ids", lambda model, ids: ids, lambda parts: [i for x in parts for i in x])
+    for some in (words, words[:50], ["ab!", "ab?", "x"], ["?ab", "!x", "ab"]):
+        took.clear()
+        known = memory.learn([some])
+        assert [known[w] for w in some] == [lib.encode(w, add_special_tokens=False).ids for w in some]
+    assert not {"ab", "?", "!", "x"} & set(took)
+    memory.most = 100
+    for at in range(0, len(words), 60):
+        some = words[at : at + 60]
+        known = memory.learn([some])
+        assert [known[w] for w in some] == [lib.encode(w, add_special_tokens=False).ids for w in some]
