@@ -12,33 +12,38 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from medgraph.llm import jaccard, lines, packing, substrings, toxicity
-from medgraph.llm.common import materialize, table
+from medgraph.llm.common import materialize, small_batches, table
 
 ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents scored 0.5 or more go."""
+    small_batches(spark)
     return toxicity.keep_ordinary(docs, table(spark, sf_dir, "labels"))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: repeated multi-line chunks go, but for the first."""
+    small_batches(spark)
     return lines.strip_repeats(docs)
 
 
 def join_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: one document of each component stays."""
+    small_batches(spark)
     return jaccard.keep_one(docs)
 
 
 def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: words of windows that an earlier document holds go."""
+    small_batches(spark)
     return substrings.strip_repeats(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: what is left, packed."""
+    small_batches(spark)
     return packing.pack_documents(docs)
 
 

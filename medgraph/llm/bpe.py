@@ -55,11 +55,60 @@ def byte_letters() -> list[str]:
     return [letters[b] for b in range(256)]
 
 
-class PairIndexBPE:
-    """A vocabulary and its merges; encode_words() works on many words at once."""
+class Splitter:
+    """Words of texts and pieces of words; all that it keeps of the vocabulary file are the special tokens."""
 
     def __init__(self, path: str):
-        spec = json.load(open(path, encoding="utf-8"))
+        self.read(json.load(open(path, encoding="utf-8")))
+
+    def read(self, spec: dict) -> None:
+        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
+
+    def words(self, text: str) -> list[str]:
+        """The white-space separated words of a text: no piece or special token spans two of them."""
+        return text.split() if not ODD_SPACE(text) else SPACES.split(text)
+
+    def pieces(self, word: str) -> list[str]:
+        """Special tokens and normalised pieces of a word, in order."""
+        if self.specials is None or "<|" not in word or not self.specials.search(word):
+            return PIECES.findall(self.normal(word))
+        out, at = [], 0
+        for m in self.specials.finditer(word):
+            out += PIECES.findall(self.normal(word[at : m.start()]))
+            out.append(m[0])
+            at = m.end()
+        return out + PIECES.findall(self.normal(word[at:]))
+
+    @staticmethod
+    def normal(text: str) -> str:
+        if text.isascii():
+            return text.lower()
+        text = unicodedata.normalize("NFC", text)
+        return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
+
+    def split_words(self, words: list[str]) -> list[list[str]]:
+        """Special tokens and normalised pieces of each word, all at once; a word with a special token or a capital sigma on its own."""
+        alone = {w for w in words if "<|" in w or "Σ" in w}
+        out: list[list[str]] = []
+        some: list[str] = []
+        for p in PIECES_AND_ENDS.findall(self.normal("\n".join([*(w for w in words if w not in alone), ""]))):
+            if p == "\n":
+                out.append(some)
+                some = []
+            else:
+                some.append(p)
+        if not alone:
+            return out
+        rest = iter(out)
+        return [self.pieces(w) if w in alone else next(rest) for w in words]
+
+
+class PairIndexBPE(Splitter):
+    """A vocabulary and its merges; encode_words() works on many words at once."""
+
+    def read(self, spec: dict) -> None:
+        super().read(spec)
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.tokens = {i: t for t, i in self.vocab.items()}
@@ -68,9 +117,7 @@ class PairIndexBPE:
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
             self.merges.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens.update({i: t for t, i in self.special.items()})
-        self.specials = regex.compile("|".join(map(regex.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
         #: The symbol of each byte inside a word, then at its end (-2: none), the merges by both symbols in one number, and the ranks by both bytes.
         letters = byte_letters()
         self.symbols = np.array([self.vocab.get(c + e, -2) for e in ("", self.suffix) for c in letters], np.int64)
@@ -140,44 +187,6 @@ class PairIndexBPE:
         ends, flat = np.flatnonzero(row == -1).tolist(), row.tolist()
         return [flat[i:j] for i, j in zip([0, *(e + 1 for e in ends[:-1])], ends, strict=True)]
 
-    def words(self, text: str) -> list[str]:
-        """The white-space separated words of a text: no piece or special token spans two of them."""
-        return text.split() if not ODD_SPACE(text) else SPACES.split(text)
-
-    def pieces(self, word: str) -> list[str]:
-        """Special tokens and normalised pieces of a word, in order."""
-        if self.specials is None or "<|" not in word or not self.specials.search(word):
-            return PIECES.findall(self.normal(word))
-        out, at = [], 0
-        for m in self.specials.finditer(word):
-            out += PIECES.findall(self.normal(word[at : m.start()]))
-            out.append(m[0])
-            at = m.end()
-        return out + PIECES.findall(self.normal(word[at:]))
-
-    @staticmethod
-    def normal(text: str) -> str:
-        if text.isascii():
-            return text.lower()
-        text = unicodedata.normalize("NFC", text)
-        return text.lower() if "Σ" not in text else "".join(c.lower() for c in text)
-
-    def split_words(self, words: list[str]) -> list[list[str]]:
-        """Special tokens and normalised pieces of each word, all at once; a word with a special token or a capital sigma on its own."""
-        alone = {w for w in words if "<|" in w or "Σ" in w}
-        out: list[list[str]] = []
-        some: list[str] = []
-        for p in PIECES_AND_ENDS.findall(self.normal("\n".join([*(w for w in words if w not in alone), ""]))):
-            if p == "\n":
-                out.append(some)
-                some = []
-            else:
-                some.append(p)
-        if not alone:
-            return out
-        rest = iter(out)
-        return [self.pieces(w) if w in alone else next(rest) for w in words]
-
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         """Ids of special tokens and of normalised pieces, these by one index."""
         plain = iter(self.encode_words([p for p in pieces if p not in self.special]))

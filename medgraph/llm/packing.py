@@ -21,11 +21,10 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import PATTERN, VOCABULARY, PairIndexBPE, Remembered, byte_letters, text_slices
+from .bpe import PIECES_AND_ENDS, VOCABULARY, Remembered, Splitter, byte_letters, text_slices
 from .common import doc_id_of, keyed, materialize, released, table
 
 SEQUENCE_TOKENS = 2048
@@ -35,14 +34,12 @@ GROUP_TOKENS = 4 << 20
 #: Pieces in each of the two generations that a task remembers, and words; characters taken at once.
 PIECES, WORDS, SLICE_CHARS = 100_000, 100_000, 1 << 20
 
-#: The pieces of words, and the line ends between words.
-PIECES_AND_ENDS = regex.compile(PATTERN + r"|\n")
 END = b"\xff\xff\xff\xff"
 
-_loaded: dict[str, tuple[PairIndexBPE, Remembered, Remembered]] = {}
+_loaded: dict[str, tuple[Splitter, Remembered, Remembered]] = {}
 
 
-def _library(path: str) -> tuple[PairIndexBPE, Remembered]:
+def _library(path: str) -> tuple[Splitter, Remembered]:
     """Words to packed little-endian ids, by the tokenizers library, remembered in the worker."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -51,7 +48,7 @@ def _library(path: str) -> tuple[PairIndexBPE, Remembered]:
         tok = Tokenizer.from_file(path)
         tok.no_truncation()
         tok.no_padding()
-        model, tokenize = PairIndexBPE(path), tok.model.tokenize
+        model, tokenize = Splitter(path), tok.model.tokenize
         letters = dict(enumerate(byte_letters()))
         special = {t: i.to_bytes(4, "little") for t, i in model.special.items()}
 

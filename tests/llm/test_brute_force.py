@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import corpus_pipeline
 import numpy as np
 import public_tokenizers
 import tokenizers
@@ -144,3 +145,15 @@ def test_pieces_of_new_words_are_remembered(monkeypatch):
         some = words[at : at + 60]
         known = memory.learn([some])
         assert [known[w] for w in some] == [lib.encode(w, add_special_tokens=False).ids for w in some]
+
+
+def test_small_batches_lower_the_sessions_setting_only(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, want in (("10000", "1000"), ("0", "1000"), ("-1", "1000"), ("64", "64")):
+            spark.conf.set(key, given)
+            corpus_pipeline.pack_sequences(spark, spark.createDataFrame([(1, "a b")], "doc_id long, text string"), "")
+            assert spark.conf.get(key) == want
+    finally:
+        spark.conf.set(key, before)
