@@ -492,10 +492,21 @@ def changed(old: DataFrame, new: DataFrame, key: str, value: str) -> DataFrame:
     return j.where(~F.col("old").eqNullSafe(F.col("new")))
 
 
+#: Rows of a partition whose members are paired; what a task holds are the distinct pairs of so many.
+PAIRED_ROWS = 250_000
+
+
 def co_members(df: DataFrame, group: str, member: str) -> DataFrame:
-    """Other members of a member's groups, each pair both ways, with the groups they share."""
-    a, b = df.select(group, F.col(member).alias("a")).distinct(), df.select(group, F.col(member).alias("b")).distinct()
-    return a.join(b, group).where("a <> b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    """Other members of a member's groups, each pair both ways, with the groups they share.
+
+    Groups are dealt once, to partitions by the number of rows: partitions of a set size in bytes are
+    few for narrow rows and hold very many pairs.  A pair is counted one way and then turned round.
+    """
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // PAIRED_ROWS))
+    rows = df.select(F.col(group).alias("_group"), F.col(member).alias("a")).repartition(n, "_group").distinct()
+    pairs = rows.join(rows.withColumnRenamed("a", "b"), "_group").where("a < b").groupBy("a", "b").agg(F.count("*").alias("shared"))
+    both = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    return pairs.select(F.inline(both), "shared")
 
 
 def mismatched(a: Column, b: Column) -> Column:

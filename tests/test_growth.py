@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import duckdb
 import pyarrow as pa
@@ -159,3 +160,24 @@ def test_nfkc_of_slices(spark):
     texts = ["ﬁ①", None, "", "a" * (T.SLICE + 1), "Å" * 5]
     got = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").coalesce(1).select("i", T.nfkc("t").alias("n")).collect()
     assert [r.n for r in sorted(got)] == ["fi1", None, "", "a" * (T.SLICE + 1), "Å" * 5]
+
+
+# --- rows of a task -------------------------------------------------------------------------------
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_co_members_are_dealt_by_the_number_of_rows(spark, monkeypatch):
+    rng = random.Random(4)
+    rows = [(rng.randint(1, 30), rng.randint(1, 12)) for _ in range(300)] + [(None, 1), (None, 2), (1, None)]
+    df = spark.createDataFrame(rows, "g int, m int")
+    monkeypatch.setattr(J, "PAIRED_ROWS", 7)
+    got = J.co_members(df, "g", "m")
+    assert "REPARTITION_BY_NUM" in plan_of(got) and f", {-(-len(rows) // 7)})" in plan_of(got)
+    of = {}
+    for g, m in rows:
+        of.setdefault(g, set()).add(m)
+    want = Counter((a, b) for g, ms in of.items() if g is not None for a in ms for b in ms if None not in (a, b) and a != b)
+    assert {(r.a, r.b): r.shared for r in got.collect()} == want and got.count() == len(want)
