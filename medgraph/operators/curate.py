@@ -133,6 +133,10 @@ def whitelist_tokens(names: DataFrame, name: str, least: int = 3) -> DataFrame:
     return names.select(F.col(name).alias("token")).unionByName(names.where(F.size(F.split(name, r"\s+")) > 1).select(F.explode(words).alias("token"))).distinct()
 
 
+#: Terms of a partition; what its task holds are their examples.
+TERMS = 25_000
+
+
 def choose_examples(terms: DataFrame, pool: DataFrame, term: str, text: str, k: int = 3, fixed: int = 1) -> DataFrame:
     """For every term the k best core and the k best boundary examples and the first `fixed` ones: (term, kind, example, score, rank).
 
@@ -143,7 +147,8 @@ def choose_examples(terms: DataFrame, pool: DataFrame, term: str, text: str, k:
 
     Only examples with a word in the text meet a term (see joins.containments).  The others that can
     be chosen are the first 2k of each kind, as at most k with a score stand before them: so many
-    rows, whatever the pool's size, are broadcast.
+    rows, whatever the pool's size, are broadcast.  All that a term meets is dealt once, to partitions by
+    the number of terms: ones of a set size in bytes hold very many of these short rows.
     """
     most = max(k, fixed)
     pool = pool.dropDuplicates(["kind", "example", "seq"])
@@ -151,13 +156,15 @@ def choose_examples(terms: DataFrame, pool: DataFrame, term: str, text: str, k:
     words = pool.where("kind <> 'fixed'").select("kind", "example", "seq", F.inline(one)).select("kind", "example", "seq", F.explode(F.array_distinct("keywords")).alias("_w"), "cue")
     texts = terms.select(F.col(term).alias("_term"), F.coalesce(text, F.lit("")).alias("_text"))
     held = joins.containments(texts, ["_term"], "_text", words, "_w")
-    score = 2 * F.count_distinct(F.when(~F.col("cue"), F.col("_word"))) + 3 * F.max(F.col("cue").cast("int"))
-    hits = held.join(words, F.col("_word") == F.col("_w")).groupBy("_term", "kind", "example", "seq").agg(score.cast("int").alias("score"))
+    hits = held.join(words, F.col("_word") == F.col("_w")).select("_term", "kind", "example", "seq", "cue", "_word")
     first = top_k(pool.select("kind", "example", "seq"), ["kind"], [F.col("seq"), F.col("example")], 2 * most).drop("rank")
     # one small row for each kind, so that every term has its kinds
     lists = first.where(F.col("kind").isin("core", "boundary", "fixed")).groupBy("kind").agg(F.collect_list(F.struct("example", "seq")).alias("_first"))
-    rest = texts.select("_term").distinct().withColumn("kind", F.explode(F.array(F.lit("core"), F.lit("boundary"), F.lit("fixed")))).join(F.broadcast(lists), "kind").select("_term", "kind", F.inline("_first"))
-    both = hits.unionByName(rest.withColumn("score", F.lit(0))).groupBy("_term", "kind", "example", "seq").agg(F.max("score").alias("score"))
+    rest = texts.select("_term").withColumn("kind", F.explode(F.array(F.lit("core"), F.lit("boundary"), F.lit("fixed")))).join(F.broadcast(lists), "kind").select("_term", "kind", F.inline("_first"))
+    met = hits.unionByName(rest, allowMissingColumns=True)
+    n = max(terms.sparkSession.sparkContext.defaultParallelism, -(-terms.count() // TERMS))
+    score = 2 * F.count_distinct(F.when(~F.col("cue"), F.col("_word"))) + 3 * F.coalesce(F.max(F.col("cue").cast("int")), F.lit(0))
+    both = met.repartition(n, "_term").groupBy("_term", "kind", "example", "seq").agg(score.cast("int").alias("score"))
     ranked = top_k(both, ["_term", "kind"], [F.desc("score"), F.col("seq"), F.col("example")], most)
     return ranked.where(F.col("rank") <= F.when(F.col("kind") == "fixed", fixed).otherwise(k)).select(F.col("_term").alias(term), "kind", "example", "score", "rank")
 

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medgraph.functions import text as T
+from medgraph.operators import curate as C
 from medgraph.operators import extract as X
 from medgraph.operators import graph as G
 from medgraph.operators import joins as J
@@ -181,3 +182,26 @@ def test_co_members_are_dealt_by_the_number_of_rows(spark, monkeypatch):
         of.setdefault(g, set()).add(m)
     want = Counter((a, b) for g, ms in of.items() if g is not None for a in ms for b in ms if None not in (a, b) and a != b)
     assert {(r.a, r.b): r.shared for r in got.collect()} == want and got.count() == len(want)
+
+
+def test_examples_of_a_term_are_dealt_once_by_the_number_of_terms(spark, monkeypatch):
+    rng = random.Random(5)
+    words = ["aa", "bb", "cc", "dd"]
+    terms = [(i % 45, " ".join(rng.choice(words) for _ in range(rng.randint(0, 3)))) for i in range(60)] + [(7, None)]
+    pool = [(k, f"{k}{s}", s, rng.sample(words, rng.randint(0, 3)), rng.sample(words, rng.randint(0, 2))) for k in ("core", "boundary", "fixed") for s in range(1, 9)]
+    monkeypatch.setattr(C, "TERMS", 2)
+    got = C.choose_examples(spark.createDataFrame(terms, "term int, text string"), spark.createDataFrame(pool, "kind string, example string, seq int, keywords array<string>, cues array<string>"), "term", "text", 3, 2)
+    plan = plan_of(got)
+    assert ", 31), REPARTITION_BY_NUM" in plan
+    assert "Exchange" not in plan.split("REPARTITION_BY_NUM")[0].rsplit("\n", 1)[0]  # nothing above deals the rows again
+    want = set()
+    for t in {t for t, _ in terms}:
+        texts = [x or "" for y, x in terms if y == t]
+        for kind, most in (("core", 3), ("boundary", 3), ("fixed", 2)):
+            some = []
+            for k, e, s, ws, cues in pool:
+                if k == kind:
+                    score = 0 if k == "fixed" else 2 * sum(any(w in x for x in texts) for w in ws) + 3 * any(c in x for c in cues for x in texts)
+                    some.append((-score, s, e))
+            want |= {(t, kind, e, -score, i + 1) for i, (score, s, e) in enumerate(sorted(some)[:most])}
+    assert {(r.term, r.kind, r.example, r.score, r["rank"]) for r in got.collect()} == want
