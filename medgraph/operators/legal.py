@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from .ordering import scanned
 
 #: How articles, clauses, subclauses and items begin.
 ARTICLE = r"^제(\d+)조(?:의(\d+))?\s*\(([^)]+)\)\s*$"
@@ -23,34 +22,44 @@ RELATIVE = r"같은\s+(법|조|항|호|목)\s*제(\d+)[조항호]?"
 LAW_NAME = r"「([^」]+)」"
 
 
+def _parts(df: DataFrame, lines: str, depth: int, head: str, text: str | None = None) -> DataFrame:
+    """Rows in parts: their lines up to the first of this depth (head is null), then from each such line, the head, to before the next; text goes with the first part only."""
+    a = F.col(lines)
+    at = F.filter(F.transform(a, lambda x, i: F.when(x["depth"] == depth, i)), lambda i: i.isNotNull())
+    spans = F.zip_with(F.concat(F.array(F.lit(-1)), at), F.concat(at, F.array(F.size(a))), lambda p, q: F.struct(p.alias("p"), q.alias("q")))
+    fields = lambda x: [F.when(x["p"] >= 0, F.get(a, x["p"])).alias(head), F.slice(a, x["p"] + 2, x["q"] - x["p"] - 1).alias(lines)]
+    first = lambda x: [F.when(x["p"] < 0, F.col(text)).alias(text)] if text else []
+    return df.select(*[c for c in df.columns if c not in (lines, text)], F.inline(F.transform(spans, lambda x: F.struct(*fields(x), *first(x)))))
+
+
 def articles(laws: DataFrame) -> DataFrame:
-    """Laws (title, content) as rows of depth 0 to 3 with parent ids, by line states (see ordering.scanned: a long law is many tasks).
+    """Laws (title, content) as rows of depth 0 to 3 with parent ids, cut in place into articles, clauses and subclauses: nothing is shuffled.
 
     The last article is kept even without a body.  Lines that begin nothing belong to the
     article's text.  Lines before the first article are dropped.  Laws are told apart by their title:
     an id is 32 bits of a digest, which laws may share.
     """
-    ls = laws.select(F.col("title").alias("law_name"), T.law_id(F.col("title")).alias("law_id"), F.posexplode(F.split("content", "\n")).alias("line", "_c")).withColumn("content", F.trim("_c")).drop("_c")
-    g = lambda p, i: F.nullif(F.regexp_extract("content", p, i), F.lit(""))
-    depth = F.when(F.col("content").rlike(ARTICLE), 0).when(F.col("content").rlike(CLAUSE), 1).when(F.col("content").rlike(SUBCLAUSE), 2).when(F.col("content").rlike(ITEM), 3)
-    number = F.concat_ws("_", T.zero_padded(g(ARTICLE, 1), 3), T.zero_padded(g(ARTICLE, 2), 2))
-    ls = ls.withColumn("depth", depth)
-    keys = {0: F.struct("line", number.alias("k"), g(ARTICLE, 3).alias("title")), 1: F.struct("line", T.circled(g(CLAUSE, 1)).alias("k")), 2: F.struct("line", g(SUBCLAUSE, 1).cast("int").alias("k")), 3: F.struct("line", g(ITEM, 1).alias("k"))}
-    ls = scanned(ls, ["law_name"], "line", {f"_s{d}": F.when(F.col("depth") == d, k) for d, k in keys.items()})
-    since = lambda d: F.greatest(*[F.coalesce(F.col(f"_s{i}.line"), F.lit(-1)) for i in range(d)], F.lit(-1))
-    held = lambda d: F.when(F.col(f"_s{d}.line") > since(d), F.col(f"_s{d}.k"))
-    ls = ls.where("_s0 is not null")
-    ls = ls.withColumns({"article_number": F.col("_s0.k"), "article_title": F.col("_s0.title"), "_clause": held(1), "_sub": held(2), "_item": held(3)})
-    at = lambda d, c: F.when(F.col("depth") >= d, F.col(c))
-    own = F.col("depth").isNotNull()
+    depth = lambda c: F.when(c.rlike(ARTICLE), 0).when(c.rlike(CLAUSE), 1).when(c.rlike(SUBCLAUSE), 2).when(c.rlike(ITEM), 3)
+    trimmed = laws.select(F.col("title").alias("law_name"), T.law_id(F.col("title")).alias("law_id"), F.transform(F.split("content", "\n"), lambda c: F.trim(c)).alias("_lines"))
+    ls = trimmed.withColumn("_lines", F.transform("_lines", lambda c, i: F.struct(i.alias("line"), depth(c).alias("depth"), c.alias("content"))))
+    ls = _parts(ls, "_lines", 0, "_s0").where("_s0 is not null")
+    g = lambda c, p, i: F.nullif(F.regexp_extract(c, p, i), F.lit(""))
+    number = F.concat_ws("_", T.zero_padded(g("_s0.content", ARTICLE, 1), 3), T.zero_padded(g("_s0.content", ARTICLE, 2), 2))
     # the text of an article meets its first line only
-    rest = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(~own, F.struct("line", "content")))), lambda x: x["content"]), "\n")
-    bodies = ls.groupBy(F.col("law_name").alias("_law"), F.col("_s0.line").alias("_first")).agg(rest.alias("_rest"), F.max("line").alias("_end"))
-    ls = ls.where(own).join(bodies, F.col("law_name").eqNullSafe(F.col("_law")) & (F.when(F.col("depth") == 0, F.col("line")) == F.col("_first")), "left")
+    plain = F.array_join(F.transform(F.filter("_lines", lambda x: x["depth"].isNull()), lambda x: x["content"]), "\n")
+    ls = ls.select("law_name", "law_id", "_s0", number.alias("article_number"), g("_s0.content", ARTICLE, 3).alias("article_title"), (F.col("_s0.line") + F.size("_lines")).alias("_end"), plain.alias("_text"), F.filter("_lines", lambda x: x["depth"].isNotNull()).alias("_lines"))
+    ls = _parts(_parts(ls, "_lines", 1, "_s1", "_text"), "_lines", 2, "_s2", "_text")
+    # a part begins with its own line, an item is a part's other line
+    own = lambda x, text: F.struct(x["line"].alias("line"), x["depth"].alias("depth"), x["content"].alias("content"), text.alias("text"))
+    rows = F.concat(F.array(own(F.coalesce("_s2", "_s1", "_s0"), F.col("_text"))), F.transform("_lines", lambda x: own(x, F.lit(None).cast("string"))))
+    ls = ls.withColumns({"_clause": T.circled(g("_s1.content", CLAUSE, 1)), "_sub": g("_s2.content", SUBCLAUSE, 1).cast("int")})
+    ls = ls.select("law_name", "law_id", "article_number", "article_title", "_clause", "_sub", "_end", F.inline(rows))
+    ls = ls.withColumn("_item", F.when(F.col("depth") == 3, g("content", ITEM, 1)))
+    at = lambda d, c: F.when(F.col("depth") >= d, F.col(c))
     ident = lambda d: T.article_id(F.col("law_id"), F.col("article_number"), F.col("_clause") if d >= 1 else F.lit(None), F.col("_sub") if d >= 2 else F.lit(None), F.col("_item") if d >= 3 else F.lit(None))
     self_id = F.when(F.col("depth") == 0, ident(0)).when(F.col("depth") == 1, ident(1)).when(F.col("depth") == 2, ident(2)).otherwise(ident(3))
     up = F.when(F.col("depth") == 0, None).when((F.col("depth") == 1) | ((F.col("depth") == 2) & F.col("_clause").isNull()), ident(0)).when((F.col("depth") == 2) | F.col("_sub").isNull(), ident(1)).otherwise(ident(2))
-    return ls.select("law_id", "law_name", self_id.alias("article_id"), "article_number", "article_title", "depth", up.alias("parent_article_id"), at(1, "_clause").alias("clause_number"), at(2, "_sub").alias("subclause_number"), at(3, "_item").alias("item_number"), F.when(F.col("depth") == 0, F.concat_ws("\n", F.nullif("_rest", F.lit("")))).otherwise(F.col("content")).alias("full_text"), F.col("line").alias("line_start"), F.when(F.col("depth") == 0, F.col("_end")).otherwise(F.col("line")).alias("line_end"))
+    return ls.select("law_id", "law_name", self_id.alias("article_id"), "article_number", "article_title", "depth", up.alias("parent_article_id"), at(1, "_clause").alias("clause_number"), at(2, "_sub").alias("subclause_number"), at(3, "_item").alias("item_number"), F.when(F.col("depth") == 0, F.col("text")).otherwise(F.col("content")).alias("full_text"), F.col("line").alias("line_start"), F.when(F.col("depth") == 0, F.col("_end")).otherwise(F.col("line")).alias("line_end"))
 
 
 #: Kinds of references and what marks them, in order; without a mark it is OTHER.

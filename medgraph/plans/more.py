@@ -174,19 +174,20 @@ def _(t):
 
 def _laws(t):
     """A statute from every document: an article from each of its lines, with the line as its text and a clause that refers, by the line's place, to the next law, the article before, or back to the law after the next."""
-    n, i = F.col("doc_id"), F.col("i")
-    line = F.regexp_replace("line", "[제「]", "")
+    n = F.col("doc_id")
     say = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
     s = lambda c: c.cast("string")
-    ref = (
-        F.when(i % 3 == 0, say("「법", s(n + 1), "」 제", s(i + 1), "조제1항을 준용한다"))
-        .when(i % 3 == 1, say("제", s(i), "조제1항에 따라 정한다"))
-        .otherwise(say("「법", s(n + 2), "」에서 정하는 것과 같은 법 제", s(i), "조를 말한다"))
-    )
-    lines = t.documents.select(n, F.posexplode(F.split("text", "\n")).alias("i", "line"))
-    made = lines.select(n, i, say("제", s(i + 1), "조(글)\n- ", line, "\n① ", ref).alias("x"))
-    body = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("i", "x"))), lambda v: v["x"]), "\n")
-    return made.groupBy("doc_id").agg(F.concat(F.lit("서문\n"), body).alias("content")).select(F.concat(F.lit("법"), s(n)).alias("title"), "content")
+
+    def article(line, i):
+        ref = (
+            F.when(i % 3 == 0, say("「법", s(n + 1), "」 제", s(i + 1), "조제1항을 준용한다"))
+            .when(i % 3 == 1, say("제", s(i), "조제1항에 따라 정한다"))
+            .otherwise(say("「법", s(n + 2), "」에서 정하는 것과 같은 법 제", s(i), "조를 말한다"))
+        )
+        return say("제", s(i + 1), "조(글)\n- ", F.regexp_replace(line, "[제「]", ""), "\n① ", ref)
+
+    content = say("서문\n", F.array_join(F.transform(F.split("text", "\n"), article), "\n"))
+    return t.documents.select(say("법", s(n)).alias("title"), content.alias("content"))
 
 
 _LINES = "SELECT doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS i, unnest(string_split(text, chr(10))) AS line FROM documents"

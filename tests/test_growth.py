@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 from collections import Counter
 
 import duckdb
@@ -14,6 +15,7 @@ from medgraph.operators import curate as C
 from medgraph.operators import extract as X
 from medgraph.operators import graph as G
 from medgraph.operators import joins as J
+from medgraph.operators import legal as L
 from medgraph.plans import catalog, more  # noqa: F401  (more adds to the catalogue)
 
 from .test_queries import plain
@@ -205,3 +207,41 @@ def test_examples_of_a_term_are_dealt_once_by_the_number_of_terms(spark, monkeyp
                     some.append((-score, s, e))
             want |= {(t, kind, e, -score, i + 1) for i, (score, s, e) in enumerate(sorted(some)[:most])}
     assert {(r.term, r.kind, r.example, r.score, r["rank"]) for r in got.collect()} == want
+
+
+# --- laws in place --------------------------------------------------------------------------------
+
+
+def own_articles(title, content):
+    """(title, depth, article, clause, subclause, item, text, first line, last line) by a loop over the lines."""
+    out, at, body = [], [None] * 4, []
+    lines = [x.strip(" ") for x in content.split("\n")]
+    for i, x in enumerate(lines):
+        d = next((d for d, p in enumerate((L.ARTICLE, L.CLAUSE, L.SUBCLAUSE, L.ITEM)) if re.match(p, x)), None)
+        if d is not None:
+            m = re.match((L.ARTICLE, L.CLAUSE, L.SUBCLAUSE, L.ITEM)[d], x)
+            at[d:] = [m[1] if d in (0, 3) else "①②③".index(m[1]) + 1 if d == 1 else int(m[1])] + [None] * (3 - d)
+            if d == 0:
+                body = [[], i]
+            if at[0] is not None:
+                body[1] = i
+                out.append((title, d, at[0].zfill(3), *at[1:], body if d == 0 else x, i, None if d == 0 else i))
+        elif at[0] is not None:
+            body[0].append(x)
+            body[1] = i
+    return [(*r[:6], "\n".join(r[6][0]), r[7], r[6][1]) if r[1] == 0 else r for r in out]
+
+
+def test_articles_are_cut_in_place(spark):
+    rng = random.Random(6)
+    kinds = ["제1조(목적)", "제12조 (가)  ", " 제3조(나)", "제4조(다) 뒤", "① 하나", "  ② 둘", "③없음", "1. 가", "12. 나", "가. 항목", "나. 항목", "1.x", "", " 평문", "제3조에 따라"]
+    laws = [(f"법{i}", "\n".join(rng.choice(kinds) for _ in range(rng.randint(0, 30)))) for i in range(80)] + [("긴법", "제1조(긴)\n" + "\n".join(rng.choice(kinds[4:]) for _ in range(40_000)))]
+    got = L.articles(spark.createDataFrame([*laws, ("널", None)], "title string, content string"))
+    assert "Exchange" not in plan_of(got) and "Window" not in plan_of(got)
+    rows = got.select("law_name", "depth", "article_number", "clause_number", "subclause_number", "item_number", "full_text", "line_start", "line_end").collect()
+    assert sorted(map(repr, map(tuple, rows))) == sorted(repr(r) for title, content in laws for r in own_articles(title, content))
+
+
+@pytest.mark.parametrize("name", ["x14_articles", "x15_references"])
+def test_laws_are_read_without_a_shuffle(spark, name):
+    assert "Exchange" not in plan_of(catalog.QUERIES[name](spark, "/root/testdata/sf0.001"))
