@@ -57,10 +57,10 @@ def lines_of(raw: bytes) -> list[bytes]:
     return raw.split(b"\n") if raw else []
 
 
-def chunk_rows(docs: DataFrame, with_bytes: bool, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """_ord, _th, _at (first line), _n, _k (hash) and the packed bytes of every chunk of two lines or more."""
-    names = ["_ord", "_th", "_at", "_n", "_k", "_z"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
+def chunk_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """_ord, _th, _at (first line), _n and _k (hash) of every chunk of two lines or more."""
+    names = ["_ord", "_th", "_at", "_n", "_k"]
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,11 +71,33 @@ def chunk_rows(docs: DataFrame, with_bytes: bool, id_col: str = "doc_id", text_c
                 for at, n in chunks(lines):
                     raw = b"\n".join(lines[at : at + n])
                     if n >= 2 and raw.strip():
-                        out.append((o, t, at, n, hashlib.blake2b(raw, digest_size=16).digest(), pack(raw) if with_bytes else None))
+                        out.append((o, t, at, n, hashlib.blake2b(raw, digest_size=16).digest()))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
 
-    return keyed(docs, id_col, text_col).mapInArrow(run, "_ord long, _th long, _at int, _n int, _k binary, _z binary")
+    return keyed(docs, id_col, text_col).mapInArrow(run, "_ord long, _th long, _at int, _n int, _k binary")
+
+
+def with_bytes(docs: DataFrame, found: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """found (_ord, _th, _at, _n, _k, _is_first, _salts) with _z, the packed bytes of its chunks; equal rows count once."""
+
+    @released
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, packed = [], []
+            for o, t, z, many in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist(), strict=True):
+                lines = lines_of(unpack(z.as_py()))
+                for r in many:
+                    rows.append({"_ord": o, "_th": t, **r})
+                    packed.append(pack(b"\n".join(lines[r["_at"] : r["_at"] + r["_n"]])))
+            if rows:
+                made = pa.RecordBatch.from_pylist(rows, kinds)
+                yield pa.RecordBatch.from_arrays([*made.columns, pa.array(packed, pa.binary())], [*kinds.names, "_z"])
+
+    kinds = pa.schema([("_ord", pa.int64()), ("_th", pa.int64()), ("_at", pa.int32()), ("_n", pa.int32()), ("_k", pa.binary()), ("_is_first", pa.bool_()), ("_salts", pa.int32())])
+    per_doc = found.groupBy("_ord", "_th").agg(F.collect_set(F.struct("_at", "_n", "_k", "_is_first", "_salts")).alias("_many"))
+    some = pack_text_column(keyed(docs, id_col, text_col)).join(per_doc, ["_ord", "_th"]).select("_ord", "_th", "_z", "_many")
+    return some.mapInArrow(run, "_ord long, _th long, _at int, _n int, _k binary, _is_first boolean, _salts int, _z binary")
 
 
 def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -84,18 +106,20 @@ def repeated_chunks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     A chunk that one document in HOT_SHARE holds is hot.  There are at most HOT_SHARE times as many
     hot chunks as a document has chunks on average, at any size, so their first places are
     broadcast, and the rows of one hot chunk are dealt to SALTS keys where bytes are compared.
+    Bytes are cut out of the texts only of chunks that are repeated.
     """
     place = F.struct("_ord", "_th", "_at")
-    firsts = materialize(chunk_rows(docs, False, id_col, text_col).groupBy("_k").agg(F.min(place).alias("_first"), F.count("*").alias("_times")).where("_times > 1"))
+    firsts = materialize(chunk_rows(docs, id_col, text_col).groupBy("_k").agg(F.min(place).alias("_first"), F.count("*").alias("_times")).where("_times > 1"))
     least = max(100, docs.count() // HOT_SHARE)
     hot = firsts.where(F.col("_times") >= least).select("_k", F.col("_first").alias("_hot"))
     # hot rows get a key of their own in the shuffled join, so that they do not meet in one task
     own = F.when(F.col("_hot").isNull(), F.col("_k")).otherwise(F.encode(F.concat_ws("/", "_ord", "_th", "_at"), "utf-8"))
-    rows = chunk_rows(docs, True, id_col, text_col).join(F.broadcast(hot), "_k", "left").withColumn("_j", own)
+    rows = chunk_rows(docs, id_col, text_col).join(F.broadcast(hot), "_k", "left").withColumn("_j", own)
     cold = firsts.where(F.col("_times") < least).select(F.col("_k").alias("_j"), F.col("_first").alias("_cold"))
     both = rows.join(cold, "_j", "left").withColumn("_first", F.coalesce("_hot", "_cold")).where("_first is not null")
     salts = F.when(F.col("_hot").isNull(), F.lit(1)).otherwise(F.lit(SALTS))
-    found = materialize(both.select("_ord", "_th", "_at", "_n", "_k", "_z", (place == F.col("_first")).alias("_is_first"), salts.alias("_salts")))
+    which = both.select("_ord", "_th", "_at", "_n", "_k", (place == F.col("_first")).alias("_is_first"), salts.alias("_salts"))
+    found = materialize(with_bytes(docs, which, id_col, text_col))
     salt = F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)).alias("_salt")
     kept = found.where("_is_first").dropDuplicates(["_k"]).select("_k", F.col("_z").alias("_b"), salt)
     again = found.where("not _is_first").withColumn("_salt", F.pmod(F.xxhash64("_ord", "_th", "_at"), F.col("_salts")).cast("int"))

@@ -10,7 +10,7 @@ import public_tokenizers
 import tokenizers
 from pyspark.sql import functions as F
 
-from medgraph.llm import ann, bpe, fingerprint, licenses, lines, suffixes
+from medgraph.llm import ann, bpe, fingerprint, licenses, lines, substrings, suffixes
 
 
 def own_chunks(rows):
@@ -157,3 +157,63 @@ def test_small_batches_lower_the_sessions_setting_only(spark):
             assert spark.conf.get(key) == want
     finally:
         spark.conf.set(key, before)
+
+
+def shuffled(spark, make):
+    """(rows, bytes that the stages of making them write to shuffles)."""
+    sc = spark.sparkContext
+
+    def stages():
+        found = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return {x.stageId(): x.shuffleWriteBytes() for x in (found.apply(i) for i in range(found.size()))}
+
+    before = max(stages(), default=-1)
+    rows = make().collect()
+    return rows, sum(n for i, n in stages().items() if i > before)
+
+
+def test_only_repeated_windows_are_shuffled(spark):
+    """Texts of which a few words repeat: what is sent is less than the texts, for few buckets and many, and the texts are shuffled once."""
+    rng = random.Random(8)
+    passages = [" ".join(f"{rng.getrandbits(30):x}" for _ in range(n)) for n in (12, 13, 14, 40)]
+    docs = [" ".join(f"{rng.getrandbits(30):x}" for _ in range(200)) for _ in range(400)]
+    for i in range(0, 400, 9):
+        docs[i] += "\t" + passages[i % 4] + " " + docs[(i * 7) % 400][:300]
+    size = sum(map(len, docs))
+    first, starts = {}, {}
+    for i, d in enumerate(docs):
+        w = d.split()
+        starts[i] = [tuple(w[j : j + 13]) for j in range(len(w) - 12)]
+        for g in starts[i]:
+            first.setdefault(g, i)
+    want = {(i, j) for i, gs in starts.items() for j, g in enumerate(gs) if first[g] < i}
+    df = spark.createDataFrame([(i, d, len(d)) for i, d in enumerate(docs)], "doc_id long, text string, n_chars long").repartition(2).localCheckpoint()
+    sent = []
+    for bucket_bytes in (size, size // 400):
+        rows, n = shuffled(spark, lambda b=bucket_bytes: substrings.repeated_windows(df, bucket_bytes=b))
+        assert {(r._ord, r._at + k) for r in rows for k in range(r._n)} == want and len(want) > 500
+        sent.append(n)
+    assert max(sent) < 1.3 * size and sent[1] < 1.3 * sent[0]
+    rows, n = shuffled(spark, lambda: substrings.strip_repeats(df))
+    assert len(rows) == 400 and n < 1.3 * size
+
+
+def test_bytes_of_repeated_chunks_only(spark):
+    """Chunks that do not repeat leave their bytes where they are: the texts are shuffled twice, compressed."""
+    rng = random.Random(9)
+    line = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(70))
+    block = "\n".join(line() for _ in range(12))
+    docs = ["\n".join([line() for _ in range(25)] + ([block] if i % 40 == 0 else [])) for i in range(400)]
+    df = spark.createDataFrame([(i, d, len(d)) for i, d in enumerate(docs)], "doc_id long, text string, n_chars long").repartition(2).localCheckpoint()
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        rows, n = shuffled(spark, lambda: lines.strip_repeats(df))
+        found = lines.repeated_chunks(df).collect()
+    finally:
+        spark.conf.set(key, before)
+    left = {r.doc_id: r.text for r in rows}
+    assert len(left) == 400 and left[0] == docs[0] and all(len(left[i]) < len(docs[i]) for i in range(40, 400, 40))
+    assert all(left[i] == d for i, d in enumerate(docs) if i % 40) and {r._ord for r in found} == set(range(40, 400, 40))
+    assert n < 1.6 * sum(map(len, docs))
