@@ -15,32 +15,34 @@ from __future__ import annotations
 
 import os
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import PIECES_AND_ENDS, VOCABULARY, Remembered, Splitter, byte_letters, text_slices
+from .bpe import PIECES_AND_ENDS, VOCABULARY, Remembered, Splitter, byte_letters
 from .common import doc_id_of, keyed, materialize, released, table
 
 SEQUENCE_TOKENS = 2048
 #: Tokens of one packing group: some two thousand sequences, of which at most about one stays part empty.
 GROUP_TOKENS = 4 << 20
 
-#: Pieces in each of the two generations that a task remembers, and words; characters taken at once.
-PIECES, WORDS, SLICE_CHARS = 100_000, 100_000, 1 << 20
+#: Pieces in each of the two generations that a task remembers; bytes whose words are told apart at once, and what a row counts beside its text.
+PIECES, SLICE_BYTES, ROW_BYTES = 100_000, 4 << 20, 64
+#: Runs of ids that are put together at once.
+RUNS = 1 << 16
+#: A word that is one piece: letters that normalise alone, to one letter each.
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-ÿ]+$"
 
-END = b"\xff\xff\xff\xff"
-
-_loaded: dict[str, tuple[Splitter, Remembered, Remembered]] = {}
+_loaded: dict[str, tuple[Splitter, Remembered]] = {}
 
 
 def _library(path: str) -> tuple[Splitter, Remembered]:
-    """Words to packed little-endian ids, by the tokenizers library, remembered in the worker."""
+    """Pieces of words to packed little-endian ids, by the tokenizers library, remembered in the worker."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -48,61 +50,133 @@ def _library(path: str) -> tuple[Splitter, Remembered]:
         tok = Tokenizer.from_file(path)
         tok.no_truncation()
         tok.no_padding()
-        model, tokenize = Splitter(path), tok.model.tokenize
-        letters = dict(enumerate(byte_letters()))
-        special = {t: i.to_bytes(4, "little") for t, i in model.special.items()}
+        model, tokenize, suffix = Splitter(path), tok.model.tokenize, tok.model.end_of_word_suffix
+        letters = np.array([ord(c) for c in byte_letters()], "<u2")
+        letters[ord("\n")] = ord("\n")  # in no piece: it stands between them
+        closing = np.array([bool(suffix) and tok.id_to_token(i).endswith(suffix) for i in range(tok.get_vocab_size(False))])
+        fixed = {t: i.to_bytes(4, "little") for t, i in model.special.items()} | {"\n": b""}
 
         def piece_ids(pieces: list[str]) -> list[bytes]:
             """The library's model on pieces: its normaliser and splitter are slow on single words."""
-            plain = [p if p.isascii() else p.encode("utf-8").decode("latin-1").translate(letters) for p in pieces]
-            return [array("I", [t.id for t in tokenize(p)]).tobytes() for p in plain]
-
-        pieces = Remembered(piece_ids, lambda raw: raw, PIECES)
-
-        def encode(words: list[str]) -> list[bytes]:
-            """Ids of new words, split into pieces all at once; a word with a special token or a capital sigma on its own."""
-            alone = {w for w in words if "<|" in w or "Σ" in w}
-            joined = model.normal("\n".join(w for w in words if w not in alone))
-            split = PIECES_AND_ENDS.findall(joined)
-            odd = {w: model.pieces(w) for w in alone}
-            known = pieces.learn([set(split) - {"\n"}, *([p for p in s if p not in special] for s in odd.values())])
-            known = known | special if alone else known
-            known["\n"] = END
-            # ids are below 2**16, so END stands nowhere in them, aligned or not
-            rest = iter(b"".join(map(known.__getitem__, split)).split(END))
-            del known["\n"]
-            return [b"".join(map(known.__getitem__, odd[w])) if w in alone else next(rest) for w in words]
-
-        _loaded[path] = model, Remembered(encode, lambda raw: raw, WORDS), pieces
-    model, words, pieces = _loaded[path]
-    words.clear()  # the memory is a task's: a reused worker would keep it for the stages after
-    pieces.clear()
-    return model, words
+            plain = [p for p in pieces if p not in fixed]
+            spelled = letters[np.frombuffer("\n".join(plain).encode("utf-8"), np.uint8)].tobytes().decode("utf-16-le").split("\n") if plain else []
+            ids = np.array([t.id for p in spelled for t in tokenize(p)], "<u4")
+            ends = (np.flatnonzero(closing[ids]) + 1).tolist()
+            if len(ends) == len(plain):  # a piece has one closing token, its last
+                raw = ids.tobytes()
+                rows = [raw[4 * i : 4 * j] for i, j in zip([0, *ends[:-1]], ends, strict=len(ends) > 0)]
+            else:
+                rows = [np.array([t.id for t in tokenize(p)], "<u4").tobytes() for p in spelled]
+            if len(plain) == len(pieces):
+                return rows
+            rest = iter(rows)
+            return [fixed[p] if p in fixed else next(rest) for p in pieces]
+
+        _loaded[path] = model, Remembered(piece_ids, lambda raw: raw, PIECES)
+    model, memory = _loaded[path]
+    memory.clear()  # the memory is a task's: a reused worker would keep it for the stages after
+    return model, memory
+
+
+def byte_slices(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """Consecutive rows, of several batches if these are small, until they hold `most` bytes."""
+    held, size = [], 0
+    for b in batches:
+        upto, at = np.cumsum(pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False) + np.int64(ROW_BYTES)), 0
+        while at < len(upto):
+            before = int(upto[at - 1]) if at else 0
+            end = min(len(upto), int(np.searchsorted(upto, before + most - size)) + 1)
+            held.append(b.slice(at, end - at))
+            size += int(upto[end - 1]) - before
+            at = end
+            if size >= most:
+                yield pa.Table.from_batches(held)
+                held, size = [], 0
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def runs_of(flat: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The runs of `flat` with these starts and lengths, one after another."""
+    out, at = np.empty(int(count.sum()), flat.dtype), 0
+    for i in range(0, len(start), RUNS):
+        n = count[i : i + RUNS]
+        upto = np.cumsum(n)
+        m = int(upto[-1])
+        out[at : at + m] = flat[np.arange(m) + np.repeat(start[i : i + RUNS] - upto + n, n)]
+        at += m
+    return out
+
+
+def lines(words: pa.Array) -> str:
+    """The words, each followed by a line end."""
+    return pc.binary_join(pa.ListArray.from_arrays([0, len(words)], words), "\n")[0].as_py() + "\n" if len(words) else ""
+
+
+def token_ids(texts: pa.Array, end_id: int, model: Splitter, memory: Remembered) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in one array, each text's followed by end_id, and where each text ends.
+
+    Distinct words are split, their distinct pieces get ids; words and texts are put together from
+    runs of ids.  No piece or special token spans white space.
+    """
+    words = pc.ascii_split_whitespace(texts)
+    coded = words.flatten().dictionary_encode()
+    distinct = coded.dictionary
+    # most words are one piece; a word with a special token or a capital sigma is split on its own
+    plain = pc.match_substring_regex(distinct, LETTERS)
+    alone = pc.or_(pc.match_substring(distinct, "<|"), pc.match_substring(distinct, "Σ"))
+    rest = pc.invert(pc.or_(plain, alone))
+    split = model.normal(lines(distinct.filter(plain))).split("\n")[:-1]
+    n_plain = len(split)
+    split += PIECES_AND_ENDS.findall(model.normal(lines(distinct.filter(rest))))
+    for w in distinct.filter(alone).to_pylist():
+        split += [*model.pieces(w), "\n"]
+    spelled = pa.array(split, pa.string()).dictionary_encode()
+    del split
+    names = spelled.dictionary.to_pylist()
+    known = memory.learn([names])
+    raw = list(map(known.__getitem__, names))
+    count = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+    which = spelled.indices.to_numpy()
+    n = count[which]
+    closes = which == (names.index("\n") if "\n" in names else -1)
+    closes[:n_plain] = True
+    upto = np.cumsum(n)[closes]
+    flat = runs_of(np.frombuffer(b"".join(raw), "<u4"), (np.cumsum(count) - count)[which], n)
+
+    order = np.concatenate([np.flatnonzero(m.to_numpy(zero_copy_only=False)) for m in (plain, rest, alone)])
+    size = np.diff(upto, prepend=0)
+    count, start = np.ones(len(order) + 1, np.int64), np.full(len(order) + 1, len(flat))  # the last one: the end
+    count[order], start[order] = size, upto - size
+    ends = np.cumsum(pc.list_value_length(words).to_numpy())
+    which = np.insert(coded.indices.to_numpy(), ends, len(order))
+    n = count[which]
+    ids = runs_of(np.append(flat, np.array([end_id], "<u4")), start[which], n)
+    return ids, np.cumsum(n)[ends + np.arange(len(ends))]
 
 
 def pieces(df: DataFrame, max_tokens: int = SEQUENCE_TOKENS, end_id: int = 0, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: _ord, _row (tells repeated rows apart), piece, start, length, ids_crc32."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     names = ["_ord", "_row", "piece", "start", "length", "ids_crc32"]
-    end = np.array([end_id], "<u4").tobytes()
 
     @released
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memory = _library(path)
         row = 0
-        for b in batches:
-            ords = b.column(0).to_pylist()
-            for first, some in text_slices((t.as_py() for t in b.column(1)), SLICE_CHARS):
-                split = [model.words(t) for t in some]
-                known = memory.learn(split)
-                out: list[tuple] = []
-                for i, s in enumerate(split):
-                    ids = b"".join(map(known.__getitem__, s)) + end
-                    for k, at in enumerate(range(0, len(ids), 4 * max_tokens)):
-                        part = ids[at : at + 4 * max_tokens]
-                        out.append((ords[first + i], row, k, at // 4, len(part) // 4, zlib.crc32(part)))
-                    row += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
+        for some in byte_slices(batches, SLICE_BYTES):
+            ids, ends = token_ids(some.column(1).combine_chunks(), end_id, model, memory)
+            size = np.diff(ends, prepend=0)
+            parts = -(-size // max_tokens)
+            doc = np.repeat(np.arange(len(size)), parts)
+            piece = np.arange(len(doc)) - np.repeat(np.cumsum(parts) - parts, parts)
+            start = piece * max_tokens
+            length = np.minimum(size[doc] - start, max_tokens)
+            at = (ends - size)[doc] + start
+            crc = [zlib.crc32(ids[i : i + n]) for i, n in zip(at.tolist(), length.tolist(), strict=True)]
+            columns = [some.column(0).to_numpy()[doc], row + doc, piece, start, length, crc]
+            row += len(size)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
         _library(path)
 
     return keyed(df, id_col, text_col).select("_ord", "_text").mapInArrow(run, ", ".join(f"{c} long" for c in names))

@@ -2,15 +2,17 @@
 
 import hashlib
 import random
+import zlib
 from collections import Counter
 
 import corpus_pipeline
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import tokenizers
 from pyspark.sql import functions as F
 
-from medgraph.llm import ann, bpe, fingerprint, licenses, lines, substrings, suffixes
+from medgraph.llm import ann, bpe, fingerprint, licenses, lines, packing, substrings, suffixes
 
 
 def own_chunks(rows):
@@ -147,6 +149,41 @@ def test_pieces_of_new_words_are_remembered(monkeypatch):
         assert [known[w] for w in some] == [lib.encode(w, add_special_tokens=False).ids for w in some]
 
 
+def odd_texts(n=400):
+    """Texts of odd words and white space, some long, with control characters, special tokens and letters that normalise to others."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("aaabÀÿßµ'sS.,!1²é가\0\x01\x1c\x7fΣİŁ😀\u0301\u1e9b") for _ in range(rng.randint(1, 9))) + rng.choice(["", "", "", "<|endoftext|>", "<|"])
+    usual = [word() for _ in range(500)] + ["ab", "Éa", "a" * 40, "Σ", "<|startoftext|>"]
+    space = [" ", " ", "\n", "\r\n", "\t ", "\x0b", "\x1d", "\x85", "\xa0", "\u2028", "\u3000"]
+    return ["".join(rng.choice(usual) + rng.choice(space) for _ in range(rng.choice([0, 1, 5, 60]))) for _ in range(n)] + ["", " ", "\n\x01", "x" * 9000, "1" * 5000]
+
+
+def test_packed_ids_are_the_librarys(spark):
+    """Through Spark, and by slices that hold parts of batches or several, with a memory that overflows; only distinct pieces are looked up."""
+    texts = odd_texts()
+    path = public_tokenizers.path(bpe.VOCABULARY)
+    lib = tokenizers.Tokenizer.from_file(path)
+    want = [[*lib.encode(t, add_special_tokens=False).ids, 0] for t in texts]
+    parts = {(i, k): (at, len(x[at : at + 2048]), zlib.crc32(np.array(x[at : at + 2048], "<u4").tobytes())) for i, x in enumerate(want) for k, at in enumerate(range(0, len(x), 2048))}
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in packing.pack_documents(df).collect()} == parts
+    batches = pa.table({"i": pa.array(range(len(texts)), pa.int64()), "t": pa.array(texts, pa.string())}).to_batches(max_chunksize=30)
+    for most, held in ((1, 100), (3000, 100), (1 << 20, 100_000)):
+        model, memory = packing._library(path)
+        memory.most, before = held, memory.most
+        looked_up, learn = [], memory.learn
+        memory.learn = lambda some, learn=learn, looked_up=looked_up: looked_up.extend(p for s in some for p in s) or learn(some)
+        got, order = [], []
+        for some in packing.byte_slices(iter(batches), most):
+            ids, ends = packing.token_ids(some.column(1).combine_chunks(), 0, model, memory)
+            got += [x.tolist() for x in np.split(ids, ends[:-1])]
+            order += some.column(0).to_pylist()
+        memory.most = before
+        del memory.learn
+        assert got == want and order == list(range(len(texts)))
+    assert len(looked_up) == len(set(looked_up))
+
+
 def test_small_batches_lower_the_sessions_setting_only(spark):
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
