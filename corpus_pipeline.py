@@ -16,6 +16,9 @@ from medgraph.llm.common import materialize, small_batches, table
 
 ORACLE_SQL = None
 
+#: Bytes of text that packing takes at once here: executors still hold memory of earlier stages.
+PACKING_SLICE = 1 << 20
+
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 5: documents scored 0.5 or more go."""
@@ -44,7 +47,7 @@ def dedup_substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: what is left, packed."""
     small_batches(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, slice_bytes=PACKING_SLICE)
 
 
 STAGES = [

@@ -155,8 +155,8 @@ def token_ids(texts: pa.Array, end_id: int, model: Splitter, memory: Remembered)
     return ids, np.cumsum(n)[ends + np.arange(len(ends))]
 
 
-def pieces(df: DataFrame, max_tokens: int = SEQUENCE_TOKENS, end_id: int = 0, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: _ord, _row (tells repeated rows apart), piece, start, length, ids_crc32."""
+def pieces(df: DataFrame, max_tokens: int = SEQUENCE_TOKENS, end_id: int = 0, vocabulary: str | None = None, id_col: str = "doc_id", text_col: str = "text", slice_bytes: int = SLICE_BYTES) -> DataFrame:
+    """One row per piece: _ord, _row (tells repeated rows apart), piece, start, length, ids_crc32.  Smaller slices take less memory and more time."""
     path = vocabulary or public_tokenizers.path(VOCABULARY)
     names = ["_ord", "_row", "piece", "start", "length", "ids_crc32"]
 
@@ -164,7 +164,7 @@ def pieces(df: DataFrame, max_tokens: int = SEQUENCE_TOKENS, end_id: int = 0, vo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, memory = _library(path)
         row = 0
-        for some in byte_slices(batches, SLICE_BYTES):
+        for some in byte_slices(batches, slice_bytes):
             ids, ends = token_ids(some.column(1).combine_chunks(), end_id, model, memory)
             size = np.diff(ends, prepend=0)
             parts = -(-size // max_tokens)
@@ -246,7 +246,7 @@ def pack(
 
 def pack_documents(df: DataFrame, **options) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset for every piece of every document."""
-    token_options = {k: options.pop(k) for k in ("vocabulary", "id_col", "text_col", "end_id") if k in options}
+    token_options = {k: options.pop(k) for k in ("vocabulary", "id_col", "text_col", "end_id", "slice_bytes") if k in options}
     parts = materialize(pieces(df, options.get("max_tokens", SEQUENCE_TOKENS), **token_options))
     return pack(parts, **options).select(doc_id_of().alias("doc_id"), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
