@@ -382,11 +382,15 @@ def dyadic(lo: Column, hi: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS - 1)), start, step, lambda s: s["out"])
 
 
+def cover_level(lo: Column, hi: Column) -> Column:
+    """The level of the blocks that cover() takes."""
+    wide = F.coalesce(F.try_subtract(hi.cast("long"), lo.cast("long")), F.lit(2**63 - 1))  # null: wider than a long
+    return F.greatest(F.length(F.bin(wide)) - 3, F.lit(0)).cast("int")
+
+
 def cover(lo: Column, hi: Column) -> Column:
     """The blocks (level, n) of one level, 4 to 9 of them, that meet lo to hi: blocks as wide as an eighth to a quarter of it (of one number, if it is short); none if hi is below lo."""
-    a, z = lo.cast("long"), hi.cast("long")
-    wide = F.coalesce(F.try_subtract(z, a), F.lit(2**63 - 1))  # null: wider than a long
-    level = F.greatest(F.length(F.bin(wide)) - 3, F.lit(0)).cast("int")
+    a, z, level = lo.cast("long"), hi.cast("long"), cover_level(lo, hi)
     blocks = lambda x: F.call_function("shiftright", x, level)
     each = F.transform(F.sequence(blocks(a), blocks(z)), lambda n: F.struct(level.alias("level"), n.alias("n")))
     return F.when(a <= z, each)
@@ -396,19 +400,20 @@ def range_contains(items: DataFrame, ranges: DataFrame, chapter: str, number: st
     """Every item with the first range, by order over the ranges' columns, of its chapter that holds its number.
 
     A range of any width is a few blocks of one level (see cover), and a number is in one block of
-    each level that the ranges use, so it is a hash join on the distinct (chapter, level, block), and only
+    each level that the ranges use, so it is an equi-join on the distinct (chapter, level, block), and only
     blocks at the ends of a range are met by numbers outside it; repeated items keep their rows, items outside
-    every range leave.  Numbers are longs.  Blocks are dealt before the join, which measures them: by the
-    size of the ranges' table alone Spark would broadcast them.
+    every range leave.  Numbers are longs.  Ranges are dealt before they are cut into blocks: a small file of
+    them is one task.  Both joins are merged by hint: by the size of the ranges' (or the items') files Spark
+    would plan a broadcast, and a planned one stays, however many blocks are measured.
     """
-    filed = ranges.withColumn("_d", F.explode(cover(F.col(lo), F.col(hi)))).select("*", F.col("_d.level").alias("_fl"), F.col("_d.n").alias("_fb")).drop("_d").withColumnRenamed(chapter, "_c")
-    used = sorted(r["l"] for r in filed.select(F.col("_fl").alias("l")).distinct().collect())
+    used = sorted(r["l"] for r in ranges.where(F.col(lo).cast("long") <= F.col(hi).cast("long")).select(cover_level(F.col(lo), F.col(hi)).alias("l")).distinct().collect())
+    filed = ranges.repartition(lo, hi).withColumn("_d", F.explode(cover(F.col(lo), F.col(hi)))).select("*", F.col("_d.level").alias("_fl"), F.col("_d.n").alias("_fb")).drop("_d").withColumnRenamed(chapter, "_c")
     asked = items.select(F.col(chapter).alias("_ic"), F.col(number).cast("long").alias("_in")).where("_ic is not null and _in is not null").distinct()
     at = asked.withColumn("_l", F.explode(F.array(*map(F.lit, used)).cast("array<int>"))).withColumn("_b", F.expr("shiftright(_in, _l)"))
     same = (F.col("_ic") == F.col("_c")) & (F.col("_l") == F.col("_fl")) & (F.col("_b") == F.col("_fb"))
-    hit = at.join(filed.repartition("_c", "_fl", "_fb"), same).where(F.col("_in").between(F.col(lo).cast("long"), F.col(hi).cast("long"))).drop("_l", "_b", "_fl", "_fb", "_c")
+    hit = at.join(filed.hint("merge"), same).where(F.col("_in").between(F.col(lo).cast("long"), F.col(hi).cast("long"))).drop("_l", "_b", "_fl", "_fb", "_c")
     best = first_by(hit, ["_ic", "_in"], order)
-    return items.join(best, (F.col(chapter) == F.col("_ic")) & (F.col(number) == F.col("_in"))).drop("_ic", "_in")
+    return items.join(best.hint("merge"), (F.col(chapter) == F.col("_ic")) & (F.col(number) == F.col("_in"))).drop("_ic", "_in")
 
 
 def mutual_contains(left: DataFrame, right: DataFrame, a: str, b: str) -> DataFrame:

@@ -42,6 +42,16 @@ def test_ranges_are_few_blocks(spark):
     assert "RepartitionByExpression" in got._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_ranges_are_not_broadcast(spark, tmp_path):
+    """A small file of ranges is many blocks, and one of items many numbers; neither goes to the driver, before or after they are measured."""
+    spark.range(20_000).selectExpr("id", "'x' AS ch", "id * 40 AS lo", "id * 40 + 500 AS hi").write.parquet(f"{tmp_path}/ranges")
+    spark.range(1000).selectExpr("'x' AS ch", "id * 777 AS n").write.parquet(f"{tmp_path}/items")
+    got = J.range_contains(spark.read.parquet(f"{tmp_path}/items"), spark.read.parquet(f"{tmp_path}/ranges"), "ch", "n", "lo", "hi", [F.col("id")])
+    planned = got._jdf.queryExecution().executedPlan().toString()
+    assert {r.n: r.id for r in got.collect()} == {n: max(0, -((500 - n) // 40)) for n in range(0, 777_000, 777)}
+    assert "Broadcast" not in planned + got._jdf.queryExecution().executedPlan().toString()
+
+
 # --- pairs of classes -----------------------------------------------------------------------------
 
 
