@@ -77,6 +77,31 @@ def test_pairs_of_codes_by_class(spark):
     assert not widest_window_or_group(got, ["i", "j"])
 
 
+def test_pairs_of_cut_classes(spark, monkeypatch):
+    """Every pair once, with classes of many lists and arrays, of one array and with a null id."""
+    for name, n in (("FEW_IDS", 2), ("MANY_IDS", 4), ("DEAL", 8), ("SALTS", 3)):
+        monkeypatch.setattr(J, name, n)
+    a = [(i if i else None, i % 3 if i < 30 else 0) for i in range(60)]
+    b = [(str(i) if i else None, i % 2 if i < 20 else 0) for i in range(90)]
+    pairs = [(0, 0), (0, 1), (1, 1), (2, 9), (9, 0)]
+    got = J.expanded(spark.createDataFrame(a, "i int, ca int"), spark.createDataFrame(b, "j string, cb int"), spark.createDataFrame(pairs, "ca int, cb int").withColumn("t", F.lit("x")), "ca", "cb")
+    want = Counter((i, j, "x") for i, ca in a for j, cb in b if (ca, cb) in pairs)
+    assert Counter((r.i, r.j, r.t) for r in got.collect()) == want
+
+
+def test_pairs_are_written_small(spark, tmp_path, monkeypatch):
+    """7 million pairs of one class, in one task, merged as large sides are: they come in an order that Parquet stores in under 0.4 bytes a pair."""
+    monkeypatch.setattr(J, "SALTS", 1)
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    a, b = spark.range(1000).selectExpr("id AS i", "1 AS ca"), spark.range(7001).selectExpr("id AS j", "1 AS cb")
+    J.expanded(a, b, spark.range(1).selectExpr("1 AS ca", "1 AS cb"), "ca", "cb").write.parquet(f"{tmp_path}/pairs")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    rows = spark.read.parquet(f"{tmp_path}/pairs").agg(F.count("*").alias("n"), F.sum("i").alias("i"), F.sum("j").alias("j")).first()
+    assert tuple(rows) == (7_001_000, 7001 * 999 * 500, 1000 * 7000 * 7001 // 2)
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 0.4 * rows.n
+
+
 def test_codes_merged_once_for_equal_types(spark):
     df = [(i % 40, [i % 3, None] if i % 5 else [7]) for i in range(60)] + [(None, [1]), (99, None), (98, [])]
     codes = [(0, ["b", "a"]), (1, ["c", None]), (1, ["b"]), (None, ["z"])]
